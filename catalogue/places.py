@@ -167,19 +167,19 @@ SITE_SQL = f"""
     WITH d AS (SELECT incident_number, s.name, {HAVERSINE} AS d FROM incidents i, sites s),
     b AS (SELECT incident_number, min(d) AS d, arg_min(name, d) AS name FROM d GROUP BY 1)
     SELECT incident_number, CASE WHEN d <= {CUTOFF_M} THEN name ELSE 'none' END AS site_label,
-           round(d, 3) AS site_distance_m FROM b"""
+           round_even(d, 4) AS site_distance_m FROM b"""
 
 
 @query("jn7_nearest_site", SITE_SQL, ("incidents", "sites"))
 def jn7(t):
     out = spatial.nearest_site(t.incidents, t.sites, CUTOFF_M)
-    return out.select("incident_number", "site_label", F.round("site_distance_m", 3).alias("site_distance_m"))
+    return out.select("incident_number", "site_label", "site_distance_m")
 
 
 @query("jn7_by_cells", SITE_SQL, ("incidents", "sites"))
 def jn7_cells(t):
     out = spatial.nearest_site(t.incidents, t.sites, CUTOFF_M, key=["incident_number"], max_literal=2)
-    return out.select("incident_number", "site_label", F.round("site_distance_m", 3).alias("site_distance_m"))
+    return out.select("incident_number", "site_label", "site_distance_m")
 
 
 @query("grd4_site_features", f"""
@@ -194,16 +194,16 @@ def grd4(t):
     codes = {f"site_{i}": i + 1 for i in range(11)}
     out = out.withColumn("site_code", text.map_values(F.col("site_label"), codes, 0))
     out = indicators(out, "site_label", ["site_0", "site_3"])
-    return out.select("incident_number", "site_label", F.round("site_distance_m", 3).alias("site_distance_m"),
+    return out.select("incident_number", "site_label", "site_distance_m",
                       "site_code", "near_site_0", "near_site_3")
 
 
 @query("grd4_site_distances", "SELECT incident_number, " + ", ".join(
-    f"round(max(CASE WHEN s.name = 'site_{i}' THEN {HAVERSINE} END), 3) AS distance_site_{i}" for i in range(11))
+    f"round_even(max(CASE WHEN s.name = 'site_{i}' THEN {HAVERSINE} END), 4) AS distance_site_{i}" for i in range(11))
        + " FROM incidents i, sites s GROUP BY 1", ("incidents", "sites"))
 def grd4_wide(t):
     out = spatial.site_distances(t.incidents.select("incident_number", "latitude", "longitude"), t.sites)
-    return out.select("incident_number", *[F.round(c, 3).alias(c) for c in out.columns if c.startswith("distance_")])
+    return out.select("incident_number", *[c for c in out.columns if c.startswith("distance_")])
 
 
 CELLS_SQL = """xy AS (SELECT incident_number, report_date, 6378137.0::DOUBLE * radians(longitude) AS x,

@@ -230,9 +230,9 @@ def mth1(t):
     return days.withColumns(out)
 
 
-HAVERSINE = ("2 * 6371000.0::DOUBLE * asin(sqrt(least(1, pow(sin(radians({b}.lat - {a}.latitude) / 2), 2)"
-             " + cos(radians({a}.latitude)) * cos(radians({b}.lat)) * pow(sin(radians({b}.lon - {a}.longitude) / 2), 2))))"
-             ).format(a="i", b="s")
+HAVERSINE = ("2 * 6371000.0::DOUBLE * atan2(sqrt({h}), sqrt(1 - {h}))").format(
+    h="(pow(sin(radians(s.lat - i.latitude) / 2), 2) + cos(radians(i.latitude)) * cos(radians(s.lat))"
+      " * pow(sin(radians(s.lon - i.longitude) / 2), 2))")
 
 
 @query("mth2_haversine", f"""

@@ -18,6 +18,7 @@ from hourgrid.session import materialise
 
 MAX_CELLS_PER_SIDE = 64
 MAX_LITERAL_SITES = 64
+OUTSIDE = -(2**60)
 
 
 def with_edges(layer: DataFrame, project: bool = False) -> DataFrame:
@@ -181,12 +182,15 @@ def attach_nearest_polygon(points: DataFrame, layer: DataFrame, target: str, lon
         out = points.join(named.withColumnRenamed("_dist", distance).drop("_fid"), list(key), "left")
         return out.drop("_dist")
 
-    shape = F.struct("poly_id", "name", "edges", "west", "south", "east", "north")
-    everything = polygons.agg(F.array_sort(F.collect_list(shape)).alias("all")).scalar()
     box = polygons.agg(F.min("west").alias("w"), F.min("south").alias("s"),
-                       F.max("east").alias("e"), F.max("north").alias("n"))
-
-    def far_corner(p: Column) -> Column:
+                       F.max("east").alias("e"), F.max("north").alias("n")).first()
+    if box["w"] is None:
+        return points.withColumns({target: F.lit(None).cast("string"), distance: F.lit(None).cast("double")}) \
+            .drop("_dist")
+    first_x, last_x = math.floor(box["w"] / size) - 1, math.floor(box["e"] / size) + 1
+    first_y, last_y = math.floor(box["s"] / size) - 1, math.floor(box["n"] / size) + 1
+
+    def far_side(p: Column) -> Column:
         """Upper bound of the distance from any point of the cell to the polygon."""
         cx, cy = (F.col("_cx") + 0.5) * size, (F.col("_cy") + 0.5) * size
         return geo.polygon_distance(p["edges"], cx, cy) + size * math.sqrt(0.5)
@@ -198,25 +202,33 @@ def attach_nearest_polygon(points: DataFrame, layer: DataFrame, target: str, lon
         dy = F.greatest(p["south"] - (s + size), s - p["north"], F.lit(0.0))
         return F.sqrt(dx * dx + dy * dy)
 
-    grid = (
-        box.withColumn("_cx", F.explode(F.sequence(F.floor(F.col("w") / size) - 1, F.floor(F.col("e") / size) + 1)))
-        .withColumn("_cy", F.explode(F.sequence(F.floor(F.col("s") / size) - 1, F.floor(F.col("n") / size) + 1)))
-        .select("_cx", "_cy", everything.alias("_all"))
-        .withColumn("_bound", F.array_min(F.transform("_all", far_corner)))
+    listed = polygons.agg(F.array_sort(F.collect_list(
+        F.struct("poly_id", "name", "edges", "west", "south", "east", "north"))).alias("_all"))
+    cells = (
+        listed.withColumn("_cx", F.explode(F.sequence(F.lit(first_x), F.lit(last_x)).cast("array<bigint>")))
+        .withColumn("_cy", F.explode(F.sequence(F.lit(first_y), F.lit(last_y)).cast("array<bigint>")))
+        .withColumn("_bound", F.array_min(F.transform("_all", far_side)))
         .withColumn("_cands", F.filter("_all", lambda p: near_side(p) <= F.col("_bound")))
         .select("_cx", "_cy", "_cands")
     )
-    grid = materialise(grid)
+    beyond = listed.select(F.lit(OUTSIDE).cast("bigint").alias("_cx"), F.lit(OUTSIDE).cast("bigint").alias("_cy"),
+                           F.col("_all").alias("_cands"))
+    grid = materialise(cells.unionByName(beyond))
+
+    cx, cy = F.floor(x / size), F.floor(y / size)
+    inside = cx.between(first_x, last_x) & cy.between(first_y, last_y)
+    known = x.isNotNull() & y.isNotNull()
+    located = points.withColumns({
+        "_cx": F.when(inside, cx).when(known, F.lit(OUTSIDE)).cast("bigint"),
+        "_cy": F.when(inside, cy).when(known, F.lit(OUTSIDE)).cast("bigint")})
 
     def measure(p: Column) -> Column:
         return F.struct(geo.polygon_distance(p["edges"], x, y).alias("d"), p["poly_id"].alias("poly_id"),
                         p["name"].alias("name"))
 
-    located = _point_cell(points, x, y, size).join(F.broadcast(grid), ["_cx", "_cy"], "left")
-    best = F.when(x.isNotNull() & y.isNotNull(),
-                  F.array_min(F.transform(F.coalesce(F.col("_cands"), everything), measure)))
     out = (
-        located.withColumn("_best", best)
+        located.join(F.broadcast(grid), ["_cx", "_cy"], "left")
+        .withColumn("_best", F.array_min(F.transform("_cands", measure)))
         .withColumns({target: F.col("_best.name"), distance: F.col("_best.d")})
         .drop("_cx", "_cy", "_cands", "_best")
     )
