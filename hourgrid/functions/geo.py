@@ -11,6 +11,16 @@ EARTH_RADIUS_M = 6371000.0
 MERCATOR_RADIUS_M = 6378137.0
 
 
+def bind(value: Column, fn) -> Column:
+    """``fn(value)`` with the value computed once per row, even where ``fn`` uses it in
+    nested lambdas; the optimizer would otherwise repeat the expression in each of them."""
+    return F.get(F.transform(F.array(value), fn), F.lit(0))
+
+
+def point(x: Column, y: Column) -> Column:
+    return F.struct(x.alias("x"), y.alias("y"))
+
+
 def haversine_m(lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> Column:
     """Great-circle distance in metres between points in degrees."""
     phi1, phi2 = F.radians(lat1), F.radians(lat2)
@@ -94,8 +104,9 @@ def edge_distance(edges: Column, x: Column, y: Column) -> Column:
         along = F.when(length == 0, F.lit(0.0)).otherwise(
             F.greatest(F.lit(0.0), F.least(
                 F.lit(1.0), ((x - e["x1"]) * dx + (y - e["y1"]) * dy) / length)))
-        return F.sqrt(F.pow(x - e["x1"] - along * dx, 2) + F.pow(y - e["y1"] - along * dy, 2))
-    return F.array_min(F.transform(edges, one))
+        ax, ay = x - e["x1"], y - e["y1"]
+        return bind(along, lambda a: (ax - a * dx) * (ax - a * dx) + (ay - a * dy) * (ay - a * dy))
+    return F.sqrt(F.array_min(F.transform(edges, one)))
 
 
 def polygon_distance(edges: Column, x: Column, y: Column) -> Column:

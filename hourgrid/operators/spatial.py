@@ -10,7 +10,7 @@ import itertools
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Row, functions as F
 
 from hourgrid.functions import geo
 from hourgrid.operators.lookup import BROADCAST_ROWS, SALTS, fits, lookup, salt
@@ -36,13 +36,20 @@ def with_edges(layer: DataFrame, project: bool = False) -> DataFrame:
     )
 
 
-def _cell_size(layer: DataFrame) -> float:
+def _extent(layer: DataFrame) -> Row:
+    """Box, number of polygons and number of edges of a layer."""
+    return layer.agg(
+        F.min("west").alias("west"), F.min("south").alias("south"), F.max("east").alias("east"),
+        F.max("north").alias("north"), F.count(F.lit(1)).alias("polygons"),
+        F.coalesce(F.sum(F.size("edges")), F.lit(0)).alias("edges")).first()
+
+
+def _cell_size(extent: Row) -> float:
     """Cells of about a quarter of a typical polygon, at most 64 per side of the layer."""
-    box = layer.agg(F.min("west"), F.min("south"), F.max("east"), F.max("north"), F.count(F.lit(1))).first()
-    if not box[4]:
+    if not extent["polygons"]:
         return 1.0
-    side = max(box[2] - box[0], box[3] - box[1], 1e-9)
-    return side / min(MAX_CELLS_PER_SIDE, max(8, 4 * math.isqrt(box[4])))
+    side = max(extent["east"] - extent["west"], extent["north"] - extent["south"], 1e-9)
+    return side / min(MAX_CELLS_PER_SIDE, max(8, 4 * math.isqrt(extent["polygons"])))
 
 
 def _cells(layer: DataFrame, size: float) -> DataFrame:
@@ -76,14 +83,15 @@ def attach_polygon(points: DataFrame, layer: DataFrame, target: str, lon: str =
     shuffle on salted cells and the first hit per ``key`` is kept.
     """
     x, y = F.col(lon), F.col(lat)
-    polygons = materialise(with_edges(layer))
-    size = _cell_size(polygons)
+    polygons = with_edges(layer)
+    size = _cell_size(_extent(polygons))
     cells = materialise(_cells(polygons, size).select("_cx", "_cy", "poly_id", "name", "edges"))
     located = _point_cell(points, x, y, size)
     if fits(cells, max_rows):
         listed = cells.groupBy("_cx", "_cy").agg(
             F.array_sort(F.collect_list(F.struct("poly_id", "name", "edges"))).alias("_cands"))
-        hit = F.filter("_cands", lambda p: geo.covers(p["edges"], x, y, predicate))
+        hit = geo.bind(geo.point(x, y), lambda at: F.filter(
+            "_cands", lambda p: geo.covers(p["edges"], at["x"], at["y"], predicate)))
         return (
             located.join(F.broadcast(listed), ["_cx", "_cy"], "left")
             .withColumn(target, F.get(hit, F.lit(0))["name"])
@@ -103,8 +111,7 @@ def attach_polygon(points: DataFrame, layer: DataFrame, target: str, lon: str =
 
 
 def _nearest_by_cells(points: DataFrame, key: Sequence[str], coords: Sequence[str], features: DataFrame,
-                      low: Sequence[str], high: Sequence[str], distance: Column,
-                      size: float) -> DataFrame:
+                      low: Sequence[str], high: Sequence[str], distance: Column) -> DataFrame:
     """Nearest feature per point by growing cells; returns key, _dist, _fid.
 
     On a level with cells of side s a point sees all features whose box meets the 3^d
@@ -114,10 +121,12 @@ def _nearest_by_cells(points: DataFrame, key: Sequence[str], coords: Sequence[st
     """
     dims = range(len(coords))
     bounds = points.agg(*[g(c) for c in coords for g in (F.min, F.max)]).first()
-    if bounds[0] is None:
+    box = features.agg(*[F.min(c) for c in low], *[F.max(c) for c in high], F.count(F.lit(1))).first()
+    if bounds[0] is None or box[0] is None:
         return points.select(*key).limit(0).withColumns(
             {"_dist": F.lit(0.0), "_fid": F.lit(0).cast("long")})
-    box = features.agg(*[F.min(c) for c in low], *[F.max(c) for c in high]).first()
+    # Begin with cells as wide as the features are apart.
+    size = max(max(box[len(coords) + i] - box[i] for i in dims) / math.sqrt(box[-1]), 1e-9)
     reach = max(
         max(bounds[2 * i + 1], box[len(coords) + i]) - min(bounds[2 * i], box[i]) for i in dims
     ) * math.sqrt(len(coords)) + size
@@ -167,28 +176,26 @@ def attach_nearest_polygon(points: DataFrame, layer: DataFrame, target: str, lon
     x, y = geo.mercator_x(F.col(lon)), geo.mercator_y(F.col(lat))
     polygons = materialise(with_edges(layer, project=True))
     distance = distance or "_dist"
-    size = _cell_size(polygons)
-    edge_rows = polygons.agg(F.sum(F.size("edges"))).first()[0] or 0
-    if edge_rows > max_rows:
+    extent = _extent(polygons)
+    size = _cell_size(extent)
+    if extent["edges"] > max_rows:
         if key is None:
             raise ValueError("a layer this large needs the key columns of the points")
         shapes = polygons.withColumn("_fid", F.col("poly_id"))
         near = _nearest_by_cells(
             points.select(*key, x.alias("_x"), y.alias("_y")).dropna(subset=["_x", "_y"]), key, ["_x", "_y"],
             shapes, ["west", "south"], ["east", "north"],
-            geo.polygon_distance(F.col("edges"), F.col("_x"), F.col("_y")), size)
+            geo.polygon_distance(F.col("edges"), F.col("_x"), F.col("_y")))
         named = lookup(near, polygons.select(F.col("poly_id").alias("_fid"), F.col("name").alias(target)),
                        ["_fid"], max_rows=max_rows)
         out = points.join(named.withColumnRenamed("_dist", distance).drop("_fid"), list(key), "left")
         return out.drop("_dist")
 
-    box = polygons.agg(F.min("west").alias("w"), F.min("south").alias("s"),
-                       F.max("east").alias("e"), F.max("north").alias("n")).first()
-    if box["w"] is None:
+    if not extent["polygons"]:
         return points.withColumns({target: F.lit(None).cast("string"), distance: F.lit(None).cast("double")}) \
             .drop("_dist")
-    first_x, last_x = math.floor(box["w"] / size) - 1, math.floor(box["e"] / size) + 1
-    first_y, last_y = math.floor(box["s"] / size) - 1, math.floor(box["n"] / size) + 1
+    first_x, last_x = math.floor(extent["west"] / size) - 1, math.floor(extent["east"] / size) + 1
+    first_y, last_y = math.floor(extent["south"] / size) - 1, math.floor(extent["north"] / size) + 1
 
     def far_side(p: Column) -> Column:
         """Upper bound of the distance from any point of the cell to the polygon."""
@@ -207,8 +214,9 @@ def attach_nearest_polygon(points: DataFrame, layer: DataFrame, target: str, lon
     cells = (
         listed.withColumn("_cx", F.explode(F.sequence(F.lit(first_x), F.lit(last_x)).cast("array<bigint>")))
         .withColumn("_cy", F.explode(F.sequence(F.lit(first_y), F.lit(last_y)).cast("array<bigint>")))
-        .withColumn("_bound", F.array_min(F.transform("_all", far_side)))
-        .withColumn("_cands", F.filter("_all", lambda p: near_side(p) <= F.col("_bound")))
+        .withColumn("_cands", geo.bind(
+            F.array_min(F.transform("_all", far_side)),
+            lambda bound: F.filter("_all", lambda p: near_side(p) <= bound)))
         .select("_cx", "_cy", "_cands")
     )
     beyond = listed.select(F.lit(OUTSIDE).cast("bigint").alias("_cx"), F.lit(OUTSIDE).cast("bigint").alias("_cy"),
@@ -222,13 +230,14 @@ def attach_nearest_polygon(points: DataFrame, layer: DataFrame, target: str, lon
         "_cx": F.when(inside, cx).when(known, F.lit(OUTSIDE)).cast("bigint"),
         "_cy": F.when(inside, cy).when(known, F.lit(OUTSIDE)).cast("bigint")})
 
-    def measure(p: Column) -> Column:
-        return F.struct(geo.polygon_distance(p["edges"], x, y).alias("d"), p["poly_id"].alias("poly_id"),
-                        p["name"].alias("name"))
+    def measure(p: Column, at: Column) -> Column:
+        return F.struct(geo.polygon_distance(p["edges"], at["x"], at["y"]).alias("d"),
+                        p["poly_id"].alias("poly_id"), p["name"].alias("name"))
 
     out = (
         located.join(F.broadcast(grid), ["_cx", "_cy"], "left")
-        .withColumn("_best", F.array_min(F.transform("_cands", measure)))
+        .withColumn("_best", geo.bind(geo.point(x, y), lambda at: F.array_min(
+            F.transform("_cands", lambda p: measure(p, at)))))
         .withColumns({target: F.col("_best.name"), distance: F.col("_best.d")})
         .drop("_cx", "_cy", "_cands", "_best")
     )
@@ -269,7 +278,7 @@ def nearest_site(points: DataFrame, sites: DataFrame, cutoff_m: float, label: st
             geo.unit_vector(F.col(lat), F.col(lon)), axes)]).dropna(subset=axes)
         chord = F.sqrt(sum((F.pow(F.col(a) - F.col(b), 2) for a, b in zip(axes, ["_fx", "_fy", "_fz"])), F.lit(0.0)))
         near = _nearest_by_cells(placed, key, axes, numbered, ["_fx", "_fy", "_fz"], ["_fx", "_fy", "_fz"],
-                                 chord, max(cutoff_m / geo.EARTH_RADIUS_M, 1e-6))
+                                 chord)
         named = lookup(near, numbered.select("_fid", F.col("name").alias("_name"), F.col("lat").alias("_slat"),
                                              F.col("lon").alias("_slon")), ["_fid"])
         located = points.join(named.drop("_fid", "_dist"), list(key), "left").withColumn(

@@ -37,12 +37,18 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
-def materialise(df: DataFrame) -> DataFrame:
-    """Compute ``df`` once into the shared folder and cut its lineage there."""
-    shared_folder(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
 def scratch(spark: SparkSession, label: str) -> str:
     """A fresh path for one intermediate table."""
     return f"{shared_folder(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+
+
+def materialise(df: DataFrame, label: str = "table") -> DataFrame:
+    """Compute ``df`` once into a table of the shared folder and read it from there.
+
+    This cuts the lineage, survives lost executors and, unlike a row checkpoint, lets
+    later steps read only the columns they need.
+    """
+    spark = df.sparkSession
+    path = scratch(spark, label)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
