@@ -1,3 +1,3 @@
 """Import every module that registers queries."""
 
-from catalogue import checks, files, forecasts, panels, places, rows  # noqa: F401
+from catalogue import checks, files, forecasts, models, panels, places, rows  # noqa: F401

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from catalogue.registry import query
 from catalogue.rows import HAVERSINE
 from hourgrid.functions import text
-from hourgrid.operators import density, lookup, panel, spatial, weather, windows
+from hourgrid.operators import density, lookup, panel, radius, spatial, weather, windows
 
 CUTOFF_M = 2414.016
 
@@ -282,3 +282,13 @@ def zone_fill(t):
     i = F.col("incident_number")
     rows = t.incidents.select("incident_number", "area", F.when(i % 3 != 0, (i % 7).cast("int")).alias("zone"))
     return spatial.fill_by_group_mode(rows, "zone", "area")
+
+
+@query("jn17_radius_count", f"""
+    WITH p AS (SELECT incident_number, CAST(report_date AS DATE) AS d, latitude, longitude FROM incidents)
+    SELECT i.incident_number, count(s.lat) - 1 AS density_7d_1mi FROM p i
+    JOIN (SELECT incident_number, d, latitude AS lat, longitude AS lon FROM p) s
+        ON s.d BETWEEN i.d - 6 AND i.d AND s.lat BETWEEN i.latitude - 0.015::DOUBLE AND i.latitude + 0.015::DOUBLE
+        AND {HAVERSINE} <= {radius.RADIUS_M}::DOUBLE GROUP BY 1""", ("incidents",))
+def jn17(t):
+    return radius.radius_count(t.incidents).select("incident_number", "density_7d_1mi")

@@ -368,7 +368,7 @@ def flt1(t):
     WHERE regexp_matches(split_part(o_orderpriority, '-', 1), '^(1|[23])$')""")
 def flt1_codes(t):
     code = F.substring_index("o_orderpriority", "-", 1)
-    return t.read("orders").where(code.rlike("^(1|[23])$")).select("o_orderkey", "o_orderpriority")
+    return t.read("orders").where(text.matches_code(code, ["1", "[23]"])).select("o_orderkey", "o_orderpriority")
 
 
 @query("flt2_drop_null_keys", f"SELECT * FROM ({GAPPY}) WHERE amount IS NOT NULL AND kind IS NOT NULL")

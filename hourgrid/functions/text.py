@@ -68,6 +68,11 @@ def matches_any(col: Column, terms: Iterable[str]) -> Column:
     return F.coalesce(col.rlike("(?i)" + "|".join(terms)), F.lit(False))
 
 
+def matches_code(col: Column, codes: Iterable[str]) -> Column:
+    """Whole-value match of any code pattern, e.g. ``220`` or ``23.*``; null does not match."""
+    return F.coalesce(col.cast("string").rlike("^(" + "|".join(codes) + ")$"), F.lit(False))
+
+
 def classify(col: Column, classes: Sequence[tuple[str, str]] = OFFENSE_CLASSES,
              default: str = OTHER_OFFENSE) -> Column:
     """Label of the first pattern found in the text."""

@@ -9,12 +9,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window as W, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from hourgrid.functions.calendar import hour_block, hour_index, hour_of_week
 from hourgrid.operators import windows
 from hourgrid.operators.evaluate import FOLDS, Folds, fold_number, moment, train_segment
 from hourgrid.operators.lookup import lookup
+from hourgrid.session import materialise
 
 
 def _fold_table(spark, folds: Folds) -> DataFrame:
@@ -24,67 +25,62 @@ def _fold_table(spark, folds: Folds) -> DataFrame:
     return spark.createDataFrame(rows, "fold int, segments int")
 
 
-def _training_means(df: DataFrame, keys: Sequence[str], y: str, ts: str, folds: Folds, out: str) -> DataFrame:
-    """Mean of the training rows per (fold, keys)."""
-    parts = (
-        df.withColumn("_seg", train_segment(ts, folds))
-        .groupBy(*keys, "_seg").agg(F.sum(F.col(y).cast("double")).alias("_s"), F.count(y).alias("_n"))
-    )
-    folded = F.broadcast(_fold_table(df.sparkSession, folds))
-    return (
-        parts.join(folded, F.col("_seg") < F.col("segments"))
-        .groupBy("fold", *keys).agg((F.sum("_s") / F.sum("_n")).alias(out))
-    )
+def _segments(df: DataFrame, keys: Sequence[str], y: str, ts: str, folds: Folds) -> DataFrame:
+    """Sum, count and last value of the rows per (keys, segment): one pass over the panel,
+    kept as a table because keyed and overall means both come from it."""
+    value = F.col(y).cast("double")
+    return materialise(
+        df.groupBy(*keys, train_segment(ts, folds).alias("_seg")).agg(
+            F.sum(value).alias("_s"), F.count(y).alias("_n"),
+            F.max(F.when(value.isNotNull(), F.struct(F.col(ts).alias("t"), value.alias("v")))).alias("_last")),
+        "segments")
 
 
-def fold_test_rows(df: DataFrame, ts: str = "hour_ts", folds: Folds = FOLDS) -> DataFrame:
-    return df.withColumn("fold", fold_number(ts, folds)).where("fold is not null")
+def _per_fold(parts: DataFrame, keys: Sequence[str], folds: Folds, out: Column) -> DataFrame:
+    """An aggregate of the training segments per (fold, keys)."""
+    folded = F.broadcast(_fold_table(parts.sparkSession, folds))
+    return parts.join(folded, F.col("_seg") < F.col("segments")).groupBy("fold", *keys).agg(out)
 
 
-def mean_forecast(df: DataFrame, y: str, ts: str = "hour_ts", folds: Folds = FOLDS) -> DataFrame:
-    """Global training mean for every test row."""
-    means = _training_means(df, [], y, ts, folds, "predicted")
-    return lookup(fold_test_rows(df, ts, folds), means, ["fold"])
+def _mean(name: str) -> Column:
+    return (F.sum("_s") / F.sum("_n")).alias(name)
+
+
+def fold_test_rows(df: DataFrame, ts: str = "hour_ts", folds: Folds = FOLDS) -> DataFrame:
+    return df.withColumn("fold", fold_number(ts, folds)).where("fold is not null")
 
 
-def _keyed_mean(df: DataFrame, key: dict[str, Column], area: str, y: str, ts: str, folds: Folds) -> DataFrame:
-    """Training mean per (area, key), else the global training mean."""
-    keyed = df.withColumns(key)
-    names = [area, *key]
-    means = _training_means(keyed, names, y, ts, folds, "_mean")
-    overall = _training_means(df, [], y, ts, folds, "_all")
-    rows = lookup(fold_test_rows(keyed, ts, folds), means, ["fold", *names], computed=True)
+def _forecast(df: DataFrame, keys: Sequence[str], value: Column, y: str, ts: str, folds: Folds) -> DataFrame:
+    """``value`` of the training rows per (fold, keys), else their overall mean."""
+    parts = _segments(df, keys, y, ts, folds)
+    rows = lookup(fold_test_rows(df, ts, folds), _per_fold(parts, keys, folds, value), ["fold", *keys], computed=True)
     return (
-        lookup(rows, overall, ["fold"])
-        .withColumn("predicted", F.coalesce("_mean", "_all")).drop("_mean", "_all", *key)
+        lookup(rows, _per_fold(parts, [], folds, _mean("_all")), ["fold"])
+        .withColumn("predicted", F.coalesce("_value", "_all")).drop("_value", "_all")
     )
 
 
+def mean_forecast(df: DataFrame, y: str, ts: str = "hour_ts", folds: Folds = FOLDS) -> DataFrame:
+    """Global training mean for every test row."""
+    parts = _segments(df, [], y, ts, folds)
+    return lookup(fold_test_rows(df, ts, folds), _per_fold(parts, [], folds, _mean("predicted")), ["fold"])
+
+
 def seasonal_weekly(df: DataFrame, y: str, area: str = "area", ts: str = "hour_ts", folds: Folds = FOLDS) -> DataFrame:
-    return _keyed_mean(df, {"_how": hour_of_week(F.col(ts))}, area, y, ts, folds)
+    """Training mean of the area's hour of the week, else the overall mean."""
+    keyed = df.withColumn("_how", hour_of_week(F.col(ts)))
+    return _forecast(keyed, [area, "_how"], _mean("_value"), y, ts, folds).drop("_how")
 
 
 def area_block_mean(df: DataFrame, y: str, area: str = "area", ts: str = "hour_ts", folds: Folds = FOLDS) -> DataFrame:
-    return _keyed_mean(df, {"_block": hour_block(F.hour(ts))}, area, y, ts, folds)
+    """Training mean of the area's hour block, else the overall mean."""
+    keyed = df.withColumn("_block", hour_block(F.hour(ts)))
+    return _forecast(keyed, [area, "_block"], _mean("_value"), y, ts, folds).drop("_block")
 
 
 def last_value(df: DataFrame, y: str, area: str = "area", ts: str = "hour_ts", folds: Folds = FOLDS) -> DataFrame:
-    """Last training value of the area, else the global training mean."""
-    parts = (
-        df.withColumn("_seg", train_segment(ts, folds))
-        .groupBy(area, "_seg").agg(F.max(F.struct(F.col(ts).alias("t"), F.col(y).alias("v"))).alias("_last"))
-    )
-    folded = F.broadcast(_fold_table(df.sparkSession, folds))
-    lasts = (
-        parts.join(folded, F.col("_seg") < F.col("segments"))
-        .groupBy("fold", area).agg(F.max("_last")["v"].cast("double").alias("_value"))
-    )
-    overall = _training_means(df, [], y, ts, folds, "_all")
-    rows = lookup(fold_test_rows(df, ts, folds), lasts, ["fold", area], computed=True)
-    return (
-        lookup(rows, overall, ["fold"])
-        .withColumn("predicted", F.coalesce("_value", "_all")).drop("_value", "_all")
-    )
+    """Last training value of the area, else the overall mean."""
+    return _forecast(df, [area], F.max("_last")["v"].alias("_value"), y, ts, folds)
 
 
 def naive_lags(dense: DataFrame, y: str, lags: Sequence[int] = (24, 168), area: str = "area",

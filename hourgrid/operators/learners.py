@@ -21,6 +21,7 @@ from hourgrid.operators import windows
 from hourgrid.operators.encode import label_encode
 from hourgrid.operators.evaluate import FOLDS, Folds, fold_rows, score, time_split
 from hourgrid.operators.shape import require_columns
+from hourgrid.session import materialise
 
 FEATURES = "features"
 PREDICTED = "predicted"
@@ -109,9 +110,11 @@ def rolling_cv(df: DataFrame, make: Callable[[str], Estimator], target: str, fea
                ts: str = "hour_ts", area: str = "area", folds: Folds = FOLDS, clip: bool = False) -> DataFrame:
     """Fit before each fold, predict inside it: (ts, area, actual, predicted, fold).
 
-    The assembled frame is kept while the folds are fitted, as every fold reads its prefix.
+    The assembled frame is a table, as every fold reads its prefix, and is held in memory
+    while the folds are fitted.
     """
-    base = assemble(df, features).select(ts, area, F.col(target).cast("double").alias("actual"), FEATURES)
+    base = materialise(
+        assemble(df, features).select(ts, area, F.col(target).cast("double").alias("actual"), FEATURES), "features")
     base.persist(StorageLevel.MEMORY_AND_DISK)
     out = None
     for number, fold in enumerate(folds, start=1):
@@ -124,13 +127,15 @@ def rolling_cv(df: DataFrame, make: Callable[[str], Estimator], target: str, fea
         out = part if out is None else out.unionByName(part)
     if out is None:
         raise ValueError("no fold has both training and test rows")
+    base.unpersist()
     return clipped(out) if clip else out
 
 
 def simple_split(df: DataFrame, makers: dict[str, Callable[[str], Estimator]], target: str,
                  features: Sequence[str], cutoff: str, ts: str = "hour_ts", area: str = "area") -> DataFrame:
     """Predictions of several models after one cutoff, as (model, ts, area, actual, predicted)."""
-    base = assemble(df, features).select(ts, area, F.col(target).cast("double").alias("actual"), FEATURES)
+    base = materialise(
+        assemble(df, features).select(ts, area, F.col(target).cast("double").alias("actual"), FEATURES), "features")
     base.persist(StorageLevel.MEMORY_AND_DISK)
     train, test = time_split(base, cutoff, ts)
     out = None
@@ -138,6 +143,7 @@ def simple_split(df: DataFrame, makers: dict[str, Callable[[str], Estimator]], t
         part = make("actual").fit(train).transform(test).select(
             F.lit(name).alias("model"), ts, area, "actual", F.col(PREDICTED).cast("double").alias(PREDICTED))
         out = part if out is None else out.unionByName(part)
+    base.unpersist()
     return out
 
 
@@ -146,11 +152,13 @@ def multi_horizon(df: DataFrame, features: Sequence[str], horizons: Sequence[int
                   area: str = "area") -> DataFrame:
     """One model per horizon over one assembled frame: y_h* and p_h* after the cutoff."""
     targets = [f"y_h{h}" for h in horizons]
-    base = assemble(df, features).select(ts, area, *targets, FEATURES).persist(StorageLevel.MEMORY_AND_DISK)
+    base = materialise(assemble(df, features).select(ts, area, *targets, FEATURES), "features")
+    base.persist(StorageLevel.MEMORY_AND_DISK)
     train, out = time_split(base, cutoff, ts)
     for h in horizons:
         model = make(f"y_h{h}").fit(train)
         out = clipped(model.transform(out)).withColumnRenamed(PREDICTED, f"p_h{h}")
+    base.unpersist()
     return out.drop(FEATURES)
 
 

@@ -70,7 +70,7 @@ def target_incidents(enriched: DataFrame, offense: str = "offense", key: str = "
     if codes is None:
         hit = text.matches_any(F.col(offense), terms)
     else:
-        hit = F.coalesce(F.col(code_column).cast("string").rlike("^(" + "|".join(codes) + ")$"), F.lit(False))
+        hit = text.matches_code(F.col(code_column), codes)
     rows = enriched.where(hit)
     order = [c for c in ("source_file", "source_position", "report_date") if c in rows.columns]
     rest = [F.xxhash64(*[c for c in rows.columns if c not in order])]
