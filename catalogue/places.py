@@ -31,7 +31,7 @@ def jn1_doubled(t):
 
 
 @query("jn2_daily_weather", """
-    SELECT incident_number, temp_mean_f, rain_sum_in FROM incidents
+    SELECT incident_number, temp_low_f, rain_top_in FROM incidents
     LEFT JOIN weather_daily ON date = CAST(report_date AS DATE)""", ("incidents", "weather_daily"))
 def jn2(t):
     return weather.merge_weather(t.incidents.select("incident_number", "report_date"), daily=t.weather_daily, computed=True) \
@@ -76,19 +76,19 @@ def weathered(t):
 
 
 @query("wx1_weather_flags", f"""
-    WITH {WEATHERED} SELECT joined.*, CAST(coalesce(precip_in > 0.03::DOUBLE, false) AS INTEGER) AS is_raining,
+    WITH {WEATHERED} SELECT joined.*, CAST(coalesce(precip_in > 0.069::DOUBLE, false) AS INTEGER) AS is_raining,
         CAST(coalesce(temp_f >= hot, false) AS INTEGER) AS is_hot,
         CAST(coalesce(temp_f <= cold, false) AS INTEGER) AS is_cold FROM joined, q""", ("incidents", "weather_hourly"))
 def wx1(t):
-    return weather.weather_flags(weathered(t), rain=0.03)
+    return weather.weather_flags(weathered(t), rain=0.069)
 
 
 @query("wx1_fixed_flags", f"""
     WITH {WEATHERED} SELECT joined.*, CAST(coalesce(precip_in > 0.01::DOUBLE, false) AS INTEGER) AS is_raining,
-        CAST(coalesce(temp_f >= 60.0::DOUBLE, false) AS INTEGER) AS is_hot,
-        CAST(coalesce(temp_f <= 40.0::DOUBLE, false) AS INTEGER) AS is_cold FROM joined""", ("incidents", "weather_hourly"))
+        CAST(coalesce(temp_f >= 99.0::DOUBLE, false) AS INTEGER) AS is_hot,
+        CAST(coalesce(temp_f <= 97.0::DOUBLE, false) AS INTEGER) AS is_cold FROM joined""", ("incidents", "weather_hourly"))
 def wx1_fixed(t):
-    return weather.weather_flags(weathered(t), hot=60.0, cold=weather.COLD_F)
+    return weather.weather_flags(weathered(t), hot=99.0, cold=97.0)
 
 
 @query("src5_local_hours", """

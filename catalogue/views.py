@@ -38,11 +38,10 @@ SQL = {
         FROM region""",
     "weather_hourly": """
         SELECT TIMESTAMP '2024-01-01 00:00:00' + to_hours(CAST(o_orderkey % 720 AS INTEGER)) AS hour_ts,
-               round(avg(o_totalprice) / 5000, 4) AS temp_f, round(avg(o_totalprice % 7) / 100, 6) AS precip_in
+               max(o_totalprice) / 5000 AS temp_f, max(o_totalprice % 7) / 100 AS precip_in
         FROM orders GROUP BY 1""",
     "weather_daily": """
-        SELECT CAST(hour_ts AS DATE) AS date, round(avg(temp_f), 4) AS temp_mean_f,
-               round(sum(precip_in), 4) AS rain_sum_in
+        SELECT CAST(hour_ts AS DATE) AS date, min(temp_f) AS temp_low_f, max(precip_in) AS rain_top_in
         FROM weather_hourly GROUP BY 1""",
     "daily_counts": """
         SELECT l_returnflag AS area, CAST(l_shipdate AS DATE) AS d, count(*) AS n
@@ -137,13 +136,12 @@ class Tables:
         hour = F.make_timestamp_ntz(*[F.lit(v) for v in (2024, 1, 1, 0, 0, 0)]) + F.make_dt_interval(
             F.lit(0), (F.col("o_orderkey") % 720).cast("int"))
         return self.read("orders").groupBy(hour.alias("hour_ts")).agg(
-            F.round(F.avg("o_totalprice") / 5000, 4).alias("temp_f"),
-            F.round(F.avg(F.col("o_totalprice") % 7) / 100, 6).alias("precip_in"))
+            (F.max("o_totalprice") / 5000).alias("temp_f"), (F.max(F.col("o_totalprice") % 7) / 100).alias("precip_in"))
 
     @property
     def weather_daily(self) -> DataFrame:
         return self.weather_hourly.groupBy(F.col("hour_ts").cast("date").alias("date")).agg(
-            F.round(F.avg("temp_f"), 4).alias("temp_mean_f"), F.round(F.sum("precip_in"), 4).alias("rain_sum_in"))
+            F.min("temp_f").alias("temp_low_f"), F.max("precip_in").alias("rain_top_in"))
 
     @property
     def daily_counts(self) -> DataFrame:

@@ -55,22 +55,27 @@ def combine_incidents(df: DataFrame, key: str = "incident_number") -> DataFrame:
     return first_per_key(df, [key], [SOURCE, POSITION])
 
 
+def _format_of(system, path) -> str:
+    """``parquet`` or ``csv``, by the first data file below the path."""
+    found = system.listFiles(path, True)
+    while found.hasNext():
+        name = found.next().getPath().getName()
+        if name.endswith((".parquet", ".csv")):
+            return name.rsplit(".", 1)[1]
+    return "csv"
+
+
 def read_any(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
-    """Parquet when the path holds Parquet, else CSV with a header."""
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    for candidate, kind in ((path, None), (f"{path}.parquet", "parquet"), (f"{path}.csv", "csv")):
-        target = jvm.org.apache.hadoop.fs.Path(candidate)
-        system = target.getFileSystem(conf)
-        if not system.exists(target):
-            continue
-        if kind is None:
-            names = [candidate] if system.getFileStatus(target).isFile() else list_files(spark, candidate, "")
-            kind = "parquet" if any(n.endswith(".parquet") for n in names) else "csv"
-        if kind == "parquet":
-            return spark.read.parquet(candidate)
-        reader = spark.read.option("header", True)
-        return (reader.schema(schema) if schema else reader).csv(candidate)
+    """The path as it is, or with .parquet or .csv added: the first that exists."""
+    context = spark.sparkContext
+    for candidate in (path, f"{path}.parquet", f"{path}.csv"):
+        target = context._jvm.org.apache.hadoop.fs.Path(candidate)
+        system = target.getFileSystem(context._jsc.hadoopConfiguration())
+        if system.exists(target):
+            if _format_of(system, target) == "parquet":
+                return spark.read.parquet(candidate)
+            reader = spark.read.option("header", True)
+            return (reader.schema(schema) if schema else reader).csv(candidate)
     raise FileNotFoundError(path)
 
 
