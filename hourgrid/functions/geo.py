@@ -27,7 +27,8 @@ def haversine_m(lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> Colum
     half_phi = (phi2 - phi1) / 2
     half_lam = (F.radians(lon2) - F.radians(lon1)) / 2
     h = F.pow(F.sin(half_phi), 2) + F.cos(phi1) * F.cos(phi2) * F.pow(F.sin(half_lam), 2)
-    return F.lit(2 * EARTH_RADIUS_M) * F.atan2(F.sqrt(h), F.sqrt(F.lit(1.0) - h))
+    # h can pass 1 by a rounding error at opposite ends of the globe.
+    return F.lit(2 * EARTH_RADIUS_M) * F.atan2(F.sqrt(h), F.sqrt(F.greatest(F.lit(1.0) - h, F.lit(0.0))))
 
 
 def mercator_x(lon: Column) -> Column:

@@ -53,9 +53,9 @@ def fold_test_rows(df: DataFrame, ts: str = "hour_ts", folds: Folds = FOLDS) ->
 def _forecast(df: DataFrame, keys: Sequence[str], value: Column, y: str, ts: str, folds: Folds) -> DataFrame:
     """``value`` of the training rows per (fold, keys), else their overall mean."""
     parts = _segments(df, keys, y, ts, folds)
-    rows = lookup(fold_test_rows(df, ts, folds), _per_fold(parts, keys, folds, value), ["fold", *keys], computed=True)
+    rows = lookup(fold_test_rows(df, ts, folds), _per_fold(parts, keys, folds, value), ["fold", *keys])
     return (
-        lookup(rows, _per_fold(parts, [], folds, _mean("_all")), ["fold"])
+        rows.join(F.broadcast(_per_fold(parts, [], folds, _mean("_all"))), "fold", "left")  # one row per fold
         .withColumn("predicted", F.coalesce("_value", "_all")).drop("_value", "_all")
     )
 
@@ -63,7 +63,8 @@ def _forecast(df: DataFrame, keys: Sequence[str], value: Column, y: str, ts: str
 def mean_forecast(df: DataFrame, y: str, ts: str = "hour_ts", folds: Folds = FOLDS) -> DataFrame:
     """Global training mean for every test row."""
     parts = _segments(df, [], y, ts, folds)
-    return lookup(fold_test_rows(df, ts, folds), _per_fold(parts, [], folds, _mean("predicted")), ["fold"])
+    means = _per_fold(parts, [], folds, _mean("predicted"))
+    return fold_test_rows(df, ts, folds).join(F.broadcast(means), "fold", "left")  # one row per fold
 
 
 def seasonal_weekly(df: DataFrame, y: str, area: str = "area", ts: str = "hour_ts", folds: Folds = FOLDS) -> DataFrame:

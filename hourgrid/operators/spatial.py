@@ -230,14 +230,19 @@ def attach_nearest_polygon(points: DataFrame, layer: DataFrame, target: str, lon
         "_cx": F.when(inside, cx).when(known, F.lit(OUTSIDE)).cast("bigint"),
         "_cy": F.when(inside, cy).when(known, F.lit(OUTSIDE)).cast("bigint")})
 
-    def measure(p: Column, at: Column) -> Column:
-        return F.struct(geo.polygon_distance(p["edges"], at["x"], at["y"]).alias("d"),
-                        p["poly_id"].alias("poly_id"), p["name"].alias("name"))
+    def named(p: Column, d: Column) -> Column:
+        return F.struct(d.alias("d"), p["poly_id"].alias("poly_id"), p["name"].alias("name"))
+
+    def nearest(at: Column) -> Column:
+        """The holder with the lowest poly_id, and only without one the distances to the edges."""
+        holders = F.filter("_cands", lambda p: geo.covers(p["edges"], at["x"], at["y"], "intersects"))
+        return F.coalesce(
+            geo.bind(F.get(holders, F.lit(0)), lambda p: F.when(p.isNotNull(), named(p, F.lit(0.0)))),
+            F.array_min(F.transform("_cands", lambda p: named(p, geo.edge_distance(p["edges"], at["x"], at["y"])))))
 
     out = (
         located.join(F.broadcast(grid), ["_cx", "_cy"], "left")
-        .withColumn("_best", geo.bind(geo.point(x, y), lambda at: F.array_min(
-            F.transform("_cands", lambda p: measure(p, at)))))
+        .withColumn("_best", geo.bind(geo.point(x, y), nearest))
         .withColumns({target: F.col("_best.name"), distance: F.col("_best.d")})
         .drop("_cx", "_cy", "_cands", "_best")
     )
@@ -249,6 +254,36 @@ def _site_rows(sites: DataFrame, max_rows: int) -> list | None:
     return sorted(rows, key=lambda r: r["name"]) if len(rows) <= max_rows else None
 
 
+def _nearest_constant_site(points: DataFrame, rows: list[Row], lat: str, lon: str) -> DataFrame:
+    """Column ``_site`` (d, name) from sites written into the plan as constants.
+
+    Squared chords on the unit sphere rank the sites with three products each; the
+    great-circle distance is worked out for the winner only.
+    """
+    axes = ("_px", "_py", "_pz")
+
+    def chord(r: Row) -> Column:
+        phi, lam = math.radians(r["lat"]), math.radians(r["lon"])
+        site = (math.cos(phi) * math.cos(lam), math.cos(phi) * math.sin(lam), math.sin(phi))
+        terms = [(F.col(a) - v) * (F.col(a) - v) for a, v in zip(axes, site)]
+        return terms[0] + terms[1] + terms[2]
+
+    options = [F.struct(chord(r).alias("c"), F.lit(r["name"]).alias("name"), F.lit(r["lat"]).alias("lat"),
+                        F.lit(r["lon"]).alias("lon")) for r in rows]
+    if not options:
+        return points.withColumn("_site", F.lit(None).cast("struct<d:double,name:string>"))
+    best = options[0] if len(options) == 1 else F.least(*options)
+    known = F.col(lat).isNotNull() & F.col(lon).isNotNull()
+    return (
+        points.withColumns(dict(zip(axes, geo.unit_vector(F.col(lat), F.col(lon)))))
+        .withColumn("_best", F.when(known, best)).drop(*axes)
+        .withColumn("_site", F.when(known, F.struct(
+            geo.haversine_m(F.col(lat), F.col(lon), F.col("_best.lat"), F.col("_best.lon")).alias("d"),
+            F.col("_best.name").alias("name"))))
+        .drop("_best")
+    )
+
+
 def nearest_site(points: DataFrame, sites: DataFrame, cutoff_m: float, label: str = "site_label",
                  distance: str = "site_distance_m", lat: str = "latitude", lon: str = "longitude",
                  none_label: str = "none", null_distance: float | None = None,
@@ -260,11 +295,7 @@ def nearest_site(points: DataFrame, sites: DataFrame, cutoff_m: float, label: st
     """
     rows = _site_rows(sites, max_literal)
     if rows is not None:
-        options = [
-            F.struct(geo.haversine_m(F.col(lat), F.col(lon), F.lit(r["lat"]), F.lit(r["lon"])).alias("d"),
-                     F.lit(r["name"]).alias("name")) for r in rows]
-        best = options[0] if len(options) == 1 else F.least(*options)
-        located = points.withColumn("_site", F.when(F.col(lat).isNotNull() & F.col(lon).isNotNull(), best))
+        located = _nearest_constant_site(points, rows, lat, lon)
     else:
         if key is None:
             raise ValueError("this many sites need the key columns of the points")
