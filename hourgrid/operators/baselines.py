@@ -18,13 +18,6 @@ from hourgrid.operators.lookup import lookup
 from hourgrid.session import materialise
 
 
-def _fold_table(spark, folds: Folds) -> DataFrame:
-    """(fold, segments): a fold trains on all segments below its number of earlier train ends."""
-    starts = sorted(s for s, _ in folds)
-    rows = [(i, starts.index(start) + 1) for i, (start, _) in enumerate(folds, start=1)]
-    return spark.createDataFrame(rows, "fold int, segments int")
-
-
 def _segments(df: DataFrame, keys: Sequence[str], y: str, ts: str, folds: Folds) -> DataFrame:
     """Sum, count and last value of the rows per (keys, segment): one pass over the panel,
     kept as a table because keyed and overall means both come from it."""
@@ -37,9 +30,14 @@ def _segments(df: DataFrame, keys: Sequence[str], y: str, ts: str, folds: Folds)
 
 
 def _per_fold(parts: DataFrame, keys: Sequence[str], folds: Folds, out: Column) -> DataFrame:
-    """An aggregate of the training segments per (fold, keys)."""
-    folded = F.broadcast(_fold_table(parts.sparkSession, folds))
-    return parts.join(folded, F.col("_seg") < F.col("segments")).groupBy("fold", *keys).agg(out)
+    """An aggregate of the training segments per (fold, keys): a fold trains on the
+    segments below the place of its own train end."""
+    starts = sorted(start for start, _ in folds)
+    later = F.array(*[
+        F.struct(F.lit(i).alias("fold"), F.lit(starts.index(start) + 1).alias("segments"))
+        for i, (start, _) in enumerate(folds, start=1)])
+    trained = F.filter(later, lambda f: F.col("_seg") < f["segments"])
+    return parts.select("*", F.inline(trained)).groupBy("fold", *keys).agg(out)
 
 
 def _mean(name: str) -> Column:

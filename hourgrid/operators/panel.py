@@ -100,10 +100,11 @@ def hour_grid(areas: DataFrame, lo: Column, hi: Column, area: str = "area") -> D
     last = F.least(
         (F.col("_month") + F.expr("interval 1 month") - F.expr("interval 1 hour")).cast("timestamp_ntz"),
         F.col("_hi"))
+    tasks = int(areas.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return (
         areas.select(area, lo.alias("_lo"), hi.alias("_hi"))
         .withColumn("_month", F.explode(_months(F.col("_lo"), F.col("_hi"))))
-        .repartition(area, "_month")
+        .repartition(tasks, area, "_month")  # a given number is not coalesced again
         .select(area, F.explode(F.sequence(first, last, F.expr("interval 1 hour"))).alias("hour_ts"))
     )
 

@@ -13,11 +13,13 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Row, functions as F
 
 from hourgrid.functions import geo
-from hourgrid.operators.lookup import BROADCAST_ROWS, SALTS, fits, lookup, salt
+from hourgrid.operators.lookup import BROADCAST_ROWS, SALTS, lookup, salt
 from hourgrid.session import materialise
 
 MAX_CELLS_PER_SIDE = 64
 MAX_LITERAL_SITES = 64
+# About 64 MB of edges.
+BROADCAST_EDGES = 2_000_000
 OUTSIDE = -(2**60)
 
 
@@ -85,9 +87,10 @@ def attach_polygon(points: DataFrame, layer: DataFrame, target: str, lon: str =
     x, y = F.col(lon), F.col(lat)
     polygons = with_edges(layer)
     size = _cell_size(_extent(polygons))
-    cells = materialise(_cells(polygons, size).select("_cx", "_cy", "poly_id", "name", "edges"))
+    cells = materialise(_cells(polygons, size).select("_cx", "_cy", "poly_id", "name", "edges"), "cells")
     located = _point_cell(points, x, y, size)
-    if fits(cells, max_rows):
+    volume = cells.agg(F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum(F.size("edges")), F.lit(0)).alias("edges")).first()
+    if volume["rows"] <= max_rows and volume["edges"] <= BROADCAST_EDGES:
         listed = cells.groupBy("_cx", "_cy").agg(
             F.array_sort(F.collect_list(F.struct("poly_id", "name", "edges"))).alias("_cands"))
         hit = geo.bind(geo.point(x, y), lambda at: F.filter(
@@ -163,6 +166,62 @@ def _nearest_by_cells(points: DataFrame, key: Sequence[str], coords: Sequence[st
     return out
 
 
+def _grid_range(extent: Row, size: float) -> tuple[int, int, int, int]:
+    """First and last cell per axis, one cell wider than the layer."""
+    return (math.floor(extent["west"] / size) - 1, math.floor(extent["east"] / size) + 1,
+            math.floor(extent["south"] / size) - 1, math.floor(extent["north"] / size) + 1)
+
+
+def _nearest_candidates(polygons: DataFrame, extent: Row, size: float) -> DataFrame:
+    """Cells with the polygons that can be nearest to any of their points, and one row
+    with all polygons for points beyond the grid.
+
+    A polygon touches all sides of its box, which gives a first upper bound of its
+    distance; among those left, the distance from the middle of the cell gives a
+    tighter one.
+    """
+    half = size * math.sqrt(0.5)
+    cx, cy = (F.col("_cx") + 0.5) * size, (F.col("_cy") + 0.5) * size
+
+    def corner(p: Column, a: str, b: str) -> Column:
+        return (cx - p[a]) * (cx - p[a]) + (cy - p[b]) * (cy - p[b])
+
+    def box_bound(p: Column) -> Column:
+        sw, se = corner(p, "west", "south"), corner(p, "east", "south")
+        nw, ne = corner(p, "west", "north"), corner(p, "east", "north")
+        sides = [F.greatest(sw, se), F.greatest(nw, ne), F.greatest(sw, nw), F.greatest(se, ne)]
+        return F.sqrt(F.least(*sides)) + half
+
+    def middle_bound(p: Column) -> Column:
+        return geo.polygon_distance(p["edges"], cx, cy) + half
+
+    def least_distance(p: Column) -> Column:
+        w, s = F.col("_cx") * size, F.col("_cy") * size
+        dx = F.greatest(p["west"] - (w + size), w - p["east"], F.lit(0.0))
+        dy = F.greatest(p["south"] - (s + size), s - p["north"], F.lit(0.0))
+        return F.sqrt(dx * dx + dy * dy)
+
+    def within(cands: Column | str, bound) -> Column:
+        """Candidates no further than the least of the bounds, which is worked out once."""
+        return geo.bind(F.array_min(F.transform(cands, bound)) * (1 + 1e-9),
+                        lambda limit: F.filter(cands, lambda p: least_distance(p) <= limit))
+
+    first_x, last_x, first_y, last_y = _grid_range(extent, size)
+    tasks = int(polygons.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    listed = polygons.agg(F.array_sort(F.collect_list(
+        F.struct("poly_id", "name", "edges", "west", "south", "east", "north"))).alias("_all"))
+    cells = (
+        listed.withColumn("_cx", F.explode(F.sequence(F.lit(first_x), F.lit(last_x)).cast("array<bigint>")))
+        .repartition(tasks, "_cx")
+        .withColumn("_cy", F.explode(F.sequence(F.lit(first_y), F.lit(last_y)).cast("array<bigint>")))
+        .withColumn("_cands", geo.bind(within("_all", box_bound), lambda some: within(some, middle_bound)))
+        .select("_cx", "_cy", "_cands")
+    )
+    beyond = listed.select(F.lit(OUTSIDE).cast("bigint").alias("_cx"), F.lit(OUTSIDE).cast("bigint").alias("_cy"),
+                           F.col("_all").alias("_cands"))
+    return materialise(cells.unionByName(beyond), "nearest-cells")
+
+
 def attach_nearest_polygon(points: DataFrame, layer: DataFrame, target: str, lon: str = "longitude",
                            lat: str = "latitude", distance: str | None = None,
                            key: Sequence[str] | None = None, max_rows: int = BROADCAST_ROWS) -> DataFrame:
@@ -174,11 +233,20 @@ def attach_nearest_polygon(points: DataFrame, layer: DataFrame, target: str, lon
     cell. Points outside the grid are compared with all polygons.
     """
     x, y = geo.mercator_x(F.col(lon)), geo.mercator_y(F.col(lat))
-    polygons = materialise(with_edges(layer, project=True))
+    polygons = materialise(with_edges(layer, project=True), "polygons")
     distance = distance or "_dist"
     extent = _extent(polygons)
-    size = _cell_size(extent)
-    if extent["edges"] > max_rows:
+    if not extent["polygons"]:
+        return points.withColumns({target: F.lit(None).cast("string"), distance: F.lit(None).cast("double")}) \
+            .drop("_dist")
+    grid = None
+    if extent["edges"] <= max_rows:
+        size = _cell_size(extent)
+        grid = _nearest_candidates(polygons, extent, size)
+        volume = grid.agg(F.sum(F.aggregate("_cands", F.lit(0).cast("long"), lambda n, p: n + F.size(p["edges"])))).first()[0]
+        if volume > BROADCAST_EDGES:
+            grid = None
+    if grid is None:
         if key is None:
             raise ValueError("a layer this large needs the key columns of the points")
         shapes = polygons.withColumn("_fid", F.col("poly_id"))
@@ -191,38 +259,7 @@ def attach_nearest_polygon(points: DataFrame, layer: DataFrame, target: str, lon
         out = points.join(named.withColumnRenamed("_dist", distance).drop("_fid"), list(key), "left")
         return out.drop("_dist")
 
-    if not extent["polygons"]:
-        return points.withColumns({target: F.lit(None).cast("string"), distance: F.lit(None).cast("double")}) \
-            .drop("_dist")
-    first_x, last_x = math.floor(extent["west"] / size) - 1, math.floor(extent["east"] / size) + 1
-    first_y, last_y = math.floor(extent["south"] / size) - 1, math.floor(extent["north"] / size) + 1
-
-    def far_side(p: Column) -> Column:
-        """Upper bound of the distance from any point of the cell to the polygon."""
-        cx, cy = (F.col("_cx") + 0.5) * size, (F.col("_cy") + 0.5) * size
-        return geo.polygon_distance(p["edges"], cx, cy) + size * math.sqrt(0.5)
-
-    def near_side(p: Column) -> Column:
-        """Lower bound of the same distance."""
-        w, s = F.col("_cx") * size, F.col("_cy") * size
-        dx = F.greatest(p["west"] - (w + size), w - p["east"], F.lit(0.0))
-        dy = F.greatest(p["south"] - (s + size), s - p["north"], F.lit(0.0))
-        return F.sqrt(dx * dx + dy * dy)
-
-    listed = polygons.agg(F.array_sort(F.collect_list(
-        F.struct("poly_id", "name", "edges", "west", "south", "east", "north"))).alias("_all"))
-    cells = (
-        listed.withColumn("_cx", F.explode(F.sequence(F.lit(first_x), F.lit(last_x)).cast("array<bigint>")))
-        .withColumn("_cy", F.explode(F.sequence(F.lit(first_y), F.lit(last_y)).cast("array<bigint>")))
-        .withColumn("_cands", geo.bind(
-            F.array_min(F.transform("_all", far_side)),
-            lambda bound: F.filter("_all", lambda p: near_side(p) <= bound)))
-        .select("_cx", "_cy", "_cands")
-    )
-    beyond = listed.select(F.lit(OUTSIDE).cast("bigint").alias("_cx"), F.lit(OUTSIDE).cast("bigint").alias("_cy"),
-                           F.col("_all").alias("_cands"))
-    grid = materialise(cells.unionByName(beyond))
-
+    first_x, last_x, first_y, last_y = _grid_range(extent, size)
     cx, cy = F.floor(x / size), F.floor(y / size)
     inside = cx.between(first_x, last_x) & cy.between(first_y, last_y)
     known = x.isNotNull() & y.isNotNull()
@@ -235,7 +272,9 @@ def attach_nearest_polygon(points: DataFrame, layer: DataFrame, target: str, lon
 
     def nearest(at: Column) -> Column:
         """The holder with the lowest poly_id, and only without one the distances to the edges."""
-        holders = F.filter("_cands", lambda p: geo.covers(p["edges"], at["x"], at["y"], "intersects"))
+        holders = F.filter("_cands", lambda p: (
+            at["x"].between(p["west"], p["east"]) & at["y"].between(p["south"], p["north"])
+            & geo.covers(p["edges"], at["x"], at["y"], "intersects")))
         return F.coalesce(
             geo.bind(F.get(holders, F.lit(0)), lambda p: F.when(p.isNotNull(), named(p, F.lit(0.0)))),
             F.array_min(F.transform("_cands", lambda p: named(p, geo.edge_distance(p["edges"], at["x"], at["y"])))))

@@ -44,7 +44,7 @@ def enrich(df: DataFrame, dims: Dimensions, key: Sequence[str] = ("incident_numb
            log: quality.StepLog | None = None) -> DataFrame:
     """Labels, calendar, weather, densities and site distance for all incidents.
 
-    One lazy plan: the dimensions are broadcast, only the two daily aggregates shuffle.
+    The dimensions are broadcast; only the two daily aggregates shuffle.
     """
     def step(name: str, frame: DataFrame) -> DataFrame:
         return log.watch(name, frame) if log else frame
@@ -52,12 +52,11 @@ def enrich(df: DataFrame, dims: Dimensions, key: Sequence[str] = ("incident_numb
     out = step("spatial", spatial.spatial_features(
         df, dims.areas, dict(dims.layers), dict(dims.nearest_layers), key=key))
     out = step("calendar", calendar_features(out))
-    out = weather.merge_weather(out, dims.hourly, dims.daily)
+    # The quantiles and the daily counts read single columns of the incidents again.
+    out = materialise(weather.merge_weather(out, dims.hourly, dims.daily), "incidents")
     if "temp_f" in out.columns:
         out = weather.weather_flags(out)
     out = step("weather", out)
-    # The densities read the incidents again for their daily counts.
-    out = materialise(out)
     out = density.area_average(density.grid_density(out))
     out = spatial.nearest_site(out, dims.sites, dims.site_cutoff_m, null_distance=0.0, key=key)
     return step("features", out)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections import defaultdict
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
@@ -12,6 +13,7 @@ from hourgrid.operators.dedupe import first_per_key
 from hourgrid.operators.shape import clean_names
 
 SOURCE, POSITION = "source_file", "source_position"
+HEADER_READERS = 16
 
 
 def list_files(spark: SparkSession, folder: str, suffix: str) -> list[str]:
@@ -33,8 +35,10 @@ def read_csv_folder(spark: SparkSession, folder: str, clean: bool = True) -> Dat
     if not files:
         raise FileNotFoundError(f"no CSV file in {folder}")
     groups: dict[tuple[str, ...], list[str]] = defaultdict(list)
-    for file in files:
-        groups[tuple(spark.read.option("header", True).csv(file).columns)].append(file)
+    with ThreadPoolExecutor(HEADER_READERS) as pool:
+        headers = pool.map(lambda file: tuple(spark.read.option("header", True).csv(file).columns), files)
+        for file, header in zip(files, headers):
+            groups[header].append(file)
     parts = []
     for header, members in groups.items():
         schema = T.StructType([T.StructField(c, T.StringType()) for c in header])
