@@ -102,12 +102,12 @@ def dq7(t):
 
 
 @query("dq8_panel_validation", f"""
-    WITH p AS (SELECT * FROM ({SPARSE_LAGGED}) WHERE lag_168 IS NOT NULL),
+    WITH p AS (SELECT * FROM (SELECT area, hour_ts, n, {', '.join(f"lag(n, {k}) OVER w AS lag_{k}" for k in windows.LAGS)}
+        FROM dense WINDOW w AS (PARTITION BY area ORDER BY hour_ts)) WHERE lag_168 IS NOT NULL),
     m AS ({missing_sql('p', ('area', 'hour_ts', 'n') + LAG_NAMES)})
-    SELECT 'lag' AS section, * FROM m WHERE "column" LIKE 'lag%'""", ("counts",))
+    SELECT 'lag' AS section, * FROM m WHERE "column" LIKE 'lag%'""", ("dense",))
 def dq8(t):
-    w = windows.row_window(["area"], "hour_ts")
-    lagged = materialise(t.counts.withColumns(windows.lag_columns(w, "n")).dropna())
+    lagged = materialise(panel.dense_lags(t.dense, "n").dropna())
     quality.validate_schema(lagged, "n", columns=("area", "hour_ts"))
     quality.validate_completeness(lagged, columns=("n",))
     quality.validate_time_range(lagged)

@@ -35,6 +35,27 @@ def mod5(t):
     return fold_table(t, learners.linear)
 
 
+@query("mod5_linear_one_feature", f"""
+    WITH l AS (SELECT area, hour_ts, n, lag(n, 24) OVER (PARTITION BY area ORDER BY hour_ts) AS lag_24 FROM dense),
+    k AS (SELECT * FROM l WHERE lag_24 IS NOT NULL),
+    fit AS (SELECT regr_slope(n, lag_24) AS b, regr_intercept(n, lag_24) AS a FROM k WHERE hour_ts < TIMESTAMP '{CUTOFF} 00:00:00')
+    SELECT 'linear' AS model, area, hour_ts, n::DOUBLE AS actual, round(a + b * lag_24, 5) AS predicted FROM k, fit
+    WHERE hour_ts >= TIMESTAMP '{CUTOFF} 00:00:00'""", ("dense",))
+def mod5_exact(t):
+    rows = panel.dense_lags(t.dense, "n", (24,)).dropna()
+    out = learners.simple_split(rows, {"linear": learners.linear}, "n", ["lag_24"], CUTOFF)
+    return out.withColumn("predicted", F.round("predicted", 5))
+
+
+@query("mod15_zoo_mean", f"""
+    SELECT 'mean' AS model, area, hour_ts, n::DOUBLE AS actual, round((SELECT avg(n) FROM dense WHERE hour_ts < TIMESTAMP '{CUTOFF} 00:00:00'), 6) AS predicted
+    FROM dense WHERE hour_ts >= TIMESTAMP '{CUTOFF} 00:00:00'""", ("dense",))
+def mod15(t):
+    rows = t.dense.withColumn("hour", F.hour("hour_ts"))
+    out = learners.simple_split(rows, {"mean": learners.ZOO["mean"]}, "n", ["hour"], CUTOFF)
+    return out.withColumn("predicted", F.round("predicted", 6))
+
+
 @query("mod6_forest_cv")
 def mod6(t):
     return fold_table(t, FOREST)
@@ -105,6 +126,31 @@ def cv7(t):
     return evaluate.combined_leaderboard(board, run["simple"], ["dataset", "model"])
 
 
+@query("snk4_saved_metadata", """
+    SELECT 'dense' AS dataset, 'linear' AS best_model, count(*) AS n_rows, 2 AS n_features FROM dense""", ("dense",))
+def snk4(t):
+    """A fitted model and its metadata row, written and read back."""
+    rows = materialise(t.dense.withColumns({"hour": F.hour("hour_ts"), "day": F.dayofweek("hour_ts")}))
+    path = scratch(t.spark, "model")
+    fitted = learners.linear("n").fit(learners.assemble(rows, ["hour", "day"]))
+    metadata = {"dataset": "dense", "best_model": "linear", "n_rows": rows.count(), "features": ["hour", "day"]}
+    learners.save_model(PipelineModel([fitted]), metadata, path, t.spark)
+    return t.spark.read.json(f"{path}/metadata").select(
+        "dataset", "best_model", "n_rows", F.size("features").alias("n_features"))
+
+
+@query("mod14_batch_scoring", """
+    SELECT area, hour_ts, round(regr_intercept(n, lag_24) OVER () + regr_slope(n, lag_24) OVER () * lag_24, 5) AS predicted
+    FROM (SELECT area, hour_ts, n, lag(n, 24) OVER (PARTITION BY area ORDER BY hour_ts) AS lag_24 FROM dense) WHERE lag_24 IS NOT NULL""",
+       ("dense",))
+def mod14(t):
+    rows = materialise(panel.dense_lags(t.dense, "n", (24,)).dropna())
+    path = scratch(t.spark, "model")
+    fitted = learners.linear("n").fit(learners.assemble(rows, ["lag_24"]))
+    learners.save_model(PipelineModel([fitted]), {"features": ["lag_24"]}, path, t.spark)
+    return learners.score_rows(rows, path).select("area", "hour_ts", F.round("predicted", 5).alias("predicted"))
+
+
 @query("srv3_score_saved_model")
 def srv3(t):
     rows = supervised(t)

@@ -191,7 +191,7 @@ def grd4(t):
     from hourgrid.operators.encode import indicators
 
     out = spatial.nearest_site(t.incidents, t.sites, CUTOFF_M, null_distance=0.0)
-    codes = {f"site_{i}": i + 1 for i in range(11)}
+    codes = {f"site_{i}": i + 1 for i in range(10)}
     out = out.withColumn("site_code", text.map_values(F.col("site_label"), codes, 0))
     out = indicators(out, "site_label", ["site_0", "site_3"])
     return out.select("incident_number", "site_label", "site_distance_m",
@@ -199,7 +199,7 @@ def grd4(t):
 
 
 @query("grd4_site_distances", "SELECT incident_number, " + ", ".join(
-    f"round_even(max(CASE WHEN s.name = 'site_{i}' THEN {HAVERSINE} END), 4) AS distance_site_{i}" for i in range(11))
+    f"round_even(max(CASE WHEN s.name = 'site_{i}' THEN {HAVERSINE} END), 4) AS distance_site_{i}" for i in range(10))
        + " FROM incidents i, sites s GROUP BY 1", ("incidents", "sites"))
 def grd4_wide(t):
     out = spatial.site_distances(t.incidents.select("incident_number", "latitude", "longitude"), t.sites)

@@ -23,7 +23,7 @@ SQL = {
     "sites": """
         SELECT 'site_' || s_suppkey AS name, 33.5::DOUBLE + ((s_suppkey * 131) % 97) * 0.005::DOUBLE AS lat,
                (-84.6)::DOUBLE + ((s_suppkey * 57) % 89) * 0.0045::DOUBLE AS lon
-        FROM supplier WHERE s_suppkey < 11""",
+        FROM supplier WHERE s_suppkey < 10""",
     "areas": """
         SELECT n_nationkey AS poly_id, chr(CAST(65 + n_nationkey AS INTEGER)) AS name,
                (-84.6)::DOUBLE + (n_nationkey % 5) * 0.08::DOUBLE AS west,
@@ -103,7 +103,7 @@ class Tables:
     @property
     def sites(self) -> DataFrame:
         key = F.col("s_suppkey")
-        return self.read("supplier").where(key < 11).select(
+        return self.read("supplier").where(key < 10).select(
             F.concat(F.lit("site_"), key).alias("name"),
             (33.5 + ((key * 131) % 97) * 0.005).alias("lat"), (-84.6 + ((key * 57) % 89) * 0.0045).alias("lon"))
 
