@@ -58,11 +58,16 @@ def src4(t):
         files.read_any(t.spark, f"{base}/b").withColumn("kind", F.lit("parquet")))
 
 
-@query("src6_polygon_layer", "SELECT poly_id, name FROM areas WHERE poly_id < 10", ("areas",))
+@query("src6_polygon_layer", """
+    SELECT poly_id, areas.name, n_nationkey IS NOT NULL AS known FROM areas JOIN nation ON n_nationkey = poly_id
+    WHERE n_regionkey = 1""", ("areas",))
 def src6(t):
+    """The landmark filter of a layer: one kind of polygon is kept."""
     path = scratch(t.spark, "layer")
-    files.write_parquet(t.areas.withColumnRenamed("name", "FULLNAME"), path)
-    return files.read_polygons(t.spark, path, ("NAME_", "FULLNAME"), "poly_id < 10").select("poly_id", "name")
+    kinds = t.read("nation").select(F.col("n_nationkey").alias("poly_id"), F.col("n_regionkey").alias("kind"))
+    files.write_parquet(t.areas.withColumnRenamed("name", "FULLNAME").join(kinds, "poly_id"), path)
+    layer = files.read_polygons(t.spark, path, ("NAME_", "FULLNAME"), "kind = 1")
+    return layer.select("poly_id", "name", (F.size("rings") > 0).alias("known"))
 
 
 @query("src7_merge_metrics", """

@@ -128,7 +128,7 @@ def jn5_shuffle(t):
 NEAREST_BOX = """
     WITH m AS (SELECT poly_id, name, 6378137.0::DOUBLE * radians(west) AS w, 6378137.0::DOUBLE * radians(east) AS e,
         6378137.0::DOUBLE * ln(tan(pi() / 4 + radians(south) / 2)) AS s,
-        6378137.0::DOUBLE * ln(tan(pi() / 4 + radians(north) / 2)) AS n FROM areas WHERE poly_id % 3 = 1),
+        6378137.0::DOUBLE * ln(tan(pi() / 4 + radians(north) / 2)) AS n FROM patches),
     pts AS (SELECT incident_number, 6378137.0::DOUBLE * radians(longitude) AS x,
         6378137.0::DOUBLE * ln(tan(pi() / 4 + radians(latitude) / 2)) AS y FROM incidents),
     d AS (SELECT incident_number, name, poly_id, round(sqrt(pow(greatest(w - x, x - e, 0), 2) + pow(greatest(s - y, y - n, 0), 2)), 4) AS d
@@ -136,19 +136,15 @@ NEAREST_BOX = """
     SELECT incident_number, min(d) AS metres FROM d GROUP BY 1"""
 
 
-def some_areas(t):
-    return t.areas.where(F.col("poly_id") % 3 == 1)
-
-
-@query("jn6_nearest_polygon", NEAREST_BOX, ("incidents", "areas"))
+@query("jn6_nearest_polygon", NEAREST_BOX, ("incidents", "patches"))
 def jn6(t):
-    out = spatial.attach_nearest_polygon(t.incidents, some_areas(t), "area_shape", distance="metres")
+    out = spatial.attach_nearest_polygon(t.incidents, t.patches, "area_shape", distance="metres")
     return out.select("incident_number", F.round("metres", 4).alias("metres"))
 
 
-@query("jn6_by_cells", NEAREST_BOX, ("incidents", "areas"))
+@query("jn6_by_cells", NEAREST_BOX, ("incidents", "patches"))
 def jn6_cells(t):
-    out = spatial.attach_nearest_polygon(t.incidents, some_areas(t), "area_shape", distance="metres",
+    out = spatial.attach_nearest_polygon(t.incidents, t.patches, "area_shape", distance="metres",
                                          key=["incident_number"], max_rows=1)
     return out.select("incident_number", F.round("metres", 4).alias("metres"))
 
@@ -163,22 +159,26 @@ def jn6_name(t):
     return inside.select("incident_number", "area_shape")
 
 
-SITE_SQL = f"""
-    WITH d AS (SELECT incident_number, s.name, {HAVERSINE} AS d FROM incidents i, sites s),
+def site_sql(sites: str) -> str:
+    return f"""
+    WITH d AS (SELECT incident_number, s.name, {HAVERSINE} AS d FROM incidents i, {sites} s),
     b AS (SELECT incident_number, min(d) AS d, arg_min(name, d) AS name FROM d GROUP BY 1)
     SELECT incident_number, CASE WHEN d <= {CUTOFF_M} THEN name ELSE 'none' END AS site_label,
            round_even(d, 4) AS site_distance_m FROM b"""
 
 
+SITE_SQL = site_sql("sites")
+
+
 @query("jn7_nearest_site", SITE_SQL, ("incidents", "sites"))
 def jn7(t):
     out = spatial.nearest_site(t.incidents, t.sites, CUTOFF_M)
     return out.select("incident_number", "site_label", "site_distance_m")
 
 
-@query("jn7_by_cells", SITE_SQL, ("incidents", "sites"))
+@query("jn7_by_cells", site_sql("many_sites"), ("incidents", "many_sites"))
 def jn7_cells(t):
-    out = spatial.nearest_site(t.incidents, t.sites, CUTOFF_M, key=["incident_number"], max_literal=2)
+    out = spatial.nearest_site(t.incidents, t.many_sites, CUTOFF_M, key=["incident_number"], max_literal=5)
     return out.select("incident_number", "site_label", "site_distance_m")
 
 
@@ -191,7 +191,7 @@ def grd4(t):
     from hourgrid.operators.encode import indicators
 
     out = spatial.nearest_site(t.incidents, t.sites, CUTOFF_M, null_distance=0.0)
-    codes = {f"site_{i}": i + 1 for i in range(10)}
+    codes = {f"site_{i}": i + 1 for i in range(25)}
     out = out.withColumn("site_code", text.map_values(F.col("site_label"), codes, 0))
     out = indicators(out, "site_label", ["site_0", "site_3"])
     return out.select("incident_number", "site_label", "site_distance_m",
@@ -199,10 +199,10 @@ def grd4(t):
 
 
 @query("grd4_site_distances", "SELECT incident_number, " + ", ".join(
-    f"round_even(max(CASE WHEN s.name = 'site_{i}' THEN {HAVERSINE} END), 4) AS distance_site_{i}" for i in range(10))
+    f"round_even(max(CASE WHEN s.name = 'site_{i}' THEN {HAVERSINE} END), 2) AS distance_site_{i}" for i in range(25))
        + " FROM incidents i, sites s GROUP BY 1", ("incidents", "sites"))
 def grd4_wide(t):
-    out = spatial.site_distances(t.incidents.select("incident_number", "latitude", "longitude"), t.sites)
+    out = spatial.site_distances(t.incidents.select("incident_number", "latitude", "longitude"), t.sites, digits=2)
     return out.select("incident_number", *[c for c in out.columns if c.startswith("distance_")])
 
 

@@ -21,9 +21,20 @@ SQL = {
                (-84.6)::DOUBLE + ((event_id * 104729) % 991) * 0.0004::DOUBLE AS longitude
         FROM events""",
     "sites": """
-        SELECT 'site_' || s_suppkey AS name, 33.5::DOUBLE + ((s_suppkey * 131) % 97) * 0.005::DOUBLE AS lat,
-               (-84.6)::DOUBLE + ((s_suppkey * 57) % 89) * 0.0045::DOUBLE AS lon
-        FROM supplier WHERE s_suppkey < 10""",
+        SELECT 'site_' || n_nationkey AS name, 33.5::DOUBLE + ((n_nationkey * 131) % 97) * 0.005::DOUBLE AS lat,
+               (-84.6)::DOUBLE + ((n_nationkey * 57) % 89) * 0.0045::DOUBLE AS lon
+        FROM nation""",
+    "many_sites": """
+        SELECT 'site_' || s_suppkey AS name, 33.5::DOUBLE + ((s_suppkey * 131) % 997) * 0.0005::DOUBLE AS lat,
+               (-84.6)::DOUBLE + ((s_suppkey * 57) % 991) * 0.0004::DOUBLE AS lon
+        FROM supplier""",
+    "patches": """
+        SELECT n_nationkey AS poly_id, n_name AS name,
+               (-84.6)::DOUBLE + (n_nationkey % 5) * 0.08::DOUBLE AS west,
+               33.5::DOUBLE + (n_nationkey // 5) * 0.1::DOUBLE AS south,
+               (-84.6)::DOUBLE + (n_nationkey % 5) * 0.08::DOUBLE + 0.03::DOUBLE AS east,
+               33.5::DOUBLE + (n_nationkey // 5) * 0.1::DOUBLE + 0.05::DOUBLE AS north
+        FROM nation""",
     "areas": """
         SELECT n_nationkey AS poly_id, chr(CAST(65 + n_nationkey AS INTEGER)) AS name,
                (-84.6)::DOUBLE + (n_nationkey % 5) * 0.08::DOUBLE AS west,
@@ -57,7 +68,7 @@ SQL = {
         FROM grid LEFT JOIN counts USING (area, hour_ts)""",
 }
 USES = {
-    "incidents": (), "sites": (), "areas": (), "zones": (), "weather_hourly": (),
+    "incidents": (), "sites": (), "many_sites": (), "patches": (), "areas": (), "zones": (), "weather_hourly": (),
     "weather_daily": ("weather_hourly",), "daily_counts": (), "counts": ("incidents",),
     "bounds": ("counts",), "hours": ("bounds",), "grid": ("counts", "hours"), "dense": ("grid", "counts"),
 }
@@ -102,11 +113,25 @@ class Tables:
 
     @property
     def sites(self) -> DataFrame:
-        key = F.col("s_suppkey")
-        return self.read("supplier").where(key < 10).select(
+        key = F.col("n_nationkey")
+        return self.read("nation").select(
             F.concat(F.lit("site_"), key).alias("name"),
             (33.5 + ((key * 131) % 97) * 0.005).alias("lat"), (-84.6 + ((key * 57) % 89) * 0.0045).alias("lon"))
 
+    @property
+    def many_sites(self) -> DataFrame:
+        key = F.col("s_suppkey")
+        return self.read("supplier").select(
+            F.concat(F.lit("site_"), key).alias("name"),
+            (33.5 + ((key * 131) % 997) * 0.0005).alias("lat"), (-84.6 + ((key * 57) % 991) * 0.0004).alias("lon"))
+
+    @property
+    def patches(self) -> DataFrame:
+        """Rectangles with gaps between them."""
+        k = F.col("n_nationkey")
+        return self.boxes("nation", "n_nationkey", F.col("n_name"), -84.6 + (k % 5) * 0.08,
+                          33.5 + F.floor(k / 5) * 0.1, 0.03, 0.05)
+
     def boxes(self, table: str, key: str, name, west, south, width: float, height: float) -> DataFrame:
         """Rectangles as a polygon layer, corners kept for the SQL twin."""
         corners = self.read(table).select(

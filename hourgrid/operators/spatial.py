@@ -366,14 +366,14 @@ def nearest_site(points: DataFrame, sites: DataFrame, cutoff_m: float, label: st
 
 
 def site_distances(points: DataFrame, sites: DataFrame, prefix: str = "distance_", lat: str = "latitude",
-                   lon: str = "longitude", max_sites: int = MAX_LITERAL_SITES) -> DataFrame:
+                   lon: str = "longitude", max_sites: int = MAX_LITERAL_SITES, digits: int = 4) -> DataFrame:
     """One distance column per site (wide form; the site list bounds the columns)."""
     rows = _site_rows(sites, max_sites)
     if rows is None:
         raise ValueError(f"more than {max_sites} sites do not make sensible columns")
     return points.withColumns({
         f"{prefix}{r['name'].lower()}": F.bround(
-            geo.haversine_m(F.col(lat), F.col(lon), F.lit(r["lat"]), F.lit(r["lon"])), 4)
+            geo.haversine_m(F.col(lat), F.col(lon), F.lit(r["lat"]), F.lit(r["lon"])), digits)
         for r in rows})
 
 
