@@ -178,7 +178,7 @@ def jn7(t):
 
 @query("jn7_by_cells", site_sql("many_sites"), ("incidents", "many_sites"))
 def jn7_cells(t):
-    out = spatial.nearest_site(t.incidents, t.many_sites, CUTOFF_M, key=["incident_number"], max_literal=5)
+    out = spatial.nearest_site(t.incidents, t.many_sites, CUTOFF_M, key=["incident_number"], max_listed=5)
     return out.select("incident_number", "site_label", "site_distance_m")
 
 

@@ -17,7 +17,9 @@ from hourgrid.operators.lookup import BROADCAST_ROWS, SALTS, lookup, salt
 from hourgrid.session import materialise
 
 MAX_CELLS_PER_SIDE = 64
-MAX_LITERAL_SITES = 64
+MAX_SITE_COLUMNS = 64
+MAX_LISTED_SITES = 500
+SITE_CELLS = 32
 # About 64 MB of edges.
 BROADCAST_EDGES = 2_000_000
 OUTSIDE = -(2**60)
@@ -293,48 +295,88 @@ def _site_rows(sites: DataFrame, max_rows: int) -> list | None:
     return sorted(rows, key=lambda r: r["name"]) if len(rows) <= max_rows else None
 
 
-def _nearest_constant_site(points: DataFrame, rows: list[Row], lat: str, lon: str) -> DataFrame:
-    """Column ``_site`` (d, name) from sites written into the plan as constants.
+def _listed_sites(rows: list[Row]) -> Column:
+    """The sites as one constant array, with their places on the unit sphere."""
+    def constant(r: Row) -> Column:
+        phi, lam = math.radians(r["lat"]), math.radians(r["lon"])
+        vector = {"x": math.cos(phi) * math.cos(lam), "y": math.cos(phi) * math.sin(lam), "z": math.sin(phi)}
+        return F.struct(*[F.lit(v).alias(k) for k, v in vector.items()], F.lit(r["name"]).alias("name"),
+                        F.lit(r["lat"]).alias("lat"), F.lit(r["lon"]).alias("lon"))
+    return F.array(*[constant(r) for r in rows])
 
-    Squared chords on the unit sphere rank the sites with three products each; the
-    great-circle distance is worked out for the winner only.
-    """
-    axes = ("_px", "_py", "_pz")
 
-    def chord(r: Row) -> Column:
-        phi, lam = math.radians(r["lat"]), math.radians(r["lon"])
-        site = (math.cos(phi) * math.cos(lam), math.cos(phi) * math.sin(lam), math.sin(phi))
-        terms = [(F.col(a) - v) * (F.col(a) - v) for a, v in zip(axes, site)]
-        return terms[0] + terms[1] + terms[2]
+def _near_listed_site(points: DataFrame, rows: list[Row], lat: str, lon: str) -> DataFrame:
+    """Column ``_site`` (d, name) from a short list of sites.
 
-    options = [F.struct(chord(r).alias("c"), F.lit(r["name"]).alias("name"), F.lit(r["lat"]).alias("lat"),
-                        F.lit(r["lon"]).alias("lon")) for r in rows]
-    if not options:
+    Each cell of a grid around the sites lists those that can be nearest to one of its
+    points: a site is out when, even at the near end of the cell, it is further away than
+    the best site at the far end. Squared chords rank the few that are left; the
+    great-circle distance is worked out for the winner only.
+    """
+    if not rows:
         return points.withColumn("_site", F.lit(None).cast("struct<d:double,name:string>"))
-    best = options[0] if len(options) == 1 else F.least(*options)
+    spark, listed = points.sparkSession, _listed_sites(rows)
+    lats, lons = [r["lat"] for r in rows], [r["lon"] for r in rows]
+    pad = max(max(lats) - min(lats), max(lons) - min(lons), 0.02) / 2
+    south, west = max(min(lats) - pad, -90.0), min(lons) - pad
+    tall, wide = (min(max(lats) + pad, 90.0) - south) / SITE_CELLS, (max(lons) + pad - west) / SITE_CELLS
+
+    cells = spark.range(SITE_CELLS * SITE_CELLS).select(
+        F.floor(F.col("id") / SITE_CELLS).alias("_cy"), (F.col("id") % SITE_CELLS).alias("_cx"))
+    mid_lat, mid_lon = (F.col("_cy") + 0.5) * tall + south, (F.col("_cx") + 0.5) * wide + west
+    half = F.greatest(*[
+        geo.haversine_m(mid_lat, mid_lon, mid_lat + side * tall / 2, mid_lon + wide / 2) for side in (-1, 1)]) * 1.01
+
+    def candidates(at: Column) -> Column:
+        def apart(site: Column) -> Column:
+            return geo.haversine_m(at["lat"], at["lon"], site["lat"], site["lon"])
+        return geo.bind(F.array_min(F.transform(listed, apart)) + 2 * at["half"],
+                        lambda limit: F.filter(listed, lambda site: apart(site) <= limit))
+
+    grid = materialise(
+        cells.withColumn("_cands", geo.bind(
+            F.struct(mid_lat.alias("lat"), mid_lon.alias("lon"), half.alias("half")), candidates))
+        .unionByName(spark.range(1).select(
+            F.lit(OUTSIDE).cast("bigint").alias("_cy"), F.lit(OUTSIDE).cast("bigint").alias("_cx"), listed.alias("_cands"))),
+        "site-cells")
+
     known = F.col(lat).isNotNull() & F.col(lon).isNotNull()
+    cy, cx = F.floor((F.col(lat) - south) / tall), F.floor((F.col(lon) - west) / wide)
+    inside = cy.between(0, SITE_CELLS - 1) & cx.between(0, SITE_CELLS - 1)
+    x, y, z = geo.unit_vector(F.col(lat), F.col(lon))
+
+    def ranked(at: Column, site: Column) -> Column:
+        dx, dy, dz = at["x"] - site["x"], at["y"] - site["y"], at["z"] - site["z"]
+        return F.struct((dx * dx + dy * dy + dz * dz).alias("c"), site["name"].alias("name"),
+                        site["lat"].alias("lat"), site["lon"].alias("lon"))
+
+    best = geo.bind(F.struct(x.alias("x"), y.alias("y"), z.alias("z")),
+                    lambda at: F.array_min(F.transform("_cands", lambda site: ranked(at, site))))
     return (
-        points.withColumns(dict(zip(axes, geo.unit_vector(F.col(lat), F.col(lon)))))
-        .withColumn("_best", F.when(known, best)).drop(*axes)
+        points.withColumns({
+            "_cy": F.when(inside, cy).when(known, F.lit(OUTSIDE)).cast("bigint"),
+            "_cx": F.when(inside, cx).when(known, F.lit(OUTSIDE)).cast("bigint")})
+        .join(F.broadcast(grid), ["_cy", "_cx"], "left")
+        .withColumn("_best", best)
         .withColumn("_site", F.when(known, F.struct(
             geo.haversine_m(F.col(lat), F.col(lon), F.col("_best.lat"), F.col("_best.lon")).alias("d"),
             F.col("_best.name").alias("name"))))
-        .drop("_best")
+        .drop("_best", "_cands", "_cy", "_cx")
     )
 
 
 def nearest_site(points: DataFrame, sites: DataFrame, cutoff_m: float, label: str = "site_label",
                  distance: str = "site_distance_m", lat: str = "latitude", lon: str = "longitude",
                  none_label: str = "none", null_distance: float | None = None,
-                 key: Sequence[str] | None = None, max_literal: int = MAX_LITERAL_SITES) -> DataFrame:
+                 key: Sequence[str] | None = None, max_listed: int = MAX_LISTED_SITES) -> DataFrame:
     """Distance to the nearest site, rounded to 4 digits, and its name when within the cut-off.
 
-    Up to ``max_literal`` sites become constants of one expression; more are searched by
-    growing cells on the unit sphere, per ``key``. Ties go to the first name.
+    Up to ``max_listed`` sites are listed per cell of a broadcast grid; more are searched
+    by growing cells on the unit sphere, per ``key``. Ties go to the first name.
     """
-    rows = _site_rows(sites, max_literal)
+    rows = _site_rows(sites, max_listed)
     if rows is not None:
-        located = _nearest_constant_site(points, rows, lat, lon)
+        located = _near_listed_site(points, rows, lat, lon)
     else:
         if key is None:
             raise ValueError("this many sites need the key columns of the points")
@@ -366,7 +408,7 @@ def nearest_site(points: DataFrame, sites: DataFrame, cutoff_m: float, label: st
 
 
 def site_distances(points: DataFrame, sites: DataFrame, prefix: str = "distance_", lat: str = "latitude",
-                   lon: str = "longitude", max_sites: int = MAX_LITERAL_SITES, digits: int = 4) -> DataFrame:
+                   lon: str = "longitude", max_sites: int = MAX_SITE_COLUMNS, digits: int = 4) -> DataFrame:
     """One distance column per site (wide form; the site list bounds the columns)."""
     rows = _site_rows(sites, max_sites)
     if rows is None:

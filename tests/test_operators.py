@@ -206,11 +206,11 @@ def test_sites_around_the_cutoff(spark, literal):
     sites = spark.createDataFrame([("b", 0.0, 0.0), ("a", 0.0, 1.0), ("c", 40.0, 100.0)], "name string, lat double, lon double")
     points = spark.createDataFrame([(1, 0.0, 0.009), (2, 0.0, 0.02), (3, None, 1.0), (4, 0.0, 0.5), (5, 39.0, 100.0)],
                                    "id int, latitude double, longitude double")
-    out = spatial.nearest_site(points, sites, 1500.0, key=["id"], max_literal=literal)
+    out = spatial.nearest_site(points, sites, 1500.0, key=["id"], max_listed=literal)
     got = {r["id"]: (r["site_label"], r["site_distance_m"]) for r in out.collect()}
     assert got[1] == ("b", pytest.approx(1000.7543, abs=1e-3)) and got[2][0] == "none" and got[2][1] > 2000
     assert got[3] == ("none", None) and got[5][1] == pytest.approx(111194.9266, abs=1e-3)
-    zero = spatial.nearest_site(points, sites, 1500.0, null_distance=0.0, key=["id"], max_literal=literal)
+    zero = spatial.nearest_site(points, sites, 1500.0, null_distance=0.0, key=["id"], max_listed=literal)
     assert {r["id"]: r["site_distance_m"] for r in zero.collect()}[3] == 0
 
 
