@@ -57,3 +57,12 @@ def test_flagship(spark):
 
 def test_names_match():
     assert set(contract.oracle_sql()) <= set(contract.queries())
+
+
+@pytest.mark.parametrize("name", ["win1_dense_lags", "agg7_dense_panel", "jn9_hour_grid", "mod1_mean_baseline", "jn7_nearest_site"])
+def test_plans_have_no_cross_joins(spark, name):
+    from conftest import plan
+
+    text = plan(contract.queries()[name](spark, FOLDER))
+    for operator in ("CartesianProduct", "BroadcastNestedLoopJoin", "EvalPython"):
+        assert operator not in text
