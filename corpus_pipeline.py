@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from hourgrid.llm import quality
-from hourgrid.llm.common import prepare
+from hourgrid.llm import quality, toxicity
+from hourgrid.llm.common import prepare, table
 from hourgrid.session import materialise
 
 
@@ -15,7 +15,14 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return quality.accepted(docs)
 
 
-STAGES = [("quality rules", quality_rules)]
+def toxic_texts(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that are not toxic; the model is learnt from the labelled documents among all that are left."""
+    prepare(spark)
+    labels = table(spark, sf_dir, "labels")
+    return toxicity.accepted(docs, toxicity.learn(docs, labels, toxicity.held_out(labels["doc_id"])))
+
+
+STAGES = [("quality rules", quality_rules), ("toxicity", toxic_texts)]
 #: Posterior weights, learnt lexicons and digests are beyond SQL; the tests compare with brute force.
 ORACLE_SQL = None
 

@@ -4,9 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import hourgrid.llm
+
 from hourgrid.session import configure, materialise
 
 #: Rows of one Arrow batch. Texts are long, so a Python worker gets few of them at a time.
@@ -23,8 +26,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def prepare(spark: SparkSession) -> None:
-    """Session settings the operators need: UTC, adaptive execution and small Arrow batches."""
+    """What the operators need of a session: UTC, adaptive execution and small Arrow batches.
+
+    Functions of this package travel to the executors by value, so the package need not be installed there.
+    """
     configure(spark)
+    cloudpickle.register_pickle_by_value(hourgrid.llm)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
 
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hourgrid.llm import quality
+from hourgrid.llm import quality, toxicity
 from hourgrid.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -29,3 +29,13 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     q = F.col(name)
     return judged.select("doc_id", *[q[c].alias(c) for c in quality.COUNTS], q["base_failed"].alias("base_failed"),
                          q["kept"].alias("kept"), F.round(q["p_good"], 6).alias("p_good"))
+
+
+@query()
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    model = toxicity.learn(docs, labels, toxicity.held_out(labels["doc_id"]))
+    scored, name = toxicity.score(docs, model, carry=["doc_id"])
+    t = F.col(name)
+    return scored.select("doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), t["score"].alias("score"),
+                         (t["score"] >= 0.5).cast("int").alias("predicted"), t["n_hits"].alias("n_hits"))
