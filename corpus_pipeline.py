@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from hourgrid.llm import quality, toxicity
+from hourgrid.llm import quality, simhash, toxicity
 from hourgrid.llm.common import prepare, table
 from hourgrid.session import materialise
 
@@ -22,7 +22,13 @@ def toxic_texts(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return toxicity.accepted(docs, toxicity.learn(docs, labels, toxicity.held_out(labels["doc_id"])))
 
 
-STAGES = [("quality rules", quality_rules), ("toxicity", toxic_texts)]
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates."""
+    prepare(spark)
+    return simhash.accepted(docs)
+
+
+STAGES = [("quality rules", quality_rules), ("toxicity", toxic_texts), ("near duplicates", near_duplicates)]
 #: Posterior weights, learnt lexicons and digests are beyond SQL; the tests compare with brute force.
 ORACLE_SQL = None
 

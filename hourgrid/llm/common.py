@@ -69,16 +69,17 @@ def numbered(df: DataFrame, name: str, label: str) -> DataFrame:
     return materialise(df.withColumn(name, F.monotonically_increasing_id()), label)
 
 
-def spread_lookup(facts: DataFrame, dim: DataFrame, key: str, hot: DataFrame) -> DataFrame:
+def spread_lookup(facts: DataFrame, dim: DataFrame, key: str, hot: DataFrame, by: Column) -> DataFrame:
     """Left join of ``facts`` with the unique ``key`` of ``dim``; rows of hot keys are dealt over ``SALTS`` tasks.
 
     ``hot`` lists the keys with more than 1/``HOT_SHARE`` of the rows, so it has fewer than
-    ``HOT_SHARE`` rows and is broadcast. Only the dimension rows of hot keys are copied.
+    ``HOT_SHARE`` rows and is broadcast. Only the dimension rows of hot keys are copied. ``by`` tells rows of one
+    key apart; with the partition of the scan it gives the salt, so a task that runs again deals alike.
     """
     flag, salt = fresh([*facts.columns, *dim.columns], "is_hot", "salt")
     marks = F.broadcast(hot.select(F.col(key), F.lit(True).alias(flag)))
     left = facts.join(marks, key, "left").withColumn(
-        salt, F.when(F.col(flag), F.floor(F.rand(7) * SALTS).cast("int")).otherwise(0)).drop(flag)
+        salt, F.when(F.col(flag), F.pmod(F.xxhash64(by, F.spark_partition_id()), F.lit(SALTS)).cast("int")).otherwise(0)).drop(flag)
     right = dim.join(marks, key, "left").withColumn(
         salt, F.explode(F.when(F.col(flag), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0))))).drop(flag)
     return left.join(right, [key, salt], "left").drop(salt)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hourgrid.llm import quality, toxicity
+from hourgrid.llm import quality, simhash, toxicity
 from hourgrid.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -39,3 +39,8 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = F.col(name)
     return scored.select("doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), t["score"].alias("score"),
                          (t["score"] >= 0.5).cast("int").alias("predicted"), t["n_hits"].alias("n_hits"))
+
+
+@query()
+def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.label(table(spark, sf_dir, "documents"))
