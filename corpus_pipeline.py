@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from hourgrid.llm import quality, simhash, toxicity
+from hourgrid.llm import decontaminate, quality, simhash, toxicity
 from hourgrid.llm.common import prepare, table
 from hourgrid.session import materialise
 
@@ -28,7 +28,14 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     return simhash.accepted(docs)
 
 
-STAGES = [("quality rules", quality_rules), ("toxicity", toxic_texts), ("near duplicates", near_duplicates)]
+def benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a passage of the benchmark."""
+    prepare(spark)
+    return decontaminate.accepted(docs, table(spark, sf_dir, "benchmark"))
+
+
+STAGES = [("quality rules", quality_rules), ("toxicity", toxic_texts), ("near duplicates", near_duplicates),
+          ("benchmark leaks", benchmark_leaks)]
 #: Posterior weights, learnt lexicons and digests are beyond SQL; the tests compare with brute force.
 ORACLE_SQL = None
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hourgrid.llm import quality, simhash, toxicity
+from hourgrid.llm import decontaminate, quality, simhash, toxicity
 from hourgrid.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -44,3 +44,35 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.label(table(spark, sf_dir, "documents"))
+
+
+_LEAKS = r"""
+WITH item AS (
+  SELECT DISTINCT item_id, w, len(w) AS n, least(len(w), 5) AS k FROM (
+    SELECT item_id, regexp_extract_all(lower(coalesce(text, '')), '[\p{L}\p{N}]+') AS w FROM benchmark) WHERE len(w) > 0),
+doc AS (SELECT doc_id, w, len(w) AS n FROM (
+  SELECT DISTINCT doc_id, regexp_extract_all(lower(coalesce(text, '')), '[\p{L}\p{N}]+') AS w FROM documents)),
+item_run AS (SELECT item_id, n, k, unnest([array_to_string(w[i:i + k - 1], ' ') FOR i IN range(1, n - k + 2)]) AS run FROM item),
+item_count AS (SELECT item_id, n, k, run, count(*) AS c FROM item_run GROUP BY ALL),
+doc_run AS (SELECT doc_id, k, i - 1 AS pos, n, array_to_string(w[i:i + k - 1], ' ') AS run FROM (
+  SELECT doc_id, w, n, k, unnest(range(1, n - k + 2)) AS i FROM doc, (SELECT DISTINCT k FROM item))),
+pair AS (
+  SELECT doc_id, item_id, k, i.n AS item_n, d.n AS doc_n, i.n - k + 1 AS m, least(i.n - k + 1, d.n - k + 1) AS w
+  FROM doc_run d JOIN item_count i USING (run, k) GROUP BY ALL HAVING count(*) >= 0.8 * (i.n - k + 1) - 1e-9),
+win AS (SELECT *, unnest(range(0, doc_n - k + 1 - w + 1)) AS start FROM pair),
+both_counts AS (
+  SELECT doc_id, item_id, m, w, start, run, count(*) AS c
+  FROM win JOIN doc_run d USING (doc_id, k) WHERE d.pos BETWEEN start AND start + w - 1 GROUP BY ALL),
+scored AS (
+  SELECT b.doc_id, b.item_id, b.start, sum(least(b.c, i.c)) / (b.m + b.w - sum(least(b.c, i.c))) AS similarity
+  FROM both_counts b JOIN item_count i USING (item_id, run) GROUP BY b.doc_id, b.item_id, b.start, b.m, b.w)
+SELECT doc_id, item_id, round(similarity, 6) AS similarity, start AS first_word FROM scored WHERE similarity >= 0.8 - 1e-9
+QUALIFY row_number() OVER (PARTITION BY doc_id, item_id ORDER BY similarity DESC, start) = 1
+"""
+
+
+@query(_LEAKS)
+def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select(F.col("key").alias("doc_id"), F.col("item").alias("item_id"), F.round("similarity", 6).alias("similarity"),
+                        F.col("start").cast("long").alias("first_word"))

@@ -148,11 +148,15 @@ def training_rows(labels: DataFrame, held_out: Column, most: int) -> DataFrame:
     return ids.where(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < int(share * 1_000_000)) if share < 1 else ids
 
 
+def _least_shingle(words: list[str]) -> int:
+    return min((xxhash.xxh64_intdigest(" ".join(words[i:i + 3])) for i in range(max(len(words) - 2, 1))), default=0) >> 1
+
+
 def _sample(docs: DataFrame, ids: DataFrame, text: str) -> DataFrame:
-    """Folded texts and labels; of texts that share their smallest word hash, so of copies, one for each label."""
+    """Folded texts and labels; of texts that share their smallest shingle hash, so of most copies, one for each label."""
     def folded(texts: pd.Series) -> pd.DataFrame:
         made = [fold(t) for t in texts]
-        least = [min((xxhash.xxh64_intdigest(w) for w in set(t.split())), default=0) >> 1 for t in made]
+        least = [_least_shingle(t.split()) for t in made]
         return pd.DataFrame({"folded": made, "least": least})
     folded.__annotations__ = {"texts": pd.Series, "return": pd.DataFrame}
     make = F.pandas_udf(folded, "folded string, least long")
