@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from hourgrid.llm import decontaminate, quality, simhash, toxicity
+from hourgrid.llm import bpe, decontaminate, quality, simhash, toxicity
 from hourgrid.llm.common import prepare, table
+from hourgrid.llm.queries import byte_model
 from hourgrid.session import materialise
 
 
@@ -34,8 +37,15 @@ def benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     return decontaminate.accepted(docs, table(spark, sf_dir, "benchmark"))
 
 
+def byte_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token count and digests of ids and decoded bytes of every document."""
+    prepare(spark)
+    out, name = bpe.digests(docs, byte_model(), public_tokenizers.PATTERN, carry=["doc_id"])
+    return out.select(F.col("doc_id"), f"{name}.*")
+
+
 STAGES = [("quality rules", quality_rules), ("toxicity", toxic_texts), ("near duplicates", near_duplicates),
-          ("benchmark leaks", benchmark_leaks)]
+          ("benchmark leaks", benchmark_leaks), ("byte-level tokens", byte_tokens)]
 #: Posterior weights, learnt lexicons and digests are beyond SQL; the tests compare with brute force.
 ORACLE_SQL = None
 

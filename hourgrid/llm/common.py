@@ -14,9 +14,12 @@ from hourgrid.session import configure, materialise
 
 #: Rows of one Arrow batch. Texts are long, so a Python worker gets few of them at a time.
 BATCH_ROWS = 512
+BATCH_BYTES = 16 << 20
 #: A key with more than 1/HOT_SHARE of all rows is hot; there are fewer than HOT_SHARE such keys.
 HOT_SHARE = 1000
 SALTS = 32
+#: Tables of up to so many narrow rows are broadcast, after counting; larger ones are joined by shuffle.
+SMALL = 500_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -33,6 +36,7 @@ def prepare(spark: SparkSession) -> None:
     configure(spark)
     cloudpickle.register_pickle_by_value(hourgrid.llm)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
 
 
 def fresh(taken: Iterable[str], *wanted: str) -> list[str]:

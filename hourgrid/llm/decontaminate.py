@@ -16,7 +16,7 @@ from itertools import combinations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from hourgrid.llm.common import col, fresh
+from hourgrid.llm.common import SMALL, col, fresh
 from hourgrid.session import materialise
 
 SHINGLE = 5
@@ -24,8 +24,6 @@ SIMILARITY = 0.8
 #: Windows at the similarity differ in about 10 of 64 bits (standard deviation 3).
 RADIUS = 20
 BLOCKS = 8
-#: Tables of up to so many narrow rows are broadcast, larger ones joined by shuffle.
-SMALL = 500_000
 _TINY = 1e-9
 
 

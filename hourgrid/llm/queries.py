@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hourgrid.llm import decontaminate, quality, simhash, toxicity
+from hourgrid.llm import bpe, decontaminate, quality, simhash, toxicity, urls, warc
 from hourgrid.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -76,3 +77,49 @@ def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.select(F.col("key").alias("doc_id"), F.col("item").alias("item_id"), F.round("similarity", 6).alias("similarity"),
                         F.col("start").cast("long").alias("first_word"))
+
+
+def byte_model() -> bytes:
+    return bpe.serialise(bpe.read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken")))
+
+
+@query()
+def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out, name = bpe.digests(table(spark, sf_dir, "documents"), byte_model(), public_tokenizers.PATTERN, carry=["doc_id"])
+    return out.select("doc_id", f"{name}.*")
+
+
+_WARC = """
+WITH page AS (SELECT page_id, coalesce(html, '') AS html, octet_length(encode(coalesce(html, ''))) AS n FROM pages),
+first AS (SELECT html, max(page_id) AS first FROM page WHERE n >= 1000 GROUP BY html HAVING count(*) > 1)
+SELECT page_id, n AS payload_bytes, sha1(html) AS payload_digest,
+       CASE WHEN first IS NULL OR first IS NOT DISTINCT FROM page_id THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN first IS DISTINCT FROM page_id THEN first END AS refers_to
+FROM page LEFT JOIN first USING (html)
+"""
+
+
+@query(_WARC)
+def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    records = warc.round_trip(table(spark, sf_dir, "pages"))
+    return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+URL_RULES = [("allow", "com", "/"), ("block", "example.com", "/en/"), ("allow", "www.example.com", "/en/"),
+             ("block", "net", "/es/"), ("block", "net", "/fr/")]
+
+_URLS = r"""
+WITH rest AS (SELECT page_id, CASE WHEN url LIKE '%://%' THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages),
+part AS (SELECT page_id, translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+                regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM rest),
+rule(verdict, rule_host, rule_path) AS (VALUES """ + ", ".join(str(r) for r in URL_RULES) + r"""),
+fit AS (SELECT page_id, max_by(struct_pack(rule := rule_host || rule_path, verdict := verdict), length(rule_host || rule_path)) AS won
+        FROM part JOIN rule ON (host = rule_host OR ends_with(host, '.' || rule_host)) AND starts_with(path, rule_path) GROUP BY page_id)
+SELECT page_id, host, path, won.rule AS rule, coalesce(won.verdict, 'allow') AS verdict FROM part LEFT JOIN fit USING (page_id)
+"""
+
+
+@query(_URLS)
+def op9_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    return urls.judge(pages, spark.createDataFrame(URL_RULES, "verdict string, host string, path string"))
