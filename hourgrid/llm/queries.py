@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hourgrid.llm import bpe, chat, decontaminate, quality, simhash, toxicity, urls, warc
+from hourgrid.llm import bpe, chat, decontaminate, licenses, quality, simhash, toxicity, urls, warc
 from hourgrid.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -157,3 +157,49 @@ def op2_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read.select("conv_id", F.size("turns").cast("long").alias("n_turns"), F.sha2(spoken, 256).alias("turns_sha256"),
                        F.length(loss).cast("long").alias("loss_chars"), F.sha2(loss, 256).alias("loss_sha256"),
                        F.length("formatted").cast("long").alias("formatted_chars"))
+
+
+PHRASES = {"under the mit license": "mit", "apache license version 2": "apache-2", "cc by nc": "cc-by-nc"}
+
+
+def _license_sql() -> str:
+    """Brute force: every rule on every text, every pair of findings of a text."""
+    text = lambda s: "'" + s.replace("'", "''") + "'"
+    listed = ", ".join(f"({r['rank']}, {r['priority']}, {text(r['label'])}, {text(licenses.spread(licenses.spread_optional(r['regex'])))})"
+                       for r in licenses.default_rules())
+    phrases = ", ".join(f"({text(p)}, {text(label)})" for p, label in PHRASES.items())
+    sure = " ".join(f"WHEN {p} THEN {s}" for p, s in licenses.SURE.items())
+    return rf"""
+WITH words AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+rule(rank, priority, label, regex) AS (VALUES {listed}),
+phrase(phrase, label) AS (VALUES {phrases}),
+layout AS (SELECT doc_id, w, ' ' || array_to_string(w, '  ') || ' ' AS t FROM words),
+marked AS (SELECT doc_id, rank, priority, label, string_split_regex(trim(regexp_replace(t, regex, ' ' || chr(1) || ' \0 ' || chr(2) || ' ', 'g')), ' +') AS m
+           FROM layout, rule WHERE regexp_matches(t, regex)),
+token AS (SELECT doc_id, rank, priority, label, unnest(m) AS x, unnest(range(len(m))) AS i FROM marked),
+mark AS (SELECT *, row_number() OVER (PARTITION BY doc_id, rank, x ORDER BY i) - 1 AS k FROM token WHERE x IN (chr(1), chr(2))),
+span AS (SELECT a.doc_id, a.rank, a.priority, a.label, a.i - 2 * a.k AS start, b.i - 2 * b.k - 1 AS stop
+         FROM mark a JOIN mark b USING (doc_id, rank, k) WHERE a.x = chr(1) AND b.x = chr(2)),
+kept AS (
+  SELECT * FROM span s WHERE NOT EXISTS (
+    SELECT 1 FROM span o WHERE o.doc_id = s.doc_id AND o.start <= s.start AND o.stop >= s.stop AND (
+      o.priority < s.priority OR o.priority = s.priority AND (o.stop - o.start > s.stop - s.start OR o.rank < s.rank)))),
+place AS (
+  SELECT doc_id, label, i - 1 AS start FROM (SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS i FROM words), phrase
+  WHERE array_to_string(w[i:i + len(string_split(phrase, ' ')) - 1], ' ') = phrase),
+base AS (SELECT doc_id, count(*) AS n_base, min(start) AS first_word, max(start) AS last_word,
+                string_agg(DISTINCT label, ',' ORDER BY label) AS base_labels FROM place GROUP BY doc_id),
+found AS (SELECT doc_id, max(CASE priority {sure} END) AS sure FROM kept GROUP BY doc_id),
+named AS (SELECT doc_id, string_agg(DISTINCT label, ',' ORDER BY label) AS labels
+          FROM (SELECT doc_id, label FROM kept UNION ALL SELECT doc_id, label FROM place) GROUP BY doc_id)
+SELECT doc_id, len(w) AS n_words, coalesce(n_base, 0) AS n_base, first_word, last_word, coalesce(base_labels, '') AS base_labels,
+       coalesce(labels, '') AS labels, greatest(coalesce(sure, 0), CASE WHEN n_base > 0 THEN {licenses.PHRASE} ELSE 0 END)::DOUBLE AS score
+FROM words LEFT JOIN base USING (doc_id) LEFT JOIN found USING (doc_id) LEFT JOIN named USING (doc_id)
+"""
+
+
+@query(_license_sql())
+def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents"), PHRASES).drop("found")
