@@ -108,19 +108,22 @@ class Codec:
             found[part] = np.array(ids, "<u4").tobytes()
         return found
 
-    def encode(self, text: str | None) -> bytes:
-        """The ids as little-endian 32-bit numbers; a null text has none."""
-        parts = self.split(text or "")
+    def forms(self, parts: list[str]) -> list[bytes]:
+        """The encoded form of each pre-token."""
         known = self.known
         try:
-            return b"".join([known[part] for part in parts])
+            return [known[part] for part in parts]
         except KeyError:
             new = self._learn({part for part in parts if part not in known})
             if len(known) + len(new) > REMEMBERED:
                 known = {part: known[part] for part in set(parts) if part in known}
                 self.known = {}
             self.known.update({part: ids for part, ids in new.items() if len(part) <= LONG})
-            return b"".join([new[part] if part in new else known[part] for part in parts])
+            return [new[part] if part in new else known[part] for part in parts]
+
+    def encode(self, text: str | None) -> bytes:
+        """The ids as little-endian 32-bit numbers; a null text has none."""
+        return b"".join(self.forms(self.split(text or "")))
 
     def decode(self, ids: bytes) -> bytes:
         tokens = self.tokens

@@ -5,10 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hourgrid.llm import bpe, chat, decontaminate, licenses, quality, simhash, toxicity, urls, warc
+from hourgrid.llm import bpe, chat, decontaminate, licenses, quality, simhash, token_trees, toxicity, urls, warc
 from hourgrid.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -203,3 +203,29 @@ FROM words LEFT JOIN base USING (doc_id) LEFT JOIN found USING (doc_id) LEFT JOI
 @query(_license_sql())
 def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(table(spark, sf_dir, "documents"), PHRASES).drop("found")
+
+
+def edits_of(docs: DataFrame) -> Column:
+    """Three edits of every document, one in each third, that follow from its id: a passage of up to 60
+    characters goes and one of up to 80 characters of the same text comes."""
+    text, third = F.coalesce(docs["text"], F.lit("")), F.floor(F.length(docs["text"]) / 3)
+
+    def pick(k: int, most: Column) -> Column:
+        return F.pmod(F.xxhash64(F.coalesce(docs["doc_id"], F.lit(0)), F.lit(k)), F.greatest(most, F.lit(1)))
+
+    made = []
+    for k in range(3):
+        start = third * k + pick(k, third)
+        made.append(F.struct(start.alias("start"), F.least(start + pick(k + 10, F.lit(61)), third * (k + 1)).alias("end"),
+                             F.substring(text, (1 + pick(k + 20, F.length(text))).cast("int"), pick(k + 30, F.lit(81)).cast("int")).alias("new")))
+    return F.array(*made)
+
+
+@query()
+def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    counted = token_trees.recount(docs, edits_of(docs), byte_model(), public_tokenizers.PATTERN)
+    return counted.select("doc_id", token_trees.n_tokens(F.col("tree")).alias("n_tokens"),
+                          token_trees.n_tokens(F.col("edited.tree")).alias("n_tokens_edited"),
+                          F.length("edited.text").cast("long").alias("n_chars_edited"), F.col("edited.encoded").alias("n_chars_encoded"),
+                          F.sha2("edited.text", 256).alias("edited_sha256"))
