@@ -11,6 +11,7 @@ import base64
 import hashlib
 import struct
 from collections.abc import Iterator
+from itertools import accumulate
 
 import numpy as np
 import pandas as pd
@@ -23,7 +24,7 @@ from pyspark.sql.types import LongType, StringType, StructField, StructType
 from hourgrid.llm.common import col, fresh
 
 #: Encoded pre-tokens a worker remembers; beyond that it starts anew. Results do not depend on it.
-REMEMBERED = 200_000
+REMEMBERED = 400_000
 #: Pre-tokens longer than this are encoded but not remembered.
 LONG = 64
 
@@ -85,6 +86,10 @@ def serialise(tokens: list[bytes]) -> bytes:
     return model + _field(2, trainer) + _field(3, normaliser)
 
 
+def _pack(ids: list[int]) -> bytes:
+    return struct.pack(f"<{len(ids)}I", *ids)
+
+
 class Codec:
     """Encodes and decodes with one serialised model; a worker holds one."""
 
@@ -100,12 +105,19 @@ class Codec:
 
     def _learn(self, parts: set[str]) -> dict[str, bytes]:
         """Encoded forms of pre-tokens that are not remembered."""
-        raw = {part: part.encode() for part in parts}
-        found = {part: self.whole[b] for part, b in raw.items() if b in self.whole}
-        rest = [part for part in raw if part not in found]
-        mapped = [raw[part].decode("latin-1").translate(self.letters) for part in rest]
-        for part, ids in zip(rest, self.pieces.encode(mapped, num_threads=1) if mapped else []):
-            found[part] = np.array(ids, "<u4").tobytes()
+        found, rest, raw = {}, [], []
+        for part in parts:
+            data = part.encode()
+            if data in self.whole:
+                found[part] = self.whole[data]
+            else:
+                rest.append(part)
+                raw.append(data)
+        mapped = b"".join(raw).decode("latin-1").translate(self.letters)
+        ends = list(accumulate(map(len, raw), initial=0))
+        pieces = [mapped[i:j] for i, j in zip(ends, ends[1:])]
+        for part, ids in zip(rest, self.pieces.encode(pieces, num_threads=1) if pieces else []):
+            found[part] = _pack(ids)
         return found
 
     def forms(self, parts: list[str]) -> list[bytes]:
