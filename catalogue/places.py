@@ -122,7 +122,7 @@ def jn5_intersects(t):
 @query("jn5_by_shuffle", holder_sql("areas", TOUCHING, "area_shape"), ("incidents", "areas"))
 def jn5_shuffle(t):
     return spatial.attach_polygon(t.incidents, t.areas, "area_shape", predicate="intersects",
-                                  key=["incident_number"], max_rows=1).select("incident_number", "area_shape")
+                                  max_rows=1).select("incident_number", "area_shape")
 
 
 NEAREST_BOX = """
@@ -145,7 +145,7 @@ def jn6(t):
 @query("jn6_by_cells", NEAREST_BOX, ("incidents", "patches"))
 def jn6_cells(t):
     out = spatial.attach_nearest_polygon(t.incidents, t.patches, "area_shape", distance="metres",
-                                         key=["incident_number"], max_rows=1)
+                                         max_rows=1)
     return out.select("incident_number", F.round("metres", 4).alias("metres"))
 
 
@@ -178,7 +178,7 @@ def jn7(t):
 
 @query("jn7_by_cells", site_sql("many_sites"), ("incidents", "many_sites"))
 def jn7_cells(t):
-    out = spatial.nearest_site(t.incidents, t.many_sites, CUTOFF_M, key=["incident_number"], max_listed=5)
+    out = spatial.nearest_site(t.incidents, t.many_sites, CUTOFF_M, max_listed=5)
     return out.select("incident_number", "site_label", "site_distance_m")
 
 
@@ -247,8 +247,8 @@ def jn10(t):
     i = F.col("incident_number")
     rows = t.incidents.select("incident_number", "latitude", "longitude", F.when(i % 4 != 0, F.col("area")).alias("area"),
                               F.when(i % 5 != 0, F.lit(9)).alias("zone_int"))
-    fixed = spatial.repair(rows, "area", text.is_blank_area(F.col("area")), t.areas, ["incident_number"])
-    fixed = spatial.repair(fixed, "zone_int", F.col("zone_int").isNull(), t.zones, ["incident_number"],
+    fixed = spatial.repair(rows, "area", text.is_blank_area(F.col("area")), t.areas)
+    fixed = spatial.repair(fixed, "zone_int", F.col("zone_int").isNull(), t.zones,
                            text.first_number(F.col("_found")))
     return fixed.select("incident_number", "area", "zone_int")
 

@@ -35,12 +35,14 @@ HOLIDAY_RULES = (
 
 
 def floor_hour(ts: Column) -> Column:
-    return F.date_trunc("hour", ts).cast("timestamp_ntz")
+    """Start of the wall-clock hour, whatever the session's time zone."""
+    zero = F.lit(0)
+    return F.make_timestamp_ntz(F.year(ts), F.month(ts), F.day(ts), F.hour(ts), zero, zero)
 
 
 def hour_index(ts: Column) -> Column:
-    """Hours since the epoch: consecutive integers on an hourly series."""
-    return F.floor(F.unix_timestamp(ts.cast("timestamp")) / 3600).cast("long")
+    """Wall-clock hours since the epoch: consecutive integers on an hourly series, in every session time zone."""
+    return (F.datediff(ts.cast("date"), F.lit("1970-01-01").cast("date")).cast("long") * 24 + F.hour(ts)).cast("long")
 
 
 def hours_later(ts: Column, hours: Column) -> Column:

@@ -52,7 +52,7 @@ def unit_vector(lat: Column, lon: Column) -> tuple[Column, Column, Column]:
 
 
 def ring_edges(rings: Column) -> Column:
-    """ARRAY<ARRAY<STRUCT<x,y>>> to one flat array of edges (x1, y1, x2, y2)."""
+    """ARRAY<ARRAY<STRUCT<x,y>>> to one flat array of edges (x1, y1, x2, y2); rings under two points have none."""
     def edges(ring: Column) -> Column:
         return F.transform(
             F.sequence(F.lit(1), F.size(ring) - 1),
@@ -61,7 +61,7 @@ def ring_edges(rings: Column) -> Column:
                 F.element_at(ring, i + 1)["x"].alias("x2"), F.element_at(ring, i + 1)["y"].alias("y2"),
             ),
         )
-    return F.flatten(F.transform(rings, edges))
+    return F.flatten(F.transform(F.filter(rings, lambda ring: F.size(ring) > 1), edges))
 
 
 def _crosses(e: Column, x: Column, y: Column) -> Column:
@@ -113,10 +113,3 @@ def edge_distance(edges: Column, x: Column, y: Column) -> Column:
 def polygon_distance(edges: Column, x: Column, y: Column) -> Column:
     """Zero inside or on the border, else the distance to the nearest edge."""
     return F.when(covers(edges, x, y, "intersects"), F.lit(0.0)).otherwise(edge_distance(edges, x, y))
-
-
-def box_distance(x: Column, y: Column, west: Column, south: Column, east: Column, north: Column) -> Column:
-    """Distance from the point to a box; zero inside."""
-    dx = F.greatest(west - x, x - east, F.lit(0.0))
-    dy = F.greatest(south - y, y - north, F.lit(0.0))
-    return F.sqrt(dx * dx + dy * dy)

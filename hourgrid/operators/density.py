@@ -23,13 +23,16 @@ def grid_bounds(df: DataFrame, lon: str = "longitude", lat: str = "latitude") ->
 
 
 def grid_cells(df: DataFrame, cell_m: float = CELL_M, lon: str = "longitude", lat: str = "latitude") -> DataFrame:
-    """grid_x, grid_y and grid_id on a grid that starts at the data's lower left corner."""
-    bounds = grid_bounds(df, lon, lat)
+    """grid_x, grid_y and grid_id on a grid that starts at the data's lower left corner.
+
+    Rows without coordinates have no cell. One scan finds the corner.
+    """
+    corner = grid_bounds(df, lon, lat).select(F.struct("xmin", "ymin").alias("corner")).scalar()
     x, y = geo.mercator_x(F.col(lon)), geo.mercator_y(F.col(lat))
     return df.withColumns({
-        "grid_x": geo.cell_index(x, bounds.select("xmin").scalar(), cell_m),
-        "grid_y": geo.cell_index(y, bounds.select("ymin").scalar(), cell_m),
-    }).withColumn("grid_id", F.concat_ws("_", "grid_x", "grid_y"))
+        "grid_x": geo.cell_index(x, corner["xmin"], cell_m),
+        "grid_y": geo.cell_index(y, corner["ymin"], cell_m),
+    }).withColumn("grid_id", F.concat(F.col("grid_x").cast("string"), F.lit("_"), F.col("grid_y").cast("string")))
 
 
 def grid_density(df: DataFrame, ts: str = "report_date", cell_m: float = CELL_M, rows: int = DENSITY_ROWS,

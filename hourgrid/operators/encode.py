@@ -4,27 +4,25 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from hourgrid.functions.text import clean_name
 from hourgrid.operators.lookup import lookup
 from hourgrid.session import materialise
 
-MAX_CATEGORIES = 10_000
+#: Ranges that distinct values are sorted in; each is numbered by a task of its own.
+RANGES = 64
 
 
-def categories(df: DataFrame, column: str, max_values: int = MAX_CATEGORIES) -> list:
-    """Sorted distinct values; refuses columns that are not categorical."""
-    rows = df.select(column).where(F.col(column).isNotNull()).distinct().limit(max_values + 1).collect()
-    if len(rows) > max_values:
-        raise ValueError(f"{column} has more than {max_values} values")
-    return sorted(r[0] for r in rows)
+def categories(df: DataFrame, column: str) -> list:
+    """Sorted distinct values. They name columns, so a plan holds them anyway; pass ``values=`` where they are known."""
+    return sorted(r[0] for r in df.select(column).where(F.col(column).isNotNull()).distinct().collect())
 
 
 def one_hot(df: DataFrame, column: str, prefix: str | None = None, drop_first: bool = False,
-            values: Sequence | None = None, max_values: int = 500) -> DataFrame:
+            values: Sequence | None = None) -> DataFrame:
     """One 0/1 column per value, none for null; replaces the column."""
-    values = categories(df, column, max_values) if values is None else list(values)
+    values = categories(df, column) if values is None else list(values)
     prefix = prefix or column
     flags = [
         F.coalesce(F.col(column) == v, F.lit(False)).cast("int").alias(clean_name(f"{prefix}_{v}"))
@@ -45,13 +43,20 @@ def count_encode(df: DataFrame, column: str, out: str | None = None) -> DataFram
     return counted.withColumn(out, F.coalesce(F.col(out), F.lit(0)).cast("long"))
 
 
-def label_codes(df: DataFrame, column: str, out: str, max_values: int = MAX_CATEGORIES) -> DataFrame:
-    """Dimension value → alphabetical position, from 0."""
-    values = materialise(df.select(column).where(F.col(column).isNotNull()).distinct())
-    if values.limit(max_values + 1).count() > max_values:
-        raise ValueError(f"{column} has more than {max_values} values")
-    listed = values.agg(F.array_sort(F.collect_list(column)).alias("v"))
-    return listed.select(F.posexplode("v").alias(out, column))
+def label_codes(df: DataFrame, column: str, out: str) -> DataFrame:
+    """Dimension value → alphabetical position, from 0, for any number of values.
+
+    Values are split into sorted ranges; a value's position is its place in its range plus the sizes of
+    the ranges before it, of which there are at most ``RANGES``.
+    """
+    values = df.select(column).where(F.col(column).isNotNull()).distinct()
+    ranged = materialise(values.repartitionByRange(RANGES, column).withColumn("_range", F.spark_partition_id()), "values")
+    sizes = ranged.groupBy("_range").agg(F.count(F.lit(1)).alias("_n"))
+    before = sizes.select("_range", (F.coalesce(F.sum("_n").over(
+        Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).alias("_before"))
+    place = F.row_number().over(Window.partitionBy("_range").orderBy(column)) - 1
+    return ranged.withColumn("_place", place).join(F.broadcast(before), "_range").select(
+        (F.col("_before") + F.col("_place")).cast("int").alias(out), column)
 
 
 def label_encode(df: DataFrame, column: str, out: str | None = None) -> DataFrame:

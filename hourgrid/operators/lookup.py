@@ -20,8 +20,8 @@ def fits(dim: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
 def salt(columns: Sequence[str], salts: int) -> Column:
     """A value in [0, salts) that is the same when a task is run again.
 
-    The row's content spreads different rows of one hot key, the partition number
-    spreads identical copies.
+    The partition number spreads the rows of one key; the columns, as a rule the key, start
+    different keys at different values. No other column is read, so rows may hold maps.
     """
     return F.pmod(F.xxhash64(*columns) + F.spark_partition_id(), F.lit(salts)).cast("int")
 
@@ -40,7 +40,7 @@ def lookup(facts: DataFrame, dim: DataFrame, on: Sequence[str], how: str = "left
         dim = materialise(dim)
     if fits(dim, max_rows):
         return facts.join(F.broadcast(dim), on, how)
-    salted = facts.withColumn("_salt", salt(facts.columns, salts))
+    salted = facts.withColumn("_salt", salt(on, salts))
     copies = dim.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     return salted.join(copies, [*on, "_salt"], how).drop("_salt")
 
@@ -62,7 +62,7 @@ def lookup_counted(facts: DataFrame, dim: DataFrame, on: Sequence[str], n: str,
     salted = (
         facts.join(F.broadcast(hot), on, "left")
         .withColumn("_salt", F.coalesce(
-            F.pmod(F.xxhash64(*facts.columns) + F.spark_partition_id(), F.col("_parts")).cast("int"),
+            F.pmod(F.xxhash64(*on) + F.spark_partition_id(), F.col("_parts")).cast("int"),
             F.lit(0)))
         .drop("_parts")
     )

@@ -106,17 +106,30 @@ def clean_booleans(df: DataFrame, columns: Iterable[str]) -> DataFrame:
     return df.withColumns(flags) if flags else df
 
 
+# Fixed value: how far a double may move when it becomes a float.
+FLOAT_SLACK = 5e-4
+
+
 def narrow_types(df: DataFrame, columns: Iterable[str] | None = None) -> DataFrame:
-    """Cast integers to the smallest type that holds their range, doubles to float.
+    """Cast integers to the smallest type that holds their range, and doubles to float where no value
+    moves by more than ``FLOAT_SLACK``.
 
-    One aggregation over the integer columns finds all ranges.
+    One aggregation over these columns finds all ranges and the largest move.
     """
     wanted = set(columns) if columns is not None else set(df.columns)
     integers = [f.name for f in df.schema if isinstance(f.dataType, T.IntegralType) and f.name in wanted]
-    casts = {f.name: F.col(f.name).cast("float") for f in df.schema
-             if isinstance(f.dataType, T.DoubleType) and f.name in wanted}
-    if integers:
-        bounds = df.agg(*[g(c).alias(f"{g.__name__}_{c}") for c in integers for g in (F.min, F.max)]).first()
+    doubles = [f.name for f in df.schema if isinstance(f.dataType, T.DoubleType) and f.name in wanted]
+    casts = {}
+
+    def move(c: str) -> Column:
+        """Infinite where the value leaves the range of floats; NaN and infinity stay what they are."""
+        value, narrow = F.col(c), F.col(c).cast("float").cast("double")
+        return F.when(value.eqNullSafe(narrow), 0.0).otherwise(F.abs(value - narrow))
+
+    if integers or doubles:
+        bounds = df.agg(*[g(c).alias(f"{g.__name__}_{c}") for c in integers for g in (F.min, F.max)],
+                        *[F.max(move(c)).alias(f"move_{c}") for c in doubles]).first()
+        casts = {c: F.col(c).cast("float") for c in doubles if (bounds[f"move_{c}"] or 0.0) <= FLOAT_SLACK}
         for c in integers:
             low, high = bounds[f"min_{c}"], bounds[f"max_{c}"]
             if low is not None:

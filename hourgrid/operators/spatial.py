@@ -13,11 +13,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Row, functions as F
 
 from hourgrid.functions import geo
-from hourgrid.operators.lookup import BROADCAST_ROWS, SALTS, lookup, salt
+from hourgrid.operators.lookup import BROADCAST_ROWS, SALTS, lookup, lookup_counted, salt
 from hourgrid.session import materialise
 
 MAX_CELLS_PER_SIDE = 64
-MAX_SITE_COLUMNS = 64
 MAX_LISTED_SITES = 500
 SITE_CELLS = 32
 # About 64 MB of edges.
@@ -76,15 +75,26 @@ def _point_cell(df: DataFrame, x: Column, y: Column, size: float) -> DataFrame:
     return df.withColumns({"_cx": F.floor(x / size), "_cy": F.floor(y / size)})
 
 
+def _places(points: DataFrame, coords: dict[str, Column]) -> DataFrame:
+    """Each distinct place once, with the number ``_n`` of its points; points without coordinates have no place."""
+    found = points.select(*[c.alias(name) for name, c in coords.items()]).dropna()
+    return materialise(found.groupBy(*coords).agg(F.count(F.lit(1)).alias("_n")), "places")
+
+
+def _at_places(points: DataFrame, coords: dict[str, Column], found: DataFrame) -> DataFrame:
+    """``points`` with what was found for their places; ``found`` holds each place once with its number of points."""
+    return lookup_counted(points.withColumns(coords), found, list(coords), "_n").drop(*coords)
+
+
 def attach_polygon(points: DataFrame, layer: DataFrame, target: str, lon: str = "longitude",
-                   lat: str = "latitude", predicate: str = "within", key: Sequence[str] | None = None,
-                   max_rows: int = BROADCAST_ROWS) -> DataFrame:
+                   lat: str = "latitude", predicate: str = "within", max_rows: int = BROADCAST_ROWS) -> DataFrame:
     """Left join: name of the polygon that holds the point, the lowest poly_id on overlaps.
 
     The layer becomes a table of cells with the candidates of each cell, so a point
     meets one row of it: no fan-out, no de-duplication of the points, and no shuffle of
-    them while that table fits a broadcast. Beyond that the candidates are joined by
-    shuffle on salted cells and the first hit per ``key`` is kept.
+    them while that table fits a broadcast. Beyond that the distinct places are joined with
+    the candidates by shuffle on salted cells, and points look their place up. Repeated or
+    missing ids of points do not matter on either path.
     """
     x, y = F.col(lon), F.col(lat)
     polygons = with_edges(layer)
@@ -102,17 +112,17 @@ def attach_polygon(points: DataFrame, layer: DataFrame, target: str, lon: str =
             .withColumn(target, F.get(hit, F.lit(0))["name"])
             .drop("_cx", "_cy", "_cands")
         )
-    if key is None:
-        raise ValueError("a layer this large needs the key columns of the points")
+    coords = {"_x": x, "_y": y}
+    places = _places(points, coords)
     hits = (
-        located.select(*key, x.alias("_x"), y.alias("_y"), "_cx", "_cy")
-        .withColumn("_salt", salt(list(key), SALTS))
+        _point_cell(places, F.col("_x"), F.col("_y"), size)
+        .withColumn("_salt", salt(["_x", "_y"], SALTS))
         .join(cells.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))),
               ["_cx", "_cy", "_salt"])
         .where(geo.covers(F.col("edges"), F.col("_x"), F.col("_y"), predicate))
-        .groupBy(*key).agg(F.min_by("name", "poly_id").alias(target))
+        .groupBy("_x", "_y", "_n").agg(F.min_by("name", "poly_id").alias(target))
     )
-    return points.join(hits, list(key), "left")
+    return _at_places(points, coords, hits)
 
 
 def _nearest_by_cells(points: DataFrame, key: Sequence[str], coords: Sequence[str], features: DataFrame,
@@ -129,7 +139,7 @@ def _nearest_by_cells(points: DataFrame, key: Sequence[str], coords: Sequence[st
     box = features.agg(*[F.min(c) for c in low], *[F.max(c) for c in high], F.count(F.lit(1))).first()
     if bounds[0] is None or box[0] is None:
         return points.select(*key).limit(0).withColumns(
-            {"_dist": F.lit(0.0), "_fid": F.lit(0).cast("long")})
+            {"_dist": F.lit(0.0), "_fid": F.lit(None).cast(features.schema["_fid"].dataType)})
     # Begin with cells as wide as the features are apart.
     size = max(max(box[len(coords) + i] - box[i] for i in dims) / math.sqrt(box[-1]), 1e-9)
     reach = max(
@@ -148,7 +158,7 @@ def _nearest_by_cells(points: DataFrame, key: Sequence[str], coords: Sequence[st
         cells = [f"_c{i}" for i in dims]
         best = (
             open_points.withColumn("_cell", F.explode(around))
-            .select(*key, *coords, *[F.col(f"_cell._c{i}").alias(f"_c{i}") for i in dims])
+            .select(*dict.fromkeys([*key, *coords]), *[F.col(f"_cell._c{i}").alias(f"_c{i}") for i in dims])
             .withColumn("_salt", salt(list(key), SALTS))
             .join(seen.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))),
                   [*cells, "_salt"])
@@ -226,13 +236,14 @@ def _nearest_candidates(polygons: DataFrame, extent: Row, size: float) -> DataFr
 
 def attach_nearest_polygon(points: DataFrame, layer: DataFrame, target: str, lon: str = "longitude",
                            lat: str = "latitude", distance: str | None = None,
-                           key: Sequence[str] | None = None, max_rows: int = BROADCAST_ROWS) -> DataFrame:
+                           max_rows: int = BROADCAST_ROWS) -> DataFrame:
     """Left join: name of the nearest polygon in Mercator metres, 0 inside, ties to the
     lowest poly_id; points without coordinates get null.
 
     Cells of a grid over the layer carry the polygons that can be nearest to any of
     their points: those whose box is no further than the tightest upper bound in the
-    cell. Points outside the grid are compared with all polygons.
+    cell. Points outside the grid are compared with all polygons. A layer too large for
+    that is searched by growing cells, once per distinct place.
     """
     x, y = geo.mercator_x(F.col(lon)), geo.mercator_y(F.col(lat))
     polygons = materialise(with_edges(layer, project=True), "polygons")
@@ -249,17 +260,14 @@ def attach_nearest_polygon(points: DataFrame, layer: DataFrame, target: str, lon
         if volume > BROADCAST_EDGES:
             grid = None
     if grid is None:
-        if key is None:
-            raise ValueError("a layer this large needs the key columns of the points")
         shapes = polygons.withColumn("_fid", F.col("poly_id"))
+        coords = {"_x": x, "_y": y}
         near = _nearest_by_cells(
-            points.select(*key, x.alias("_x"), y.alias("_y")).dropna(subset=["_x", "_y"]), key, ["_x", "_y"],
-            shapes, ["west", "south"], ["east", "north"],
+            _places(points, coords), ["_x", "_y", "_n"], ["_x", "_y"], shapes, ["west", "south"], ["east", "north"],
             geo.polygon_distance(F.col("edges"), F.col("_x"), F.col("_y")))
         named = lookup(near, polygons.select(F.col("poly_id").alias("_fid"), F.col("name").alias(target)),
                        ["_fid"], max_rows=max_rows)
-        out = points.join(named.withColumnRenamed("_dist", distance).drop("_fid"), list(key), "left")
-        return out.drop("_dist")
+        return _at_places(points, coords, named.withColumnRenamed("_dist", distance).drop("_fid")).drop("_dist")
 
     first_x, last_x, first_y, last_y = _grid_range(extent, size)
     cx, cy = F.floor(x / size), F.floor(y / size)
@@ -291,8 +299,8 @@ def attach_nearest_polygon(points: DataFrame, layer: DataFrame, target: str, lon
 
 
 def _site_rows(sites: DataFrame, max_rows: int) -> list | None:
-    rows = sites.select("name", "lat", "lon").limit(max_rows + 1).collect()
-    return sorted(rows, key=lambda r: r["name"]) if len(rows) <= max_rows else None
+    rows = sites.select("name", "lat", "lon").dropna().distinct().limit(max_rows + 1).collect()
+    return sorted(rows) if len(rows) <= max_rows else None
 
 
 def _listed_sites(rows: list[Row]) -> Column:
@@ -368,32 +376,31 @@ def _near_listed_site(points: DataFrame, rows: list[Row], lat: str, lon: str) ->
 def nearest_site(points: DataFrame, sites: DataFrame, cutoff_m: float, label: str = "site_label",
                  distance: str = "site_distance_m", lat: str = "latitude", lon: str = "longitude",
                  none_label: str = "none", null_distance: float | None = None,
-                 key: Sequence[str] | None = None, max_listed: int = MAX_LISTED_SITES) -> DataFrame:
+                 max_listed: int = MAX_LISTED_SITES) -> DataFrame:
     """Distance to the nearest site, rounded to 4 digits, and its name when within the cut-off.
 
     Up to ``max_listed`` sites are listed per cell of a broadcast grid; more are searched
-    by growing cells on the unit sphere, per ``key``. Ties go to the first name.
+    by growing cells on the unit sphere, once per distinct place. Ties go to the first name
+    on both paths; sites without a name or coordinates are left out.
     """
     rows = _site_rows(sites, max_listed)
     if rows is not None:
         located = _near_listed_site(points, rows, lat, lon)
     else:
-        if key is None:
-            raise ValueError("this many sites need the key columns of the points")
         axes = ["_x", "_y", "_z"]
         numbered = materialise(
-            sites.select("name", "lat", "lon").groupBy("name", "lat", "lon").agg(F.count(F.lit(1)).alias("_n"))
-            .withColumn("_fid", F.monotonically_increasing_id())
+            sites.select("name", "lat", "lon").dropna().distinct()
+            .withColumn("_fid", F.struct("name", "lat", "lon"))
             .withColumns(dict(zip(["_fx", "_fy", "_fz"], geo.unit_vector(F.col("lat"), F.col("lon")))))
         )
-        placed = points.select(*key, *[c.alias(a) for c, a in zip(
-            geo.unit_vector(F.col(lat), F.col(lon)), axes)]).dropna(subset=axes)
+        coords = {"_lat": F.col(lat), "_lon": F.col(lon)}
+        placed = _places(points, coords).withColumns(dict(zip(axes, geo.unit_vector(F.col("_lat"), F.col("_lon")))))
         chord = F.sqrt(sum((F.pow(F.col(a) - F.col(b), 2) for a, b in zip(axes, ["_fx", "_fy", "_fz"])), F.lit(0.0)))
-        near = _nearest_by_cells(placed, key, axes, numbered, ["_fx", "_fy", "_fz"], ["_fx", "_fy", "_fz"],
-                                 chord)
-        named = lookup(near, numbered.select("_fid", F.col("name").alias("_name"), F.col("lat").alias("_slat"),
-                                             F.col("lon").alias("_slon")), ["_fid"])
-        located = points.join(named.drop("_fid", "_dist"), list(key), "left").withColumn(
+        near = _nearest_by_cells(placed, ["_lat", "_lon", "_n"], axes, numbered, ["_fx", "_fy", "_fz"],
+                                 ["_fx", "_fy", "_fz"], chord)
+        named = near.select("_lat", "_lon", "_n", F.col("_fid.name").alias("_name"), F.col("_fid.lat").alias("_slat"),
+                            F.col("_fid.lon").alias("_slon"))
+        located = _at_places(points, coords, named).withColumn(
             "_site", F.when(F.col("_name").isNotNull(), F.struct(
                 geo.haversine_m(F.col(lat), F.col(lon), F.col("_slat"), F.col("_slon")).alias("d"),
                 F.col("_name").alias("name")))).drop("_name", "_slat", "_slon")
@@ -408,18 +415,16 @@ def nearest_site(points: DataFrame, sites: DataFrame, cutoff_m: float, label: st
 
 
 def site_distances(points: DataFrame, sites: DataFrame, prefix: str = "distance_", lat: str = "latitude",
-                   lon: str = "longitude", max_sites: int = MAX_SITE_COLUMNS, digits: int = 4) -> DataFrame:
-    """One distance column per site (wide form; the site list bounds the columns)."""
-    rows = _site_rows(sites, max_sites)
-    if rows is None:
-        raise ValueError(f"more than {max_sites} sites do not make sensible columns")
+                   lon: str = "longitude", digits: int = 4) -> DataFrame:
+    """One distance column per site, in order of the names; the number of columns is the caller's choice of sites."""
+    rows = sorted(sites.select("name", "lat", "lon").collect(), key=lambda r: r["name"])
     return points.withColumns({
         f"{prefix}{r['name'].lower()}": F.bround(
             geo.haversine_m(F.col(lat), F.col(lon), F.lit(r["lat"]), F.lit(r["lon"])), digits)
         for r in rows})
 
 
-def repair(points: DataFrame, column: str, missing: Column, layer: DataFrame, key: Sequence[str],
+def repair(points: DataFrame, column: str, missing: Column, layer: DataFrame,
            value: Column | None = None, lon: str = "longitude", lat: str = "latitude",
            predicate: str = "intersects") -> DataFrame:
     """Fill a missing column from the polygon that holds the point; other rows are not joined.
@@ -430,7 +435,7 @@ def repair(points: DataFrame, column: str, missing: Column, layer: DataFrame, ke
     gap = F.coalesce(missing, F.lit(True))
     searched = points.withColumn("_gap", gap).withColumns({
         "_gx": F.when(F.col("_gap"), F.col(lon)), "_gy": F.when(F.col("_gap"), F.col(lat))})
-    found = attach_polygon(searched, layer, "_found", "_gx", "_gy", predicate, key)
+    found = attach_polygon(searched, layer, "_found", "_gx", "_gy", predicate)
     return (
         found.withColumn(column, F.when(F.col("_gap"), F.coalesce(value, F.col(column))).otherwise(F.col(column)))
         .drop("_gap", "_gx", "_gy", "_found")
@@ -438,15 +443,14 @@ def repair(points: DataFrame, column: str, missing: Column, layer: DataFrame, ke
 
 
 def spatial_features(points: DataFrame, area_layer: DataFrame, layers: dict[str, DataFrame],
-                     nearest_layers: dict[str, DataFrame], area: str = "area", raw: str = "area_raw",
-                     key: Sequence[str] | None = None) -> DataFrame:
+                     nearest_layers: dict[str, DataFrame], area: str = "area", raw: str = "area_raw") -> DataFrame:
     """Nearest area, further labels, and the final area: spatial label, else the raw one."""
     out = points.dropna(subset=["longitude", "latitude"])
-    out = attach_nearest_polygon(out, area_layer, "area_shape", key=key)
+    out = attach_nearest_polygon(out, area_layer, "area_shape")
     for target, layer in layers.items():
-        out = attach_polygon(out, layer, target, key=key)
+        out = attach_polygon(out, layer, target)
     for target, layer in nearest_layers.items():
-        out = attach_nearest_polygon(out, layer, target, key=key)
+        out = attach_nearest_polygon(out, layer, target)
     return out.withColumn(area, F.upper(F.trim(F.coalesce(F.col("area_shape"), F.col(raw)))))
 
 

@@ -40,8 +40,7 @@ def clean(raw: DataFrame, ts: str = "report_date", offense: str = "offense",
     return df.where(F.col(ts).isNotNull()).withColumn("offense_category", text.classify(F.col(offense)))
 
 
-def enrich(df: DataFrame, dims: Dimensions, key: Sequence[str] = ("incident_number",),
-           log: quality.StepLog | None = None) -> DataFrame:
+def enrich(df: DataFrame, dims: Dimensions, log: quality.StepLog | None = None) -> DataFrame:
     """Labels, calendar, weather, densities and site distance for all incidents.
 
     The dimensions are broadcast; only the two daily aggregates shuffle.
@@ -50,7 +49,7 @@ def enrich(df: DataFrame, dims: Dimensions, key: Sequence[str] = ("incident_numb
         return log.watch(name, frame) if log else frame
 
     out = step("spatial", spatial.spatial_features(
-        df, dims.areas, dict(dims.layers), dict(dims.nearest_layers), key=key))
+        df, dims.areas, dict(dims.layers), dict(dims.nearest_layers)))
     out = step("calendar", calendar_features(out))
     # The quantiles and the daily counts read single columns of the incidents again.
     out = materialise(weather.merge_weather(out, dims.hourly, dims.daily), "incidents")
@@ -58,7 +57,7 @@ def enrich(df: DataFrame, dims: Dimensions, key: Sequence[str] = ("incident_numb
         out = weather.weather_flags(out)
     out = step("weather", out)
     out = density.area_average(density.grid_density(out))
-    out = spatial.nearest_site(out, dims.sites, dims.site_cutoff_m, null_distance=0.0, key=key)
+    out = spatial.nearest_site(out, dims.sites, dims.site_cutoff_m, null_distance=0.0)
     return step("features", out)
 
 
@@ -101,7 +100,7 @@ def panels(incidents: DataFrame, target: str = "incident_count", order: str = "s
 def run(raw: DataFrame, dims: Dimensions, key: str = "incident_number") -> dict[str, DataFrame]:
     """Raw incidents to all tables, with the check tables after the enrichment."""
     configure(raw.sparkSession)
-    enriched = materialise(enrich(clean(raw), dims, (key,)))
+    enriched = materialise(enrich(clean(raw), dims))
     target = materialise(target_incidents(enriched, key=key))
     return {
         "all_incidents": enriched,

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections import defaultdict
-from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
@@ -13,7 +11,8 @@ from hourgrid.operators.dedupe import first_per_key
 from hourgrid.operators.shape import clean_names
 
 SOURCE, POSITION = "source_file", "source_position"
-HEADER_READERS = 16
+# Fields in double quotes, quotes in them doubled, line breaks in them allowed.
+CSV = {"header": True, "quote": '"', "escape": '"'}
 
 
 def list_files(spark: SparkSession, folder: str, suffix: str) -> list[str]:
@@ -25,24 +24,32 @@ def list_files(spark: SparkSession, folder: str, suffix: str) -> list[str]:
                   if s.isFile() and s.getPath().getName().endswith(suffix))
 
 
-def read_csv_folder(spark: SparkSession, folder: str, clean: bool = True) -> DataFrame:
+def csv_headers(spark: SparkSession, files: list[str]) -> dict[str, list[str]]:
+    """First line → files that begin with it, found by one distributed read of the files' first lines."""
+    lines = spark.read.text(files).select(
+        "value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("line")).where("block = 0")
+    first = lines.groupBy("file").agg(F.min_by("value", "line").alias("header"))
+    return {r["header"]: sorted(r["files"]) for r in
+            first.groupBy("header").agg(F.collect_list("file").alias("files")).orderBy("header").collect()}
+
+
+def read_csv_folder(spark: SparkSession, folder: str, clean: bool = True, multi_line: bool = True) -> DataFrame:
     """All CSV files of a folder as text columns, united by name.
 
     Files are read together per distinct header, so each group is one scan. The file
-    name and the row's place in it are kept to order the rows later.
+    name and the row's place in it are kept to order the rows later. ``multi_line`` takes line
+    breaks inside quotes, at the price of one task per file; without it large files are split.
+    Files without a line are skipped.
     """
     files = list_files(spark, folder, ".csv")
     if not files:
         raise FileNotFoundError(f"no CSV file in {folder}")
-    groups: dict[tuple[str, ...], list[str]] = defaultdict(list)
-    with ThreadPoolExecutor(HEADER_READERS) as pool:
-        headers = pool.map(lambda file: tuple(spark.read.option("header", True).csv(file).columns), files)
-        for file, header in zip(files, headers):
-            groups[header].append(file)
     parts = []
-    for header, members in groups.items():
+    for members in csv_headers(spark, files).values():
+        header = spark.read.options(**CSV).csv(members[0]).columns
         schema = T.StructType([T.StructField(c, T.StringType()) for c in header])
-        raw = spark.read.schema(schema).option("header", True).csv(members)
+        raw = spark.read.schema(schema).options(**CSV, multiLine=multi_line).csv(members)
         raw = raw.select("*", F.col("_metadata.file_name").alias(SOURCE), F.struct(
             F.col("_metadata.file_block_start").alias("block"),
             F.monotonically_increasing_id().alias("row")).alias(POSITION))
@@ -78,7 +85,7 @@ def read_any(spark: SparkSession, path: str, schema: T.StructType | None = None)
         if system.exists(target):
             if _format_of(system, target) == "parquet":
                 return spark.read.parquet(candidate)
-            reader = spark.read.option("header", True)
+            reader = spark.read.options(**CSV, multiLine=True)
             return (reader.schema(schema) if schema else reader).csv(candidate)
     raise FileNotFoundError(path)
 
@@ -98,8 +105,8 @@ def read_polygons(spark: SparkSession, path: str, names: tuple[str, ...], where:
 
 
 def write_parquet(df: DataFrame, path: str, partition_by: tuple[str, ...] = (), mode: str = "overwrite") -> None:
-    """Parquet, Snappy by default; rows of one output folder are gathered first."""
-    out = df.repartition(*partition_by) if partition_by else df
+    """Parquet, Snappy by default; rows of one output folder are gathered, a large folder's by several tasks."""
+    out = df.hint("rebalance", *partition_by) if partition_by else df
     writer = out.write.mode(mode)
     (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
 
@@ -112,7 +119,7 @@ def write_dense_panel(df: DataFrame, path: str, area: str = "area", ts: str = "h
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    df.write.mode(mode).option("header", True).csv(path)
+    df.write.mode(mode).options(**CSV).csv(path)
 
 
 def append_metrics(df: DataFrame, path: str) -> None:
@@ -122,7 +129,7 @@ def append_metrics(df: DataFrame, path: str) -> None:
 
 def read_cv_metrics(spark: SparkSession, folder: str, schema: str | T.StructType) -> DataFrame:
     """All ``<model>_cv_metrics.csv`` of a folder with the model from the file name."""
-    raw = spark.read.schema(schema).option("header", True).csv(f"{folder.rstrip('/')}/*_cv_metrics.csv")
+    raw = spark.read.schema(schema).options(**CSV).csv(f"{folder.rstrip('/')}/*_cv_metrics.csv")
     return raw.withColumn("model", F.regexp_extract(F.col("_metadata.file_name"), r"^(.*)_cv_metrics\.csv$", 1))
 
 

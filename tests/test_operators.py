@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from hourgrid.operators import (
     dedupe, density, encode, lookup, panel, quality, radius, shape, spatial, weather, windows,
 )
+from hourgrid.functions import calendar
 from hourgrid.functions.calendar import hour_index
 
 
@@ -159,9 +160,9 @@ def test_overlaps_take_the_lowest_polygon(spark, max_rows):
     layer = spark.createDataFrame([square(2, "two", 0, 0), square(1, "one", 0.5, 0.5), square(3, "far", 30, 30)], LAYER)
     points = spark.createDataFrame([(1, 0.25, 0.25), (2, 0.75, 0.75), (3, 1.25, 1.25), (4, 9.0, 9.0), (5, None, 1.0), (6, 1.0, 0.25)],
                                    "id int, longitude double, latitude double")
-    out = spatial.attach_polygon(points, layer, "hit", key=["id"], max_rows=max_rows)
+    out = spatial.attach_polygon(points, layer, "hit", max_rows=max_rows)
     assert rows(out, "id", "hit") == [(1, "two"), (2, "one"), (3, "one"), (4, None), (5, None), (6, None)]
-    touching = spatial.attach_polygon(points, layer, "hit", predicate="intersects", key=["id"], max_rows=max_rows)
+    touching = spatial.attach_polygon(points, layer, "hit", predicate="intersects", max_rows=max_rows)
     assert (6, "two") in rows(touching, "id", "hit")
 
 
@@ -196,7 +197,7 @@ def test_nearest_polygon_ties_and_outside(spark, max_rows):
     layer = spark.createDataFrame([square(2, "b", 1, 0), square(1, "a", -2, 0), square(3, "c", -1.8, 0.2, 0.1)], LAYER)
     points = spark.createDataFrame([(1, 0.0, 0.5), (2, -1.75, 0.25), (3, 50.0, 0.5), (4, None, None), (5, -7.0, -7.0)],
                                    "id int, longitude double, latitude double")
-    out = spatial.attach_nearest_polygon(points, layer, "near", distance="m", key=["id"], max_rows=max_rows)
+    out = spatial.attach_nearest_polygon(points, layer, "near", distance="m", max_rows=max_rows)
     assert rows(out, "id", "near") == [(1, "a"), (2, "a"), (3, "b"), (4, None), (5, "a")]
     assert dict(rows(out, "id", "m"))[2] == 0
 
@@ -206,11 +207,11 @@ def test_sites_around_the_cutoff(spark, literal):
     sites = spark.createDataFrame([("b", 0.0, 0.0), ("a", 0.0, 1.0), ("c", 40.0, 100.0)], "name string, lat double, lon double")
     points = spark.createDataFrame([(1, 0.0, 0.009), (2, 0.0, 0.02), (3, None, 1.0), (4, 0.0, 0.5), (5, 39.0, 100.0)],
                                    "id int, latitude double, longitude double")
-    out = spatial.nearest_site(points, sites, 1500.0, key=["id"], max_listed=literal)
+    out = spatial.nearest_site(points, sites, 1500.0, max_listed=literal)
     got = {r["id"]: (r["site_label"], r["site_distance_m"]) for r in out.collect()}
     assert got[1] == ("b", pytest.approx(1000.7543, abs=1e-3)) and got[2][0] == "none" and got[2][1] > 2000
     assert got[3] == ("none", None) and got[5][1] == pytest.approx(111194.9266, abs=1e-3)
-    zero = spatial.nearest_site(points, sites, 1500.0, null_distance=0.0, key=["id"], max_listed=literal)
+    zero = spatial.nearest_site(points, sites, 1500.0, null_distance=0.0, max_listed=literal)
     assert {r["id"]: r["site_distance_m"] for r in zero.collect()}[3] == 0
 
 
@@ -220,7 +221,7 @@ def test_repair_leaves_known_values(spark):
                                    "id int, longitude double, latitude double, zone int")
     from hourgrid.functions.text import first_number
 
-    out = spatial.repair(points, "zone", F.col("zone").isNull(), layer, ["id"], first_number(F.col("_found")))
+    out = spatial.repair(points, "zone", F.col("zone").isNull(), layer, first_number(F.col("_found")))
     assert rows(out, "id", "zone") == [(1, 4), (2, 7), (3, None), (4, 2)]
     assert out.columns == points.columns
 
@@ -270,8 +271,58 @@ def test_encodings(spark):
     assert rows(encode.label_encode(df, "k")) == [("a", 0), ("b", 1), ("b", 1), (None, -1)]
     hot = encode.one_hot(df, "k", "Kind Of")
     assert hot.columns == ["kind_of_a", "kind_of_b"] and rows(hot) == [(0, 0), (0, 1), (0, 1), (1, 0)]
-    with pytest.raises(ValueError):
-        encode.one_hot(spark.range(10), "id", max_values=5)
+
+
+def test_label_codes_of_many_values(spark):
+    df = spark.range(50_000).select(F.format_string("%08d", 49_999 - F.col("id")).alias("k"))
+    coded = encode.label_encode(df, "k")
+    assert coded.where(F.col("k").cast("int") != F.col("k_code")).count() == 0 and coded.count() == 50_000
+
+
+ODD_POINTS = [(7, 1.5, 0.5), (7, 5.5, 5.5), (None, 5.5, 5.5), (None, None, 1.0), (9, 100.0, 50.0), (9, 1.5, 0.5), (None, 0.0, 0.0)]
+
+
+def test_both_spatial_paths_agree_on_odd_points(spark, monkeypatch):
+    """Repeated and missing ids, missing coordinates, copies of a place, a ring of one point."""
+    points = spark.createDataFrame(ODD_POINTS, "id int, longitude double, latitude double").withColumn("m", F.create_map(F.lit(1), F.lit(2)))
+    point = [{"x": 0.0, "y": 0.0}]
+    layer = spark.createDataFrame([(i, n, [*r, point]) for i, n, r in (
+        square(1, "one", 1.0, 0.0), square(2, "two", 5.0, 5.0), square(3, "three", 5.0, 5.0))], LAYER)
+    columns = ("id", "longitude", "latitude", "hit")
+    for predicate in ("within", "intersects"):
+        small, large = (spatial.attach_polygon(points, layer, "hit", predicate=predicate, max_rows=n) for n in (1000, 1))
+        assert rows(small, *columns) == rows(large, *columns)
+        assert [r[3] for r in rows(large, *columns) if r[1] == 5.5] == ["two", "two"]
+    small, large = (spatial.attach_nearest_polygon(points, layer, "hit", distance="d", max_rows=n).withColumn("d", F.round("d", 6)) for n in (1000, 1))
+    assert rows(small, *columns, "d") == rows(large, *columns, "d") and large.count() == len(ODD_POINTS)
+
+
+def test_both_site_paths_agree_on_ties(spark):
+    points = spark.createDataFrame(ODD_POINTS, "id int, longitude double, latitude double")
+    sites = spark.createDataFrame([(f"s{i:02}", 1.0, 1.0) for i in range(20)] + [("far", 40.0, 90.0), ("none", None, 1.0), (None, 0.0, 0.0)],
+                                  "name string, lat double, lon double")
+    small, large = (spatial.nearest_site(points, sites, 1e9, max_listed=n) for n in (500, 1))
+    assert rows(small) == rows(large) and {r[3] for r in rows(small)} == {"s00", "far", "none"}
+
+
+def test_rows_without_coordinates_have_no_cell(spark):
+    df = spark.createDataFrame([(1, None, None), (2, None, 33.0), (3, -84.0, 33.0)], "id int, longitude double, latitude double")
+    assert [r["grid_id"] is None for r in density.grid_cells(df).orderBy("id").collect()] == [True, True, False]
+
+
+def test_hours_do_not_depend_on_the_session_zone(spark):
+    df = spark.createDataFrame([(datetime(2024, 3, 10, h),) for h in range(5)], "t timestamp_ntz")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        out = df.select(calendar.hour_index(F.col("t")).alias("i"), calendar.floor_hour(F.col("t") + F.expr("interval 59 minutes")).alias("f"), "t").collect()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert [r["i"] - out[0]["i"] for r in out] == [0, 1, 2, 3, 4] and all(r["f"] == r["t"] for r in out)
+
+
+def test_doubles_stay_where_floats_would_move_them(spark):
+    df = spark.createDataFrame([(1.5, 123456789.123, 1e300, float("nan")), (None, 0.0, 1.0, 1.0)], "a double, b double, c double, d double")
+    assert dict(shape.narrow_types(df).dtypes) == {"a": "float", "b": "double", "c": "double", "d": "float"}
 
 
 def test_density_and_average_keep_rows(spark):

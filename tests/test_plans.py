@@ -73,6 +73,18 @@ def test_enrichment_keeps_located_rows(raw, dims):
     assert out.count() == located == 601
 
 
+def test_quoted_csv(spark, tmp_path):
+    (tmp_path / "a.csv").write_text('id,text,kind\n1,"say ""hi"", ok",q\n2,"two\nlines",r\n3,back\\slash,s\n')
+    for i in range(30):
+        (tmp_path / f"more{i}.csv").write_text(f"id,text\n{100 + i},plain\n")
+    (tmp_path / "empty.csv").write_text("")
+    got = {r["id"]: (r["text"], r["kind"]) for r in files.read_csv_folder(spark, str(tmp_path)).collect()}
+    assert len(got) == 33 and got["1"] == ('say "hi", ok', "q") and got["2"] == ("two\nlines", "r") and got["3"] == ("back\\slash", "s")
+    assert got["129"] == ("plain", None)
+    files.write_csv(spark.createDataFrame([('a "b", c', "x\ny")], "p string, q string"), str(tmp_path / "out"))
+    assert [tuple(r) for r in files.read_any(spark, str(tmp_path / "out")).collect()] == [('a "b", c', "x\ny")]
+
+
 def test_csv_folder_of_two_widths(spark, tmp_path):
     (tmp_path / "b.csv").write_text("IncidentNumber,Offense\n2,second\n1,again\n")
     (tmp_path / "a.csv").write_text("Offense,IncidentNumber,Extra Col\nfirst,1,x\n")
