@@ -150,13 +150,15 @@ def jn6_cells(t):
 
 
 @query("jn6_nearest_polygon_name", """
-    SELECT incident_number, coalesce(arg_min(p.name, p.poly_id), 'none') AS area_shape FROM incidents
-    LEFT JOIN areas p ON longitude > p.west AND longitude < p.east AND latitude > p.south AND latitude < p.north
-    GROUP BY 1 HAVING count(p.name) = 1""", ("incidents", "areas"))
+    WITH m AS (SELECT poly_id, name, west, east, south, north, 6378137.0::DOUBLE * radians(west) AS w, 6378137.0::DOUBLE * radians(east) AS e,
+        6378137.0::DOUBLE * ln(tan(pi() / 4 + radians(south) / 2)) AS s, 6378137.0::DOUBLE * ln(tan(pi() / 4 + radians(north) / 2)) AS n FROM patches),
+    pts AS (SELECT incident_number, 6378137.0::DOUBLE * radians(longitude) AS x,
+        6378137.0::DOUBLE * ln(tan(pi() / 4 + radians(latitude) / 2)) AS y FROM incidents),
+    d AS (SELECT incident_number, name, poly_id, sqrt(pow(greatest(w - x, x - e, 0), 2) + pow(greatest(s - y, y - n, 0), 2)) AS d FROM pts, m)
+    SELECT incident_number, arg_min(name, {'d': round(d, 6), 'id': poly_id}) AS area_shape FROM d GROUP BY 1""", ("incidents", "patches"))
 def jn6_name(t):
-    out = spatial.attach_nearest_polygon(t.incidents, t.areas, "area_shape")
-    inside = spatial.attach_polygon(out, t.areas, "holder").where("holder IS NOT NULL")
-    return inside.select("incident_number", "area_shape")
+    """Inside, on the border or outside: every point has a nearest patch."""
+    return spatial.attach_nearest_polygon(t.incidents, t.patches, "area_shape").select("incident_number", "area_shape")
 
 
 def site_sql(sites: str) -> str:

@@ -442,9 +442,9 @@ def ded2(t):
     return first.select("o_orderkey", "l_linenumber", "l_partkey")
 
 
-@query("smp1_sample_rows")
+@query("smp1_sample_rows", "SELECT incident_number, report_date, area FROM incidents ORDER BY md5('42|' || incident_number) LIMIT 1000", ("incidents",))
 def smp1(t):
-    return dedupe.sample_rows(t.incidents, 1000, ["incident_number"]).orderBy("report_date")
+    return dedupe.sample_rows(t.incidents, 1000, ["incident_number"]).select("incident_number", "report_date", "area")
 
 
 @query("set1_union_all", "SELECT event_id, event_type, 1 AS part FROM events UNION ALL SELECT event_id, NULL, 2 FROM events")

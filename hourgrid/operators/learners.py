@@ -252,7 +252,7 @@ def fourier_features(series: DataFrame, ts: str = "hour_ts",
                      seasons: dict[str, tuple[float, int]] | None = None) -> tuple[DataFrame, list[str]]:
     """Trend and sine/cosine pairs for the yearly, weekly and daily seasons of an hourly series."""
     # Season length in hours and number of pairs.
-    seasons = seasons or {"year": (365.25 * 24, 10), "week": (7 * 24.0, 3), "day": (24.0, 4)}
+    seasons = seasons if seasons is not None else {"year": (365.25 * 24, 10), "week": (7 * 24.0, 3), "day": (24.0, 4)}
     hour = hour_index(F.col(ts))
     columns: dict[str, Column] = {"trend": hour / F.lit(365.25 * 24)}
     for name, (period, pairs) in seasons.items():
@@ -261,12 +261,13 @@ def fourier_features(series: DataFrame, ts: str = "hour_ts",
     return series.withColumns(columns), list(columns)
 
 
-def seasonal_trend(series: DataFrame, y: str, cutoff: str, ts: str = "hour_ts") -> DataFrame:
+def seasonal_trend(series: DataFrame, y: str, cutoff: str, ts: str = "hour_ts",
+                   seasons: dict[str, tuple[float, int]] | None = None, ridge: float = 1e-3) -> DataFrame:
     """City-wide seasonal regression fitted before the cutoff, clipped predictions after it."""
-    featured, names = fourier_features(series, ts)
+    featured, names = fourier_features(series, ts, seasons)
     base = assemble(featured, names).select(ts, F.col(y).cast("double").alias("actual"), FEATURES)
     train, test = time_split(base, cutoff, ts)
-    model = LinearRegression(regParam=1e-3, **_common("actual")).fit(train)
+    model = LinearRegression(regParam=ridge, **_common("actual")).fit(train)
     return clipped(model.transform(test)).drop(FEATURES)
 
 
