@@ -48,6 +48,19 @@ def src3(t):
     return files.read_panel(t.spark, path)
 
 
+ODD_TEXT = "o_orderpriority || ', \"' || o_orderstatus || '\"' || chr(10) || 'line ' || o_orderkey % 7 || ' \\ end'"
+
+
+@query("src1_quoted_csv", f"SELECT CAST(o_orderkey AS VARCHAR) AS key, {ODD_TEXT} AS note, o_orderstatus AS kind FROM orders")
+def src1_quoted(t):
+    """Commas, doubled quotes, backslashes and line breaks inside fields, in many small files."""
+    note = F.concat("o_orderpriority", F.lit(', "'), "o_orderstatus", F.lit('"\n'), F.lit("line "), (F.col("o_orderkey") % 7).cast("string"), F.lit(" \\ end"))
+    folder = scratch(t.spark, "csv")
+    rows = t.read("orders").select(F.col("o_orderkey").cast("string").alias("key"), note.alias("note"), F.col("o_orderstatus").alias("kind"))
+    files.write_csv(rows.repartition(200, "key"), folder)
+    return files.read_csv_folder(t.spark, folder).select("key", "note", "kind")
+
+
 @query("src4_parquet_or_csv", "SELECT n_nationkey, n_name, 'csv' AS kind FROM nation UNION ALL SELECT n_nationkey, n_name, 'parquet' FROM nation")
 def src4(t):
     base = scratch(t.spark, "any")

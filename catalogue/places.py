@@ -149,13 +149,18 @@ def jn6_cells(t):
     return out.select("incident_number", F.round("metres", 4).alias("metres"))
 
 
-@query("jn6_nearest_polygon_name", """
-    WITH m AS (SELECT poly_id, name, west, east, south, north, 6378137.0::DOUBLE * radians(west) AS w, 6378137.0::DOUBLE * radians(east) AS e,
-        6378137.0::DOUBLE * ln(tan(pi() / 4 + radians(south) / 2)) AS s, 6378137.0::DOUBLE * ln(tan(pi() / 4 + radians(north) / 2)) AS n FROM patches),
+def nearest_sql(layer: str, out: str) -> str:
+    """Nearest box of a layer for every point, the lowest poly_id on ties to the micrometre."""
+    return f"""
+    WITH m AS (SELECT poly_id, name, 6378137.0::DOUBLE * radians(west) AS w, 6378137.0::DOUBLE * radians(east) AS e,
+        6378137.0::DOUBLE * ln(tan(pi() / 4 + radians(south) / 2)) AS s, 6378137.0::DOUBLE * ln(tan(pi() / 4 + radians(north) / 2)) AS n FROM {layer}),
     pts AS (SELECT incident_number, 6378137.0::DOUBLE * radians(longitude) AS x,
         6378137.0::DOUBLE * ln(tan(pi() / 4 + radians(latitude) / 2)) AS y FROM incidents),
     d AS (SELECT incident_number, name, poly_id, sqrt(pow(greatest(w - x, x - e, 0), 2) + pow(greatest(s - y, y - n, 0), 2)) AS d FROM pts, m)
-    SELECT incident_number, arg_min(name, {'d': round(d, 6), 'id': poly_id}) AS area_shape FROM d GROUP BY 1""", ("incidents", "patches"))
+    SELECT incident_number, arg_min(name, {{'d': round(d, 6), 'id': poly_id}}) AS {out} FROM d GROUP BY 1"""
+
+
+@query("jn6_nearest_polygon_name", nearest_sql("patches", "area_shape"), ("incidents", "patches"))
 def jn6_name(t):
     """Inside, on the border or outside: every point has a nearest patch."""
     return spatial.attach_nearest_polygon(t.incidents, t.patches, "area_shape").select("incident_number", "area_shape")
@@ -264,14 +269,14 @@ def jn15(t):
 
 
 @query("grd5_spatial_features", f"""
-    SELECT i.incident_number, i.area AS area_raw, upper(f.found) AS area, zone
-    FROM incidents i JOIN ({holder_sql('areas', INSIDE, 'found')}) f USING (incident_number)
-    JOIN ({holder_sql('zones', INSIDE, 'zone')}) z USING (incident_number) WHERE found IS NOT NULL""",
-       ("incidents", "areas", "zones"))
+    SELECT i.incident_number, i.area AS area_raw, upper(f.near) AS area, zone
+    FROM incidents i JOIN ({nearest_sql('patches', 'near')}) f USING (incident_number)
+    JOIN ({holder_sql('zones', INSIDE, 'zone')}) z USING (incident_number)""", ("incidents", "patches", "zones"))
 def grd5(t):
+    """All points: those in no patch get the nearest one."""
     rows = t.incidents.withColumnRenamed("area", "area_raw")
-    out = spatial.spatial_features(rows, t.areas, {"zone": t.zones, "strict": t.areas}, {})
-    return out.where("strict IS NOT NULL").select("incident_number", "area_raw", "area", "zone")
+    out = spatial.spatial_features(rows, t.patches, {"zone": t.zones}, {})
+    return out.select("incident_number", "area_raw", "area", "zone")
 
 
 @query("jn10_zone_mode_fill", """
