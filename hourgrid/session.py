@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -25,21 +24,43 @@ def configure(spark: SparkSession) -> SparkSession:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The cluster's checkpoint folder; a temporary one only on a local master."""
+    """This session's folder below ``spark.checkpoint.dir``, or below the warehouse where that is unset.
+
+    Both are places that all executors reach. The folder goes when the session's JVM ends in order, or by
+    ``cleanup``; a session that is killed leaves it behind.
+    """
     context = spark.sparkContext
-    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
-    if folder is None:
-        if not context.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
-        folder = tempfile.mkdtemp(prefix="hourgrid-")
+    parent = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir() or spark.conf.get("spark.sql.warehouse.dir")
+    folder = f"{parent.rstrip('/')}/hourgrid-{context.applicationId}"
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(folder)
+    if _CLEANED.get(context.applicationId) != folder:
+        _CLEANED[context.applicationId] = folder
+        system, path = _place(spark, folder)
+        system.mkdirs(path)
+        system.deleteOnExit(path)
     return folder
 
 
+_CLEANED: dict[str, str] = {}
+
+
+def _place(spark: SparkSession, folder: str):
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), path
+
+
+def cleanup(spark: SparkSession) -> None:
+    """Delete this session's intermediate tables; frames that still read them cannot be used any more."""
+    folder = _CLEANED.pop(spark.sparkContext.applicationId, None)
+    if folder:
+        system, path = _place(spark, folder)
+        system.delete(path, True)
+
+
 def scratch(spark: SparkSession, label: str) -> str:
     """A fresh path for one intermediate table."""
-    return f"{shared_folder(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
 
 
 def materialise(df: DataFrame, label: str = "table") -> DataFrame:
