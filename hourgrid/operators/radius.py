@@ -7,7 +7,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from hourgrid.functions import geo
-from hourgrid.operators.lookup import SALTS, lookup, lookup_counted, salt
+from hourgrid.operators.lookup import lookup, lookup_counted
 from hourgrid.session import materialise
 
 # One mile and a week.
@@ -53,7 +53,8 @@ def radius_count(df: DataFrame, ts: str = "report_date", radius_m: float = RADIU
 
     Incidents are counted per (place, day) first, so copies of one place weigh nothing.
     Cells an eighth of the radius wide split the disc: cells wholly inside add their
-    daily sums, cell by cell; only places of cells on the rim are compared one by one.
+    daily sums, cell by cell; only places of cells on the rim are compared one by one, and
+    only within the two blocks of ``days`` days that a window can touch.
     """
     placed = df.withColumns({"_lat": F.col(lat), "_lon": F.col(lon), "_day": F.col(ts).cast("date")})
     known = placed.where("_lat IS NOT NULL AND _lon IS NOT NULL AND _day IS NOT NULL")
@@ -92,16 +93,13 @@ def radius_count(df: DataFrame, ts: str = "report_date", radius_m: float = RADIU
     asked_cells = cell_days.select("_cy", "_cx", "_day", F.lit(0).cast("long").alias("_v"), F.lit(True).alias("_asked"))
     by_cell = _recent(inner.unionByName(asked_cells), ["_cy", "_cx"], days).withColumnRenamed("_sum", "_in")
 
-    places = cells.select("_lat", "_lon", "_cy", "_cx").distinct()
-    rim = (
-        around(places, False)
-        .select(F.col("_lat").alias("_alat"), F.col("_lon").alias("_alon"), (row + up).alias("_cy"),
-                (F.col("_cx") + side).alias("_cx"))
-        .withColumn("_salt", salt(["_alat", "_alon"], SALTS))
-    )
-    others = cells.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    block = F.floor(F.datediff("_day", F.lit("1970-01-01").cast("date")) / days)
+    places = cells.select("_lat", "_lon", "_cy", "_cx", F.explode(F.array(block, block - 1)).alias("_block")).distinct()
+    rim = around(places, False).select(
+        F.col("_lat").alias("_alat"), F.col("_lon").alias("_alon"), (row + up).alias("_cy"),
+        (F.col("_cx") + side).alias("_cx"), "_block")
     distance = geo.haversine_m(F.col("_alat"), F.col("_alon"), F.col("_lat"), F.col("_lon"))
-    rim_days = rim.join(others, ["_cy", "_cx", "_salt"]).where(distance <= radius_m).select(
+    rim_days = rim.join(cells.withColumn("_block", block), ["_cy", "_cx", "_block"]).where(distance <= radius_m).select(
         F.col("_alat").alias("_lat"), F.col("_alon").alias("_lon"), "_day", F.col("_n").alias("_v"),
         F.lit(False).alias("_asked"))
     asked = daily.select("_lat", "_lon", "_day", F.lit(0).cast("long").alias("_v"), F.lit(True).alias("_asked"))
