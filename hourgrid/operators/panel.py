@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from hourgrid.functions.calendar import cyclic, floor_hour, hour_index, hours_later
 from hourgrid.operators import windows
 from hourgrid.operators.shape import fill_by_type
+from hourgrid.session import materialise
 
 # Panel columns averaged per (area, hour), columns taken by mode, flags,
 # and the mean/first/max recipe.
@@ -113,15 +114,17 @@ def dense_counts(df: DataFrame, area: str = "area", ts: str = "report_date", cou
                  start: datetime | None = None, end: datetime | None = None) -> DataFrame:
     """Counts on the full area × hour grid, zeros included.
 
-    Grid rows enter the same aggregation as the incidents with weight 0, so the
-    densification is one partial aggregation instead of a join.
+    Incidents are scanned once, into a table of counts per (area, hour); areas and range come
+    from it. Grid rows enter the same aggregation with weight 0, so the densification is one
+    partial aggregation instead of a join.
     """
-    rows = df.select(F.col(area), floor_hour(F.col(ts)).alias("hour_ts")).dropna()
+    rows = materialise(df.select(F.col(area), floor_hour(F.col(ts)).alias("hour_ts")).dropna()
+                       .groupBy(area, "hour_ts").agg(F.count(F.lit(1)).alias("_w")), "hour-counts")
     lo = F.lit(start).cast("timestamp_ntz") if start else rows.agg(F.min("hour_ts").alias("lo")).scalar()
     hi = F.lit(end).cast("timestamp_ntz") if end else rows.agg(F.max("hour_ts").alias("hi")).scalar()
     grid = hour_grid(rows.select(area).distinct(), lo, hi, area)
     return (
-        rows.withColumn("_w", F.lit(1)).unionByName(grid.withColumn("_w", F.lit(0)))
+        rows.unionByName(grid.withColumn("_w", F.lit(0).cast("long")))
         .groupBy(area, "hour_ts").agg(F.sum("_w").alias(count))
     )
 
@@ -132,8 +135,10 @@ def dense_panel(panel: DataFrame, area: str = "area", fill: str = "zero",
 
     ``zero`` fills every feature of an empty hour with 0 or a marker, which tells the
     target apart; ``rejoin`` takes the columns of ``hourly`` (unique on hour_ts) for
-    all hours and fills only the rest.
+    all hours and fills only the rest. The panel is written once, as its areas, its range and
+    its rows are all needed.
     """
+    panel = materialise(panel, "sparse-panel")
     lo = panel.agg(F.min("hour_ts").alias("lo")).scalar()
     hi = panel.agg(F.max("hour_ts").alias("hi")).scalar()
     grid = hour_grid(panel.select(area).distinct(), lo, hi, area)

@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+import math
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from hourgrid.functions.calendar import floor_hour, local_hour
+from hourgrid.operators.encode import RANGES
 from hourgrid.operators.lookup import lookup, unique_by
+from hourgrid.session import materialise
 
 # Quantiles and thresholds of the flags.
 HOT_QUANTILE, COLD_QUANTILE = 0.85, 0.15
@@ -38,21 +43,45 @@ def merge_weather(df: DataFrame, hourly: DataFrame | None = None, daily: DataFra
     return out.drop("_hour", "_date")
 
 
-def quantile_over_incidents(df: DataFrame, value: str, q: float) -> Column:
-    """Exact interpolated quantile over rows as a scalar.
+def quantiles(df: DataFrame, value: str, shares: Sequence[float]) -> list[float | None]:
+    """Exact interpolated quantiles over rows, none without values; one scan for all of them.
 
-    The rows are counted per distinct value first: a weather value is shared by all
-    incidents of its hour, so the final step holds at most one entry per hour.
+    Rows are counted per distinct value, the values are split into sorted ranges, and only the
+    ranges that hold a wanted rank are looked into, each by a task of its own.
     """
     counted = df.where(F.col(value).isNotNull()).groupBy(value).agg(F.count(F.lit(1)).alias("_n"))
-    return counted.agg(F.percentile(F.col(value), F.lit(q), F.col("_n")).alias("q")).scalar()
+    ranged = materialise(counted.repartitionByRange(RANGES, value).withColumn("_range", F.spark_partition_id()), "values")
+    sizes = sorted(tuple(r) for r in ranged.groupBy("_range").agg(F.sum("_n")).collect())
+    total = sum(n for _, n in sizes)
+    if not total:
+        return [None] * len(shares)
+    places = {}  # rank -> its range and its rank there
+    for rank in {f((total - 1) * q) for q in shares for f in (math.floor, math.ceil)}:
+        before = 0
+        for part, n in sizes:
+            if rank < before + n:
+                places[rank] = (part, rank - before)
+                break
+            before += n
+    upto = F.sum("_n").over(Window.partitionBy("_range").orderBy(value))
+    within = ranged.where(F.col("_range").isin(sorted({p for p, _ in places.values()}))).withColumn("_upto", upto)
+    row = within.agg(*[F.min(F.when((F.col("_range") == p) & (F.col("_upto") > r), F.col(value).cast("double"))).alias(f"r{rank}")
+                       for rank, (p, r) in places.items()]).first()
+
+    def at(q: float) -> float:
+        place = (total - 1) * q
+        low, high = row[f"r{math.floor(place)}"], row[f"r{math.ceil(place)}"]
+        return low + (place - math.floor(place)) * (high - low)
+    return [at(q) for q in shares]
 
 
 def weather_flags(df: DataFrame, temp: str = "temp_f", precip: str = "precip_in", rain: float = RAIN_IN,
                   hot: float | Column | None = None, cold: float | Column | None = None) -> DataFrame:
     """is_raining, is_hot, is_cold; hot and cold default to quantiles over the incidents."""
-    hot = quantile_over_incidents(df, temp, HOT_QUANTILE) if hot is None else hot
-    cold = quantile_over_incidents(df, temp, COLD_QUANTILE) if cold is None else cold
+    if hot is None or cold is None:
+        found = quantiles(df, temp, [HOT_QUANTILE, COLD_QUANTILE])
+        hot = F.lit(found[0]).cast("double") if hot is None else hot
+        cold = F.lit(found[1]).cast("double") if cold is None else cold
 
     def flag(cond: Column) -> Column:
         return F.coalesce(cond, F.lit(False)).cast("int")
