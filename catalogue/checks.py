@@ -83,14 +83,20 @@ def top1(t):
     return quality.missingness(gappy(t)).select("column", "missing").orderBy(F.desc("missing"), "column").limit(2)
 
 
-@query("dq5_required_columns", "SELECT area, hour_ts, n FROM counts", ("counts",))
+@query("dq5_required_columns", """
+    WITH d AS (SELECT column_name, CASE column_type WHEN 'BIGINT' THEN 'bigint' WHEN 'VARCHAR' THEN 'string' WHEN 'DOUBLE' THEN 'double' END AS type
+        FROM (DESCRIBE SELECT event_id, event_type, "value" FROM events)),
+    r AS (SELECT unnest(['event_id', 'event_type', 'value', 'station']) AS "column")
+    SELECT "column", type, CASE WHEN type IS NULL THEN 'FAIL' ELSE 'PASS' END AS status FROM r LEFT JOIN d ON "column" = column_name""")
 def dq5(t):
-    return shape.require_columns(t.counts, ["area", "hour_ts", "n"])
+    events = shape.require_columns(t.read("events"), ["event_id", "event_type"])
+    return quality.schema_report(events, ["event_id", "event_type", "value", "station"])
 
 
-@query("dq6_completeness", "SELECT area, hour_ts, n FROM counts", ("counts",))
+@query("dq6_completeness", f"""
+    SELECT *, CASE WHEN pct > 10 THEN 'FAIL' ELSE 'PASS' END AS status FROM ({missing_sql(f'({GAPPY})', GAP_COLUMNS)})""")
 def dq6(t):
-    return quality.validate_completeness(t.counts, columns=["n", "hour_ts"])
+    return quality.completeness_report(gappy(t), columns=GAP_COLUMNS).withColumn("pct", F.round("pct", 6))
 
 
 @query("dq7_time_range", """

@@ -143,3 +143,32 @@ def srv3(t):
     learners.save_model(PipelineModel([fitted]), {"best_model": "linear", "features": ["lag_24"]}, path, t.spark)
     return learners.score_rows(test.select("area", "hour_ts", "lag_24"), path).select(
         "area", "hour_ts", F.round("predicted", 5).alias("predicted"))
+
+
+@query("cv4_simple_split", f"""
+    WITH {LAGGED}, f AS (SELECT regr_slope(n, lag_24) AS b, regr_intercept(n, lag_24) AS a, avg(n) AS m FROM k WHERE {BEFORE}),
+    predictions AS (SELECT 'linear' AS model, n, a + b * lag_24 AS predicted FROM k, f WHERE {AFTER} UNION ALL SELECT 'mean', n, m FROM k, f WHERE {AFTER})
+    SELECT model, round(mae, 5) AS mae, round(rmse, 5) AS rmse, round(r2, 5) AS r2, test_size
+    FROM (SELECT model, {SCORES}, count(*) AS test_size FROM predictions GROUP BY 1)""", ("dense",))
+def cv4(t):
+    rows = learners.simple_split(lagged(t), {"mean": learners.MeanRegressor, "linear": learners.linear}, "n", ["lag_24"], CUTOFF)
+    return rounded(evaluate.score(rows, ["model"]).drop("mape"), 5)
+
+
+@query("cv7_refit_best", f"""
+    WITH {FOLD_FITS},
+    p AS (SELECT fold, n, lag_24, base, slope, m FROM k JOIN fit ON hour_ts >= start AND hour_ts < stop),
+    predictions AS (SELECT 'linear' AS model, fold, n, base + slope * lag_24 AS predicted FROM p UNION ALL SELECT 'mean', fold, n, m FROM p),
+    best AS (SELECT arg_max(model, r2) AS model FROM (
+        SELECT model, avg(r2) AS r2 FROM (SELECT model, fold, {SCORES} FROM predictions GROUP BY 1, 2) GROUP BY 1)),
+    f AS (SELECT regr_slope(n, lag_24) AS slope, regr_intercept(n, lag_24) AS base, avg(n) AS m FROM k)
+    SELECT area, hour_ts, model AS best_model, round(CASE model WHEN 'mean' THEN m ELSE base + slope * lag_24 END, 5) AS predicted
+    FROM k, f, best""", ("dense",))
+def cv7_refit(t):
+    """The best model of the board, fitted on all rows, saved, loaded and used."""
+    rows, path = materialise(lagged(t)), scratch(t.spark, "model")
+    makers = {"mean": learners.MeanRegressor, "linear": learners.linear}
+    run = learners.run_dataset(rows, "dense", "n", ["lag_24"], makers, FOLDS, CUTOFF)
+    best = learners.refit_best(rows, evaluate.leaderboard(run["fold_metrics"]), "n", ["lag_24"], path, "dense", makers)
+    return learners.score_rows(rows.select("area", "hour_ts", "lag_24"), path).select(
+        "area", "hour_ts", F.lit(best).alias("best_model"), F.round("predicted", 5).alias("predicted"))

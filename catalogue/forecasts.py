@@ -314,6 +314,30 @@ def srv2(t):
     return report.list_models(board.select(F.lit("dense").alias("dataset"), "model", F.round("mean_r2", 6).alias("cv_mean_r2")))
 
 
+def cards(t):
+    """Two data sets of one board, with the features of each model."""
+    board = evaluate.leaderboard(fold_scores(t)).select("model", F.round("mean_r2", 6).alias("cv_mean_r2"))
+    return board.select(F.explode(F.array(F.lit("dense"), F.lit("other"))).alias("dataset"), "model", "cv_mean_r2",
+                        F.array(F.lit("area"), F.concat(F.lit("needs_"), "model")).alias("features")).where("dataset = 'dense' OR model <> 'weekly'")
+
+
+CARDS = f"""{BASE}, {ALL_PREDICTIONS}, {FOLD_SCORES}, {LEADERBOARD},
+    cards AS (SELECT * FROM (SELECT unnest(['dense', 'other']) AS dataset, model, round(mean_r2, 6) AS cv_mean_r2 FROM board)
+        WHERE dataset = 'dense' OR model <> 'weekly')"""
+
+
+@query("srv2_best_per_dataset", f"""
+    WITH {CARDS} SELECT dataset, arg_max(model, cv_mean_r2) AS model, max(cv_mean_r2) AS cv_mean_r2 FROM cards GROUP BY 1""", ("dense",))
+def srv2_best(t):
+    return report.best_per_dataset(cards(t))
+
+
+@query("srv2_required_features", f"""
+    WITH {CARDS} SELECT DISTINCT unnest(['area', 'needs_' || model]) AS feature FROM cards WHERE dataset = 'other'""", ("dense",))
+def srv2_features(t):
+    return report.required_features(cards(t), "other")
+
+
 @query("srv4_actual_vs_predicted", f"""
     WITH {BASE}, {ALL_PREDICTIONS}, {SERVED} SELECT hour_ts, actual, predicted FROM served WHERE model = 'last' AND area = 'D'
     ORDER BY hour_ts""", ("dense",))

@@ -86,7 +86,7 @@ def mod9(t):
 def mod10(t):
     frame = learners.assemble(supervised(t), FEATURES)
     train, test = evaluate.time_split(frame, CUTOFF)
-    model = learners.zero_inflated_poisson(train, "crime_count", rounds=8)
+    model = learners.zero_inflated_poisson(train, "crime_count")
     return evaluate.score(model.transform(test), y="crime_count")
 
 

@@ -99,6 +99,14 @@ def src5(t):
     return weather.hourly_series(t.read("orders").select("o_orderkey", epoch.alias("epoch")), "epoch", "America/New_York")
 
 
+@query("src5_local_days", """
+    SELECT o_orderkey, CAST(TIMESTAMP '2023-11-05 00:00:00' + to_hours(CAST(o_orderkey % 480 AS INTEGER))
+        - to_hours(CASE WHEN o_orderkey % 480 < 6 THEN 4 ELSE 5 END) AS DATE) AS date FROM orders""")
+def src5_days(t):
+    epoch = F.lit(1699142400) + (F.col("o_orderkey") % 480) * 3600
+    return weather.daily_series(t.read("orders").select("o_orderkey", epoch.alias("epoch")), "epoch", "America/New_York")
+
+
 INSIDE = "longitude > p.west AND longitude < p.east AND latitude > p.south AND latitude < p.north"
 TOUCHING = "longitude >= p.west AND longitude <= p.east AND latitude >= p.south AND latitude <= p.north"
 
@@ -195,12 +203,7 @@ def jn7_cells(t):
            CAST(site_label = 'site_0' AS INTEGER) AS near_site_0, CAST(site_label = 'site_3' AS INTEGER) AS near_site_3
     FROM ({SITE_SQL})""", ("incidents", "sites"))
 def grd4(t):
-    from hourgrid.operators.encode import indicators
-
-    out = spatial.nearest_site(t.incidents, t.sites, CUTOFF_M, null_distance=0.0)
-    codes = {f"site_{i}": i + 1 for i in range(25)}
-    out = out.withColumn("site_code", text.map_values(F.col("site_label"), codes, 0))
-    out = indicators(out, "site_label", ["site_0", "site_3"])
+    out = spatial.site_features(t.incidents, t.sites, CUTOFF_M, {f"site_{i}": i + 1 for i in range(25)})
     return out.select("incident_number", "site_label", "site_distance_m",
                       "site_code", "near_site_0", "near_site_3")
 

@@ -11,15 +11,17 @@ from pyspark.ml import Estimator, PipelineModel, Transformer
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
+from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.regression import (
     GBTRegressor, GeneralizedLinearRegression, LinearRegression, RandomForestRegressor,
 )
+from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import Column, DataFrame, functions as F
 
 from hourgrid.functions.calendar import MODEL_BLOCK_LABELS, cyclic, hour_block, hour_index
 from hourgrid.operators import windows
 from hourgrid.operators.encode import label_encode
-from hourgrid.operators.evaluate import FOLDS, Folds, fold_rows, score, time_split
+from hourgrid.operators.evaluate import FOLDS, Folds, best_model, fold_rows, score, time_split
 from hourgrid.operators.shape import require_columns
 from hourgrid.session import materialise
 
@@ -33,15 +35,17 @@ DAY_NUMBERS = {
 ZERO_WHEN_MISSING = ("grid_density_7d", "area_avg_30d", "site_distance_m", "location_type_count")
 
 
-class MeanModel(Transformer):
-    """Predicts one constant."""
+class MeanModel(Transformer, DefaultParamsReadable, DefaultParamsWritable):
+    """Predicts one constant; can be saved and loaded like any other model."""
 
-    def __init__(self, value: float):
+    value = Param(Params._dummy(), "value", "the prediction", TypeConverters.toFloat)
+
+    def __init__(self, value: float = 0.0):
         super().__init__()
-        self.value = value
+        self._set(value=value)
 
     def _transform(self, dataset: DataFrame) -> DataFrame:
-        return dataset.withColumn(PREDICTED, F.lit(self.value))
+        return dataset.withColumn(PREDICTED, F.lit(self.getOrDefault(self.value)))
 
 
 class MeanRegressor(Estimator):
@@ -297,6 +301,17 @@ def save_model(model: PipelineModel, metadata: dict, path: str, spark) -> None:
     spark.createDataFrame([metadata]).coalesce(1).write.mode("overwrite").json(f"{path}/metadata")
 
 
+def refit_best(df: DataFrame, board: DataFrame, target: str, features: Sequence[str], path: str, dataset: str,
+               makers: dict[str, Callable[[str], Estimator]] | None = None) -> str:
+    """Fit the model with the best mean R² of ``board`` on all rows, save it with its metadata; its name."""
+    best = best_model(board).first()["best_model"]
+    rows = materialise(assemble(df, features).select(F.col(target).cast("double").alias("label"), FEATURES), "all-rows")
+    fitted = (makers or ZOO)[best]("label").fit(rows)
+    save_model(PipelineModel([fitted]), {"dataset": dataset, "best_model": best, "n_rows": rows.count(), "features": list(features)},
+               path, df.sparkSession)
+    return best
+
+
 def score_rows(df: DataFrame, path: str) -> DataFrame:
     """Score feature rows with a saved model; missing feature columns raise."""
     features = df.sparkSession.read.json(f"{path}/metadata").first()["features"]

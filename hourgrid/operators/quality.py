@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame, Observation, functions as F
@@ -88,6 +89,20 @@ def panel_report(df: DataFrame, top: int = REPORT_TOP) -> DataFrame:
     return most.unionByName(lags)
 
 
+def schema_report(df: DataFrame, columns: Iterable[str]) -> DataFrame:
+    """(column, type, status) for required columns; type is null where a column is missing."""
+    types = dict(df.dtypes)
+    rows = [(c, types.get(c), "PASS" if c in types else "FAIL") for c in columns]
+    return df.sparkSession.createDataFrame(rows, "column string, type string, status string")
+
+
+def completeness_report(df: DataFrame, max_missing: float = MAX_CRITICAL_MISSING,
+                        columns: Iterable[str] = CRITICAL_COLUMNS) -> DataFrame:
+    """(column, missing, pct, status) for those of the columns that are there."""
+    table = missingness(df, [c for c in columns if c in df.columns])
+    return table.withColumn("status", F.when(F.col("pct") > max_missing * 100, "FAIL").otherwise("PASS"))
+
+
 def validate_schema(df: DataFrame, target: str, require_lags: bool = True,
                     columns: Iterable[str] = PANEL_COLUMNS) -> DataFrame:
     return require_columns(df, [target, *columns, *(PANEL_LAGS if require_lags else ())])
@@ -95,9 +110,8 @@ def validate_schema(df: DataFrame, target: str, require_lags: bool = True,
 
 def validate_completeness(df: DataFrame, max_missing: float = MAX_CRITICAL_MISSING,
                           columns: Iterable[str] = CRITICAL_COLUMNS) -> DataFrame:
-    present = [c for c in columns if c in df.columns]
-    if present:
-        bad = missingness(df, present).where(F.col("pct") > max_missing * 100).collect()
+    if any(c in df.columns for c in columns):
+        bad = completeness_report(df, max_missing, columns).where("status = 'FAIL'").collect()
         if bad:
             raise ValueError(f"too many missing values: {sorted((r['column'], r['pct']) for r in bad)}")
     return df
@@ -216,10 +230,6 @@ def profile(df: DataFrame, ts: str, area: str) -> DataFrame:
         F.min(ts).alias("first_ts"), F.max(ts).alias("last_ts"), F.count_distinct(area).alias("areas"))
 
 
-def column_types(df: DataFrame) -> DataFrame:
-    return df.sparkSession.createDataFrame(list(df.dtypes), "column string, type string")
-
-
 def missing_categories(df: DataFrame, column: str, expected: DataFrame) -> DataFrame:
     """Expected values that never occur."""
     return expected.join(df.select(column).distinct(), column, "left_anti")
@@ -240,7 +250,14 @@ class StepLog:
         self._steps.append((step, seen, len(df.columns)))
         return df.observe(seen, F.count(F.lit(1)).alias("rows"))
 
-    def table(self, spark) -> DataFrame:
+    def table(self, spark, patience_s: float = 20.0) -> DataFrame:
+        """Raises if a watched frame was not computed; counters arrive a moment after the job."""
+        end = time.monotonic() + patience_s
+        for _, seen, _ in self._steps:
+            while not (seen._jo and seen._jo.future().isCompleted()):
+                if time.monotonic() > end:
+                    raise RuntimeError(f"{seen._name} was watched but never computed")
+                time.sleep(0.05)
         rows = [(i, step, seen.get["rows"], width) for i, (step, seen, width) in enumerate(self._steps)]
         return spark.createDataFrame(rows, "position int, step string, rows bigint, columns int")
 

@@ -79,5 +79,18 @@ def list_models(metadata: DataFrame) -> DataFrame:
     return metadata.orderBy(F.desc_nulls_last("cv_mean_r2"), "dataset")
 
 
+def best_per_dataset(metadata: DataFrame) -> DataFrame:
+    """The model with the highest mean R² of each data set, the first name on ties."""
+    from hourgrid.operators.dedupe import first_per_key
+
+    return first_per_key(metadata, ["dataset"], [F.desc_nulls_last("cv_mean_r2"), "model"]).select("dataset", "model", "cv_mean_r2")
+
+
+def required_features(metadata: DataFrame, dataset: str) -> DataFrame:
+    """Features that any model of the data set asks for, sorted."""
+    asked = metadata.where(F.col("dataset") == dataset).select(F.explode("features").alias("feature"))
+    return asked.distinct().orderBy("feature")
+
+
 def distinct_values(df: DataFrame, column: str) -> DataFrame:
     return df.select(column).where(F.col(column).isNotNull()).distinct().orderBy(column)

@@ -8,11 +8,13 @@ from __future__ import annotations
 
 import itertools
 import math
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Row, functions as F
 
 from hourgrid.functions import geo
+from hourgrid.functions.text import map_values
+from hourgrid.operators.encode import categories, indicators
 from hourgrid.operators.lookup import BROADCAST_ROWS, SALTS, lookup, lookup_counted, salt
 from hourgrid.session import materialise
 
@@ -424,6 +426,20 @@ def site_distances(points: DataFrame, sites: DataFrame, prefix: str = "distance_
         for r in rows})
 
 
+def site_features(points: DataFrame, sites: DataFrame, cutoff_m: float, codes: Mapping[str, int] | None = None,
+                  lat: str = "latitude", lon: str = "longitude") -> DataFrame:
+    """site_label, site_distance_m (0 without coordinates), site_code and a flag near_<site> per coded site.
+
+    Sites without a code, and no site at all, have code 0. By default the names are coded from 1 in their
+    order; they become columns, so their number is the caller's choice.
+    """
+    if codes is None:
+        codes = {name: i for i, name in enumerate(categories(sites, "name"), start=1)}
+    out = nearest_site(points, sites, cutoff_m, lat=lat, lon=lon, null_distance=0.0)
+    out = out.withColumn("site_code", map_values(F.col("site_label"), dict(codes), 0) if codes else F.lit(0))
+    return indicators(out, "site_label", list(codes))
+
+
 def repair(points: DataFrame, column: str, missing: Column, layer: DataFrame,
            value: Column | None = None, lon: str = "longitude", lat: str = "latitude",
            predicate: str = "intersects") -> DataFrame:

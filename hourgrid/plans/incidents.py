@@ -40,6 +40,13 @@ def clean(raw: DataFrame, ts: str = "report_date", offense: str = "offense",
     return df.where(F.col(ts).isNotNull()).withColumn("offense_category", text.classify(F.col(offense)))
 
 
+def unique(rows: DataFrame, key: str = "incident_number") -> DataFrame:
+    """First row per incident in file order; rows equal in that are ordered by their content."""
+    order = [c for c in ("source_file", "source_position", "report_date") if c in rows.columns]
+    rest = F.xxhash64(*[c for c, kind in rows.dtypes if c not in order and not kind.startswith("map")])
+    return first_per_key(rows, [key], [*order, rest])
+
+
 def enrich(df: DataFrame, dims: Dimensions, log: quality.StepLog | None = None) -> DataFrame:
     """Labels, calendar, weather, densities and site distance for all incidents.
 
@@ -57,7 +64,7 @@ def enrich(df: DataFrame, dims: Dimensions, log: quality.StepLog | None = None)
         out = weather.weather_flags(out)
     out = step("weather", out)
     out = density.area_average(density.grid_density(out))
-    out = spatial.nearest_site(out, dims.sites, dims.site_cutoff_m, null_distance=0.0)
+    out = spatial.site_features(out, dims.sites, dims.site_cutoff_m)
     return step("features", out)
 
 
@@ -69,10 +76,7 @@ def target_incidents(enriched: DataFrame, offense: str = "offense", key: str = "
         hit = text.matches_any(F.col(offense), terms)
     else:
         hit = text.matches_code(F.col(code_column), codes)
-    rows = enriched.where(hit)
-    order = [c for c in ("source_file", "source_position", "report_date") if c in rows.columns]
-    rest = [F.xxhash64(*[c for c in rows.columns if c not in order])]
-    return finalize(first_per_key(rows, [key], [*order, *rest]))
+    return finalize(unique(enriched.where(hit), key))
 
 
 def panels(incidents: DataFrame, target: str = "incident_count", order: str = "sparse-first",
@@ -100,7 +104,7 @@ def panels(incidents: DataFrame, target: str = "incident_count", order: str = "s
 def run(raw: DataFrame, dims: Dimensions, key: str = "incident_number") -> dict[str, DataFrame]:
     """Raw incidents to all tables, with the check tables after the enrichment."""
     configure(raw.sparkSession)
-    enriched = materialise(enrich(clean(raw), dims))
+    enriched = materialise(enrich(unique(clean(raw), key), dims))
     target = materialise(target_incidents(enriched, key=key))
     return {
         "all_incidents": enriched,
