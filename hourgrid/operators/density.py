@@ -27,11 +27,11 @@ def grid_cells(df: DataFrame, cell_m: float = CELL_M, lon: str = "longitude", la
 
     Rows without coordinates have no cell. One scan finds the corner.
     """
-    corner = grid_bounds(df, lon, lat).select(F.struct("xmin", "ymin").alias("corner")).scalar()
+    corner = grid_bounds(df, lon, lat).first()
     x, y = geo.mercator_x(F.col(lon)), geo.mercator_y(F.col(lat))
     return df.withColumns({
-        "grid_x": geo.cell_index(x, corner["xmin"], cell_m),
-        "grid_y": geo.cell_index(y, corner["ymin"], cell_m),
+        "grid_x": geo.cell_index(x, F.lit(corner["xmin"]).cast("double"), cell_m),
+        "grid_y": geo.cell_index(y, F.lit(corner["ymin"]).cast("double"), cell_m),
     }).withColumn("grid_id", F.concat(F.col("grid_x").cast("string"), F.lit("_"), F.col("grid_y").cast("string")))
 
 

@@ -58,7 +58,7 @@ def test_names_match():
     assert set(contract.oracle_sql()) <= set(contract.queries())
 
 
-@pytest.mark.parametrize("name,most", [("win1_dense_lags", 0), ("agg7_dense_panel", 0), ("grd1_grid_cells", 2), ("wx1_weather_flags", 1)])
+@pytest.mark.parametrize("name,most", [("win1_dense_lags", 0), ("agg7_dense_panel", 0), ("grd1_grid_cells", 1), ("wx1_weather_flags", 1)])
 def test_events_are_not_scanned_again_and_again(spark, name, most):
     """What is left to scan after the counts were written once."""
     from conftest import plan
