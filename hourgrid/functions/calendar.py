@@ -19,7 +19,8 @@ MODEL_BLOCK_LABELS = (
 )
 
 # Holiday rules. ("date", month, day, first year) or
-# ("weekday", month, Monday-based weekday, n-th or -1 for last, first year).
+# ("weekday", month, Monday-based weekday, n-th or -1 for last, first year). The third Monday of February and
+# movable state days are not among them: states differ, so they come by the ``rules`` parameter.
 HOLIDAY_RULES = (
     ("date", 1, 1, 1870),
     ("weekday", 1, 0, 3, 1986),

@@ -178,3 +178,27 @@ def test_zoo_has_one_protocol(spark):
     for name, make in learners.ZOO.items():
         out = make("y", **small.get(name, {})).fit(df).transform(df)
         assert out.where("predicted IS NULL").count() == 0, name
+
+
+# Daily counts from 2024-12-02 on, the week before, and the published scores of two baselines.
+DAYS = (19, 8, 16, 8, 11, 8, 10, 19, 14, 10, 18, 21, 22, 4, 15, 14, 21, 16, 12, 2, 18, 20, 11, 8, 9, 17, 17, 11, 17, 16)
+WEEK_BEFORE = (14, 16, 6, 7, 15, 12, 7)
+PUBLISHED = {"moving": (4.828571428571428, 5.700578798635783, 60.02745135800199), "season": (5.2, 6.340346993658944, 52.034133722601204)}
+
+
+def test_published_daily_baselines(spark):
+    from datetime import date, timedelta
+
+    from hourgrid.operators import baselines, evaluate
+
+    first = date(2024, 12, 2)
+    series = spark.createDataFrame(
+        [(first + timedelta(days=i - 7), n) for i, n in enumerate(WEEK_BEFORE + DAYS)], "day date, n int")
+    season = baselines.frozen_season(series, "n", 7, "2024-12-02", "day", out="season")
+    moving = baselines.moving_average(series, "n", 7, [], "day", out="moving")
+    both = season.join(moving.select("day", "moving"), "day")
+    assert [r["season"] for r in both.orderBy("day").collect()] == [float(WEEK_BEFORE[i % 7]) for i in range(30)]
+    assert abs(both.orderBy("day").first()["moving"] - 11.0) < 1e-9
+    for name, want in PUBLISHED.items():
+        got = evaluate.score(both, y="n", p=name).first()
+        assert all(abs(a - b) < 1e-6 for a, b in zip((got["mae"], got["rmse"], got["mape"]), want)), name
