@@ -4,17 +4,31 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from hourgrid.session import materialise
 
 BROADCAST_ROWS = 200_000
+BROADCAST_BYTES = 64 << 20
 SALTS = 32
 
 
-def fits(dim: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
-    """True when the frame has at most ``max_rows`` rows; reads no further than that."""
-    return dim.limit(max_rows + 1).count() <= max_rows
+def _width(df: DataFrame) -> Column:
+    """About how many bytes a row holds."""
+    def one(field: T.StructField) -> Column:
+        value = F.col("`" + field.name.replace("`", "``") + "`")
+        if isinstance(field.dataType, (T.StringType, T.BinaryType)):
+            return F.coalesce(F.octet_length(value), F.lit(0))
+        if isinstance(field.dataType, (T.ArrayType, T.MapType, T.StructType)):
+            return F.coalesce(F.length(F.to_json(F.struct(value))), F.lit(0))
+        return F.lit(8)
+    return sum((one(f) for f in df.schema.fields), F.lit(0))
+
+
+def fits(dim: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> bool:
+    """True when the frame has at most ``max_rows`` rows and ``max_bytes``; reads no further than that."""
+    rows, size = dim.limit(max_rows + 1).agg(F.count(F.lit(1)), F.sum(_width(dim).cast("long"))).first()
+    return rows <= max_rows and (size or 0) <= max_bytes
 
 
 def salt(columns: Sequence[str], salts: int) -> Column:

@@ -54,6 +54,11 @@ def test_sample_is_exact_and_repeatable(spark):
     assert rows(a) == rows(b) and a.count() == 50
 
 
+def test_wide_dimensions_are_not_broadcast(spark):
+    dim = spark.range(10).select("id", F.repeat(F.lit("x"), 1000).alias("v"), F.create_map(F.lit(1), F.col("id")).alias("m"))
+    assert lookup.fits(dim) and not lookup.fits(dim, max_bytes=9_000) and not lookup.fits(dim, max_rows=9)
+
+
 @pytest.mark.parametrize("max_rows", [1000, 1])
 def test_lookup_paths_agree(spark, max_rows):
     facts = spark.range(300).select(F.when(F.col("id") < 100, 0).otherwise(F.col("id") % 10).alias("k"), "id")
