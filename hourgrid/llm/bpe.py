@@ -10,7 +10,7 @@ from __future__ import annotations
 import base64
 import hashlib
 import struct
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from itertools import accumulate
 
 import numpy as np
@@ -27,6 +27,9 @@ from hourgrid.llm.common import col, fresh
 REMEMBERED = 400_000
 #: Pre-tokens longer than this are encoded but not remembered.
 LONG = 64
+#: A batch costs sentencepiece as much as so many calls for one pre-token each.
+FEW = 24
+GROUP = 1 << 20
 
 
 def byte_letters() -> list[str]:
@@ -86,6 +89,19 @@ def serialise(tokens: list[bytes]) -> bytes:
     return model + _field(2, trainer) + _field(3, normaliser)
 
 
+def grouped(texts: Iterable[str | None]) -> Iterator[list[str]]:
+    """Texts (null: empty) in groups of about ``GROUP`` characters, whose pre-tokens are learnt together."""
+    group, size = [], 0
+    for text in texts:
+        group.append(text or "")
+        size += len(text or "")
+        if size >= GROUP:
+            yield group
+            group, size = [], 0
+    if group:
+        yield group
+
+
 def _pack(ids: list[int]) -> bytes:
     return struct.pack(f"<{len(ids)}I", *ids)
 
@@ -116,26 +132,32 @@ class Codec:
         mapped = b"".join(raw).decode("latin-1").translate(self.letters)
         ends = list(accumulate(map(len, raw), initial=0))
         pieces = [mapped[i:j] for i, j in zip(ends, ends[1:])]
-        for part, ids in zip(rest, self.pieces.encode(pieces, num_threads=1) if pieces else []):
+        encode = self.pieces.encode
+        all_ids = encode(pieces, num_threads=1) if len(pieces) >= FEW else map(encode, pieces)
+        for part, ids in zip(rest, all_ids):
             found[part] = _pack(ids)
         return found
 
-    def forms(self, parts: list[str]) -> list[bytes]:
-        """The encoded form of each pre-token."""
+    def forms(self, texts: list[list[str]]) -> list[list[bytes]]:
+        """The encoded form of each pre-token of each text."""
         known = self.known
         try:
-            return [known[part] for part in parts]
+            return [[known[part] for part in parts] for parts in texts]
         except KeyError:
-            new = self._learn({part for part in parts if part not in known})
+            new = self._learn({part for parts in texts for part in parts if part not in known})
             if len(known) + len(new) > REMEMBERED:
-                known = {part: known[part] for part in set(parts) if part in known}
+                known = {part: known[part] for parts in texts for part in parts if part in known}
                 self.known = {}
             self.known.update({part: ids for part, ids in new.items() if len(part) <= LONG})
-            return [new[part] if part in new else known[part] for part in parts]
+            return [[new[part] if part in new else known[part] for part in parts] for parts in texts]
 
     def encode(self, text: str | None) -> bytes:
         """The ids as little-endian 32-bit numbers; a null text has none."""
-        return b"".join(self.forms(self.split(text or "")))
+        return b"".join(self.forms([self.split(text or "")])[0])
+
+    def encode_all(self, texts: Iterable[str | None]) -> Iterator[bytes]:
+        for group in grouped(texts):
+            yield from map(b"".join, self.forms([self.split(text) for text in group]))
 
     def decode(self, ids: bytes) -> bytes:
         tokens = self.tokens
@@ -171,8 +193,7 @@ def _digests(model: bytes, pattern: str):
         codec = Codec(model, pattern)
         for texts in batches:
             rows = []
-            for text in texts:
-                ids = codec.encode(text)
+            for ids in codec.encode_all(texts):
                 rows.append((len(ids) // 4, hashlib.sha256(ids).hexdigest(), hashlib.sha256(codec.decode(ids)).hexdigest()))
             yield pd.DataFrame(rows, columns=_DIGESTS.names)
     run.__annotations__ = {"batches": Iterator[pd.Series], "return": Iterator[pd.DataFrame]}

@@ -226,6 +226,6 @@ def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     counted = token_trees.recount(docs, edits_of(docs), byte_model(), public_tokenizers.PATTERN)
     return counted.select("doc_id", token_trees.n_tokens(F.col("tree")).alias("n_tokens"),
-                          token_trees.n_tokens(F.col("edited.tree")).alias("n_tokens_edited"),
+                          token_trees.n_tokens(F.col("edited")).alias("n_tokens_edited"),
                           F.length("edited.text").cast("long").alias("n_chars_edited"), F.col("edited.encoded").alias("n_chars_encoded"),
                           F.sha2("edited.text", 256).alias("edited_sha256"))

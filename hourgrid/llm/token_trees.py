@@ -8,14 +8,15 @@ The split only looks ahead, by at most one character behind a pre-token, so from
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
+import numpy as np
 import pandas as pd
 import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hourgrid.llm.bpe import Codec
+from hourgrid.llm.bpe import Codec, grouped
 from hourgrid.llm.common import col
 
 #: Pre-tokens of a fresh leaf; a leaf that grows beyond four times that is split.
@@ -71,8 +72,9 @@ class Tree:
         return list(zip(self.chars[self.half:], self.tokens[self.half:]))
 
 
-def _measure(codec: Codec, parts: list[str]) -> list[tuple[int, int]]:
-    return [(len(part), len(form) // 4) for part, form in zip(parts, codec.forms(parts))]
+def _measure(codec: Codec, texts: list[list[str]]) -> list[list[tuple[int, int]]]:
+    """Characters and tokens of the pre-tokens of each text."""
+    return [[(len(part), len(form) // 4) for part, form in zip(parts, forms)] for parts, forms in zip(texts, codec.forms(texts))]
 
 
 def _group(sizes: list[tuple[int, int]], into: int) -> list[tuple[int, int]]:
@@ -81,9 +83,11 @@ def _group(sizes: list[tuple[int, int]], into: int) -> list[tuple[int, int]]:
     return [(sum(c for c, _ in sizes[a:b]), sum(t for _, t in sizes[a:b])) for a, b in zip(cuts, cuts[1:])]
 
 
-def grow(codec: Codec, text: str) -> Tree:
-    sizes = _measure(codec, codec.split(text))
-    return Tree.of(_group(sizes, -(-len(sizes) // LEAF) or 1))
+def grow(codec: Codec, texts: Iterable[str | None]) -> Iterator[Tree]:
+    """The tree of each text."""
+    for group in grouped(texts):
+        for sizes in _measure(codec, [codec.split(text) for text in group]):
+            yield Tree.of(_group(sizes, -(-len(sizes) // LEAF) or 1))
 
 
 def edit(codec: Codec, finditer, text: str, tree: Tree, start: int, end: int, new: str) -> tuple[str, Tree, int]:
@@ -109,7 +113,7 @@ def edit(codec: Codec, finditer, text: str, tree: Tree, start: int, end: int, ne
         while border < len(text):
             last += 1
             border += tree.chars[tree.half + last]
-    sizes, old = _measure(codec, parts), last - first + 1
+    sizes, old = _measure(codec, [parts])[0], last - first + 1
     if len(sizes) <= 4 * LEAF * old:
         tree.put(first, _group(sizes, old))
     else:
@@ -119,13 +123,16 @@ def edit(codec: Codec, finditer, text: str, tree: Tree, start: int, end: int, ne
     return changed, tree, at - begin
 
 
+def _columns(trees: list[Tree]) -> dict[str, list[np.ndarray]]:
+    return {"chars": [np.array(t.chars, np.int64) for t in trees], "tokens": [np.array(t.tokens, np.int64) for t in trees]}
+
+
 def trees(text: Column, model: bytes, pattern: str) -> Column:
     """The segment tree of each text; null and empty texts have one empty leaf."""
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         codec = Codec(model, pattern)
         for texts in batches:
-            grown = [grow(codec, t or "") for t in texts]
-            yield pd.DataFrame({"chars": [t.chars for t in grown], "tokens": [t.tokens for t in grown]})
+            yield pd.DataFrame(_columns(list(grow(codec, texts))))
     run.__annotations__ = {"batches": Iterator[pd.Series], "return": Iterator[pd.DataFrame]}
     return F.pandas_udf(run, TREE)(text)
 
@@ -135,27 +142,29 @@ def n_tokens(tree: Column) -> Column:
     return F.get(tree["tokens"], F.lit(1))
 
 
+def _patched(codec: Codec, finditer, text: str, tree: Tree, patch) -> tuple[str, Tree, int]:
+    encoded = 0
+    for start, end, new in ordered(patch, len(text)):
+        text, tree, again = edit(codec, finditer, text, tree, start, end, new)
+        encoded += again
+    return text, tree, encoded
+
+
 def edited(text: Column, tree: Column, edits: Column, model: bytes, pattern: str) -> Column:
-    """``text``, ``tree`` and ``encoded`` (characters encoded again) after ``edits``.
+    """``text``, ``chars``, ``tokens`` (the new tree) and ``encoded`` (characters encoded again) after ``edits``.
 
     ``edits`` is an array of ``start, end, new`` in characters of the unedited text, as one patch: they may come in any order
     but not overlap, and insertions at one place go in by their order. Null arrays and null members change nothing;
     bounds are clipped to the text. Overlapping edits raise.
     """
     def run(batches: Iterator[tuple[pd.Series, pd.DataFrame, pd.Series]]) -> Iterator[pd.DataFrame]:
-        codec = Codec(model, pattern)
-        finditer = regex.compile(pattern).finditer
+        codec, finditer = Codec(model, pattern), regex.compile(pattern).finditer
         for texts, kept, patches in batches:
-            rows = []
-            for old, chars, tokens, patch in zip(texts, kept["chars"], kept["tokens"], patches):
-                now, have, encoded = old or "", Tree(list(map(int, chars)), list(map(int, tokens))), 0
-                for start, end, new in ordered(patch, len(now)):
-                    now, have, again = edit(codec, finditer, now, have, start, end, new)
-                    encoded += again
-                rows.append((now, {"chars": have.chars, "tokens": have.tokens}, encoded))
-            yield pd.DataFrame(rows, columns=["text", "tree", "encoded"])
+            done = [_patched(codec, finditer, text or "", Tree(chars.tolist(), tokens.tolist()), patch)
+                    for text, chars, tokens, patch in zip(texts, kept["chars"], kept["tokens"], patches)]
+            yield pd.DataFrame({"text": [d[0] for d in done], **_columns([d[1] for d in done]), "encoded": [d[2] for d in done]})
     run.__annotations__ = {"batches": Iterator[tuple[pd.Series, pd.DataFrame, pd.Series]], "return": Iterator[pd.DataFrame]}
-    return F.pandas_udf(run, f"text string, tree {TREE}, encoded long")(text, tree, edits)
+    return F.pandas_udf(run, "text string, chars array<bigint>, tokens array<bigint>, encoded long")(text, tree, edits)
 
 
 def ordered(patch, length: int) -> list[tuple[int, int, str]]:
@@ -173,11 +182,24 @@ def ordered(patch, length: int) -> list[tuple[int, int, str]]:
 
 
 def recount(docs: DataFrame, edits: Column, model: bytes, pattern: str, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """``key, tree, edited``: the tree of each row of ``docs`` and the result of its ``edits``, a column over ``docs``.
+    """``key``, ``tree`` and ``edited``: the tree of each row of ``docs`` and the result of its ``edits``, a column over ``docs``.
 
     Rows stand for themselves, also where keys repeat or are null; an empty table stays empty. Trees can be
-    written and read like any column; ``edited`` (the function) takes them up again.
+    written and read like any column, and ``edited`` (the function) takes them up again; here both steps are done by
+    one function, so that a text goes to Python once.
     """
-    grown = docs.select(col(docs, key).alias(key), col(docs, text).alias("text"), edits.alias("edits"),
-                        trees(col(docs, text), model, pattern).alias("tree"))
-    return grown.select(key, "tree", edited(F.col("text"), F.col("tree"), F.col("edits"), model, pattern).alias("edited"))
+    def run(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
+        codec, finditer = Codec(model, pattern), regex.compile(pattern).finditer
+        for texts, patches in batches:
+            grown, done = [], []
+            for one, tree, patch in zip(texts, grow(codec, texts), patches):
+                grown.append(Tree(list(tree.chars), list(tree.tokens)))
+                done.append(_patched(codec, finditer, one or "", tree, patch))
+            new = _columns([d[1] for d in done])
+            yield pd.DataFrame({**_columns(grown), "text": [d[0] for d in done], "new_chars": new["chars"], "new_tokens": new["tokens"],
+                                "encoded": [d[2] for d in done]})
+    run.__annotations__ = {"batches": Iterator[tuple[pd.Series, pd.Series]], "return": Iterator[pd.DataFrame]}
+    made = F.pandas_udf(run, "chars array<bigint>, tokens array<bigint>, text string, new_chars array<bigint>, new_tokens array<bigint>, encoded long")
+    out = docs.select(col(docs, key).alias(key), made(col(docs, text), edits).alias("made"))
+    return out.select(key, F.struct("made.chars", "made.tokens").alias("tree"), F.struct(
+        "made.text", F.col("made.new_chars").alias("chars"), F.col("made.new_tokens").alias("tokens"), "made.encoded").alias("edited"))

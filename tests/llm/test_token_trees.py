@@ -1,3 +1,4 @@
+import hashlib
 import random
 
 import public_tokenizers as P
@@ -7,9 +8,10 @@ from cases import ODD, odd_documents, plain, prose
 from pyspark.sql import functions as F
 from test_bpe import FILES, PAIRS
 
-from hourgrid.llm import bpe
+from hourgrid.llm import bpe, queries
 from hourgrid.llm import token_trees as tt
-from hourgrid.llm.common import prepare
+from hourgrid.llm.common import prepare, table
+from hourgrid.session import materialise
 
 CODEC, OTHER = PAIRS[FILES[0]]
 
@@ -27,7 +29,7 @@ def test_random_edits_equal_a_full_count():
     draw, letters, find = random.Random(9), "ab c\n\n  'sre1 2é.,!\t", regex.compile(P.PATTERN).finditer
     for case in range(600):
         text = "".join(draw.choice(letters) for _ in range(draw.choice([0, 1, 7, 90, 1500])))
-        tree = tt.grow(CODEC, text)
+        tree = next(tt.grow(CODEC, [text]))
         for _ in range(4):
             start = draw.randint(0, len(text))
             end = min(len(text), start + draw.choice([0, 1, 3, 40, 500]))
@@ -40,7 +42,7 @@ def test_random_edits_equal_a_full_count():
 
 def test_only_the_surroundings_are_encoded_again():
     find, text = regex.compile(P.PATTERN).finditer, prose(1, 20_000)
-    _, _, encoded = tt.edit(CODEC, find, text, tt.grow(CODEC, text), 60_000, 60_010, "something else")
+    _, _, encoded = tt.edit(CODEC, find, text, next(tt.grow(CODEC, [text])), 60_000, 60_010, "something else")
     assert encoded < 500
 
 
@@ -60,7 +62,7 @@ def test_odd_rows_and_many_edits(spark):
     edits = F.transform(F.sequence(F.lit(0), F.lit(9)), lambda i: F.struct(
         F.floor(n * i / 10).alias("start"), F.floor(n * i / 10 + n / 30).alias("end"), F.concat(F.lit(" new "), i.cast("string")).alias("new")))
     rows = tt.recount(docs, edits, model, P.PATTERN).select(
-        "doc_id", "edited.text", tt.n_tokens(F.col("tree")).alias("before"), tt.n_tokens(F.col("edited.tree")).alias("after")).collect()
+        "doc_id", "edited.text", tt.n_tokens(F.col("tree")).alias("before"), tt.n_tokens(F.col("edited")).alias("after")).collect()
     assert len(rows) == len(ODD) + 1
     originals = {d: t for d, t in ODD + [(20, prose(20, 500))] if d is not None}
     for r in rows:
@@ -72,3 +74,20 @@ def test_odd_rows_and_many_edits(spark):
                 old = old[:len(originals[r["doc_id"]] or "") * i // 10] + f" new {i}" + old[int(len(originals[r["doc_id"]] or "") * i / 10 + len(originals[r["doc_id"]] or "") / 30):]
             assert r["text"] == old
     assert plain(tt.recount(docs.limit(0), edits, model, P.PATTERN)) == []
+    kept = materialise(docs.select("text", edits.alias("edits"), tt.trees(F.col("text"), model, P.PATTERN).alias("tree")))
+    again = kept.select("text", tt.edited(F.col("text"), F.col("tree"), F.col("edits"), model, P.PATTERN).alias("e")).select("e.text", tt.n_tokens(F.col("e")).alias("n"))
+    assert plain(again) == sorted(((r["text"], r["after"]) for r in rows), key=str)
+
+
+def test_query_equals_a_full_count(spark):
+    folder = "/root/testdata/sf0.001"
+    docs = table(spark, folder, "documents")
+    want = []
+    for r in docs.select("doc_id", "text", queries.edits_of(docs).alias("edits")).collect():
+        text = r["text"]
+        for e in reversed(r["edits"]):
+            text = text[:e["start"]] + e["new"] + text[e["end"]:]
+        want.append((r["doc_id"], count(r["text"]), count(text), len(text), hashlib.sha256(text.encode()).hexdigest()))
+    got = queries.QUERIES["op4_token_counts"](spark, folder)
+    assert plain(got.drop("n_chars_encoded")) == sorted(want, key=str)
+    assert got.where("n_tokens <> n_tokens_edited").count() > 100
