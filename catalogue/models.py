@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import partial
-
 from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
 
@@ -15,9 +13,6 @@ from hourgrid.session import materialise, scratch
 FEATURES = (
     "hour_of_day", "day_of_week", "is_weekend", "sin_hour", "cos_hour", "sin_dow", "cos_dow",
     *[f"lag_{n}" for n in windows.SUPERVISED_LAGS], *[f"roll_mean_{n}" for n in windows.SUPERVISED_ROLLING])
-# Fewer and faster rounds than the factories' defaults.
-BOOSTED = partial(learners.boosted_trees, rounds=20, depth=4, step=0.2)
-FOREST = partial(learners.random_forest, trees=40, depth=8)
 
 
 def supervised(t):
@@ -58,12 +53,12 @@ def mod15(t):
 
 @query("mod6_forest_cv")
 def mod6(t):
-    return fold_table(t, FOREST)
+    return fold_table(t, learners.random_forest)
 
 
 @query("mod7_boosted_cv")
 def mod7(t):
-    return fold_table(t, BOOSTED)
+    return fold_table(t, learners.boosted_trees)
 
 
 @query("mod8_poisson_cv")
@@ -76,7 +71,7 @@ def mod9(t):
     from hourgrid.functions.scores import poisson_deviance
 
     rows = learners.clipped(learners.simple_split(
-        supervised(t), {"boosted": BOOSTED}, "crime_count", FEATURES, CUTOFF))
+        supervised(t), {"boosted": learners.boosted_trees}, "crime_count", FEATURES, CUTOFF))
     return rows.groupBy("model").agg(
         poisson_deviance(F.col("actual"), F.col("predicted")).alias("deviance"),
         F.avg(F.abs(F.col("actual") - F.col("predicted"))).alias("mae"))
@@ -98,7 +93,7 @@ def mod11(t):
 
 @query("mod12_multi_horizon")
 def mod12(t):
-    rows = learners.multi_horizon(supervised(t), FEATURES, windows.HORIZONS, CUTOFF, BOOSTED)
+    rows = learners.multi_horizon(supervised(t), FEATURES, windows.HORIZONS, CUTOFF, learners.boosted_trees)
     return evaluate.score_horizons(rows, windows.HORIZONS)
 
 
@@ -120,8 +115,7 @@ def mod13(t):
 
 @query("cv7_dataset_run")
 def cv7(t):
-    makers = {"mean": learners.MeanRegressor, "linear": learners.linear, "poisson": learners.poisson}
-    run = learners.run_dataset(supervised(t), "dense", "crime_count", FEATURES, makers, FOLDS, CUTOFF)
+    run = learners.run_dataset(supervised(t), "dense", "crime_count", FEATURES, learners.ZOO, FOLDS, CUTOFF)
     board = evaluate.leaderboard(run["fold_metrics"], ["dataset", "model"])
     return evaluate.combined_leaderboard(board, run["simple"], ["dataset", "model"])
 

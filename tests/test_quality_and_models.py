@@ -202,3 +202,33 @@ def test_published_daily_baselines(spark):
     for name, want in PUBLISHED.items():
         got = evaluate.score(both, y="n", p=name).first()
         assert all(abs(a - b) < 1e-6 for a, b in zip((got["mae"], got["rmse"], got["mape"]), want)), name
+
+
+@pytest.mark.parametrize("name", ["mod6", "mod7", "mod9", "mod12", "cv7"])
+def test_registered_models_are_the_whole_ones(spark, monkeypatch, name):
+    """The registered queries fit the factories' defaults, the dataset run all of the zoo."""
+    from catalogue import models
+
+    class Seen(Exception):
+        pass
+
+    def caught(at):
+        def stop(*args):
+            raise Seen(args[at])
+        return stop
+
+    monkeypatch.setattr(models, "supervised", lambda t: None)
+    for fn, at in (("rolling_cv", 1), ("simple_split", 1), ("multi_horizon", 4), ("run_dataset", 4)):
+        monkeypatch.setattr(learners, fn, lambda *args, at=at, **_: caught(at)(*args))
+    with pytest.raises(Seen) as seen:
+        getattr(models, name)(None)
+    made = seen.value.args[0]
+    if name == "cv7":
+        assert made == learners.ZOO
+        return
+    make = made["boosted"] if name == "mod9" else made
+    fitted = make("y")
+    if name == "mod6":
+        assert (fitted.getNumTrees(), fitted.getMaxDepth()) == (200, 10)
+    else:
+        assert (fitted.getMaxIter(), fitted.getMaxDepth(), fitted.getStepSize()) == (400, 6, 0.05)
