@@ -14,6 +14,7 @@ import unicodedata
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import combinations
 
 import ahocorasick
 import pandas as pd
@@ -41,34 +42,83 @@ _LOOKALIKES = {
     "γ": "y", "σ": "o", "ω": "w", "ı": "i", "ł": "i", "ø": "o", "ɑ": "a", "ɡ": "g", "ɩ": "i", "ʟ": "i", "ɴ": "n", "ʀ": "r",
     "l": "i", "1": "i", "!": "i", "|": "i", "0": "o", "3": "e", "4": "a", "@": "a", "5": "s", "$": "s", "7": "t", "8": "b", "9": "g",
 }
-_INSIDE = re.compile(r"(?<=\w)[@$!|](?=\w)")
+_SIGNS = {ord(c): _LOOKALIKES[c] for c in "@$!|"}
+_RUN = re.compile(r"[@$!|]+")
+_LETTER = re.compile(r"\d*[^\W\d_]")
+
+
+class _Marks(dict):
+    """Marks, joiners and soft hyphens vanish, of all of Unicode; other characters stay."""
+
+    def __missing__(self, code: int) -> int | None:
+        self[code] = None if unicodedata.category(chr(code)) in ("Mn", "Me", "Cf") else code
+        return self[code]
+
 
+class _Fold(dict):
+    """Marks vanish, what is neither letter nor digit becomes a space, look-alikes become letters."""
 
-def _table() -> dict[int, str | None]:
-    table: dict[int, str | None] = {}
-    for code in range(0x3000):
+    def __missing__(self, code: int) -> int | str | None:
         kind = unicodedata.category(chr(code))
+        made: int | str | None = code
         if kind in ("Mn", "Me", "Cf"):
-            table[code] = None  # marks, joiners and soft hyphens vanish
+            made = None
         elif kind[0] not in "LN":
-            table[code] = " "
+            made = " "
         elif code >= 0x100 and ord(plain := unicodedata.normalize("NFKD", chr(code))[0]) < 0x80:
-            table[code] = _LOOKALIKES.get(plain.lower(), plain.lower())
-    return table | {ord(a): b for a, b in _LOOKALIKES.items() if a not in "@$!|"}
+            made = _LOOKALIKES.get(plain.lower(), plain.lower())
+        self[code] = made
+        return made
 
 
-_FOLD = _table()
-_SIGNS = {ord(c): _LOOKALIKES[c] for c in "@$!|"}
+_MARKS = _Marks()
+_FOLD = _Fold({ord(a): b for a, b in _LOOKALIKES.items() if a not in "@$!|"})
 
 
-def fold(text: str | None) -> str:
-    """``text`` in folded letters, words apart by spaces, with a space at either end; null folds like empty."""
+def forms(text: str | None) -> list[str]:
+    """``fold(text)`` and the other readings of its signs, all of one length.
+
+    Runs of signs inside a word, before one and behind one are letters in some forms and spaces in others, so that
+    ``$tupid``, ``a$$`` and ``@sshole`` are met as well as ``@idiot`` and ``idiot!``. Signs at plain numbers are spaces.
+    """
     text = (text or "").lower()
-    if not text.isascii():
-        text = unicodedata.normalize("NFKC", text)  # full-width and styled letters; é stays é, it tells words apart
-    if any(c in text for c in "@$!|"):
-        text = _INSIDE.sub(lambda m: _SIGNS[ord(m[0])], text)
-    return f" {text.translate(_FOLD)} "
+    if not text.isascii():  # full-width and styled letters; é stays é, it tells words apart
+        text = unicodedata.normalize("NFKC", text).lower().translate(_MARKS)
+    folded = text.translate(_FOLD)
+    runs = []
+    for run in _RUN.finditer(text):
+        start, end = run.span()
+        before, after = folded[start - 1:start].strip() != "", folded[end:end + 1].strip() != ""
+        if before and after:
+            runs.append((start, end, "inside"))
+        elif after and _LETTER.match(text, end):
+            runs.append((start, end, "ahead"))
+        elif before:
+            at = start - 1
+            while at > 0 and text[at].isdigit():
+                at -= 1
+            if text[at].isalpha():
+                runs.append((start, end, "behind"))
+
+    def form(kinds: tuple[str, ...]) -> str:
+        parts, at = [" "], 0
+        for start, end, kind in runs:
+            if kind in kinds:
+                parts += [folded[at:start], text[start:end].translate(_SIGNS)]
+                at = end
+        return "".join([*parts, folded[at:], " "])
+
+    there = sorted({kind for *_, kind in runs})
+    usual = ("inside",) if "inside" in there else ()
+    return [form(usual), *[form(some) for n in range(len(there) + 1) for some in combinations(there, n) if some != usual]]
+
+
+def fold(text: str | None) -> str:
+    """``text`` in folded letters, words apart by spaces, with a space at either end; null folds like empty.
+
+    Signs are letters inside words and spaces elsewhere.
+    """
+    return forms(text)[0]
 
 
 @dataclass(frozen=True)
@@ -88,16 +138,32 @@ class Model:
         return machine
 
 
-def hits(machine: ahocorasick.Automaton, folded: str) -> dict[int, float]:
-    """Start -> weight of the stems in ``folded`` outside exception phrases; of stems with one start the longest counts."""
-    found: dict[int, float] = {}
+def _matches(machine: ahocorasick.Automaton, folded: str) -> tuple[dict[int, tuple[int, float]], list[tuple[int, int]]]:
+    """Start -> end and weight of the stems, of one start the longest, and start and end of exception phrases."""
+    found: dict[int, tuple[int, float]] = {}
     harmless: list[tuple[int, int]] = []
-    if len(machine):
-        for end, (length, weight) in machine.iter(folded):
-            if weight is None:
-                harmless.append((end - length + 1, end))
-            elif folded[end] == " " or folded[end + 1] != " ":  # a whole word, or a stem with more behind it
-                found[end - length + 1] = weight  # longer stems end later
+    for end, (length, weight) in machine.iter(folded):
+        if weight is None:
+            harmless.append((end - length + 1, end))
+        elif folded[end] == " " or folded[end + 1] != " ":  # a whole word, or a stem with more behind it
+            found[end - length + 1] = end, weight  # longer stems end later
+    return found, harmless
+
+
+def hits(machine: ahocorasick.Automaton, folded: str, *others: str) -> dict[int, float]:
+    """Start -> weight of the stems in ``folded`` outside exception phrases; of stems with one start the longest counts.
+
+    A stem in one of the other forms counts if this form reads it otherwise and nothing is found in its word so far.
+    """
+    if not len(machine):
+        return {}
+    matches, harmless = _matches(machine, folded)
+    found = {start: weight for start, (_, weight) in matches.items()}
+    for other in others:
+        more, phrases = _matches(machine, other)
+        harmless += phrases
+        found |= {start: weight for start, (end, weight) in more.items() if other[start:end + 1] != folded[start:end + 1]
+                  and not any(at in found for at in range(start, other.index(" ", start + 1)))}
     if harmless and found:
         harmless.sort()
         at, reach = 0, -1
@@ -126,8 +192,8 @@ def scorer(model: Model):
         for texts in batches:
             rows = []
             for text in texts:
-                folded = fold(text)
-                found = hits(machine, folded)
+                folded, *others = forms(text)
+                found = hits(machine, folded, *others)
                 total, words = sum(found.values()), len(folded.split())
                 x = _feature(total, words)
                 odds = max(min(model.intercept + model.slope * x, 700.0), -700.0)
@@ -153,7 +219,7 @@ def _least_shingle(words: list[str]) -> int:
 
 
 def _sample(docs: DataFrame, ids: DataFrame, text: str) -> DataFrame:
-    """Folded texts and labels; of texts that share their smallest shingle hash, so of most copies, one for each label."""
+    """Texts, also folded, and labels; of texts that share their smallest shingle hash, so of most copies, one for each label."""
     def folded(texts: pd.Series) -> pd.DataFrame:
         made = [fold(t) for t in texts]
         least = [_least_shingle(t.split()) for t in made]
@@ -161,9 +227,10 @@ def _sample(docs: DataFrame, ids: DataFrame, text: str) -> DataFrame:
     folded.__annotations__ = {"texts": pd.Series, "return": pd.DataFrame}
     make = F.pandas_udf(folded, "folded string, least long")
     rows = docs.select(col(docs, "doc_id").alias("doc_id"), col(docs, text).alias("text")).join(F.broadcast(ids), "doc_id")
-    rows = rows.select("doc_id", "label", make("text").alias("t")).select("doc_id", "label", "t.*")
-    one = rows.groupBy("label", "least").agg(F.min_by("folded", F.struct("doc_id", "folded")).alias("folded"))
-    return materialise(one.select("label", "folded"), "toxicity-sample")
+    rows = rows.select("doc_id", "label", "text", make("text").alias("t")).select("doc_id", "label", "text", "t.*")
+    one = rows.groupBy("label", "least").agg(
+        F.min_by(F.struct("folded", "text"), F.struct("doc_id", "folded", "text")).alias("t"))
+    return materialise(one.select("label", "t.*"), "toxicity-sample")
 
 
 def _stem_counts(batches: Iterator[pd.DataFrame], shortest: int, longest: int) -> Iterator[pd.DataFrame]:
@@ -246,7 +313,7 @@ def learn(docs: DataFrame, labels: DataFrame, held_out: Column, text: str = "tex
              .agg(F.sum(1 - F.col("label")).alias("clean"), F.sum("label").alias("toxic"))
              .where((F.col("clean") >= 5) & (F.col("clean") > 4 * F.col("toxic"))).orderBy(F.desc("clean"), "pair").limit(stems).collect())
     model = Model(model.weights, tuple(sorted({*known, *(r["pair"] for r in pairs)})))
-    shape = (sample.select("label", F.round(scorer(model)("folded")["feature"], 2).alias("x")).groupBy("label", "x").count().collect())
+    shape = (sample.select("label", F.round(scorer(model)("text")["feature"], 2).alias("x")).groupBy("label", "x").count().collect())
     return Model(model.weights, model.exceptions, *_curve(shape))
 
 

@@ -34,6 +34,17 @@ def test_hits_equal_brute_force():
         assert tox.hits(machine, folded) == brute(model, folded), text
 
 
+@pytest.mark.parametrize("text,n", [
+    ("@sshole", 1), ("$tupid", 1), ("$tup1d!", 1), ("a$$hole", 1), ("a$$", 1), ("@idiot", 1), ("idiot!", 1), ("wow!idiot", 1), ("idiot!idiot", 2),
+    ("\U0001d408\U0001d403\U0001d408\U0001d40e\U0001d413", 1), ("id\ufeffiot", 1), ("id\ufe0fi\U000e0101ot", 1), ("idiot\U0001f642", 1), ("$5 and 45$", 0),
+    ("@home", 0), ("river stone!", 0), ("green idiot!", 0), ("lam!", 0), ("!" * 50000, 0)])
+def test_signs_and_styles_are_met(text, n):
+    model = tox.Model({**{f"{tox.fold(s).strip()} ": 2.0 for s in ("idiot", "asshole", "stupid", "ass", "river")}, "lam": 1.0},
+                      ("river stone", "green idiot"))
+    made = tox.forms(text)
+    assert len(set(map(len, made))) == 1 and len(tox.hits(model.automaton(), *made)) == n
+
+
 def labelled(spark):
     rows, labels = [], []
     for i in range(300):
