@@ -241,7 +241,7 @@ def _stem_counts(batches: Iterator[pd.DataFrame], shortest: int, longest: int) -
             own: Counter = Counter()
             for word, times in Counter(folded.split()).items():
                 if len(word) >= shortest:
-                    own[f"{word[:longest * 2]} "] += times
+                    own[f"{word} "] += times
                 for k in range(shortest, min(len(word), longest + 1)):
                     own[word[:k]] += times
             texts[label].update(own.keys())

@@ -69,6 +69,15 @@ def test_learns_words_it_has_never_seen(spark):
     assert [r["doc_id"] for r in tox.accepted(hard, model).collect()] == [2]
 
 
+def test_learns_long_words(spark):
+    prepare(spark)
+    docs, labels = labelled(spark)
+    long = "qwertyzuiopasdfghjkyxcvbnmqwertz"
+    docs = docs.withColumn("text", F.regexp_replace("text", "grumblor|vexatis[a-f]", long))
+    model = tox.learn(docs, labels, tox.held_out(labels["doc_id"]))
+    assert len(long) > 24 and tox.hits(model.automaton(), tox.fold(f"a {long} here"))
+
+
 def test_learns_nothing_from_held_out_rows(spark):
     prepare(spark)
     docs, labels = labelled(spark)
