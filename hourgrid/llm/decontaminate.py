@@ -94,9 +94,10 @@ def _pairs(masks: Column, own: Column, block: int) -> Column:
 
 
 def items_of(benchmark: DataFrame, shingle: int, similarity: float, item: str, text: str) -> DataFrame:
-    """``item, size, length, m, shingles, fp``: items with their words, shingle length and fingerprint.
+    """``item, entry, size, length, m, shingles, fp``: items with their words, shingle length and fingerprint.
 
-    Items shorter than a shingle are one shingle; items without words are left out. Repeated items stay once.
+    Items shorter than a shingle are one shingle; items without words are left out. Repeated items stay once. ``entry``
+    tells items apart that have no id or share one.
     """
     words = _with_words(benchmark.select(col(benchmark, item).alias("item"), col(benchmark, text).alias("text")), "text")
     words = words.where(F.size("words") > 0).withColumn("size", F.size("words"))
@@ -104,6 +105,7 @@ def items_of(benchmark: DataFrame, shingle: int, similarity: float, item: str, t
     whole = words.withColumn("length", length).dropDuplicates()
     runs = F.transform(F.sequence(F.lit(1), F.col("size") - F.col("length") + 1),
                        lambda i: F.xxhash64(F.slice("words", i, F.col("length"))))
+    whole = whole.withColumn("entry", F.xxhash64("item", "words"))
     made = _once(whole, runs, "shingles").drop("words")
     return _once(made.withColumn("m", F.size("shingles")), _fingerprint(F.col("shingles")), "fp")
 
@@ -115,17 +117,18 @@ def leaks(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str
 
     ``row`` is a hash of key and text, so that documents that share a key or have none stay apart; repeated
     rows give one result. ``start`` counts words from 0; of equally similar windows the first is named. Documents
-    shorter than an item are one window. Null and empty texts match nothing, as do items without words. Of
-    windows at the similarity those further than ``radius`` bits from their item are missed; that is rare by the
+    shorter than an item are one window. Items without id are found like others, with a null ``item``; different texts
+    under one id are searched one by one, and the most similar window of them all is named. Null and empty texts match
+    nothing, as do items without words. Of windows at the similarity those further than ``radius`` bits from their item are missed; that is rare by the
     choice of ``radius`` and cannot happen to exact copies.
     """
     items = materialise(items_of(benchmark, shingle, similarity, item, item_text), "items")
-    known = materialise(items.select("item", "length", "m", F.explode("shingles").alias("shingle")).distinct(), "item-shingles")
+    known = materialise(items.select("entry", "length", "m", F.explode("shingles").alias("shingle")).distinct(), "item-shingles")
     least = F.ceil(F.lit(similarity) * F.col("m") - _TINY)
-    by_item = Window.partitionBy("item", "length", "m").orderBy("items", "shingle")
+    by_item = Window.partitionBy("entry", "length", "m").orderBy("items", "shingle")
     rare = (known.join(known.groupBy("shingle").agg(F.count("*").alias("items")), "shingle")
             .withColumn("place", F.row_number().over(by_item)).where(F.col("place") <= F.col("m") - least + 1)
-            .groupBy("shingle", "length").agg(F.collect_set("item").alias("items")))
+            .groupBy("shingle", "length").agg(F.collect_set("entry").alias("items")))
     rare = materialise(rare, "rare-shingles")
     lengths = [r[0] for r in rare.select("length").distinct().orderBy("length").collect()]
     named = docs.select(F.xxhash64(col(docs, key), col(docs, text)).alias("row"), col(docs, key).alias("key"), col(docs, text).alias("text"))
@@ -137,7 +140,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str
         worded = _with_words(named.select("row", "text"), "text")
         found = worded.select("row", F.explode(_shingles("words", length)).alias("shingle")).join(
             F.broadcast(one) if few else one, "shingle")
-        found = found.select("row", F.lit(length).alias("length"), F.explode("items").alias("item")).distinct()
+        found = found.select("row", F.lit(length).alias("length"), F.explode("items").alias("entry")).distinct()
         pairs = found if pairs is None else pairs.unionByName(found)
     if pairs is None:  # no item has a word
         return named.select("row", "key", F.lit(None).cast(items.schema["item"].dataType).alias("item"),
@@ -150,8 +153,8 @@ def leaks(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str
     windows = None
     for length in lengths:
         own = suspects.select("row", "key", _shingles("words", length).alias("all"))
-        asked = pairs.where(F.col("length") == length).select("row", "item").join(
-            items.where(F.col("length") == length).select("item", "size", "m", "shingles"), "item")
+        asked = pairs.where(F.col("length") == length).select("row", "entry").join(
+            items.where(F.col("length") == length).select("entry", "size", "m", "shingles"), "entry")
         both = own.join(asked, "row").withColumn("w", F.least("m", F.size("all"))).where(F.col("w") > 0)
         both = both.withColumn("need", F.ceil(F.lit(similarity) * (F.col("m") + F.col("w")) / F.lit(1 + similarity) - _TINY).cast("int"))
         hit = F.filter(F.sequence(F.lit(0), F.size("all") - 1), lambda i: F.array_contains("shingles", F.get("all", i)))

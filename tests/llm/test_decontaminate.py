@@ -112,6 +112,19 @@ def test_odd_rows(spark):
         assert dec.accepted(docs, none).count() == docs.count() and dec.leaks(docs, none).count() == 0
 
 
+def test_items_without_id_or_with_one_id(spark):
+    prepare(spark)
+    texts = [prose(700 + k, 40) for k in range(10)]
+    items = spark.createDataFrame([(1, t) for t in texts] + [(None, prose(720, 30)), (None, prose(721, 30))], "item_id long, text string")
+    docs = spark.createDataFrame([*enumerate(texts), (20, f"{prose(50, 9)} {prose(720, 30)}"), (21, prose(721, 30)), (30, prose(800, 60))],
+                                 "doc_id long, text string")
+    found = {(r["key"], r["item"], r["similarity"]) for r in dec.leaks(docs, items).collect()}
+    assert found == {(k, 1, 1.0) for k in range(10)} | {(20, None, 1.0), (21, None, 1.0)}
+    assert [r["doc_id"] for r in dec.accepted(docs, items).collect()] == [30]
+    changed_docs = spark.createDataFrame([(k, changed(t, 20)) for k, t in enumerate(texts)], "doc_id long, text string")
+    assert dec.accepted(changed_docs, items).count() == sum(not any(f[0] == k for f in brute([(k, changed(t, 20))], [(1, t)])) for k, t in enumerate(texts))
+
+
 def test_no_python_in_the_plan(spark):
     prepare(spark)
     docs, items = spark.createDataFrame(documents(), "doc_id long, text string"), spark.createDataFrame(ITEMS, "item_id long, text string")
