@@ -106,6 +106,18 @@ def src8(t):
     return out.withColumn("file", F.element_at(F.split("file", "/"), -1))
 
 
+TABLES = ("region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels "
+          "conversations").split()
+
+
+@query("src8_file_tree", " UNION ALL ".join(
+    f"SELECT '{name}.parquet' AS file, count(*) AS \"rows\", (SELECT CAST(count(*) AS INTEGER) FROM (DESCRIBE {name})) AS columns FROM {name}"
+    for name in TABLES))
+def src8_tree(t):
+    out = files.tree_counts(t.spark, t.folder)
+    return out.withColumn("file", F.element_at(F.split("file", "/"), -1))
+
+
 @query("snk1_write_parquet", "SELECT area, hour_ts, n FROM counts", ("counts",))
 def snk1(t):
     path = scratch(t.spark, "out")

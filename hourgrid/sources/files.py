@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
@@ -139,3 +140,42 @@ def file_row_counts(df: DataFrame) -> DataFrame:
         df.groupBy(F.col("_metadata.file_path").alias("file")).agg(F.count(F.lit(1)).alias("rows"))
         .withColumn("columns", F.lit(len(df.columns)))
     )
+
+
+def tree_counts(spark: SparkSession, folder: str) -> DataFrame:
+    """``file, rows, columns`` of every Parquet and CSV file below ``folder``, also of those without rows.
+
+    Rows are counted by one scan per format and header; columns are those of a file's own footer or header line.
+    """
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    system = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    listed, found = {"parquet": [], "csv": []}, system.listFiles(path, True)
+    while found.hasNext():
+        at = found.next().getPath()
+        if (kind := at.getName().rsplit(".", 1)[-1]) in listed:
+            listed[kind].append((at.toString(), at.toUri().toString()))
+    own = F.regexp_replace(F.col("_metadata.file_path"), "^file:/+", "file:/")
+    named = {re.sub("^file:/+", "file:/", uri): name for files in listed.values() for name, uri in files}
+    columns = {uri: 0 for uri in named}
+    parts = []
+    if listed["parquet"]:
+        for name, uri in listed["parquet"]:
+            columns[re.sub("^file:/+", "file:/", uri)] = len(spark.read.option("recursiveFileLookup", True).parquet(name).columns)
+        parts.append(spark.read.schema(T.StructType()).parquet(*[name for name, _ in listed["parquet"]]).select(own.alias("file")))
+    if listed["csv"]:
+        lines = spark.read.text([name for name, _ in listed["csv"]]).select(
+            "value", own.alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("line"))
+        heads: dict[str, list[str]] = {}
+        for r in lines.where("block = 0").groupBy("file").agg(F.min_by("value", "line").alias("header")).collect():
+            heads.setdefault(r["header"], []).append(r["file"])
+        for members in heads.values():
+            header = spark.read.options(**CSV).csv(named[members[0]]).columns
+            columns |= dict.fromkeys(members, len(header))
+            schema = T.StructType([T.StructField(c, T.StringType()) for c in header])
+            parts.append(spark.read.schema(schema).options(**CSV, multiLine=True).csv([named[m] for m in members]).select(own.alias("file")))
+    kept = spark.createDataFrame([(uri, named[uri], n) for uri, n in columns.items()], "uri string, name string, columns int")
+    if not parts:
+        return kept.select(F.col("name").alias("file"), F.lit(0).cast("long").alias("rows"), "columns")
+    rows = reduce(DataFrame.unionByName, parts).groupBy("file").agg(F.count(F.lit(1)).alias("rows"))
+    return kept.join(rows, kept["uri"] == rows["file"], "left").select(
+        F.col("name").alias("file"), F.coalesce("rows", F.lit(0).cast("long")).alias("rows"), "columns")

@@ -134,3 +134,18 @@ def test_streamed_counts_equal_batch(spark, tmp_path):
     assert query.awaitTermination(120)
     batch = panel.hourly_counts(df).where(F.col("hour_ts") < F.lit(start + timedelta(days=8)))
     assert rows(spark.read.parquet(str(tmp_path / "out"))) == rows(batch)
+
+
+def test_counts_of_a_file_tree(spark, tmp_path):
+    from hourgrid.sources import files
+
+    (tmp_path / "in" / "a b").mkdir(parents=True)
+    (tmp_path / "in" / "one.csv").write_text('x,y\n1,"two\nlines"\n3,4\n')
+    (tmp_path / "in" / "a b" / "two.csv").write_text("x,y,z\n1,2,3\n")
+    (tmp_path / "in" / "a b" / "none.csv").write_text("x,y,z\n")
+    (tmp_path / "in" / "a b" / "empty.csv").write_text("")
+    spark.range(7).coalesce(1).write.parquet(str(tmp_path / "in" / "p" / "q"))
+    spark.range(0).selectExpr("id", "'t' AS t").coalesce(1).write.parquet(str(tmp_path / "in" / "p" / "none"))
+    got = files.tree_counts(spark, str(tmp_path / "in")).collect()
+    made = sorted((r["file"].rsplit("/", 1)[1] if r["file"].endswith("csv") else "parquet", r["rows"], r["columns"]) for r in got)
+    assert made == [("empty.csv", 0, 0), ("none.csv", 0, 3), ("one.csv", 2, 2), ("parquet", 0, 2), ("parquet", 7, 1), ("two.csv", 1, 3)]
