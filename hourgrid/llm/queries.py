@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hourgrid.llm import bpe, chat, decontaminate, licenses, quality, simhash, token_trees, toxicity, urls, warc
+from hourgrid.llm import bpe, chat, decontaminate, licenses, packing, quality, ranked, simhash, token_trees, toxicity, urls, vector_codes, warc
 from hourgrid.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -229,3 +229,79 @@ def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
                           token_trees.n_tokens(F.col("edited")).alias("n_tokens_edited"),
                           F.length("edited.text").cast("long").alias("n_chars_edited"), F.col("edited.encoded").alias("n_chars_encoded"),
                           F.sha2("edited.text", 256).alias("edited_sha256"))
+
+
+@query()
+def op11_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
+def _codes_sql() -> str:
+    """Two rounds of assignment and means, each part against every entry of its codebook."""
+    def assign(k: int) -> str:
+        return f"""
+near{k} AS (
+  SELECT row, part, x, arg_min(e, d * 64 + e) AS e, min(d) AS d FROM (
+    SELECT row, p.part, x, e, list_sum(list_transform(list_zip(x, c), lambda z: (z[1] - z[2]) * (z[1] - z[2])))::BIGINT AS d
+    FROM part p JOIN book{k} b ON p.part = b.part) GROUP BY row, part, x)"""
+
+    def move(k: int) -> str:
+        return f"""
+mean{k} AS (
+  SELECT part, e, list(floor(s / n)::BIGINT ORDER BY i) AS c FROM (
+    SELECT part, e, i, sum(v) AS s, count(*) AS n FROM (
+      SELECT part, e, unnest(x) AS v, unnest(range(len(x))) AS i FROM near{k}) GROUP BY part, e, i) GROUP BY part, e),
+book{k + 1} AS (SELECT part, e, coalesce(m.c, b.c) AS c FROM book{k} b LEFT JOIN mean{k} m USING (part, e))"""
+
+    return f"""
+WITH kept AS (
+  SELECT row_number() OVER (ORDER BY vec_id, embedding) - 1 AS row, vec_id, label,
+         list_transform(embedding, lambda v: floor(256 * v::DOUBLE)::BIGINT) AS x
+  FROM embeddings WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda v: v IS NULL OR NOT isfinite(v))) = 0),
+part AS (
+  SELECT row, part, x[part * w + 1:part * w + w] AS x
+  FROM (SELECT row, x, len(x) // 16 AS w, unnest(range(16)) AS part FROM kept)),
+book0 AS (SELECT part, row AS e, x AS c FROM part WHERE row < 64),
+{assign(0)},{move(0)},{assign(1)},{move(1)},{assign(2)},
+code AS (SELECT row, string_agg(printf('%02x', e), '' ORDER BY part) AS code, sum(d)::BIGINT AS error FROM near2 GROUP BY row),
+books AS (SELECT sha256(string_agg(v::VARCHAR, ',' ORDER BY part, e, i)) AS codebooks_sha256 FROM (
+  SELECT part, e, unnest(c) AS v, unnest(range(len(c))) AS i FROM book2))
+SELECT vec_id, code, error, sum(error) OVER (PARTITION BY label)::BIGINT AS label_error, codebooks_sha256
+FROM kept JOIN code USING (row), books
+"""
+
+
+@query(_codes_sql())
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    books = vector_codes.fit(vectors)
+    coded, code, error = vector_codes.encode(vectors, books, carry=["vec_id", "label"])
+    summed = vector_codes.with_group_error(coded, "label", error, "label_error")
+    return summed.select("vec_id", F.lower(F.hex(code)).alias("code"), F.col(error).alias("error"), "label_error",
+                         F.lit(books.sha256() if books else None).cast("string").alias("codebooks_sha256"))
+
+
+_RANKED = r"""
+WITH doc AS (
+  SELECT row_number() OVER () AS d, doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+         '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents),
+total AS (SELECT count(*) AS n, sum(len(w))::BIGINT AS l FROM doc WHERE len(w) > 0),
+asked AS (
+  SELECT DISTINCT i, item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+         '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM (SELECT row_number() OVER () AS i, item_id, text FROM benchmark)),
+posting AS (
+  SELECT d, doc_id, n, term, count(*) AS tf FROM (SELECT d, doc_id, len(w) AS n, unnest(w) AS term FROM doc)
+  WHERE term IN (SELECT term FROM asked) GROUP BY ALL),
+weight AS (SELECT term, floor(1000 * ln((2 * t.n + 2)::DOUBLE / (2 * count(*) + 1)))::BIGINT AS w FROM posting, total t GROUP BY term, t.n),
+scored AS (
+  SELECT i, item_id, d, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * p.n * t.n) // t.l))))::BIGINT AS score
+  FROM posting p JOIN weight USING (term) JOIN asked USING (term), total t GROUP BY i, item_id, d, doc_id)
+SELECT item_id, row_number() OVER (PARTITION BY i ORDER BY score DESC, doc_id, d)::INTEGER AS rank, doc_id, score FROM scored WHERE score > 0
+QUALIFY rank <= 50
+"""
+
+
+@query(_RANKED)
+def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
