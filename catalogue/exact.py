@@ -39,7 +39,11 @@ def one_tree(label):
 
 
 def boosted(label):
-    return learners.boosted_trees(label, rounds=5, depth=8, rows=1.0, features="all")
+    return learners.boosted_trees(label, rows=1.0, columns=1.0, l2=0.0)
+
+
+def counts(label):
+    return learners.boosted_counts(label, rows=1.0, columns=1.0, l2=0.0)
 
 
 @query("mod6_tree_of_one_feature", group_means("tree", "isodow(hour_ts)", 6), ("dense",))
@@ -52,12 +56,18 @@ def mod7(t):
     return split(t, "boosted", boosted, ["weekday"], 6)
 
 
+@query("mod9_rates_by_group", group_means("rates", "isodow(hour_ts)", 6), ("dense",))
+def mod9_rates(t):
+    """Under the Poisson loss the fitted rates of groups are their means."""
+    return split(t, "rates", counts, ["weekday"], 6)
+
+
 @query("mod9_boosted_deviance", f"""
     WITH p AS ({group_means('boosted', 'isodow(hour_ts)', 12)})
     SELECT model, round(avg(2 * (CASE WHEN actual > 0 THEN actual * ln(actual / predicted) ELSE 0 END - actual + predicted)), 6) AS deviance,
            round(avg(abs(actual - predicted)), 6) AS mae FROM p GROUP BY 1""", ("dense",))
 def mod9(t):
-    rows = learners.clipped(split(t, "boosted", boosted, ["weekday"], 12))
+    rows = split(t, "boosted", counts, ["weekday"], 12)
     return rows.groupBy("model").agg(F.round(poisson_deviance(F.col("actual"), F.col("predicted")), 6).alias("deviance"),
                                      F.round(F.avg(F.abs(F.col("actual") - F.col("predicted"))), 6).alias("mae"))
 

@@ -70,8 +70,8 @@ def mod8(t):
 def mod9(t):
     from hourgrid.functions.scores import poisson_deviance
 
-    rows = learners.clipped(learners.simple_split(
-        supervised(t), {"boosted": learners.boosted_trees}, "crime_count", FEATURES, CUTOFF))
+    makers = {"poisson_loss": learners.boosted_counts, "squared_error": learners.boosted_trees}
+    rows = learners.clipped(learners.simple_split(supervised(t), makers, "crime_count", FEATURES, CUTOFF))
     return rows.groupBy("model").agg(
         poisson_deviance(F.col("actual"), F.col("predicted")).alias("deviance"),
         F.avg(F.abs(F.col("actual") - F.col("predicted"))).alias("mae"))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
@@ -12,16 +13,16 @@ from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.param import Param, Params, TypeConverters
-from pyspark.ml.regression import (
-    GBTRegressor, GeneralizedLinearRegression, LinearRegression, RandomForestRegressor,
-)
+from pyspark.ml.regression import GeneralizedLinearRegression, LinearRegression, RandomForestRegressor
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.util import inheritable_thread_target
 
 from hourgrid.functions.calendar import MODEL_BLOCK_LABELS, cyclic, hour_block, hour_index
 from hourgrid.operators import windows
+from hourgrid.operators.boosting import BoostedTrees, Task
 from hourgrid.operators.encode import label_encode
-from hourgrid.operators.evaluate import FOLDS, Folds, best_model, fold_rows, score, time_split
+from hourgrid.operators.evaluate import FOLDS, Folds, best_model, fold_sizes, moment, score, time_split
 from hourgrid.operators.shape import require_columns
 from hourgrid.session import materialise
 
@@ -72,13 +73,20 @@ def random_forest(label: str, trees: int = 200, depth: int = 10) -> Estimator:
 
 
 def boosted_trees(label: str, rounds: int = 400, depth: int = 6, step: float = 0.05,
-                  rows: float = 0.8, features: str = "0.8") -> Estimator:
-    return GBTRegressor(maxIter=rounds, maxDepth=depth, stepSize=step, subsamplingRate=rows,
-                        featureSubsetStrategy=features, seed=42, **_common(label))
+                  rows: float = 0.8, columns: float = 0.8, **settings) -> Estimator:
+    """Squared error."""
+    return BoostedTrees(label, FEATURES, PREDICTED, rounds=rounds, depth=depth, step=step, rows=rows, columns=columns, **settings)
 
 
 def deep_boosted_trees(label: str, rounds: int = 1000, depth: int = 8, step: float = 0.05) -> Estimator:
-    return GBTRegressor(maxIter=rounds, maxDepth=depth, stepSize=step, seed=42, **_common(label))
+    """Squared error, all rows and columns for every tree."""
+    return boosted_trees(label, rounds, depth, step, 1.0, 1.0)
+
+
+def boosted_counts(label: str, rounds: int = 400, depth: int = 6, step: float = 0.05,
+                   rows: float = 0.8, columns: float = 0.8, **settings) -> Estimator:
+    """Poisson loss with a log link, so predictions are rates above 0."""
+    return boosted_trees(label, rounds, depth, step, rows, columns, loss="poisson", **settings)
 
 
 def poisson(label: str, weight: str | None = None) -> Estimator:
@@ -94,6 +102,8 @@ ZOO: dict[str, Callable[[str], Estimator]] = {
     "deep_boosted_trees": deep_boosted_trees,
     "poisson": poisson,
 }
+#: Fits that run at the same time; each is a chain of small jobs that leaves most cores idle.
+CONCURRENT = 4
 
 
 def assemble(df: DataFrame, features: Sequence[str]) -> DataFrame:
@@ -110,27 +120,63 @@ def clipped(df: DataFrame, column: str = PREDICTED) -> DataFrame:
     return df.withColumn(column, F.greatest(F.col(column), F.lit(0.0)))
 
 
-def rolling_cv(df: DataFrame, make: Callable[[str], Estimator], target: str, features: Sequence[str],
-               ts: str = "hour_ts", area: str = "area", folds: Folds = FOLDS, clip: bool = False) -> DataFrame:
-    """Fit before each fold, predict inside it: (ts, area, actual, predicted, fold).
+def feature_table(df: DataFrame, features: Sequence[str], *kept: str | Column) -> DataFrame:
+    """The assembled frame as a table, held in memory: every fit reads a part of it. Give it back with ``unpersist``."""
+    base = materialise(assemble(df, features).select(*kept, FEATURES), "features")
+    return base.persist(StorageLevel.MEMORY_AND_DISK)
+
+
+def fit_all(base: DataFrame, makers: dict[str, Callable[[str], Estimator]], tasks: Sequence[Task]) -> dict[str, list[Transformer]]:
+    """A model of every maker for every task over one table, ``CONCURRENT`` fits at a time.
 
-    The assembled frame is a table, as every fold reads its prefix, and is held in memory
-    while the folds are fitted.
+    Boosted trees fit all tasks together, the others each task alone.
     """
-    base = materialise(
-        assemble(df, features).select(ts, area, F.col(target).cast("double").alias("actual"), FEATURES), "features")
-    base.persist(StorageLevel.MEMORY_AND_DISK)
-    out = None
-    for number, fold in enumerate(folds, start=1):
-        train, test = fold_rows(base, fold, ts)
-        if test.isEmpty() or train.isEmpty():
-            continue
-        predicted = make("actual").fit(train).transform(test)
-        part = predicted.select(ts, area, "actual", F.col(PREDICTED).cast("double").alias(PREDICTED),
-                                F.lit(number).alias("fold"))
-        out = part if out is None else out.unionByName(part)
-    if out is None:
+    with ThreadPoolExecutor(CONCURRENT) as pool:
+        def submit(work: Callable):
+            return pool.submit(inheritable_thread_target(base.sparkSession)(work))
+
+        waiting = {}
+        for name, make in makers.items():
+            estimators = [make(t.label) for t in tasks]
+            if isinstance(estimators[0], BoostedTrees):
+                waiting[name] = [submit(lambda e=estimators[0]: e.fit_each(base, tasks))]
+            else:
+                waiting[name] = [submit(lambda e=e, t=t: [e.fit(base if t.train is None else base.where(t.train))]) for e, t in zip(estimators, tasks)]
+        return {name: [model for part in parts for model in part.result()] for name, parts in waiting.items()}
+
+
+def _actual(target: str) -> Column:
+    return F.col(target).cast("double").alias("actual")
+
+
+def _predictions(model: Transformer, rows: DataFrame, ts: str, area: str, *more: Column) -> DataFrame:
+    return model.transform(rows).select(*more, ts, area, "actual", F.col(PREDICTED).cast("double").alias(PREDICTED))
+
+
+def _used_folds(base: DataFrame, folds: Folds, ts: str) -> list[tuple[int, Column, Column]]:
+    """Number, training rows and test rows of the folds that have both."""
+    sizes = {r["fold"]: r for r in fold_sizes(base, folds, ts).collect()}
+    used = [(k, F.col(ts) < moment(start), (F.col(ts) >= moment(start)) & (F.col(ts) < moment(end)))
+            for k, (start, end) in enumerate(folds, start=1) if k in sizes and sizes[k]["train_size"] and sizes[k]["test_size"]]
+    if not used:
         raise ValueError("no fold has both training and test rows")
+    return used
+
+
+def _union(parts: list[DataFrame]) -> DataFrame:
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out
+
+
+def rolling_cv(df: DataFrame, make: Callable[[str], Estimator], target: str, features: Sequence[str],
+               ts: str = "hour_ts", area: str = "area", folds: Folds = FOLDS, clip: bool = False) -> DataFrame:
+    """Fit before each fold, predict inside it: (ts, area, actual, predicted, fold)."""
+    base = feature_table(df, features, ts, area, _actual(target))
+    used = _used_folds(base, folds, ts)
+    models = fit_all(base, {"": make}, [Task("actual", train) for _, train, _ in used])[""]
+    out = _union([_predictions(m, base.where(test), ts, area).withColumn("fold", F.lit(k)) for m, (k, _, test) in zip(models, used)])
     base.unpersist()
     return clipped(out) if clip else out
 
@@ -138,15 +184,9 @@ def rolling_cv(df: DataFrame, make: Callable[[str], Estimator], target: str, fea
 def simple_split(df: DataFrame, makers: dict[str, Callable[[str], Estimator]], target: str,
                  features: Sequence[str], cutoff: str, ts: str = "hour_ts", area: str = "area") -> DataFrame:
     """Predictions of several models after one cutoff, as (model, ts, area, actual, predicted)."""
-    base = materialise(
-        assemble(df, features).select(ts, area, F.col(target).cast("double").alias("actual"), FEATURES), "features")
-    base.persist(StorageLevel.MEMORY_AND_DISK)
-    train, test = time_split(base, cutoff, ts)
-    out = None
-    for name, make in makers.items():
-        part = make("actual").fit(train).transform(test).select(
-            F.lit(name).alias("model"), ts, area, "actual", F.col(PREDICTED).cast("double").alias(PREDICTED))
-        out = part if out is None else out.unionByName(part)
+    base = feature_table(df, features, ts, area, _actual(target))
+    models = fit_all(base, makers, [Task("actual", F.col(ts) < moment(cutoff))])
+    out = _union([_predictions(m[0], base.where(F.col(ts) >= moment(cutoff)), ts, area, F.lit(name).alias("model")) for name, m in models.items()])
     base.unpersist()
     return out
 
@@ -156,11 +196,10 @@ def multi_horizon(df: DataFrame, features: Sequence[str], horizons: Sequence[int
                   area: str = "area") -> DataFrame:
     """One model per horizon over one assembled frame: y_h* and p_h* after the cutoff."""
     targets = [f"y_h{h}" for h in horizons]
-    base = materialise(assemble(df, features).select(ts, area, *targets, FEATURES), "features")
-    base.persist(StorageLevel.MEMORY_AND_DISK)
-    train, out = time_split(base, cutoff, ts)
-    for h in horizons:
-        model = make(f"y_h{h}").fit(train)
+    base = feature_table(df, features, ts, area, *targets)
+    _, out = time_split(base, cutoff, ts)
+    models = fit_all(base, {"": make}, [Task(y, F.col(ts) < moment(cutoff)) for y in targets])[""]
+    for h, model in zip(horizons, models):
         out = clipped(model.transform(out)).withColumnRenamed(PREDICTED, f"p_h{h}")
     base.unpersist()
     return out.drop(FEATURES)
@@ -277,21 +316,26 @@ def seasonal_trend(series: DataFrame, y: str, cutoff: str, ts: str = "hour_ts",
 
 def run_dataset(df: DataFrame, dataset: str, target: str, features: Sequence[str],
                 makers: dict[str, Callable[[str], Estimator]] | None = None, folds: Folds = FOLDS,
-                cutoff: str | None = None) -> dict[str, DataFrame]:
-    """Simple split and rolling folds of every model, with their score tables."""
+                cutoff: str | None = None, ts: str = "hour_ts", area: str = "area") -> dict[str, DataFrame]:
+    """Simple split and rolling folds of every model over one feature table, with their score tables."""
     makers = makers or ZOO
-    cutoff = cutoff or folds[-1][1]
-    simple = score(simple_split(df, makers, target, features, cutoff), ["model"])
-    cv = None
-    for name, make in makers.items():
-        part = rolling_cv(df, make, target, features, folds=folds).withColumn("model", F.lit(name))
-        cv = part if cv is None else cv.unionByName(part)
-    tag = F.lit(dataset).alias("dataset")
-    predictions = cv.select(tag, "*")
+    cut = moment(cutoff or folds[-1][1])
+    base = feature_table(df, features, ts, area, _actual(target))
+    used = _used_folds(base, folds, ts)
+    models = fit_all(base, makers, [*[Task("actual", train) for _, train, _ in used], Task("actual", F.col(ts) < cut)])
+    tags = [F.lit(dataset).alias("dataset"), None]
+    simple, cv = [], []
+    for name, fitted in models.items():
+        tags[1] = F.lit(name).alias("model")
+        cv += [_predictions(m, base.where(test), ts, area, *tags, F.lit(k).alias("fold")) for m, (k, _, test) in zip(fitted, used)]
+        simple.append(_predictions(fitted[-1], base.where(F.col(ts) >= cut), ts, area, *tags))
+    # both tables are scored several times: predict once
+    predictions, after = materialise(_union(cv), "fold-predictions"), materialise(_union(simple), "split-predictions")
+    base.unpersist()
     return {
         "predictions": predictions,
         "fold_metrics": score(predictions, ["dataset", "model", "fold"]),
-        "simple": simple.select(tag, "*"),
+        "simple": score(after, ["dataset", "model"]),
     }
 
 

@@ -226,9 +226,11 @@ def test_registered_models_are_the_whole_ones(spark, monkeypatch, name):
     if name == "cv7":
         assert made == learners.ZOO
         return
-    make = made["boosted"] if name == "mod9" else made
+    make = made["poisson_loss"] if name == "mod9" else made
     fitted = make("y")
     if name == "mod6":
         assert (fitted.getNumTrees(), fitted.getMaxDepth()) == (200, 10)
     else:
-        assert (fitted.getMaxIter(), fitted.getMaxDepth(), fitted.getStepSize()) == (400, 6, 0.05)
+        settings = fitted.settings
+        assert (settings.rounds, settings.depth, settings.step, settings.rows, settings.columns) == (400, 6, 0.05, 0.8, 0.8)
+        assert settings.loss == ("poisson" if name == "mod9" else "squared")
