@@ -81,13 +81,14 @@ def _touches(e: Column, x: Column, y: Column) -> Column:
     )
 
 
-def covers(edges: Column, x: Column, y: Column, predicate: str = "within") -> Column:
+def covers(edges: Column, x: Column, y: Column, predicate: str = "within", base: Column | None = None) -> Column:
     """Point in polygon by crossing parity over all rings, so holes need no extra care.
 
-    ``within`` leaves the border out, ``intersects`` takes it in.
+    ``within`` leaves the border out, ``intersects`` takes it in. ``base`` is the number of crossings with edges
+    that are known to be crossed and left out of ``edges``.
     """
     crossings = F.aggregate(
-        edges, F.lit(0), lambda n, e: n + F.when(_crosses(e, x, y), 1).otherwise(0))
+        edges, F.lit(0) if base is None else base.cast("int"), lambda n, e: n + F.when(_crosses(e, x, y), 1).otherwise(0))
     odd = crossings % 2 == 1
     border = F.exists(edges, lambda e: _touches(e, x, y))
     if predicate == "within":

@@ -14,16 +14,21 @@ from pyspark.sql import Column, DataFrame, Row, functions as F
 
 from hourgrid.functions import geo
 from hourgrid.functions.text import map_values
+from hourgrid.operators import quadtree
 from hourgrid.operators.encode import categories, indicators
 from hourgrid.operators.lookup import BROADCAST_ROWS, SALTS, lookup, lookup_counted, salt
+from hourgrid.operators.quadtree import CELL, Box, Root
 from hourgrid.session import materialise
 
-MAX_CELLS_PER_SIDE = 64
-MAX_LISTED_SITES = 500
-SITE_CELLS = 32
+#: Edges or sites of a leaf above which it is split.
+LEAF_EDGES = 64
+LEAF_SITES = 16
+#: Rows that a tree may grow to; then its leaves stay coarser.
+LEAVES = BROADCAST_ROWS // 2
+#: Layers with more edges than this per broadcast row are searched by growing cells at once.
+EDGES_PER_ROW = 50
 # About 64 MB of edges.
 BROADCAST_EDGES = 2_000_000
-OUTSIDE = -(2**60)
 
 
 def with_edges(layer: DataFrame, project: bool = False) -> DataFrame:
@@ -49,34 +54,6 @@ def _extent(layer: DataFrame) -> Row:
         F.coalesce(F.sum(F.size("edges")), F.lit(0)).alias("edges")).first()
 
 
-def _cell_size(extent: Row) -> float:
-    """Cells of about a quarter of a typical polygon, at most 64 per side of the layer."""
-    if not extent["polygons"]:
-        return 1.0
-    side = max(extent["east"] - extent["west"], extent["north"] - extent["south"], 1e-9)
-    return side / min(MAX_CELLS_PER_SIDE, max(8, 4 * math.isqrt(extent["polygons"])))
-
-
-def _cells(layer: DataFrame, size: float) -> DataFrame:
-    """One row per (polygon, cell under its box), with the edges that a ray from the
-    cell towards +x can meet."""
-    def span(low: str, high: str) -> Column:
-        return F.explode(F.sequence(F.floor(F.col(low) / size), F.floor(F.col(high) / size)))
-    south, west = F.col("_cy") * size, F.col("_cx") * size
-    slack = size * 1e-6
-    return (
-        layer.withColumn("_cx", span("west", "east")).withColumn("_cy", span("south", "north"))
-        .withColumn("edges", F.filter("edges", lambda e: (
-            (F.greatest(e["y1"], e["y2"]) >= south - slack)
-            & (F.least(e["y1"], e["y2"]) <= south + size + slack)
-            & (F.greatest(e["x1"], e["x2"]) >= west - slack))))
-    )
-
-
-def _point_cell(df: DataFrame, x: Column, y: Column, size: float) -> DataFrame:
-    return df.withColumns({"_cx": F.floor(x / size), "_cy": F.floor(y / size)})
-
-
 def _places(points: DataFrame, coords: dict[str, Column]) -> DataFrame:
     """Each distinct place once, with the number ``_n`` of its points; points without coordinates have no place."""
     found = points.select(*[c.alias(name) for name, c in coords.items()]).dropna()
@@ -92,36 +69,42 @@ def attach_polygon(points: DataFrame, layer: DataFrame, target: str, lon: str =
                    lat: str = "latitude", predicate: str = "within", max_rows: int = BROADCAST_ROWS) -> DataFrame:
     """Left join: name of the polygon that holds the point, the lowest poly_id on overlaps.
 
-    The layer becomes a table of cells with the candidates of each cell, so a point
-    meets one row of it: no fan-out, no de-duplication of the points, and no shuffle of
-    them while that table fits a broadcast. Beyond that the distinct places are joined with
-    the candidates by shuffle on salted cells, and points look their place up. Repeated or
+    The layer becomes the leaves of a quadtree; a leaf lists its candidates with the edges that matter there, a leaf inside
+    one polygon only its name. A point meets one leaf: no fan-out, no de-duplication of the points, and no shuffle of
+    them while the leaves fit a broadcast. Beyond that the distinct places are joined with
+    the leaves by shuffle on salted cells, and points look their place up. Repeated or
     missing ids of points do not matter on either path.
     """
     x, y = F.col(lon), F.col(lat)
-    polygons = with_edges(layer)
-    size = _cell_size(_extent(polygons))
-    cells = materialise(_cells(polygons, size).select("_cx", "_cy", "poly_id", "name", "edges"), "cells")
-    located = _point_cell(points, x, y, size)
-    volume = cells.agg(F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum(F.size("edges")), F.lit(0)).alias("edges")).first()
+    polygons = materialise(with_edges(layer), "polygons")
+    extent = _extent(polygons)
+    if not extent["polygons"] or extent["west"] is None:
+        return points.withColumn(target, F.lit(None).cast("string"))
+    root = Root.around(extent["west"], extent["south"], extent["east"], extent["north"])
+    leaves = materialise(quadtree.containment(polygons, root, LEAF_EDGES, LEAVES).select(*CELL, "poly_id", "name", "_base", "edges"), "leaves")
+    used = quadtree.levels(leaves)
+    if not used:
+        return points.withColumn(target, F.lit(None).cast("string"))
+    volume = leaves.agg(F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum(F.size("edges")), F.lit(0)).alias("edges")).first()
     if volume["rows"] <= max_rows and volume["edges"] <= BROADCAST_EDGES:
-        listed = cells.groupBy("_cx", "_cy").agg(
-            F.array_sort(F.collect_list(F.struct("poly_id", "name", "edges"))).alias("_cands"))
+        listed = leaves.groupBy(*CELL).agg(
+            F.array_sort(F.collect_list(F.struct("poly_id", "name", "_base", "edges"))).alias("_cands"))
         hit = geo.bind(geo.point(x, y), lambda at: F.filter(
-            "_cands", lambda p: geo.covers(p["edges"], at["x"], at["y"], predicate)))
+            "_cands", lambda p: geo.covers(p["edges"], at["x"], at["y"], predicate, p["_base"])))
         return (
-            located.join(F.broadcast(listed), ["_cx", "_cy"], "left")
+            quadtree.locate(points, listed, root, x, y, "_cands", used)
             .withColumn(target, F.get(hit, F.lit(0))["name"])
-            .drop("_cx", "_cy", "_cands")
+            .drop("_cands")
         )
     coords = {"_x": x, "_y": y}
     places = _places(points, coords)
+    at = F.explode(F.array(*[F.struct(F.lit(n).alias("_level"), *[c.alias(k) for c, k in zip(root.cell(F.col("_x"), F.col("_y"), n), CELL[1:])])
+                             for n in used]))
     hits = (
-        _point_cell(places, F.col("_x"), F.col("_y"), size)
+        places.where(root.holds(F.col("_x"), F.col("_y"))).select("*", at.alias("_cell")).select("_x", "_y", "_n", "_cell.*")
         .withColumn("_salt", salt(["_x", "_y"], SALTS))
-        .join(cells.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))),
-              ["_cx", "_cy", "_salt"])
-        .where(geo.covers(F.col("edges"), F.col("_x"), F.col("_y"), predicate))
+        .join(leaves.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))), [*CELL, "_salt"])
+        .where(geo.covers(F.col("edges"), F.col("_x"), F.col("_y"), predicate, F.col("_base")))
         .groupBy("_x", "_y", "_n").agg(F.min_by("name", "poly_id").alias(target))
     )
     return _at_places(points, coords, hits)
@@ -180,88 +163,34 @@ def _nearest_by_cells(points: DataFrame, key: Sequence[str], coords: Sequence[st
     return out
 
 
-def _grid_range(extent: Row, size: float) -> tuple[int, int, int, int]:
-    """First and last cell per axis, one cell wider than the layer."""
-    return (math.floor(extent["west"] / size) - 1, math.floor(extent["east"] / size) + 1,
-            math.floor(extent["south"] / size) - 1, math.floor(extent["north"] / size) + 1)
-
-
-def _nearest_candidates(polygons: DataFrame, extent: Row, size: float) -> DataFrame:
-    """Cells with the polygons that can be nearest to any of their points, and one row
-    with all polygons for points beyond the grid.
-
-    A polygon touches all sides of its box, which gives a first upper bound of its
-    distance; among those left, the distance from the middle of the cell gives a
-    tighter one.
-    """
-    half = size * math.sqrt(0.5)
-    cx, cy = (F.col("_cx") + 0.5) * size, (F.col("_cy") + 0.5) * size
-
-    def corner(p: Column, a: str, b: str) -> Column:
-        return (cx - p[a]) * (cx - p[a]) + (cy - p[b]) * (cy - p[b])
-
-    def box_bound(p: Column) -> Column:
-        sw, se = corner(p, "west", "south"), corner(p, "east", "south")
-        nw, ne = corner(p, "west", "north"), corner(p, "east", "north")
-        sides = [F.greatest(sw, se), F.greatest(nw, ne), F.greatest(sw, nw), F.greatest(se, ne)]
-        return F.sqrt(F.least(*sides)) + half
-
-    def middle_bound(p: Column) -> Column:
-        return geo.polygon_distance(p["edges"], cx, cy) + half
-
-    def least_distance(p: Column) -> Column:
-        w, s = F.col("_cx") * size, F.col("_cy") * size
-        dx = F.greatest(p["west"] - (w + size), w - p["east"], F.lit(0.0))
-        dy = F.greatest(p["south"] - (s + size), s - p["north"], F.lit(0.0))
-        return F.sqrt(dx * dx + dy * dy)
-
-    def within(cands: Column | str, bound) -> Column:
-        """Candidates no further than the least of the bounds, which is worked out once."""
-        return geo.bind(F.array_min(F.transform(cands, bound)) * (1 + 1e-9),
-                        lambda limit: F.filter(cands, lambda p: least_distance(p) <= limit))
-
-    first_x, last_x, first_y, last_y = _grid_range(extent, size)
-    tasks = int(polygons.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    listed = polygons.agg(F.array_sort(F.collect_list(
-        F.struct("poly_id", "name", "edges", "west", "south", "east", "north"))).alias("_all"))
-    cells = (
-        listed.withColumn("_cx", F.explode(F.sequence(F.lit(first_x), F.lit(last_x)).cast("array<bigint>")))
-        .repartition(tasks, "_cx")
-        .withColumn("_cy", F.explode(F.sequence(F.lit(first_y), F.lit(last_y)).cast("array<bigint>")))
-        .withColumn("_cands", geo.bind(within("_all", box_bound), lambda some: within(some, middle_bound)))
-        .select("_cx", "_cy", "_cands")
-    )
-    beyond = listed.select(F.lit(OUTSIDE).cast("bigint").alias("_cx"), F.lit(OUTSIDE).cast("bigint").alias("_cy"),
-                           F.col("_all").alias("_cands"))
-    return materialise(cells.unionByName(beyond), "nearest-cells")
-
-
 def attach_nearest_polygon(points: DataFrame, layer: DataFrame, target: str, lon: str = "longitude",
                            lat: str = "latitude", distance: str | None = None,
                            max_rows: int = BROADCAST_ROWS) -> DataFrame:
     """Left join: name of the nearest polygon in Mercator metres, 0 inside, ties to the
     lowest poly_id; points without coordinates get null.
 
-    Cells of a grid over the layer carry the polygons that can be nearest to any of
-    their points: those whose box is no further than the tightest upper bound in the
-    cell. Points outside the grid are compared with all polygons. A layer too large for
-    that is searched by growing cells, once per distinct place.
+    Leaves of a quadtree over points and layer carry the polygons that can be nearest to any of
+    their points, each with the edges that can matter there. Leaves too many for a broadcast
+    give way to a search by growing cells, once per distinct place.
     """
     x, y = geo.mercator_x(F.col(lon)), geo.mercator_y(F.col(lat))
     polygons = materialise(with_edges(layer, project=True), "polygons")
     distance = distance or "_dist"
     extent = _extent(polygons)
-    if not extent["polygons"]:
+    if not extent["polygons"] or extent["west"] is None:
         return points.withColumns({target: F.lit(None).cast("string"), distance: F.lit(None).cast("double")}) \
             .drop("_dist")
-    grid = None
-    if extent["edges"] <= max_rows:
-        size = _cell_size(extent)
-        grid = _nearest_candidates(polygons, extent, size)
-        volume = grid.agg(F.sum(F.aggregate("_cands", F.lit(0).cast("long"), lambda n, p: n + F.size(p["edges"])))).first()[0]
-        if volume > BROADCAST_EDGES:
-            grid = None
-    if grid is None:
+    leaves, used = None, []
+    if extent["edges"] <= max_rows * EDGES_PER_ROW:
+        seen = points.agg(*[g(c) for c in (x, y) for g in (F.min, F.max)]).first()
+        ends = [(seen[i], extent[k]) for i, k in enumerate(("west", "east", "south", "north"))]
+        west, east, south, north = [g(v for v in pair if v is not None) for g, pair in zip((min, max, min, max), ends)]
+        root = Root.around(west, south, east, north)
+        leaves = materialise(quadtree.nearest_polygons(polygons, root, LEAF_EDGES, LEAVES), "nearest-leaves")
+        volume = leaves.agg(F.count(F.lit(1)), F.sum(F.size("edges") + F.size("_near"))).first()
+        if volume[0] > max_rows or (volume[1] or 0) > BROADCAST_EDGES:
+            leaves = None
+    if leaves is None:
         shapes = polygons.withColumn("_fid", F.col("poly_id"))
         coords = {"_x": x, "_y": y}
         near = _nearest_by_cells(
@@ -271,88 +200,57 @@ def attach_nearest_polygon(points: DataFrame, layer: DataFrame, target: str, lon
                        ["_fid"], max_rows=max_rows)
         return _at_places(points, coords, named.withColumnRenamed("_dist", distance).drop("_fid")).drop("_dist")
 
-    first_x, last_x, first_y, last_y = _grid_range(extent, size)
-    cx, cy = F.floor(x / size), F.floor(y / size)
-    inside = cx.between(first_x, last_x) & cy.between(first_y, last_y)
-    known = x.isNotNull() & y.isNotNull()
-    located = points.withColumns({
-        "_cx": F.when(inside, cx).when(known, F.lit(OUTSIDE)).cast("bigint"),
-        "_cy": F.when(inside, cy).when(known, F.lit(OUTSIDE)).cast("bigint")})
+    used = quadtree.levels(leaves)
+    listed = leaves.groupBy(*CELL).agg(F.array_sort(F.collect_list(F.struct("poly_id", "name", "_base", "edges", "_near"))).alias("_cands"))
 
     def named(p: Column, d: Column) -> Column:
         return F.struct(d.alias("d"), p["poly_id"].alias("poly_id"), p["name"].alias("name"))
 
     def nearest(at: Column) -> Column:
         """The holder with the lowest poly_id, and only without one the distances to the edges."""
-        holders = F.filter("_cands", lambda p: (
-            at["x"].between(p["west"], p["east"]) & at["y"].between(p["south"], p["north"])
-            & geo.covers(p["edges"], at["x"], at["y"], "intersects")))
+        holders = F.filter("_cands", lambda p: geo.covers(p["edges"], at["x"], at["y"], "intersects", p["_base"]))
+        open_ = F.filter("_cands", lambda p: F.size(p["_near"]) > 0)
         return F.coalesce(
             geo.bind(F.get(holders, F.lit(0)), lambda p: F.when(p.isNotNull(), named(p, F.lit(0.0)))),
-            F.array_min(F.transform("_cands", lambda p: named(p, geo.edge_distance(p["edges"], at["x"], at["y"])))))
+            F.array_min(F.transform(open_, lambda p: named(p, geo.edge_distance(p["_near"], at["x"], at["y"])))))
 
     out = (
-        located.join(F.broadcast(grid), ["_cx", "_cy"], "left")
+        quadtree.locate(points, listed, root, x, y, "_cands", used)
         .withColumn("_best", geo.bind(geo.point(x, y), nearest))
         .withColumns({target: F.col("_best.name"), distance: F.col("_best.d")})
-        .drop("_cx", "_cy", "_cands", "_best")
+        .drop("_cands", "_best")
     )
     return out.drop("_dist")
 
 
-def _site_rows(sites: DataFrame, max_rows: int) -> list | None:
-    rows = sites.select("name", "lat", "lon").dropna().distinct().limit(max_rows + 1).collect()
-    return sorted(rows) if len(rows) <= max_rows else None
-
-
-def _listed_sites(rows: list[Row]) -> Column:
-    """The sites as one constant array, with their places on the unit sphere."""
-    def constant(r: Row) -> Column:
-        phi, lam = math.radians(r["lat"]), math.radians(r["lon"])
-        vector = {"x": math.cos(phi) * math.cos(lam), "y": math.cos(phi) * math.sin(lam), "z": math.sin(phi)}
-        return F.struct(*[F.lit(v).alias(k) for k, v in vector.items()], F.lit(r["name"]).alias("name"),
-                        F.lit(r["lat"]).alias("lat"), F.lit(r["lon"]).alias("lon"))
-    return F.array(*[constant(r) for r in rows])
+def _near_site_leaves(points: DataFrame, sites: DataFrame, lat: str, lon: str, max_rows: int) -> DataFrame | None:
+    """``points`` with a column ``_site`` (d, name), or None where the leaves are too many for a broadcast.
 
-
-def _near_listed_site(points: DataFrame, rows: list[Row], lat: str, lon: str) -> DataFrame:
-    """Column ``_site`` (d, name) from a short list of sites.
-
-    Each cell of a grid around the sites lists those that can be nearest to one of its
-    points: a site is out when, even at the near end of the cell, it is further away than
-    the best site at the far end. Squared chords rank the few that are left; the
-    great-circle distance is worked out for the winner only.
+    Leaves of a quadtree over degrees list the sites that can be nearest to one of their points: a site is out where, even at
+    the near end of the cell, it is further away than the best site at the far end. Squared chords rank the few that are
+    left; the great-circle distance is worked out for the winner only.
     """
-    if not rows:
+    ends = (F.min("lon"), F.max("lon"), F.min("lat"), F.max("lat"))
+    box, seen = sites.agg(*ends).first(), points.agg(F.min(lon), F.max(lon), F.min(lat), F.max(lat)).first()
+    if box[0] is None or seen[0] is None or seen[2] is None:
         return points.withColumn("_site", F.lit(None).cast("struct<d:double,name:string>"))
-    spark, listed = points.sparkSession, _listed_sites(rows)
-    lats, lons = [r["lat"] for r in rows], [r["lon"] for r in rows]
-    pad = max(max(lats) - min(lats), max(lons) - min(lons), 0.02) / 2
-    south, west = max(min(lats) - pad, -90.0), min(lons) - pad
-    tall, wide = (min(max(lats) + pad, 90.0) - south) / SITE_CELLS, (max(lons) + pad - west) / SITE_CELLS
-
-    cells = spark.range(SITE_CELLS * SITE_CELLS).select(
-        F.floor(F.col("id") / SITE_CELLS).alias("_cy"), (F.col("id") % SITE_CELLS).alias("_cx"))
-    mid_lat, mid_lon = (F.col("_cy") + 0.5) * tall + south, (F.col("_cx") + 0.5) * wide + west
-    half = F.greatest(*[
-        geo.haversine_m(mid_lat, mid_lon, mid_lat + side * tall / 2, mid_lon + wide / 2) for side in (-1, 1)]) * 1.01
-
-    def candidates(at: Column) -> Column:
-        def apart(site: Column) -> Column:
-            return geo.haversine_m(at["lat"], at["lon"], site["lat"], site["lon"])
-        return geo.bind(F.array_min(F.transform(listed, apart)) + 2 * at["half"],
-                        lambda limit: F.filter(listed, lambda site: apart(site) <= limit))
-
-    grid = materialise(
-        cells.withColumn("_cands", geo.bind(
-            F.struct(mid_lat.alias("lat"), mid_lon.alias("lon"), half.alias("half")), candidates))
-        .unionByName(spark.range(1).select(
-            F.lit(OUTSIDE).cast("bigint").alias("_cy"), F.lit(OUTSIDE).cast("bigint").alias("_cx"), listed.alias("_cands"))),
-        "site-cells")
-
-    known = F.col(lat).isNotNull() & F.col(lon).isNotNull()
-    cy, cx = F.floor((F.col(lat) - south) / tall), F.floor((F.col(lon) - west) / wide)
-    inside = cy.between(0, SITE_CELLS - 1) & cx.between(0, SITE_CELLS - 1)
+    west, east, south, north = [g(a, b) for g, a, b in zip((min, max, min, max), box, seen)]
+    root = Root.around(west, south, east, north)
+
+    def middle(cell: Box) -> Column:
+        cx, cy = cell.middle
+        return geo.haversine_m(cy, cx, F.col("lat"), F.col("lon"))
+
+    def reach(cell: Box) -> Column:
+        """No point of a cell is further from its middle: half a side along the meridian, then half a side at the equator."""
+        return F.radians(cell.size) * geo.EARTH_RADIUS_M
+
+    leaves = quadtree.nearest_boxes(sites.select("name", "lat", "lon"), root, lambda c: middle(c) - reach(c), lambda c: middle(c) + reach(c), LEAF_SITES, LEAVES)
+    leaves = materialise(leaves.select(*CELL, "name", "lat", "lon"), "site-leaves")
+    if leaves.count() > max_rows:
+        return None
+    vector = [v.alias(k) for k, v in zip("xyz", geo.unit_vector(F.col("lat"), F.col("lon")))]
+    listed = leaves.groupBy(*CELL).agg(F.array_sort(F.collect_list(F.struct("name", "lat", "lon", *vector))).alias("_cands"))
     x, y, z = geo.unit_vector(F.col(lat), F.col(lon))
 
     def ranked(at: Column, site: Column) -> Column:
@@ -362,37 +260,33 @@ def _near_listed_site(points: DataFrame, rows: list[Row], lat: str, lon: str) ->
 
     best = geo.bind(F.struct(x.alias("x"), y.alias("y"), z.alias("z")),
                     lambda at: F.array_min(F.transform("_cands", lambda site: ranked(at, site))))
+    known = F.col(lat).isNotNull() & F.col(lon).isNotNull()
     return (
-        points.withColumns({
-            "_cy": F.when(inside, cy).when(known, F.lit(OUTSIDE)).cast("bigint"),
-            "_cx": F.when(inside, cx).when(known, F.lit(OUTSIDE)).cast("bigint")})
-        .join(F.broadcast(grid), ["_cy", "_cx"], "left")
+        quadtree.locate(points, listed, root, F.col(lon), F.col(lat), "_cands", quadtree.levels(leaves))
         .withColumn("_best", best)
         .withColumn("_site", F.when(known, F.struct(
             geo.haversine_m(F.col(lat), F.col(lon), F.col("_best.lat"), F.col("_best.lon")).alias("d"),
             F.col("_best.name").alias("name"))))
-        .drop("_best", "_cands", "_cy", "_cx")
+        .drop("_best", "_cands")
     )
 
 
 def nearest_site(points: DataFrame, sites: DataFrame, cutoff_m: float, label: str = "site_label",
                  distance: str = "site_distance_m", lat: str = "latitude", lon: str = "longitude",
                  none_label: str = "none", null_distance: float | None = None,
-                 max_listed: int = MAX_LISTED_SITES) -> DataFrame:
+                 max_listed: int = BROADCAST_ROWS) -> DataFrame:
     """Distance to the nearest site, rounded to 4 digits, and its name when within the cut-off.
 
-    Up to ``max_listed`` sites are listed per cell of a broadcast grid; more are searched
+    Sites are listed in the leaves of a quadtree, which are broadcast; beyond ``max_listed`` entries they are searched
     by growing cells on the unit sphere, once per distinct place. Ties go to the first name
     on both paths; sites without a name or coordinates are left out.
     """
-    rows = _site_rows(sites, max_listed)
-    if rows is not None:
-        located = _near_listed_site(points, rows, lat, lon)
-    else:
+    known = materialise(sites.select("name", "lat", "lon").dropna().distinct(), "sites")
+    located = _near_site_leaves(points, known, lat, lon, max_listed)
+    if located is None:
         axes = ["_x", "_y", "_z"]
         numbered = materialise(
-            sites.select("name", "lat", "lon").dropna().distinct()
-            .withColumn("_fid", F.struct("name", "lat", "lon"))
+            known.withColumn("_fid", F.struct("name", "lat", "lon"))
             .withColumns(dict(zip(["_fx", "_fy", "_fz"], geo.unit_vector(F.col("lat"), F.col("lon")))))
         )
         coords = {"_lat": F.col(lat), "_lon": F.col(lon)}
