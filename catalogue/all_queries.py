@@ -1,3 +1,3 @@
 """Import every module that registers queries."""
 
-from catalogue import chains, checks, exact, files, forecasts, models, panels, places, rows  # noqa: F401
+from catalogue import chains, checks, exact, files, forecasts, models, panels, places, rows, stores  # noqa: F401

@@ -39,6 +39,34 @@ def mercator_y(lat: Column) -> Column:
     return F.log(F.tan(F.lit(math.pi / 4) + F.radians(lat) / 2)) * F.lit(MERCATOR_RADIUS_M)
 
 
+def longitude_of(x: Column) -> Column:
+    """Degrees of a Web Mercator x."""
+    return F.degrees(x / F.lit(MERCATOR_RADIUS_M))
+
+
+def latitude_of(y: Column) -> Column:
+    """Degrees of a Web Mercator y."""
+    return F.degrees(2 * F.atan(F.exp(y / F.lit(MERCATOR_RADIUS_M))) - F.lit(math.pi / 2))
+
+
+def edge_index(value: Column, edges: Column) -> Column:
+    """Number of rising ``edges`` (an array) below the value, less one: a value on an edge belongs to the lower cell.
+
+    Found by halving, so what counts is the edge as the array has it. Values up to the first edge get -1, those
+    beyond the last one its index; null stays null, as does everything over a null array.
+    """
+    def step(state: Column, _: Column) -> Column:
+        middle = F.floor((state["low"] + state["high"]) / 2).cast("int")
+        below = F.get(edges, middle) < value
+        open_ = state["low"] < state["high"]
+        return F.struct(F.when(open_ & below, middle + 1).otherwise(state["low"]).alias("low"),
+                        F.when(open_ & ~below, middle).otherwise(state["high"]).alias("high"))
+
+    start = F.struct(F.lit(0).alias("low"), F.size(edges).cast("int").alias("high"))
+    found = F.aggregate(F.sequence(F.lit(1), F.length(F.bin(F.size(edges).cast("long"))) + 1), start, step)
+    return F.when(value.isNotNull() & edges.isNotNull(), found["low"].cast("long") - 1)
+
+
 def cell_index(value: Column, origin: Column, size: float) -> Column:
     """Cell of a value on edges origin, origin + size, …: an edge belongs to the lower
     cell, so the origin itself gets -1."""

@@ -35,6 +35,19 @@ def grid_cells(df: DataFrame, cell_m: float = CELL_M, lon: str = "longitude", la
     }).withColumn("grid_id", F.concat(F.col("grid_x").cast("string"), F.lit("_"), F.col("grid_y").cast("string")))
 
 
+def grid_edges(low: Column, high: Column, cell_m: float = CELL_M) -> Column:
+    """Edges of a grid from ``low`` on, the last one beyond ``high``."""
+    cells = F.ceil((high - low) / F.lit(float(cell_m))).cast("int") + 1
+    return F.transform(F.sequence(F.lit(0), cells), lambda k: low + k * F.lit(float(cell_m)))
+
+
+def edge_cells(df: DataFrame, x_edges: Column, y_edges: Column, lon: str = "longitude", lat: str = "latitude") -> DataFrame:
+    """grid_x, grid_y and grid_id by look-up in given edges (metres), which may be uneven."""
+    out = df.withColumns({"grid_x": geo.edge_index(geo.mercator_x(F.col(lon)), x_edges),
+                          "grid_y": geo.edge_index(geo.mercator_y(F.col(lat)), y_edges)})
+    return out.withColumn("grid_id", F.concat(F.col("grid_x").cast("string"), F.lit("_"), F.col("grid_y").cast("string")))
+
+
 def grid_density(df: DataFrame, ts: str = "report_date", cell_m: float = CELL_M, rows: int = DENSITY_ROWS,
                  frame: str = "rows", out: str = "grid_density_7d") -> DataFrame:
     """Incidents of the cell on its last ``rows`` observed days (or calendar days), today included."""

@@ -13,6 +13,8 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window as W, WindowSpec, functions as F
 
+from hourgrid.session import materialise
+
 # Row lags, rolling lengths and forecast horizons.
 LAGS = (1, 3, 6, 12, 24, 168)
 ROLLING = (3, 6, 12, 24, 168)
@@ -95,7 +97,25 @@ def chunked(df: DataFrame, keys: Sequence[str], position: Column, back: int, ahe
     )
 
 
-def forward_fill(series: DataFrame, order: str, columns: Sequence[str]) -> DataFrame:
-    """Last known value of an hourly or daily series (one partition, bounded by the calendar)."""
-    w = W.partitionBy(F.lit(0)).orderBy(order).rowsBetween(W.unboundedPreceding, 0)
-    return series.withColumns({c: F.last(c, ignorenulls=True).over(w) for c in columns})
+def forward_fill(series: DataFrame, order: str, columns: Sequence[str], keys: Sequence[str] = (),
+                 chunk: Column | None = None) -> DataFrame:
+    """Last known value of each column along ``order``, within ``keys``.
+
+    The series is cut into chunks of time, by default months. Each chunk's last known values are aggregated on the map side
+    and carried to the next chunks by a window over the few chunk rows of a key; inside a chunk a window fills the rest. So no task
+    holds a whole series, and a gap may be longer than a chunk. Null keys are a key of their own.
+    """
+    span, named = "_chunk", [f"_last_{i}" for i in range(len(columns))]
+    cut = series.withColumn(span, F.date_trunc("month", F.col(order).cast("timestamp_ntz")) if chunk is None else chunk)
+    by = [*keys, span]
+    ends = materialise(cut.groupBy(*by).agg(*[
+        F.max_by(F.col(c), F.when(F.col(c).isNotNull(), F.col(order))).alias(n) for c, n in zip(columns, named)]), "chunk-ends")
+    before = W.partitionBy(*(keys or [F.lit(0)])).orderBy(span).rowsBetween(W.unboundedPreceding, -1)
+    carried = ends.select(*[F.col(k).alias(f"_key{i}") for i, k in enumerate(by)], *[F.last(n, ignorenulls=True).over(before).alias(n) for n in named])
+    same = None
+    for i, k in enumerate(by):
+        hit = F.col(k).eqNullSafe(F.col(f"_key{i}"))
+        same = hit if same is None else same & hit
+    inside = W.partitionBy(*by).orderBy(order).rowsBetween(W.unboundedPreceding, 0)
+    filled = cut.withColumns({c: F.last(c, ignorenulls=True).over(inside) for c in columns}).join(carried, same, "left")
+    return filled.withColumns({c: F.coalesce(F.col(c), F.col(n)) for c, n in zip(columns, named)}).select(*series.columns)

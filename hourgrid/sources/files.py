@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import re
+import uuid
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
+from hourgrid.functions import geo
 from hourgrid.functions.text import area_code
 from hourgrid.operators.dedupe import first_per_key
 from hourgrid.operators.shape import clean_names
@@ -97,12 +99,26 @@ def read_panel(spark: SparkSession, path: str, area: str = "area", ts: str = "ho
     return df.withColumns({ts: F.col(ts).cast("timestamp_ntz"), area: area_code(F.col(area).cast("string"))})
 
 
-def read_polygons(spark: SparkSession, path: str, names: tuple[str, ...], where: str | None = None) -> DataFrame:
-    """Polygon table with rings in degrees; the first existing name column becomes ``name``."""
+DEGREES, METRES = "EPSG:4326", "EPSG:3857"
+
+
+def read_polygons(spark: SparkSession, path: str, names: tuple[str, ...], where: str | None = None,
+                  crs: str = DEGREES) -> DataFrame:
+    """Polygon table with rings in degrees; the first existing name column becomes ``name``.
+
+    ``crs`` says what the rings are stored in; a text column ``crs`` of the table says so row by row, where it is not null.
+    Web Mercator metres are turned into degrees, another system gives null rings if a row names it and an error as parameter.
+    """
+    if crs not in (DEGREES, METRES):
+        raise ValueError(f"unknown reference system {crs!r}")
     df = spark.read.parquet(path)
     label = next((c for c in names if c in df.columns), df.columns[0])
     kept = df.where(where) if where else df
-    return kept.select("poly_id", F.col(label).cast("string").alias("name"), "rings")
+    named = F.upper(F.coalesce(F.col("crs"), F.lit(crs))) if "crs" in df.columns else F.lit(crs)
+    turned = F.transform("rings", lambda ring: F.transform(ring, lambda p: F.struct(
+        geo.longitude_of(p["x"]).alias("x"), geo.latitude_of(p["y"]).alias("y"))))
+    rings = F.when(named == DEGREES, F.col("rings")).when(named == METRES, turned)
+    return kept.select("poly_id", F.col(label).cast("string").alias("name"), rings.alias("rings"))
 
 
 def write_parquet(df: DataFrame, path: str, partition_by: tuple[str, ...] = (), mode: str = "overwrite") -> None:
@@ -128,6 +144,49 @@ def append_metrics(df: DataFrame, path: str) -> None:
     df.write.mode("append").parquet(path)
 
 
+def merge_metrics(df: DataFrame, path: str, keys: tuple[str, ...]) -> None:
+    """Add rows to a running leaderboard so that the same run written twice counts once.
+
+    Stored rows whose ``keys`` (null equals null) come again are replaced, others stay. The new table is written beside the
+    old one and takes its place by two renames; if that is cut short, the old one stands under ``<path>.old``.
+    """
+    spark = df.sparkSession
+    jvm = spark.sparkContext._jvm
+    here, new, old = (jvm.org.apache.hadoop.fs.Path(path.rstrip("/") + end) for end in ("", f".{uuid.uuid4().hex}", ".old"))
+    system = here.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not system.exists(here) and system.exists(old):
+        system.rename(old, here)
+    rows = df
+    if system.exists(here):
+        stored = spark.read.parquet(here.toString())
+        again = df.select(*[F.col(k).alias(f"_new_{k}") for k in keys]).distinct()
+        same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_new_{k}")) for k in keys])
+        rows = stored.join(again, same, "left_anti").unionByName(df, allowMissingColumns=True)
+    rows.write.parquet(new.toString())
+    if system.exists(here):
+        system.delete(old, True)
+        system.rename(here, old)
+    system.rename(new, here)
+    system.delete(old, True)
+
+
+STORED_BY = ("dataset", "model")
+
+
+def store_predictions(df: DataFrame, path: str) -> None:
+    """Predictions in one folder per (dataset, model); only the folders that ``df`` has rows for are replaced."""
+    df.hint("rebalance", *STORED_BY).write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
+        .partitionBy(*STORED_BY).parquet(path)
+
+
+def stored_predictions(spark: SparkSession, path: str) -> DataFrame:
+    """Stored predictions; a selection of data set and model reads their folders only."""
+    found = spark.read.parquet(path).schema
+    # names of models stay texts, whatever they look like
+    schema = T.StructType([T.StructField(f.name, T.StringType()) if f.name in STORED_BY else f for f in found])
+    return spark.read.schema(schema).parquet(path)
+
+
 def read_cv_metrics(spark: SparkSession, folder: str, schema: str | T.StructType) -> DataFrame:
     """All ``<model>_cv_metrics.csv`` of a folder with the model from the file name."""
     raw = spark.read.schema(schema).options(**CSV).csv(f"{folder.rstrip('/')}/*_cv_metrics.csv")
