@@ -4,9 +4,12 @@
    (any ``m - least + 1`` of its ``m``, where ``least`` is the smallest overlap that can pass). Documents
    without such a shingle are left after one scan; nothing that could pass is.
 2. In the others, all windows of the item's length with enough shared shingles get a SimHash fingerprint.
-3. Fingerprints of windows and items of one length are joined over Hamming blocks: at distance ``radius`` or less
-   one of the blocks differs in at most ``radius // blocks`` bits, and items are listed under all such values.
+3. Fingerprints of windows and of the item that asked for them are joined over Hamming blocks: at distance ``radius`` or
+   less one of the blocks differs in at most ``radius // blocks`` bits, and items are listed under all such values.
+   A window further away than that can still be similar enough; such windows go on with their item as well.
 4. The weighted Jaccard similarity (each shingle weighs its occurrences) of a pair decides.
+
+Items with the same words are one entry, whatever their ids; a window is only ever compared with the entry that asked for it.
 """
 
 from __future__ import annotations
@@ -21,7 +24,7 @@ from hourgrid.session import materialise
 
 SHINGLE = 5
 SIMILARITY = 0.8
-#: Windows at the similarity differ in about 10 of 64 bits (standard deviation 3).
+#: Windows at the similarity differ in about 10 of 64 bits (standard deviation 3); few are beyond, none is lost.
 RADIUS = 20
 BLOCKS = 8
 _TINY = 1e-9
@@ -97,7 +100,7 @@ def items_of(benchmark: DataFrame, shingle: int, similarity: float, item: str, t
     """``item, entry, size, length, m, shingles, fp``: items with their words, shingle length and fingerprint.
 
     Items shorter than a shingle are one shingle; items without words are left out. Repeated items stay once. ``entry``
-    tells items apart that have no id or share one.
+    is the same for items with the same words.
     """
     words = _with_words(benchmark.select(col(benchmark, item).alias("item"), col(benchmark, text).alias("text")), "text")
     words = words.where(F.size("words") > 0).withColumn("size", F.size("words"))
@@ -105,7 +108,7 @@ def items_of(benchmark: DataFrame, shingle: int, similarity: float, item: str, t
     whole = words.withColumn("length", length).dropDuplicates()
     runs = F.transform(F.sequence(F.lit(1), F.col("size") - F.col("length") + 1),
                        lambda i: F.xxhash64(F.slice("words", i, F.col("length"))))
-    whole = whole.withColumn("entry", F.xxhash64("item", "words"))
+    whole = whole.withColumn("entry", F.xxhash64("words"))
     made = _once(whole, runs, "shingles").drop("words")
     return _once(made.withColumn("m", F.size("shingles")), _fingerprint(F.col("shingles")), "fp")
 
@@ -119,16 +122,18 @@ def leaks(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str
     rows give one result. ``start`` counts words from 0; of equally similar windows the first is named. Documents
     shorter than an item are one window. Items without id are found like others, with a null ``item``; different texts
     under one id are searched one by one, and the most similar window of them all is named. Null and empty texts match
-    nothing, as do items without words. Of windows at the similarity those further than ``radius`` bits from their item are missed; that is rare by the
-    choice of ``radius`` and cannot happen to exact copies.
+    nothing, as do items without words. No window at the similarity is lost.
+    Empty tables give no rows; only the named columns are read, so others cannot clash; very long texts are searched whole.
     """
-    items = materialise(items_of(benchmark, shingle, similarity, item, item_text), "items")
+    named_items = materialise(items_of(benchmark, shingle, similarity, item, item_text), "named-items")
+    names = named_items.select("entry", "item").distinct()
+    items = materialise(named_items.drop("item").dropDuplicates(["entry"]), "items")
     known = materialise(items.select("entry", "length", "m", F.explode("shingles").alias("shingle")).distinct(), "item-shingles")
     least = F.ceil(F.lit(similarity) * F.col("m") - _TINY)
     by_item = Window.partitionBy("entry", "length", "m").orderBy("items", "shingle")
     rare = (known.join(known.groupBy("shingle").agg(F.count("*").alias("items")), "shingle")
             .withColumn("place", F.row_number().over(by_item)).where(F.col("place") <= F.col("m") - least + 1)
-            .groupBy("shingle", "length").agg(F.collect_set("entry").alias("items")))
+            .select("shingle", "length", "entry"))
     rare = materialise(rare, "rare-shingles")
     lengths = [r[0] for r in rare.select("length").distinct().orderBy("length").collect()]
     named = docs.select(F.xxhash64(col(docs, key), col(docs, text)).alias("row"), col(docs, key).alias("key"), col(docs, text).alias("text"))
@@ -136,14 +141,14 @@ def leaks(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str
     pairs = None
     few = rare.count() <= SMALL
     for length in lengths:  # one scan in general; one more for each length of items shorter than a shingle
-        one = rare.where(F.col("length") == length).select("shingle", "items")
+        one = rare.where(F.col("length") == length).select("shingle", "entry")
         worded = _with_words(named.select("row", "text"), "text")
         found = worded.select("row", F.explode(_shingles("words", length)).alias("shingle")).join(
             F.broadcast(one) if few else one, "shingle")
-        found = found.select("row", F.lit(length).alias("length"), F.explode("items").alias("entry")).distinct()
+        found = found.select("row", F.lit(length).alias("length"), "entry").distinct()
         pairs = found if pairs is None else pairs.unionByName(found)
     if pairs is None:  # no item has a word
-        return named.select("row", "key", F.lit(None).cast(items.schema["item"].dataType).alias("item"),
+        return named.select("row", "key", F.lit(None).cast(names.schema["item"].dataType).alias("item"),
                             F.lit(0.0).alias("similarity"), F.lit(0).alias("start"), F.lit(0).alias("distance")).where("false")
     pairs = materialise(pairs, "leak-pairs")
 
@@ -166,27 +171,31 @@ def leaks(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str
             F.least(F.get("hits", j), F.size("all") - F.col("w")).alias("high")))
         starts = F.array_distinct(F.flatten(F.transform(
             F.filter(reach, lambda r: r["low"] <= r["high"]), lambda r: F.sequence(r["low"], r["high"]))))
-        part = both.select("row", "key", "size", "w", "all", F.explode(starts).alias("start")).select(
-            "row", "key", F.lit(length).alias("length"), "size", "start", F.slice("all", F.col("start") + 1, F.col("w")).alias("window"))
+        part = both.select("row", "key", "entry", "w", "all", F.explode(starts).alias("start")).select(
+            "row", "key", "entry", "start", F.slice("all", F.col("start") + 1, F.col("w")).alias("window"))
         windows = part if windows is None else windows.unionByName(part)
-    windows = windows.dropDuplicates(["row", "length", "size", "start"])
     windows = materialise(_once(windows, _fingerprint(F.col("window")), "window_fp"), "windows")
 
-    listed = items.select("item", "size", "length", "shingles", "fp", F.explode(_block_values("fp", blocks, radius // blocks)).alias("b"))
+    listed = items.select("entry", "shingles", "fp", F.explode(_block_values("fp", blocks, radius // blocks)).alias("b"))
     probes = windows.select("*", F.explode(_block_values("window_fp", blocks, 0)).alias("b"))
     distance = F.bit_count(F.col("fp").bitwiseXOR(F.col("window_fp")))
-    near = (probes.select("*", "b.*").drop("b").join(listed.select("*", "b.*").drop("b"), ["size", "length", "block", "value"])
+    near = (probes.select("*", "b.*").drop("b").join(listed.select("*", "b.*").drop("b"), ["entry", "block", "value"])
             .withColumn("distance", distance).where(F.col("distance") <= radius))
     # a pair is met in several blocks; it is checked where its first fitting block is
     fits = F.array_position(F.array(*[
         F.bit_count(F.shiftrightunsigned(F.col("fp").bitwiseXOR(F.col("window_fp")), offset).bitwiseAND(F.lit((1 << width) - 1)))
         <= radius // blocks for offset, width in _blocks(blocks)]), True)
-    near = near.where(F.col("block") + 1 == fits)
+    near = near.where(F.col("block") + 1 == fits).drop("block", "value")
+    # the pairs beyond the radius, each known from the item that asked for the window
+    beyond = windows.join(items.select("entry", "shingles", "fp"), "entry").withColumn("distance", distance).where(F.col("distance") > radius)
+    near = near.unionByName(beyond)
     shared = _overlap("window", "shingles")
     checked = near.withColumn("shared", shared).withColumn(
         "similarity", F.col("shared") / (F.size("window") + F.size("shingles") - F.col("shared")))
-    best = (checked.where(F.col("similarity") >= similarity - _TINY).groupBy("row", "item").agg(
-        F.min("key").alias("key"), F.max(F.struct("similarity", (-F.col("start")).alias("s"), (-F.col("distance")).alias("d"))).alias("best")))
+    passed = checked.where(F.col("similarity") >= similarity - _TINY).groupBy("row", "entry").agg(
+        F.min("key").alias("key"), F.max(F.struct("similarity", (-F.col("start")).alias("s"), (-F.col("distance")).alias("d"))).alias("best"))
+    best = (passed.join(names, "entry").groupBy("row", "item").agg(
+        F.min("key").alias("key"), F.max("best").alias("best")))
     return best.select("row", "key", "item", F.col("best.similarity").alias("similarity"), (-F.col("best.s")).alias("start"),
                        (-F.col("best.d")).alias("distance"))
 

@@ -130,3 +130,31 @@ def test_no_python_in_the_plan(spark):
     docs, items = spark.createDataFrame(documents(), "doc_id long, text string"), spark.createDataFrame(ITEMS, "item_id long, text string")
     plan = dec.leaks(docs, items)._jdf.queryExecution().executedPlan().toString()
     assert not any(x in plan for x in ("Python", "Pandas", "CartesianProduct", "NestedLoop"))
+
+
+def test_items_of_little_variety(spark):
+    """Items of few distinct shingles: their windows differ in many bits, none is lost."""
+    prepare(spark)
+    import random
+
+    draw, items, docs = random.Random(9), [], []
+    for i in range(12):
+        words = [f"w{i}x{draw.randrange(3)}" for _ in range(22)]
+        items.append((i, " ".join(words)))
+        for j in range(25):
+            other = list(words)
+            for at in draw.sample(range(22), draw.choice((0, 1, 1, 2))):
+                other[at] = f"w{i}x{draw.randrange(3)}"
+            docs.append((i * 100 + j, " ".join(other)))
+    for radius in (dec.RADIUS, 0):
+        found = dec.leaks(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"), radius=radius)
+        assert {(r["key"], r["item"], round(r["similarity"], 6), r["start"]) for r in found.collect()} == brute(docs, items)
+
+
+def test_windows_meet_only_their_item(spark):
+    """Many items of one length: a window is compared with the items it shares rare shingles with."""
+    prepare(spark)
+    items = [(i, prose(9000 + i, 40)) for i in range(800)] + [(5000 + i, prose(9000, 40)) for i in range(50)]
+    docs = [(i, prose(9000 + i, 40)) for i in range(800)]
+    found = dec.leaks(spark.createDataFrame(docs, "doc_id long, text string").repartition(4), spark.createDataFrame(items, "item_id long, text string").repartition(4))
+    assert {(r["key"], r["item"]) for r in found.collect()} == {(i, i) for i in range(800)} | {(0, 5000 + i) for i in range(50)}
