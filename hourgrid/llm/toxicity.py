@@ -263,13 +263,12 @@ def _choose(stems: list[tuple[str, float, float]]) -> dict[str, float]:
 
 
 def learn(docs: DataFrame, labels: DataFrame, held_out: Column, text: str = "text", most: int = 20_000,
-          shortest: int = 3, longest: int = 12, support: int = 4, evidence: float = 24.0, weight: float = 2.5,
-          stems: int = 5_000) -> Model:
+          shortest: int = 3, longest: int = 12, support: int = 4, evidence: float = 24.0, weight: float = 2.5) -> Model:
     """A model from about ``most`` labelled documents (its documented bound) outside ``held_out``.
 
     A stem weighs the log of its rate among the words of toxic texts against clean ones. It enters with a weight
     of ``weight``, ``support`` different toxic texts and a likelihood ratio (G) of ``evidence`` that it goes with
-    the label; the best ``stems`` enter. Seeds stay where the sample does not refute them. Word pairs around hits
+    the label; all that pass enter, and the sample's bound is theirs too. Seeds stay where the sample does not refute them. Word pairs around hits
     that are mainly in clean texts become exceptions. Without labelled documents the seeds and the default
     curve are used.
     """
@@ -291,12 +290,11 @@ def learn(docs: DataFrame, labels: DataFrame, held_out: Column, text: str = "tex
         "stem", "toxic", n.alias("texts"), likelihood.alias("evidence"),
         F.log((F.col("toxic_words") + 0.5) / toxic_words / ((F.col("clean_words") + 0.5) / clean_words)).alias("weight"))
     strong = (F.col("toxic") >= support) & (F.col("evidence") >= evidence) & (F.col("weight") >= weight)
-    rows = scored.where(strong | F.col("stem").isin(list(seeds))).orderBy(F.desc("evidence"), "stem").limit(4 * stems).collect()
+    rows = scored.where(strong | F.col("stem").isin(list(seeds))).orderBy(F.desc("evidence"), "stem").collect()
     found = [(r["stem"], r["weight"], round(r["evidence"], 6)) for r in rows
              if r["toxic"] >= support and r["evidence"] >= evidence and r["weight"] >= weight]
     refuted = {r["stem"] for r in rows if r["texts"] >= 2 * support and r["weight"] < weight}
-    chosen = dict(list(_choose(found).items())[:stems])
-    model = Model({s: w for s, w in seeds.items() if s not in refuted} | chosen, known)
+    model = Model({s: w for s, w in seeds.items() if s not in refuted} | _choose(found), known)
 
     def around(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         machine = model.automaton()
@@ -311,7 +309,7 @@ def learn(docs: DataFrame, labels: DataFrame, held_out: Column, text: str = "tex
 
     pairs = (sample.mapInPandas(around, "pair string, label int").groupBy("pair")
              .agg(F.sum(1 - F.col("label")).alias("clean"), F.sum("label").alias("toxic"))
-             .where((F.col("clean") >= 5) & (F.col("clean") > 4 * F.col("toxic"))).orderBy(F.desc("clean"), "pair").limit(stems).collect())
+             .where((F.col("clean") >= 5) & (F.col("clean") > 4 * F.col("toxic"))).orderBy(F.desc("clean"), "pair").collect())
     model = Model(model.weights, tuple(sorted({*known, *(r["pair"] for r in pairs)})))
     shape = (sample.select("label", F.round(scorer(model)("text")["feature"], 2).alias("x")).groupBy("label", "x").count().collect())
     return Model(model.weights, model.exceptions, *_curve(shape))
