@@ -24,8 +24,9 @@ from hourgrid.session import materialise, scratch
 
 #: Payloads of fewer bytes are stored again rather than referred to.
 SHORTEST = 1000
-#: Records of one archive; an archive is read as a whole row, so this keeps it small.
+#: Records and payload bytes of one archive; an archive is read as a whole row, so this keeps it small.
 RECORDS = 1000
+ARCHIVE_BYTES = 64 << 20
 STEP = 1 << 16
 DATE = "2024-01-01T00:00:00Z"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -122,8 +123,13 @@ def _lines():
     return F.pandas_udf(run, "binary")
 
 
-def write(pages: DataFrame, path: str, key: str = "page_id", url: str = "url", html: str = "html", shortest: int = SHORTEST) -> None:
-    """Write one record per row of ``pages`` into archives of at most ``RECORDS`` records under ``path``.
+def write(pages: DataFrame, path: str, key: str = "page_id", url: str = "url", html: str = "html", shortest: int = SHORTEST,
+          archive_bytes: int = ARCHIVE_BYTES) -> None:
+    """Write one record per row of ``pages`` into archives under ``path``.
+
+    An archive has at most ``RECORDS`` records and about ``archive_bytes`` of payload: larger payloads go to archives of their
+    own size class with fewer records each. A single payload must stay below the 2 GB that a row may hold. An
+    empty table gives no record; further columns are not used.
 
     Of equal payloads of at least ``shortest`` bytes the row with the largest key is the response and the others
     revisit it (rows that share that key are all responses); smaller ones are all responses. Null html is an
@@ -137,15 +143,24 @@ def write(pages: DataFrame, path: str, key: str = "page_id", url: str = "url", h
     groups = rows.where(F.col("digest").isNotNull()).groupBy("digest").agg(
         F.max(F.struct("key", "url")).alias("first"), F.count("*").alias("times")).where("times > 1")
     groups = materialise(groups, "payloads")
+    # size classes: payloads up to 1, 16, 256 shares of an archive, and the rest one by one
+    share = max(archive_bytes // RECORDS, 1)
+    kind = F.when(size <= share, 0).when(size <= 16 * share, 1).when(size <= 256 * share, 2).otherwise(3)
+    kinds = [r[0] for r in rows.select(kind.alias("kind")).distinct().orderBy("kind").collect()]
     firsts = groups.select("digest", F.col("first.key").alias("first"), F.col("first.url").alias("first_url"))
     if groups.count() <= SMALL:
         joined = rows.join(F.broadcast(firsts), "digest", "left")
     else:
         hot = groups.where(F.col("times") * HOT_SHARE > pages.count()).select("digest")
-        joined = spread_lookup(rows, firsts, "digest", hot, F.col("key"))
+        # only rows with a digest can have a twin; the others stay where they are
+        twins = spread_lookup(rows.where(F.col("digest").isNotNull()), firsts, "digest", hot, F.col("key"))
+        joined = twins.unionByName(rows.where(F.col("digest").isNull()), allowMissingColumns=True)
     revisit = F.col("first").isNotNull() & ~F.col("first").eqNullSafe(F.col("key"))
     line = _lines()("key", "url", "html", revisit, F.col("first").cast("long"), F.col("first_url"))
-    joined.select(line.cast("string").alias("value")).write.option("lineSep", "\0").option("maxRecordsPerFile", RECORDS).text(path)
+    for k in kinds or [0]:
+        records = (RECORDS, max(RECORDS // 16, 1), max(RECORDS // 256, 1), 1)[k]
+        joined.where(kind == k).select(line.cast("string").alias("value")).write.mode("append").option("lineSep", "\0").option(
+            "maxRecordsPerFile", records).text(path)
 
 
 READ = "page_id long, url string, record_type string, refers_to long, payload_digest string, payload_bytes long, payload binary"
