@@ -1,8 +1,8 @@
 """URL rules by hashed host-suffix and path-prefix expressions.
 
-A URL becomes the expressions a rule could fit it by: each of its host's suffixes with each beginning of its path
-that some rule's host and path are as long as. Expressions meet rules over the first 32 bits of their digests;
-the full digests confirm, and the longest rule wins.
+A URL becomes the expressions a rule could fit it by: each of its host's suffixes that some rule has, with each beginning of
+its path that is as long as the path of such a rule. Suffixes and expressions meet rules over the first 32 bits of their
+digests; the full digests confirm, and the longest rule wins. The plan is the same for any number of rules.
 """
 
 from __future__ import annotations
@@ -37,7 +37,8 @@ def judge(pages: DataFrame, rules: DataFrame, key: str = "page_id", url: str = "
     its path; the longest rule (host and path) wins, then the longest host; of equal rules the one that blocks.
     Without a fitting rule ``rule`` is null and the verdict ``default``. Null URLs have empty host and path; rows
     that repeat a key or have none are judged one by one. Rules without host or path count as empty there;
-    a rule with an empty host fits only URLs with an empty host.
+    a rule with an empty host fits only URLs with an empty host. Empty tables of pages give no rows, without rules every
+    verdict is ``default``; of the pages' other columns none is used, so their names cannot clash.
     """
     host, path = host_and_path(col(pages, url))
     named = numbered(pages.select(col(pages, key).alias("key"), host.alias("host"), path.alias("path")), "row", "urls")
@@ -45,21 +46,22 @@ def judge(pages: DataFrame, rules: DataFrame, key: str = "page_id", url: str = "
                          F.coalesce("path", F.lit("")).alias("rule_path"))
     given = materialise(given.groupBy("rule_host", "rule_path").agg(F.max(F.struct(
         (F.col("verdict") != ALLOW).alias("blocks"), "verdict")).getField("verdict").alias("verdict")).select(
-            "*", F.size(F.split("rule_host", r"\.")).alias("labels"), F.length("rule_path").alias("chars"),
+            "*", F.length("rule_path").alias("chars"), _digest(F.col("rule_host"), F.lit("")).alias("host_digest"),
             _digest(F.col("rule_host"), F.col("rule_path")).alias("digest")), "rules")
-    # one entry per shape of rule; a shape is two small numbers, bounded by the longest URL
-    shapes = [(r[0], r[1]) for r in given.select("labels", "chars").distinct().orderBy("labels", "chars").collect()]
     known = given.select(F.substring("digest", 1, PREFIX).alias("short"), "digest", "rule_host", "rule_path", "verdict")
+    # the lengths of a host's paths are whole numbers up to the longest URL, however many rules it has
+    hosts = materialise(given.groupBy("host_digest").agg(F.array_sort(F.collect_set("chars")).alias("lengths")).select(
+        F.substring("host_digest", 1, PREFIX).alias("short"), "host_digest", "lengths"), "rule-hosts")
     if given.count() <= SMALL:
-        known = F.broadcast(known)
-    if not shapes:
-        return named.select(F.col("key").alias(key), "host", "path", F.lit(None).cast("string").alias("rule"), F.lit(default).alias("verdict"))
+        known, hosts = F.broadcast(known), F.broadcast(hosts)
     parts, n = F.split("host", r"\."), F.size(F.split("host", r"\."))
-    asked = named.select("row", F.explode(F.filter(F.array(*[
-        F.when((n >= labels) & (F.length("path") >= chars), _digest(
-            F.array_join(F.slice(parts, F.greatest(n - labels + 1, F.lit(1)), labels), "."), F.substring("path", 1, chars)))
-        for labels, chars in shapes]), lambda d: d.isNotNull())).alias("digest"))
-    asked = asked.withColumn("short", F.substring("digest", 1, PREFIX)).withColumnRenamed("digest", "full")
+    suffixes = F.transform(F.sequence(F.lit(1), n), lambda k: F.array_join(F.slice(parts, n - k + 1, k), "."))
+    # host suffixes that some rule has, and only of them the path beginnings that are as long as a rule's path
+    at_hosts = named.select("row", "path", F.explode(suffixes).alias("suffix")).withColumn("full", _digest(F.col("suffix"), F.lit("")))
+    at_hosts = at_hosts.withColumn("short", F.substring("full", 1, PREFIX)).join(hosts, "short").where(F.col("full") == F.col("host_digest"))
+    asked = at_hosts.select("row", "suffix", "path", F.explode(F.filter("lengths", lambda k: k <= F.length("path"))).alias("chars"))
+    asked = asked.select("row", _digest(F.col("suffix"), F.substring(F.col("path"), F.lit(1), F.col("chars"))).alias("full"))
+    asked = asked.withColumn("short", F.substring("full", 1, PREFIX))
     fits = asked.join(known, "short").where(F.col("full") == F.col("digest"))
     rule = F.concat("rule_host", "rule_path")
     won = fits.groupBy("row").agg(F.max_by(

@@ -116,3 +116,43 @@ def test_urls_by_shuffle(spark, monkeypatch):
     pages = spark.createDataFrame(list(enumerate(URLS)), "page_id long, url string")
     rules = spark.createDataFrame(RULES, "verdict string, host string, path string")
     assert plain(urls.judge(pages, rules)) == sorted(((i, *judged(u)) for i, u in enumerate(URLS)), key=str)
+
+
+def test_archives_stay_below_their_bytes(spark, tmp_path):
+    """Large payloads get archives with fewer records; all records come back."""
+    sizes = [10] * 40 + [900, 1500, 5000, 5000, 40_000, 400_000]
+    data = [(i, f"http://a/{i}", "".join(chr(97 + (i * 7 + k * k) % 26) for k in range(n))) for i, n in enumerate(sizes)]
+    pages = spark.createDataFrame(data, "page_id long, url string, html string").repartition(2)
+    path = str(tmp_path / "w")
+    warc.write(pages, path, archive_bytes=100 * warc.RECORDS)
+    got = {r["page_id"]: (r["payload_bytes"], r["payload"]) for r in warc.read(spark, path).collect()}
+    assert got == {i: (len(t), t.encode()) for i, _, t in data}
+    held = [[len(r.payload()) for r in warc.read_records(p.read_bytes())] for p in (tmp_path / "w").glob("part-*")]
+    for own in held:
+        assert max(own) <= 100 or len(own) <= warc.RECORDS // 16
+        assert max(own) <= 25_600 or len(own) == 1
+
+
+def test_small_payloads_are_not_joined(spark, monkeypatch):
+    """Above the broadcast, rows without a digest stay out of the join."""
+    monkeypatch.setattr(warc, "SMALL", 0)
+    data = [(i, "u", "x" * (5 if i % 3 else 2000)) for i in range(60)] + [(60, None, None)]
+    pages = spark.createDataFrame(data, "page_id long, url string, html string")
+    rows = warc.round_trip(pages).collect()
+    assert {r["page_id"]: r["refers_to"] for r in rows} == {i: 57 if i % 3 == 0 and i < 57 else None for i in range(61)}
+
+
+def test_plan_does_not_grow_with_the_rules(spark):
+    many = [("block" if i % 2 else "allow", f"h{i % 40}.{'x.' * (i % 25)}com", "/" + "p" * (i % 40)) for i in range(2000)]
+    pages = spark.createDataFrame([(i, f"http://www.h{i % 50}.{'x.' * (i % 25)}com/{'p' * (i % 60)}") for i in range(200)], "page_id long, url string")
+    text = lambda rules: urls.judge(pages, spark.createDataFrame(rules, "verdict string, host string, path string"))
+    few, all_ = text(many[:3]), text(many)
+    length = lambda df: len(df._jdf.queryExecution().optimizedPlan().toString())
+    assert length(all_) < length(few) + 500
+    best = {}
+    for _, host, path in sorted(set(many), key=lambda r: len(r[1] + r[2])):
+        for page, url in pages.collect():
+            name, _, rest = url.removeprefix("http://").partition("/")
+            if (name == host or name.endswith("." + host)) and ("/" + rest).startswith(path):
+                best[page] = host + path
+    assert {r["page_id"]: r["rule"] for r in all_.collect() if r["rule"]} == best
