@@ -24,6 +24,8 @@ CATEGORY_COLUMNS = (
     "day_number", "day_of_week", "hour_block", "is_holiday", "is_weekend", "is_daylight",
     "weather_code_hourly", "weather_code_daily", "offense_category", "site_label", "site_code",
 )
+# Beginnings of the flag columns that are categories as well.
+CATEGORY_PREFIXES = ("event_watch_", "near_")
 FLAG_COLUMNS = ("is_raining", "is_hot", "is_cold", "is_daylight", "is_weekend", "is_holiday")
 MIXED_RECIPE = {
     "grid_density_7d": "mean", "area_avg_30d": "first", "temp_f": "mean", "is_raining": "max",
@@ -34,6 +36,11 @@ MIXED_RECIPE = {
 }
 
 
+def category_columns(df: DataFrame) -> tuple[str, ...]:
+    """The fixed categories and all flags of watches and near sites that ``df`` has."""
+    return (*CATEGORY_COLUMNS, *[c for c in df.columns if c.startswith(CATEGORY_PREFIXES) and c not in CATEGORY_COLUMNS])
+
+
 def hourly_counts(df: DataFrame, area: str = "area", ts: str = "report_date",
                   count: str = "n") -> DataFrame:
     return (

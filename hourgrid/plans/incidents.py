@@ -14,6 +14,11 @@ from hourgrid.operators.dedupe import first_per_key
 from hourgrid.session import configure, materialise
 
 
+# Area codes and the name for places without one.
+AREA_CODES = tuple("ABCDEFGHIJKLMNOPQRSTUVWXYZ")
+OUTSIDE = "OUTSIDE"
+
+
 @dataclass
 class Dimensions:
     """Small tables around the incidents."""
@@ -25,6 +30,10 @@ class Dimensions:
     hourly: DataFrame | None = None
     daily: DataFrame | None = None
     site_cutoff_m: float = 2414.016
+    #: Codes that an area may have; incidents of others are left out.
+    area_codes: Sequence[str] = AREA_CODES
+    #: Column of watch names that becomes one flag per name, where the incidents have it.
+    watch: str = "event_watch"
 
 
 def clean(raw: DataFrame, ts: str = "report_date", offense: str = "offense",
@@ -47,8 +56,22 @@ def unique(rows: DataFrame, key: str = "incident_number") -> DataFrame:
     return first_per_key(rows, [key], [*order, rest])
 
 
+def repaired(df: DataFrame, dims: Dimensions) -> DataFrame:
+    """Incidents without an area or layer label take that of the polygon that holds or touches their place; areas
+    beyond the codes go."""
+    gaps = {"area": (text.is_blank_area(F.col("area")), dims.areas),
+            **{name: (F.col(name).isNull(), layer) for name, layer in dims.layers.items()}}
+    found = df.agg(*[F.count_if(missing).alias(name) for name, (missing, _) in gaps.items()]).first()
+    out = df
+    for name, (missing, layer) in gaps.items():
+        if found[name]:
+            out = spatial.repair(out, name, missing, layer)
+    out = out.withColumn("area", text.normalise_area(F.col("area"), dims.area_codes, OUTSIDE))
+    return out.where(F.col("area") != OUTSIDE)
+
+
 def enrich(df: DataFrame, dims: Dimensions, log: quality.StepLog | None = None) -> DataFrame:
-    """Labels, calendar, weather, densities and site distance for all incidents.
+    """Labels, their repair, calendar, weather, densities, site distance and watch flags for all incidents.
 
     The dimensions are broadcast; only the two daily aggregates shuffle.
     """
@@ -57,6 +80,9 @@ def enrich(df: DataFrame, dims: Dimensions, log: quality.StepLog | None = None)
 
     out = step("spatial", spatial.spatial_features(
         df, dims.areas, dict(dims.layers), dict(dims.nearest_layers)))
+    out = step("repair", repaired(materialise(out, "labelled"), dims))
+    if dims.watch in out.columns:
+        out = encode.one_hot(out, dims.watch)
     out = step("calendar", calendar_features(out))
     # The quantiles and the daily counts read single columns of the incidents again.
     out = materialise(weather.merge_weather(out, dims.hourly, dims.daily), "incidents")
@@ -81,8 +107,8 @@ def target_incidents(enriched: DataFrame, offense: str = "offense", key: str = "
 
 def panels(incidents: DataFrame, target: str = "incident_count", order: str = "sparse-first",
            numeric: Sequence[str] = panel.NUMERIC_COLUMNS,
-           categories: Sequence[str] = panel.CATEGORY_COLUMNS) -> dict[str, DataFrame]:
-    """Target, sparse and dense panel.
+           categories: Sequence[str] | None = None) -> dict[str, DataFrame]:
+    """Target, sparse and dense panel; by default flags of watches and near sites are among the categories.
 
     ``sparse-first`` derives sparse and dense panels from all observed rows; ``reference``
     from the rows that are left after those with missing lags are dropped.
@@ -90,7 +116,8 @@ def panels(incidents: DataFrame, target: str = "incident_count", order: str = "s
     if order not in ("sparse-first", "reference"):
         raise ValueError(order)
     full = materialise(panel.target_panel(
-        incidents, target=target, numeric=numeric, categories=categories, drop_incomplete=False))
+        incidents, target=target, numeric=numeric, categories=panel.category_columns(incidents) if categories is None else categories,
+        drop_incomplete=False))
     lags = [c for c in full.columns if c.startswith("lag_")]
     complete = full.dropna(subset=lags)
     base = panel.sparse_panel(complete if order == "reference" else full, target)
@@ -101,11 +128,12 @@ def panels(incidents: DataFrame, target: str = "incident_count", order: str = "s
     }
 
 
-def run(raw: DataFrame, dims: Dimensions, key: str = "incident_number") -> dict[str, DataFrame]:
+def run(raw: DataFrame, dims: Dimensions, key: str = "incident_number",
+        terms: Sequence[str] = text.TARGET_TERMS) -> dict[str, DataFrame]:
     """Raw incidents to all tables, with the check tables after the enrichment."""
     configure(raw.sparkSession)
     enriched = materialise(enrich(unique(clean(raw), key), dims))
-    target = materialise(target_incidents(enriched, key=key))
+    target = materialise(target_incidents(enriched, key=key, terms=terms))
     return {
         "all_incidents": enriched,
         "target_incidents": target,

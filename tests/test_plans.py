@@ -57,6 +57,24 @@ def test_whole_chain(raw, dims):
     assert out["checks"].where("check LIKE 'unique%'").first()["status"] == "PASS"
 
 
+def test_repair_and_area_rule(spark, dims):
+    """Blank areas are filled from the layer, unknown codes go, layer gaps are filled on borders too."""
+    df = spark.createDataFrame(
+        [(1, None, 0.25, 0.25, "old"), (2, "nan", 0.75, 0.25, None), (3, "zz", 0.25, 0.25, "x"), (4, " b ", 0.25, 0.25, "x"), (5, None, 9.0, 9.0, "x"),
+         (6, "A", 0.5, 0.25, None)], "id int, area string, longitude double, latitude double, zone string")
+    out = plans.repaired(df, dims)
+    assert rows(out, "id", "area", "zone") == [(1, "A", "old"), (2, "B", "b"), (4, "B", "x"), (6, "A", "a")]
+
+
+def test_watch_flags_reach_the_panel(raw, dims):
+    watched = raw.withColumn("event_watch", F.when(F.col("location_type") == "shop", "Day Watch").when(F.col("location_type") == "street", "Night"))
+    out = plans.run(watched, dims)
+    flags = {"event_watch_day_watch", "event_watch_night", "near_s"}
+    assert flags <= set(out["sparse"].columns) and flags <= set(out["target"].columns) and "event_watch" not in out["sparse"].columns
+    assert out["sparse"].where("event_watch_day_watch NOT IN (0, 1)").count() == 0
+    assert out["sparse"].where("event_watch_day_watch = 1").count() > 0
+
+
 def test_panel_orders_differ(raw, dims):
     target = materialise(plans.target_incidents(plans.enrich(plans.clean(raw), dims)))
     first = plans.panels(target)
