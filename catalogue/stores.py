@@ -105,16 +105,15 @@ def src6(t):
     UNION ALL SELECT -1 - k, CASE WHEN k < 3 THEN k - 1 END, CASE WHEN k < 3 THEN k END FROM range(4) r(k)""", ("incidents",))
 def grd2(t):
     """Cells by look-up in the edges of the data's grid; four rows more, on edges, at the minimum and null."""
-    box = density.grid_bounds(t.incidents)
-    xs, ys = (density.grid_edges(F.col(f"{a}min"), F.col(f"{a}max")) for a in "xy")
-    edges = F.broadcast(box.select(xs.alias("xs"), ys.alias("ys")))
+    box = density.grid_bounds(t.incidents).first()
+    xs, ys = (density.grid_edges(F.lit(box[f"{a}min"]), F.lit(box[f"{a}max"])) for a in "xy")
     placed = t.incidents.select("incident_number", geo.mercator_x(F.col("longitude")).alias("x"), geo.mercator_y(F.col("latitude")).alias("y"))
-    extra = edges.select(F.explode(F.array(*[F.struct(
-        F.lit(-1 - k).cast("long").alias("incident_number"), (F.get("xs", F.lit(k)) if k < 3 else F.lit(None).cast("double")).alias("x"),
-        (F.get("ys", F.lit(k)) + 250 if k < 3 else F.lit(None).cast("double")).alias("y")) for k in range(4)])).alias("r")).select("r.*")
-    # the edges are one row
-    cells = placed.unionByName(extra).join(edges, F.lit(True))
-    return cells.select("incident_number", geo.edge_index(F.col("x"), F.col("xs")).alias("grid_x"), geo.edge_index(F.col("y"), F.col("ys")).alias("grid_y"))
+    none = F.lit(None).cast("double")
+    extra = t.spark.range(1).select(F.explode(F.array(*[F.struct(
+        F.lit(-1 - k).cast("long").alias("incident_number"), (F.get(xs, F.lit(k)) if k < 3 else none).alias("x"),
+        (F.get(ys, F.lit(k)) + 250 if k < 3 else none).alias("y")) for k in range(4)])).alias("r")).select("r.*")
+    cells = placed.unionByName(extra)
+    return cells.select("incident_number", geo.edge_index(F.col("x"), xs).alias("grid_x"), geo.edge_index(F.col("y"), ys).alias("grid_y"))
 
 
 @query("jn16_forward_fill_by_area", """
