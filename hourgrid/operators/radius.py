@@ -15,6 +15,11 @@ RADIUS_M = 1609.344
 DAYS = 7
 CELLS_PER_RADIUS = 8
 SLACK_M = 1e-3
+#: A cell with more place-days in a block of days is split again, into so many small cells per side.
+CROWDED = 256
+SPLIT = 8
+#: Places that ask for one cell in one task.
+ASKING = 4096
 
 
 def _gap(steps: Column) -> Column:
@@ -47,14 +52,95 @@ def _recent(parts: DataFrame, keys: list[str], days: int) -> DataFrame:
     return per_day.withColumn("_sum", F.sum("_v").over(w)).where("_asked").drop("_v", "_asked")
 
 
+def _to_box(lat: Column, lon: Column, fine_y: Column, fine_x: Column, lat_step: float, lon_step: float, least: bool) -> Column:
+    """Lower or upper bound of the distance from a point to the points of a small cell."""
+    low, high = fine_y * F.lit(lat_step), (fine_y + 1) * F.lit(lat_step)
+    left, right = fine_x * F.lit(lon_step), (fine_x + 1) * F.lit(lon_step)
+    ends = F.cos(F.radians(low)), F.cos(F.radians(high))
+    if least:
+        up, side = F.greatest(low - lat, lat - high, F.lit(0.0)), F.greatest(left - lon, lon - right, F.lit(0.0))
+        cosine = F.least(*ends)
+    else:
+        up = F.greatest(F.abs(lat - low), F.abs(lat - high))
+        side = F.greatest(F.abs(lon - left), F.abs(lon - right))
+        cosine = F.when((low <= 0) & (high >= 0), F.lit(1.0)).otherwise(F.greatest(*ends))
+    h = F.pow(F.sin(F.radians(up) / 2), 2) + F.cos(F.radians(lat)) * cosine * F.pow(F.sin(F.radians(side) / 2), 2)
+    return F.lit(2 * geo.EARTH_RADIUS_M) * F.asin(F.sqrt(F.least(h, F.lit(1.0))))
+
+
+def _copies(times: str, name: str) -> Column:
+    return F.explode(F.sequence(F.lit(0), F.col(times) - 1)).alias(name)
+
+
+def _rim(cells: DataFrame, around, radius_m: float, lat_step: float, lon_step: float) -> DataFrame:
+    """``_lat, _lon, _day, _v, _asked``: daily counts within the radius that lie in cells on the rim of a place's disc.
+
+    ``cells`` has the daily counts of places with cell and block of days. What a place meets is planned by cell and block
+    from counts alone. A met cell with more than ``CROWDED`` place-days in the block is split into ``SPLIT`` x ``SPLIT`` small
+    cells: those wholly inside add their daily sums, only places of the others are compared. Where more than ``ASKING``
+    places ask for one cell, they are dealt over parts and the cell is copied once per part; a small cell's own places are
+    dealt over parts of ``CROWDED``, for which its few askers are copied.
+    """
+    fine_lat, fine_lon = lat_step / SPLIT, lon_step / SPLIT
+    at = ["_cy", "_cx", "_block"]
+    places = materialise(cells.select("_lat", "_lon", "_cy", "_cx", F.explode(F.array("_block", F.col("_block") - 1)).alias("_block"))
+                         .distinct(), "asking-places")
+    per_cell = materialise(places.groupBy(*at).agg(F.count(F.lit(1)).alias("_places")), "asking-cells")
+    steps = around(per_cell).select(
+        *at, "_places", (F.col("_cy") + F.col("_up")).alias("_ty"), (F.col("_cx") + F.col("_side")).alias("_tx"))
+    held = cells.groupBy(*at).agg(F.count(F.lit(1)).alias("_held"))
+    asked = steps.groupBy(F.col("_ty").alias("_cy"), F.col("_tx").alias("_cx"), "_block").agg(F.sum("_places").alias("_asking"))
+    met = materialise(held.join(asked, at).select(
+        *at, "_held", (F.col("_held") > CROWDED).alias("_crowded"), F.ceil(F.col("_asking") / ASKING).cast("int").alias("_parts")), "met-cells")
+
+    # The met cells of an asking cell: at most as many as the rim has cells.
+    target = met.select(F.col("_cy").alias("_ty"), F.col("_cx").alias("_tx"), "_block", "_crowded", "_parts")
+    plan = steps.join(target, ["_ty", "_tx", "_block"]).groupBy(*at).agg(
+        F.first("_places").alias("_places"), F.collect_list(F.struct("_ty", "_tx", "_crowded", "_parts")).alias("_meets"))
+    asking = lookup_counted(places, plan, at, "_places").select(
+        F.col("_lat").alias("_alat"), F.col("_lon").alias("_alon"), "_block", F.inline("_meets"))
+    asking = asking.withColumnsRenamed({"_ty": "_cy", "_tx": "_cx"}).withColumn(
+        "_part", F.pmod(F.xxhash64("_alat", "_alon"), F.col("_parts")).cast("int"))
+
+    held_rows = lookup_counted(cells, met, at, "_held").where("_parts IS NOT NULL")
+    distance = geo.haversine_m(F.col("_alat"), F.col("_alon"), F.col("_lat"), F.col("_lon"))
+    result = [F.col("_alat").alias("_lat"), F.col("_alon").alias("_lon"), "_day"]
+    plain = asking.where("NOT _crowded").join(
+        held_rows.where("NOT _crowded").select("*", _copies("_parts", "_part")).drop("_parts", "_crowded"), [*at, "_part"])
+    plain = plain.where(distance <= radius_m).select(*result, F.col("_n").alias("_v"))
+
+    small = ["_fy", "_fx", "_block"]
+    crowd = held_rows.where("_crowded").withColumns({
+        "_fy": F.least(F.greatest(F.floor(F.col("_lat") / fine_lat), F.col("_cy") * SPLIT), F.col("_cy") * SPLIT + SPLIT - 1),
+        "_fx": F.least(F.greatest(F.floor(F.col("_lon") / fine_lon), F.col("_cx") * SPLIT), F.col("_cx") * SPLIT + SPLIT - 1)})
+    crowd_days = crowd.groupBy(*at, *small[:2], "_day").agg(
+        F.sum("_n").alias("_v"), F.count(F.lit(1)).alias("_rows"), F.first("_parts").alias("_parts"))
+    # a row per small cell; a block has few days
+    sums = materialise(crowd_days.groupBy(*at, *small[:2]).agg(
+        F.collect_list(F.struct("_day", "_v")).alias("_days"), F.sum("_rows").alias("_rows"),
+        F.ceil(F.sum("_rows") / CROWDED).cast("int").alias("_shares"), F.first("_parts").alias("_parts")), "small-cells")
+    near = asking.where("_crowded").drop("_parts").join(
+        sums.select(*at, *small[:2], "_days", "_shares", "_parts", _copies("_parts", "_part")), [*at, "_part"])
+    bounds = [F.col("_alat"), F.col("_alon"), F.col("_fy"), F.col("_fx"), fine_lat, fine_lon]
+    near = near.where(_to_box(*bounds, least=True) <= radius_m + SLACK_M).withColumn(
+        "_inner", _to_box(*bounds, least=False) <= radius_m - SLACK_M)
+    within = near.where("_inner").select("_alat", "_alon", F.inline("_days")).select(*result, "_v")
+    own = lookup_counted(crowd.drop("_parts"), sums.select(*small, "_rows", "_shares", "_parts"), small, "_rows").withColumn(
+        "_share", F.pmod(F.xxhash64("_lat", "_lon"), F.col("_shares")).cast("int"))
+    compared = near.where("NOT _inner").select("_alat", "_alon", *small, "_part", _copies("_shares", "_share")).join(
+        own.select("_lat", "_lon", "_day", "_n", *small, "_share", _copies("_parts", "_part")), [*small, "_part", "_share"])
+    compared = compared.where(distance <= radius_m).select(*result, F.col("_n").alias("_v"))
+    return plain.unionByName(within).unionByName(compared).withColumn("_asked", F.lit(False))
+
+
 def radius_count(df: DataFrame, ts: str = "report_date", radius_m: float = RADIUS_M, days: int = DAYS,
                  lat: str = "latitude", lon: str = "longitude", out: str = "density_7d_1mi") -> DataFrame:
     """Other incidents within the radius on the last ``days`` calendar days, today included.
 
     Incidents are counted per (place, day) first, so copies of one place weigh nothing.
     Cells an eighth of the radius wide split the disc: cells wholly inside add their
-    daily sums, cell by cell; only places of cells on the rim are compared one by one, and
-    only within the two blocks of ``days`` days that a window can touch.
+    daily sums, cell by cell; only places of cells on the rim are compared one by one (crowded
+    cells are split once more), and only within the two blocks of ``days`` days that a window can touch.
     """
     placed = df.withColumns({"_lat": F.col(lat), "_lon": F.col(lon), "_day": F.col(ts).cast("date")})
     known = placed.where("_lat IS NOT NULL AND _lon IS NOT NULL AND _day IS NOT NULL")
@@ -94,14 +180,7 @@ def radius_count(df: DataFrame, ts: str = "report_date", radius_m: float = RADIU
     by_cell = _recent(inner.unionByName(asked_cells), ["_cy", "_cx"], days).withColumnRenamed("_sum", "_in")
 
     block = F.floor(F.datediff("_day", F.lit("1970-01-01").cast("date")) / days)
-    places = cells.select("_lat", "_lon", "_cy", "_cx", F.explode(F.array(block, block - 1)).alias("_block")).distinct()
-    rim = around(places, False).select(
-        F.col("_lat").alias("_alat"), F.col("_lon").alias("_alon"), (row + up).alias("_cy"),
-        (F.col("_cx") + side).alias("_cx"), "_block")
-    distance = geo.haversine_m(F.col("_alat"), F.col("_alon"), F.col("_lat"), F.col("_lon"))
-    rim_days = rim.join(cells.withColumn("_block", block), ["_cy", "_cx", "_block"]).where(distance <= radius_m).select(
-        F.col("_alat").alias("_lat"), F.col("_alon").alias("_lon"), "_day", F.col("_n").alias("_v"),
-        F.lit(False).alias("_asked"))
+    rim_days = _rim(cells.withColumn("_block", block), lambda rows: around(rows, False), radius_m, lat_step, lon_step)
     asked = daily.select("_lat", "_lon", "_day", F.lit(0).cast("long").alias("_v"), F.lit(True).alias("_asked"))
     by_place = _recent(rim_days.unionByName(asked), ["_lat", "_lon"], days).withColumnRenamed("_sum", "_rim")
 

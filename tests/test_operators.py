@@ -231,15 +231,21 @@ def test_repair_leaves_known_values(spark):
     assert out.columns == points.columns
 
 
-def test_radius_count_against_brute_force(spark):
+@pytest.mark.parametrize("crowded, asking", [(256, 4096), (4, 4096), (4, 8), (1, 1)])
+def test_radius_count_against_brute_force(spark, monkeypatch, crowded, asking):
     import math
     import random
     from datetime import timedelta
 
+    monkeypatch.setattr(radius, "CROWDED", crowded)
+    monkeypatch.setattr(radius, "ASKING", asking)
     random.seed(3)
     data = [(i, 33.6 + random.choice([random.uniform(0, 0.05), 0.02]), -84.4 + random.choice([random.uniform(0, 0.05), 0.01]),
              datetime(2024, 1, 1) + timedelta(hours=random.randrange(0, 480))) for i in range(250)]
     data += [(250 + i, 33.62, -84.39, datetime(2024, 1, 9, 12)) for i in range(40)]
+    # a fourth of all rows in two cells about a radius apart
+    data += [(300 + i, 33.62 + random.uniform(0, 0.0015) + i % 2 * 0.0135, -84.39 + random.uniform(0, 0.0015),
+              datetime(2024, 1, 9) + timedelta(hours=random.randrange(0, 72))) for i in range(100)]
 
     def metres(a, b):
         p1, p2 = math.radians(a[1]), math.radians(b[1])
@@ -254,6 +260,35 @@ def test_radius_count_against_brute_force(spark):
     assert got == expected
 
 
+def test_radius_count_deals_a_hot_cell(spark, monkeypatch):
+    """Half of all incidents in one cell: no pair of parts is larger than the limits, whatever the cell holds."""
+    import math
+    import random
+
+    monkeypatch.setattr(radius, "CROWDED", 32)
+    monkeypatch.setattr(radius, "ASKING", 64)
+    random.seed(5)
+    day, top = datetime(2024, 1, 9), 33.65
+    up = math.degrees(radius.RADIUS_M / radius.CELLS_PER_RADIUS / 6371000)
+    side = up / math.cos(math.radians(top + up))
+    # inside of one cell
+    south, west = math.floor(33.62 / up) * up, math.floor(-84.39 / side) * side
+    data = [(south + random.uniform(0.05, 0.95) * up, west + random.uniform(0.05, 0.95) * side, day) for _ in range(2000)]
+    data += [(33.6 + random.uniform(0, 0.05), -84.4 + random.uniform(0, 0.05), day) for _ in range(2000)] + [(top, -84.4, day)]
+    seen = {}
+    kept = radius.materialise
+
+    def watch(df, label="table"):
+        seen[label] = kept(df, label)
+        return seen[label]
+    monkeypatch.setattr(radius, "materialise", watch)
+    radius.radius_count(spark.createDataFrame(data, "latitude double, longitude double, report_date timestamp_ntz")).count()
+    met = seen["met-cells"].toPandas()
+    assert met["_held"].max() >= 2000 and met.loc[met["_held"] > 32, "_crowded"].all() and met["_parts"].max() > 10
+    small = seen["small-cells"].toPandas()
+    assert (small["_shares"] * 32 >= small["_rows"]).all() and len(small) > 50
+
+
 def test_weather_never_multiplies_rows(spark, hours):
     df = incidents(spark, [("A", 1, "x"), ("A", 2, "y"), ("B", 9, "z")])
     doubled = hours([("x", 1, 50), ("x", 1, 51), ("x", 2, 60)], "temp_f").drop("area")
