@@ -83,20 +83,20 @@ def _rim(cells: DataFrame, around, radius_m: float, lat_step: float, lon_step: f
     """
     fine_lat, fine_lon = lat_step / SPLIT, lon_step / SPLIT
     at = ["_cy", "_cx", "_block"]
-    places = materialise(cells.select("_lat", "_lon", "_cy", "_cx", F.explode(F.array("_block", F.col("_block") - 1)).alias("_block"))
-                         .distinct(), "asking-places")
-    per_cell = materialise(places.groupBy(*at).agg(F.count(F.lit(1)).alias("_places")), "asking-cells")
-    steps = around(per_cell).select(
-        *at, "_places", (F.col("_cy") + F.col("_up")).alias("_ty"), (F.col("_cx") + F.col("_side")).alias("_tx"))
+    places = cells.select("_lat", "_lon", "_cy", "_cx", F.explode(F.array("_block", F.col("_block") - 1)).alias("_block")).distinct()
     held = cells.groupBy(*at).agg(F.count(F.lit(1)).alias("_held"))
-    asked = steps.groupBy(F.col("_ty").alias("_cy"), F.col("_tx").alias("_cx"), "_block").agg(F.sum("_places").alias("_asking"))
-    met = materialise(held.join(asked, at).select(
-        *at, "_held", (F.col("_held") > CROWDED).alias("_crowded"), F.ceil(F.col("_asking") / ASKING).cast("int").alias("_parts")), "met-cells")
+    to = ["_ty", "_tx", "_block"]
+    steps = around(places.groupBy(*at).agg(F.count(F.lit(1)).alias("_places"))).select(
+        *at, "_places", (F.col("_cy") + F.col("_up")).alias("_ty"), (F.col("_cx") + F.col("_side")).alias("_tx"))
+    pairs = materialise(steps.join(held.withColumnsRenamed({"_cy": "_ty", "_cx": "_tx"}), to), "cell-pairs")
+    met = materialise(pairs.groupBy(*to).agg(
+        F.first("_held").alias("_held"), F.ceil(F.sum("_places") / ASKING).cast("int").alias("_parts"))
+        .withColumn("_crowded", F.col("_held") > CROWDED), "met-cells")
 
     # The met cells of an asking cell: at most as many as the rim has cells.
-    target = met.select(F.col("_cy").alias("_ty"), F.col("_cx").alias("_tx"), "_block", "_crowded", "_parts")
-    plan = steps.join(target, ["_ty", "_tx", "_block"]).groupBy(*at).agg(
+    plan = pairs.drop("_held").join(met.drop("_held"), to).groupBy(*at).agg(
         F.first("_places").alias("_places"), F.collect_list(F.struct("_ty", "_tx", "_crowded", "_parts")).alias("_meets"))
+    met = met.withColumnsRenamed({"_ty": "_cy", "_tx": "_cx"})
     asking = lookup_counted(places, plan, at, "_places").select(
         F.col("_lat").alias("_alat"), F.col("_lon").alias("_alon"), "_block", F.inline("_meets"))
     asking = asking.withColumnsRenamed({"_ty": "_cy", "_tx": "_cx"}).withColumn(
@@ -108,6 +108,8 @@ def _rim(cells: DataFrame, around, radius_m: float, lat_step: float, lon_step: f
     plain = asking.where("NOT _crowded").join(
         held_rows.where("NOT _crowded").select("*", _copies("_parts", "_part")).drop("_parts", "_crowded"), [*at, "_part"])
     plain = plain.where(distance <= radius_m).select(*result, F.col("_n").alias("_v"))
+    if met.where("_crowded").isEmpty():
+        return plain.withColumn("_asked", F.lit(False))
 
     small = ["_fy", "_fx", "_block"]
     crowd = held_rows.where("_crowded").withColumns({
