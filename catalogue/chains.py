@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from catalogue.places import CELLS_SQL, CUTOFF_M, SITE_SQL
 from catalogue.registry import query
 from catalogue.rows import block_sql
+from catalogue.views import BOX
 from hourgrid.operators import panel
 from hourgrid.plans import incidents as plans
 from hourgrid.session import materialise
@@ -63,7 +64,7 @@ def whole_run(t):
     raw = t.incidents.drop("props", "area").withColumns({
         "area_raw": F.lit("?"), "offense": F.concat(F.lit(" "), F.upper("offense")), "event_watch": F.col("offense"),
         "longitude": F.col("longitude") + 1e-5, "latitude": F.col("latitude") + 1e-5})
-    return plans.run(raw.unionByName(raw), dimensions(t), terms=TERMS)
+    return plans.run(raw.unionByName(raw), dimensions(t), terms=TERMS, box=BOX)
 
 
 @query("chain_area_hours", f"""

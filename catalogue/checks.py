@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from catalogue.registry import query
 from catalogue.rows import GAPPY, gappy
+from catalogue.views import BOX
 from hourgrid.operators import panel, quality, shape, windows
 from hourgrid.session import materialise
 
@@ -34,7 +35,7 @@ def bad_rows(t):
     UNION ALL SELECT 'raw', 'complete offense', CASE WHEN d > 0.01 THEN 'FAIL' ELSE 'PASS' END, round(d, 6), 0.01::DOUBLE FROM m
     UNION ALL SELECT 'raw', 'domain area', CASE WHEN e > 0 THEN 'FAIL' ELSE 'PASS' END, e, 0.0::DOUBLE FROM m""", ("incidents",))
 def dq1(t):
-    return quality.check_table(bad_rows(t), "raw", domain=list("ABC")).withColumn("measured", F.round("measured", 6))
+    return quality.check_table(bad_rows(t), "raw", box=BOX, domain=list("ABC")).withColumn("measured", F.round("measured", 6))
 
 
 def missing_sql(source: str, columns: tuple[str, ...]) -> str:

@@ -12,6 +12,8 @@ FOLDS = (
     ("2024-01-22", "2024-01-29"), ("2024-01-29", "2024-01-31"),
 )
 CUTOFF = "2024-01-22"
+#: Where the incidents of these views should lie.
+BOX = {"lat": (33.5, 34.0), "lon": (-84.6, -84.2)}
 
 SQL = {
     "incidents": """

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window, functions as F
 
 from hourgrid.functions.text import clean_name
-from hourgrid.operators.lookup import lookup
+from hourgrid.operators.lookup import lookup, lookup_counted
 from hourgrid.session import materialise
 
 #: Ranges that distinct values are sorted in; each is numbered by a task of its own.
@@ -39,7 +39,7 @@ def count_encode(df: DataFrame, column: str, out: str | None = None) -> DataFram
     """Frequency of the row's value in the whole frame; null counts 0."""
     out = out or f"{column}_count"
     counts = df.where(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias(out))
-    counted = lookup(df, counts, [column], computed=True)
+    counted = lookup_counted(df, counts.withColumn("_rows", F.col(out)), [column], "_rows")
     return counted.withColumn(out, F.coalesce(F.col(out), F.lit(0)).cast("long"))
 
 

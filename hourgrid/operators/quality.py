@@ -11,8 +11,7 @@ from hourgrid.functions.calendar import hour_index
 from hourgrid.operators import windows
 from hourgrid.operators.shape import require_columns
 
-# Coordinate box, completeness limits, span, coverage and panel columns.
-BOX = {"lat": (33.5, 34.0), "lon": (-84.6, -84.2)}
+# Completeness limits, span, coverage and panel columns.
 MAX_CORE_MISSING = 0.01
 MAX_CRITICAL_MISSING = 0.10
 MIN_HOURS = 168
@@ -31,19 +30,24 @@ def _unpivot(wide: DataFrame, ids: Sequence[str], names: Sequence[str], variable
     return wide.unpivot(list(ids), list(names), variable, value)
 
 
+CHECK_ROW = "step string, check string, status string, measured double, threshold double"
+
+
 def check_table(df: DataFrame, step: str, key: str | None = "incident_number",
                 box: dict | None = None, lat: str = "latitude", lon: str = "longitude",
                 core: Iterable[str] = ("report_date", "offense"), domain: Iterable[str] | None = None,
                 area: str = "area") -> DataFrame:
     """Key uniqueness, coordinate box, completeness and category domain as
-    (step, check, status, measured, threshold) in one aggregation."""
-    box = box or BOX
+    (step, check, status, measured, threshold) in one aggregation.
+
+    ``box`` maps ``lat`` and ``lon`` to (least, largest); without it places are not checked. Checks whose columns are
+    missing have no row."""
     measures: list[tuple[str, Column, float, str]] = []
     if key in df.columns:
         nulls = F.count_if(F.col(key).isNull())
         distinct = F.count_distinct(F.col(key)) + F.when(nulls > 0, 1).otherwise(0)
         measures.append((f"unique {key}", (F.count(F.lit(1)) - distinct).cast("double"), 0.0, "FAIL"))
-    if lat in df.columns and lon in df.columns:
+    if box and lat in df.columns and lon in df.columns:
         outside = ~(F.col(lat).between(*box["lat"]) & F.col(lon).between(*box["lon"]))
         measures.append(("inside box", F.count_if(outside).cast("double"), 0.0, "WARNING"))
     for c in core:
@@ -53,6 +57,8 @@ def check_table(df: DataFrame, step: str, key: str | None = "incident_number",
     if domain is not None and area in df.columns:
         strange = F.count_if(~F.upper(F.col(area)).isin(list(domain)))
         measures.append((f"domain {area}", strange.cast("double"), 0.0, "FAIL"))
+    if not measures:
+        return df.sparkSession.createDataFrame([], CHECK_ROW)
     wide = df.agg(*[m.alias(f"m{i}") for i, (_, m, _, _) in enumerate(measures)])
     rows = F.array(*[
         F.struct(F.lit(step).alias("step"), F.lit(name).alias("check"),

@@ -129,14 +129,14 @@ def panels(incidents: DataFrame, target: str = "incident_count", order: str = "s
 
 
 def run(raw: DataFrame, dims: Dimensions, key: str = "incident_number",
-        terms: Sequence[str] = text.TARGET_TERMS) -> dict[str, DataFrame]:
-    """Raw incidents to all tables, with the check tables after the enrichment."""
+        terms: Sequence[str] = text.TARGET_TERMS, box: dict | None = None) -> dict[str, DataFrame]:
+    """Raw incidents to all tables, with the check tables after the enrichment (``box``: see ``check_table``)."""
     configure(raw.sparkSession)
     enriched = materialise(enrich(unique(clean(raw), key), dims))
     target = materialise(target_incidents(enriched, key=key, terms=terms))
     return {
         "all_incidents": enriched,
         "target_incidents": target,
-        "checks": quality.check_table(target, "final", key=key),
+        "checks": quality.check_table(target, "final", key=key, box=box),
         **panels(target),
     }

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
@@ -16,6 +17,8 @@ from hourgrid.operators.shape import clean_names
 SOURCE, POSITION = "source_file", "source_position"
 # Fields in double quotes, quotes in them doubled, line breaks in them allowed.
 CSV = {"header": True, "quote": '"', "escape": '"'}
+#: Files that the driver opens at a time for their first line or footer.
+OPENED = 32
 
 
 def list_files(spark: SparkSession, folder: str, suffix: str) -> list[str]:
@@ -27,14 +30,31 @@ def list_files(spark: SparkSession, folder: str, suffix: str) -> list[str]:
                   if s.isFile() and s.getPath().getName().endswith(suffix))
 
 
+def each(files: list[str], act) -> dict:
+    """``act`` of each file, ``OPENED`` at a time."""
+    with ThreadPoolExecutor(OPENED) as pool:
+        return dict(zip(files, pool.map(act, files)))
+
+
+def first_line(spark: SparkSession, file: str) -> str | None:
+    """A file's first line, read from its beginning only; None if the file is empty."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(file)
+    stream = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).open(path)
+    try:
+        line = jvm.org.apache.hadoop.io.Text()
+        return line.toString() if jvm.org.apache.hadoop.util.LineReader(stream).readLine(line) else None
+    finally:
+        stream.close()
+
+
 def csv_headers(spark: SparkSession, files: list[str]) -> dict[str, list[str]]:
-    """First line → files that begin with it, found by one distributed read of the files' first lines."""
-    lines = spark.read.text(files).select(
-        "value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
-        F.monotonically_increasing_id().alias("line")).where("block = 0")
-    first = lines.groupBy("file").agg(F.min_by("value", "line").alias("header"))
-    return {r["header"]: sorted(r["files"]) for r in
-            first.groupBy("header").agg(F.collect_list("file").alias("files")).orderBy("header").collect()}
+    """First line → files that begin with it; the rest of the files is not read. Files without a line are left out."""
+    found: dict[str, list[str]] = {}
+    for file, header in each(sorted(files), lambda f: first_line(spark, f)).items():
+        if header is not None:
+            found.setdefault(header, []).append(file)
+    return dict(sorted(found.items()))
 
 
 def read_csv_folder(spark: SparkSession, folder: str, clean: bool = True, multi_line: bool = True) -> DataFrame:
@@ -218,16 +238,14 @@ def tree_counts(spark: SparkSession, folder: str) -> DataFrame:
     columns = {uri: 0 for uri in named}
     parts = []
     if listed["parquet"]:
-        for name, uri in listed["parquet"]:
-            columns[re.sub("^file:/+", "file:/", uri)] = len(spark.read.option("recursiveFileLookup", True).parquet(name).columns)
+        widths = each([name for name, _ in listed["parquet"]],
+                      lambda f: len(spark.read.option("recursiveFileLookup", True).parquet(f).columns))
+        columns |= {re.sub("^file:/+", "file:/", uri): widths[name] for name, uri in listed["parquet"]}
         parts.append(spark.read.schema(T.StructType()).parquet(*[name for name, _ in listed["parquet"]]).select(own.alias("file")))
     if listed["csv"]:
-        lines = spark.read.text([name for name, _ in listed["csv"]]).select(
-            "value", own.alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("line"))
-        heads: dict[str, list[str]] = {}
-        for r in lines.where("block = 0").groupBy("file").agg(F.min_by("value", "line").alias("header")).collect():
-            heads.setdefault(r["header"], []).append(r["file"])
-        for members in heads.values():
+        uris = dict(listed["csv"])
+        for files in csv_headers(spark, list(uris)).values():
+            members = [re.sub("^file:/+", "file:/", uris[f]) for f in files]
             header = spark.read.options(**CSV).csv(named[members[0]]).columns
             columns |= dict.fromkeys(members, len(header))
             schema = T.StructType([T.StructField(c, T.StringType()) for c in header])

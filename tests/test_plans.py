@@ -113,6 +113,17 @@ def test_csv_folder_of_two_widths(spark, tmp_path):
         files.read_csv_folder(spark, str(tmp_path / ".."))
 
 
+def test_headers_are_read_from_the_start_of_a_file(spark, tmp_path):
+    texts = {"a.csv": "id,kind\n1,x\n", "b.csv": "id,kind\r\n2,y\r\n", "c.csv": "id\n" + "7\n" * 50_000, "d.csv": "", "e.csv": "id,é"}
+    for name, content in texts.items():
+        (tmp_path / name).write_bytes(content.encode())
+    found = files.csv_headers(spark, files.list_files(spark, str(tmp_path), ".csv"))
+    assert {h: [f.rsplit("/", 1)[1] for f in members] for h, members in found.items()} == {
+        "id": ["c.csv"], "id,kind": ["a.csv", "b.csv"], "id,é": ["e.csv"]}
+    counts = {r["file"].rsplit("/", 1)[1]: (r["rows"], r["columns"]) for r in files.tree_counts(spark, str(tmp_path)).collect()}
+    assert counts == {"a.csv": (1, 2), "b.csv": (1, 2), "c.csv": (50_000, 1), "d.csv": (0, 0), "e.csv": (0, 2)}
+
+
 def test_missing_path(spark, tmp_path):
     with pytest.raises(FileNotFoundError):
         files.read_any(spark, str(tmp_path / "none"))

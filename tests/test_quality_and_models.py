@@ -18,6 +18,14 @@ def test_duplicates_count_nulls_as_one_key(spark):
     assert quality.check_table(df, "s").where("check LIKE 'unique%'").first()["measured"] == 2
 
 
+def test_checks_without_their_columns_have_no_rows(spark):
+    df = spark.createDataFrame([(1, 95.0, 0.0)], "other int, latitude double, longitude double")
+    assert quality.check_table(df, "s", core=()).columns == ["step", "check", "status", "measured", "threshold"]
+    assert quality.check_table(df, "s", core=()).count() == 0
+    boxed = quality.check_table(df, "s", box={"lat": (-90, 90), "lon": (-180, 180)})
+    assert [tuple(r) for r in boxed.collect()] == [("s", "inside box", "WARNING", 1.0, 0.0)]
+
+
 def test_raising_checks(hours):
     few = hours([("A", h, 1) for h in range(10)])
     with pytest.raises(ValueError, match="168"):
