@@ -42,6 +42,13 @@ def test_odd_rows(spark):
     assert plain(chat.format_chats(df.limit(0))) == []
 
 
+def test_merged_blocks(spark):
+    df = spark.createDataFrame([(1, [("a", "1"), ("a", "2"), ("b", ""), ("a", "3"), ("a", "3")]), (2, []), (3, [("c", "x")])],
+                               "id int, turns array<struct<role:string,text:string>>")
+    got = {r["id"]: [(b["role"], b["texts"]) for b in r["blocks"]] for r in df.select("id", chat.merge_turns("turns").alias("blocks")).collect()}
+    assert got == {1: [("a", ["1", "2"]), ("b", [""]), ("a", ["3", "3"])], 2: [], 3: [("c", ["x"])]}
+
+
 def test_long_conversation(spark):
     df = spark.range(5000).select(F.lit(1).alias("conv_id"), F.col("id").alias("turn"), F.lit("assistant").alias("role"), F.col("id").cast("string").alias("text"))
     got = read(df)[1]
