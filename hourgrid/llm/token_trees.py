@@ -153,9 +153,11 @@ def _patched(codec: Codec, finditer, text: str, tree: Tree, patch) -> tuple[str,
 def edited(text: Column, tree: Column, edits: Column, model: bytes, pattern: str) -> Column:
     """``text``, ``chars``, ``tokens`` (the new tree) and ``encoded`` (characters encoded again) after ``edits``.
 
-    ``edits`` is an array of ``start, end, new`` in characters of the unedited text, as one patch: they may come in any order
-    but not overlap, and insertions at one place go in by their order. Null arrays and null members change nothing;
-    bounds are clipped to the text. Overlapping edits raise.
+    ``edits`` is an array of ``start, end, new`` in characters of the unedited text, as one patch: they may come in any order,
+    and insertions at one place go in by their order. Of overlapping edits the one that begins first takes its characters, the
+    other those behind them. Null arrays and null members change nothing; bounds are clipped to the text.
+    ``pattern`` must look no further than ``AHEAD - 1`` characters behind a pre-token, as ``public_tokenizers.PATTERN`` does;
+    one such as ``\\s*[\\r\\n]+``, which looks for a line end behind any number of blanks, gives counts that may be wrong.
     """
     def run(batches: Iterator[tuple[pd.Series, pd.DataFrame, pd.Series]]) -> Iterator[pd.DataFrame]:
         codec, finditer = Codec(model, pattern), regex.compile(pattern).finditer
@@ -168,23 +170,29 @@ def edited(text: Column, tree: Column, edits: Column, model: bytes, pattern: str
 
 
 def ordered(patch, length: int) -> list[tuple[int, int, str]]:
-    """The edits of a patch from the last to the first, so that each leaves the places of the others alone."""
+    """The edits of a patch from the last to the first, so that each leaves the places of the others alone.
+
+    Where edits overlap, the one that begins first (then ends first, then stands first) takes its characters; the other takes
+    what is left behind them, so its new text follows.
+    """
     clipped = []
     for i, one in enumerate(patch if patch is not None else []):
         if one is not None and one["start"] is not None:
             start = min(max(int(one["start"]), 0), length)
             end = start if one["end"] is None else min(max(int(one["end"]), start), length)
             clipped.append((start, end, i, one["new"] or ""))
-    clipped.sort()
-    if any(b[0] < a[1] for a, b in zip(clipped, clipped[1:])):
-        raise ValueError("edits of one patch overlap")
-    return [(start, end, new) for start, end, _, new in reversed(clipped)]
+    apart, reached = [], 0
+    for start, end, _, new in sorted(clipped):
+        start = max(start, reached)
+        reached = max(end, start)
+        apart.append((start, reached, new))
+    return apart[::-1]
 
 
 def recount(docs: DataFrame, edits: Column, model: bytes, pattern: str, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``key``, ``tree`` and ``edited``: the tree of each row of ``docs`` and the result of its ``edits``, a column over ``docs``.
 
-    Rows stand for themselves, also where keys repeat or are null; an empty table stays empty. Trees can be
+    Rows stand for themselves, also where keys repeat or are null; an empty table stays empty, other columns are left out. Trees can be
     written and read like any column, and ``edited`` (the function) takes them up again; here both steps are done by
     one function, so that a text goes to Python once.
     """

@@ -2,7 +2,6 @@ import hashlib
 import random
 
 import public_tokenizers as P
-import pytest
 import regex
 from cases import ODD, odd_documents, plain, prose
 from pyspark.sql import functions as F
@@ -50,8 +49,29 @@ def test_patches():
     edits = [{"start": 5, "end": 7, "new": "x"}, None, {"start": None, "end": 1, "new": "y"}, {"start": 0, "end": None, "new": "z"},
              {"start": 7, "end": 99, "new": None}]
     assert tt.ordered(edits, 10) == [(7, 10, ""), (5, 7, "x"), (0, 0, "z")] and tt.ordered(None, 3) == []
-    with pytest.raises(ValueError):
-        tt.ordered([{"start": 0, "end": 5, "new": ""}, {"start": 3, "end": 6, "new": ""}], 10)
+
+
+def test_overlapping_edits_have_an_order():
+    """Against a version that marks each character by the edit that takes it."""
+    draw = random.Random(11)
+    for _ in range(3000):
+        text = "".join(draw.choice("ab \n1'") for _ in range(draw.randint(0, 14)))
+        patch = [{"start": draw.randint(-2, 16), "end": draw.choice([None, draw.randint(-2, 18)]), "new": draw.choice(["", "X", "yz"])}
+                 for _ in range(draw.randint(0, 5))]
+        clip = [(s, max(s, min(e, len(text)))) for s, e in (
+            (min(max(p["start"], 0), len(text)), p["start"] if p["end"] is None else p["end"]) for p in patch)]
+        gone, after, reach = set(), {}, 0
+        for k in sorted(range(len(patch)), key=lambda k: (*clip[k], k)):
+            at = max(clip[k][0], reach)
+            reach = max(clip[k][1], at)
+            gone |= set(range(at, reach))
+            after.setdefault(at, []).append(patch[k]["new"])
+        want = "".join("".join(after.get(i, [])) + ("" if i in gone else text[i:i + 1]) for i in range(len(text) + 1))
+        got = text
+        for start, end, new in tt.ordered(patch, len(text)):
+            got = got[:start] + new + got[end:]
+        assert got == want, (text, patch)
+    assert tt.ordered([{"start": 3, "end": 6, "new": "b"}, {"start": 0, "end": 5, "new": "a"}], 10) == [(5, 6, "b"), (0, 5, "a")]
 
 
 def test_odd_rows_and_many_edits(spark):
