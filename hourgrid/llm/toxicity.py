@@ -300,8 +300,9 @@ def learn(docs: DataFrame, labels: DataFrame, held_out: Column, text: str = "tex
         machine = model.automaton()
         for batch in batches:
             pairs = []
-            for label, folded in zip(batch["label"], batch["folded"]):
-                starts = hits(machine, folded)
+            for label, text in zip(batch["label"], batch["text"]):
+                folded, *others = forms(text)
+                starts = hits(machine, folded, *others)
                 if starts:
                     words = [(m.start() - 1, m[0]) for m in re.finditer(r"\S+", folded)]
                     pairs += {(f"{a} {b}", label) for (i, a), (j, b) in zip(words, words[1:]) if i in starts or j in starts}
@@ -342,7 +343,7 @@ def score(docs: DataFrame, model: Model, text: str = "text", carry: list[str] |
     """``docs`` (or the columns ``carry``) with the struct of ``scorer``, and that struct's column name.
 
     Null and empty texts have no hits and get the score of a text without hits. Rows are scored one by one, so
-    repeated rows score alike; an empty table stays empty; columns of ``docs`` keep their names and values.
+    repeated rows score alike and texts of any length are scored whole; an empty table stays empty; columns of ``docs`` keep their names and values.
     """
     name = fresh(docs.columns, "toxicity")[0]
     kept = [col(docs, c) for c in (docs.columns if carry is None else carry)]
