@@ -204,7 +204,7 @@ def digests(docs: DataFrame, model: bytes, pattern: str, text: str = "text", car
     """``docs`` (or the columns ``carry``) with a struct of token count and digests of ids and decoded bytes.
 
     Every row is encoded and decoded on its own, so repeated rows come out alike and an empty table stays
-    empty; null and empty texts have no tokens. Columns of ``docs`` keep their names; the struct's name, which is
+    empty; null and empty texts have no tokens, very long ones are encoded whole. Columns of ``docs`` keep their names; the struct's name, which is
     returned too, avoids them.
     """
     name = fresh(docs.columns, "tokens")[0]

@@ -64,6 +64,7 @@ def scan(docs: DataFrame, phrases: dict[str, str], key: str = "doc_id", text: st
     if none), ``score`` (the surest finding, 0 without any) and ``found``, the intervals of words that stay with their
     labels. ``phrases`` maps phrases to labels that are found wherever the phrase stands and are never
     dropped. Null and empty texts have no words; every row counts for itself, also where rows or keys repeat.
+    Very long texts are scanned whole. An empty table gives no rows; other columns are not read, so names cannot clash.
     """
     rules = default_rules() if rules is None else rules
     words = F.coalesce(col(docs, text), F.lit(""))

@@ -172,7 +172,7 @@ def judge(docs: DataFrame, text: str = "text", threshold: float = 0.5, carry: li
 
     ``carry`` names the columns to keep (all by default). The counts are written once to the shared folder, since
     the fit and the decision both need them. Null and empty texts have no words, fail the base rule and are
-    not kept. Repeated rows each get their own verdict; an empty table stays empty; columns of ``docs`` keep
+    not kept; very long ones are counted whole. Repeated rows each get their own verdict; an empty table stays empty; columns of ``docs`` keep
     their names and values, the struct's name avoids them.
     """
     name = fresh(docs.columns, "quality")[0]

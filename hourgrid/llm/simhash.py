@@ -148,6 +148,7 @@ def label(docs: DataFrame, text: str = "text", key: str = "doc_id", shingle: int
 
     Rows with a null key are linked as any other and are never the least key; a class of null keys only has a
     null component. Repeated rows are repeated. Texts without words have fingerprint zero.
+    Very long texts count with all their shingles. An empty table gives no rows; other columns are not read, so names cannot clash.
     """
     rows = materialise(docs.select(col(docs, key).alias("key"), fingerprints(col(docs, text), shingle).alias("fp")), "prints")
     classes, hot = clusters(rows, "fp", F.col("key"), bits)
