@@ -2,12 +2,14 @@
 
 A text is cut at single blanks between two visible characters. The byte-level pattern never matches across such a
 cut, as the blank belongs to what follows, so the pieces are encoded apart and their ids are joined. Pieces seen
-before are looked up; of new ones only the new words go to the library, many of them joined into one text.
+before are looked up; of new ones only the new words go to the library, many of them as lines of one text.
 """
 
 from __future__ import annotations
 
+import codecs
 import os
+import re
 import sys
 from collections.abc import Callable, Iterable
 from types import ModuleType
@@ -16,20 +18,26 @@ from typing import Any
 import numpy as np
 import regex
 from tokenizers import Tokenizer
+from tokenizers.pre_tokenizers import Split
 
 #: Encoded pieces a worker remembers; beyond that it starts anew. Results do not depend on it.
-REMEMBERED = 500_000
+REMEMBERED = 1_000_000
 #: Longer pieces are encoded but not remembered.
 LONG = 40
-#: Characters of new words that go to the library as one text.
-JOINED = 20_000
+#: New words that go to the library as one text.
+JOINED = 2_000
 _STATE = "hourgrid_worker_state"
 # Fixed value: the pattern of byte-level pre-tokens.
 _SPLIT = regex.compile(r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+""").findall
-#: Signs that end a word and are a pre-token of their own.
-_ENDS = frozenset(".,;:!?)")
-#: Letters up to here are the same in all versions of Unicode that libraries carry.
-_LATIN = "ɏ"
+#: Visible characters that are the same in all versions of Unicode that libraries carry.
+_LATIN = "!-~¡-¬®-ɏ"
+_PLAIN = re.compile(f"[{_LATIN}](?:[{_LATIN}\\n]*[{_LATIN}])?").fullmatch
+#: Byte-level vocabularies write a byte as the character of its number if that is visible, the others as those from 256 on.
+_SHOWN = {*range(33, 127), *range(161, 173), *range(174, 256)}
+_HIDDEN = [byte for byte in range(256) if byte not in _SHOWN]
+_WRITTEN = "".join(chr(byte if byte in _SHOWN else 256 + _HIDDEN.index(byte)) for byte in range(256))
+#: The same, with line ends kept.
+_LINES = _WRITTEN.replace(_WRITTEN[10], "\n")
 
 
 def once_per_worker(name: Any, make: Callable[[], Any]) -> Any:
@@ -61,17 +69,6 @@ def _units(pieces: list[str]) -> list[str]:
     return units
 
 
-def _tokens(piece: str) -> list[str]:
-    """Pre-tokens of a piece with the blank before it; other scripts than Latin are left whole."""
-    if max(piece) > _LATIN:
-        return [" " + piece]
-    if piece.isalpha():
-        return [" " + piece]
-    if piece[-1] in _ENDS and piece[:-1].isalpha():
-        return [" " + piece[:-1], piece[-1]]
-    return _SPLIT(" " + piece)
-
-
 class Encoder:
     """Encodes texts with the vocabulary file at ``path``, special strings as ordinary text."""
 
@@ -86,45 +83,60 @@ class Encoder:
         self.bytes = np.zeros(self.size, np.int64)
         for token, i in vocabulary.items():
             self.bytes[i] = len(token)
+        # the same vocabulary for words that are cut already and written in its own characters, one a line
+        self.by_line = Tokenizer.from_file(path)
+        self.by_line.encode_special_tokens = True
+        self.by_line.pre_tokenizer = Split("\n", "removed")
+        #: ids of pieces with a blank before them, of pre-tokens without one, and of first pieces of texts
         self.pieces: dict[str, bytes] = {}
-        self.words: dict[str, bytes] = {}
+        self.tails: dict[str, bytes] = {}
         self.openings: dict[str, bytes] = {}
 
     def _encode(self, texts: list[str]) -> list[bytes]:
         kind = self.kind
         return [np.array(e.ids, kind).tobytes() for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _encode_words(self, words: list[str]) -> Iterable[tuple[str, bytes]]:
-        """Words that begin with a blank, joined into texts that are cut again where the bytes of a word end."""
-        group, size = [], 0
-        for word in [*words, None]:
-            if word is not None:
-                group.append(word)
-                size += len(word)
-            if group and (word is None or size >= JOINED):
-                ids = np.array(self.library.encode_batch_fast(["".join(group)], add_special_tokens=False)[0].ids, self.kind)
-                ends = np.cumsum([len(w.encode()) for w in group])
-                cuts = [0, *(np.searchsorted(np.cumsum(self.bytes[ids]), ends) + 1).tolist()]
-                data, step = ids.tobytes(), self.kind.itemsize
-                for w, a, b in zip(group, cuts, cuts[1:]):
-                    yield w, data[a * step:b * step]
-                group, size = [], 0
-
-    def _learn(self, pieces: Iterable[str]) -> dict[str, bytes]:
-        """Encoded forms of pieces, each with the blank before it."""
-        if len(self.words) > REMEMBERED:
-            self.words = {}
-        words = self.words
-        parts = {piece: _tokens(piece) if _clean(piece) else [" " + piece] for piece in pieces}
-        new = {t for ts in parts.values() for t in ts if t not in words}
-        joined = [t for t in new if t[0] == " " and _clean(t[1:])]
-        words.update(self._encode_words(joined))
-        rest = list(new.difference(joined))
-        words.update(zip(rest, self._encode(rest)))
-        out = {piece: b"".join([words[t] for t in ts]) if len(ts) > 1 else words[ts[0]] for piece, ts in parts.items()}
-        for t in new:
-            if len(t) > LONG:
-                del words[t]
+    def _encode_words(self, words: list[str]) -> Iterable[bytes]:
+        """Ids of words of one pre-token each, with the blank before them: many go as lines of one text, whose ids are
+        cut again where the bytes of a word end."""
+        step = self.kind.itemsize
+        for at in range(0, len(words), JOINED):
+            lines = " " + "\n ".join(words[at:at + JOINED])
+            lines = codecs.charmap_decode(lines.encode(), "strict", _LINES)[0]
+            ids = np.array(self.by_line.encode_batch_fast([lines], add_special_tokens=False)[0].ids, self.kind)
+            ends = np.cumsum(np.fromiter(map(len, lines.split("\n")), np.int64))
+            cuts = ((np.searchsorted(np.cumsum(self.bytes[ids]), ends) + 1) * step).tolist()
+            data = ids.tobytes()
+            yield from [data[a:b] for a, b in zip([0, *cuts], cuts)]
+
+    def _learn(self, pieces: set[str]) -> dict[str, bytes]:
+        """Encoded forms of pieces, each with the blank before it; those that a safe cut surrounds are remembered."""
+        known, tails = self.pieces, self.tails
+        plain = list(filter(_PLAIN, pieces))
+        rest = list(pieces.difference(plain))
+        out = dict(zip(rest, self._encode([" " + piece for piece in rest])))
+        known.update([(piece, ids) for piece, ids in out.items() if len(piece) <= LONG and _clean(piece)])
+        if not plain:
+            return out
+        # plain pieces have no blank inside, so a pre-token that begins with one begins a piece
+        tokens = _SPLIT(" " + " ".join(plain))
+        starts = [i for i, token in enumerate(tokens) if token[0] == " "]
+        heads = [tokens[i][1:] for i in starts]
+        words = list({head for head in heads if head not in known})
+        found = dict(zip(words, self._encode_words(words)))
+        ends = list({token for token in tokens if token[0] != " " and token not in tails})
+        ended = dict(zip(ends, self._encode(ends)))
+        for piece, head, a, b in zip(plain, heads, starts, [*starts[1:], len(tokens)]):
+            ids = found.get(head) or known[head]
+            if b == a + 2:
+                ids += tails.get(tokens[a + 1]) or ended[tokens[a + 1]]
+            elif b > a + 2:
+                ids += b"".join([tails.get(t) or ended[t] for t in tokens[a + 1:b]])
+            out[piece] = ids
+            if len(piece) <= LONG:
+                known[piece] = ids
+        known.update([(word, ids) for word, ids in found.items() if len(word) <= LONG])
+        tails.update([(end, ids) for end, ids in ended.items() if len(end) <= LONG])
         return out
 
     def _opening(self, unit: str) -> bytes:
@@ -136,26 +148,32 @@ class Encoder:
                 self.openings[unit] = ids
         return ids
 
+    def _look_up(self, pieces: list[str]) -> tuple[list[bytes | None], list[int], list[str]]:
+        """Ids of the pieces behind the first one where they are known, the places of the others, and these."""
+        row = list(map(self.pieces.get, pieces[1:]))
+        empty = [i for i, form in enumerate(row) if form is None] if None in row else []
+        return row, empty, [pieces[i + 1] for i in empty]
+
     def encode_all(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as little-endian numbers of ``kind``; an empty text has none."""
-        if len(self.pieces) > REMEMBERED:
-            self.pieces = {}
-        if len(self.openings) > REMEMBERED:
-            self.openings = {}
-        known = self.pieces
-        split = [text.split(" ") for text in texts]
-        forms = [list(map(known.get, pieces[1:])) for pieces in split]
-        gaps = [[i for i, form in enumerate(row, 1) if form is None] if None in row else () for row in forms]
-        new: set[str] = set()
-        for n, (pieces, empty) in enumerate(zip(split, gaps)):
-            if not (_visible(pieces[0][-1:]) and all(_clean(pieces[i]) for i in empty)):
-                split[n] = pieces = _units(pieces)
-                forms[n] = list(map(known.get, pieces[1:]))
-                gaps[n] = empty = [i for i, form in enumerate(forms[n], 1) if form is None]
-            new.update(pieces[i] for i in empty)
+        for memory in (self.pieces, self.tails, self.openings):
+            if len(memory) > REMEMBERED:
+                memory.clear()
+        split, forms, gaps, new = [], [], [], set()
+        for text in texts:
+            pieces = text.split(" ")
+            row, empty, unknown = self._look_up(pieces)
+            if not (_visible(pieces[0][-1:]) and all(_PLAIN(piece) or _clean(piece) for piece in unknown)):
+                pieces = _units(pieces)
+                row, empty, unknown = self._look_up(pieces)
+            new.update(unknown)
+            split.append(pieces)
+            forms.append(row)
+            gaps.append(empty)
         found = self._learn(new)
+        out = []
         for pieces, row, empty in zip(split, forms, gaps):
             for i in empty:
-                row[i - 1] = found[pieces[i]]
-        known.update((unit, ids) for unit, ids in found.items() if len(unit) <= LONG and _clean(unit))
-        return [self._opening(pieces[0]) + b"".join(row) for pieces, row in zip(split, forms)]
+                row[i] = found[pieces[i + 1]]
+            out.append(self._opening(pieces[0]) + b"".join(row))
+        return out
