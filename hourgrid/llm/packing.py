@@ -45,11 +45,14 @@ def _tokenise(path: str, end: int | None):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = once_per_worker(("encoder", path), lambda: Encoder(path))
         kind, seen = encoder.kind, np.zeros(encoder.size, np.int64)
+        marks = np.zeros(encoder.size, np.bool_)
         last = b"" if end is None else np.array([end], kind).tobytes()
         for batch in batches:
             ids, sketches = [], []
             for data in encoder.encode_all([text or "" for text in batch.column("text").to_pylist()]):
-                own = np.unique(np.frombuffer(data, kind))
+                marks[np.frombuffer(data, kind)] = True
+                own = np.flatnonzero(marks)
+                marks[own] = False
                 seen[own] += 1
                 sketches.append(int(own[np.argmin(own.astype(np.uint32) * _MIX)]) if len(own) else -1)
                 ids.append(data + last)

@@ -20,8 +20,9 @@ import regex
 from tokenizers import Tokenizer
 from tokenizers.pre_tokenizers import Split
 
-#: Encoded pieces a worker remembers; beyond that it starts anew. Results do not depend on it.
-REMEMBERED = 1_000_000
+#: Encoded pieces of one generation. A worker remembers two of them: when the younger one is full, the older one goes
+#: and pieces that are met again move up. Results do not depend on it.
+REMEMBERED = 800_000
 #: Longer pieces are encoded but not remembered.
 LONG = 40
 #: New words that go to the library as one text.
@@ -89,6 +90,7 @@ class Encoder:
         self.by_line.pre_tokenizer = Split("\n", "removed")
         #: ids of pieces with a blank before them, of pre-tokens without one, and of first pieces of texts
         self.pieces: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
         self.tails: dict[str, bytes] = {}
         self.openings: dict[str, bytes] = {}
 
@@ -96,24 +98,23 @@ class Encoder:
         kind = self.kind
         return [np.array(e.ids, kind).tobytes() for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _encode_words(self, words: list[str]) -> Iterable[bytes]:
-        """Ids of words of one pre-token each, with the blank before them: many go as lines of one text, whose ids are
-        cut again where the bytes of a word end."""
-        step = self.kind.itemsize
+    def _encode_words(self, words: list[str]) -> dict[str, bytes]:
+        """Ids of words that are one pre-token each and have no line end: many go as lines of one text, whose ids are cut
+        again where the bytes of a word end."""
+        step, out = self.kind.itemsize, {}
         for at in range(0, len(words), JOINED):
-            lines = " " + "\n ".join(words[at:at + JOINED])
-            lines = codecs.charmap_decode(lines.encode(), "strict", _LINES)[0]
+            some = words[at:at + JOINED]
+            lines = codecs.charmap_decode("\n".join(some).encode(), "strict", _LINES)[0]
             ids = np.array(self.by_line.encode_batch_fast([lines], add_special_tokens=False)[0].ids, self.kind)
             ends = np.cumsum(np.fromiter(map(len, lines.split("\n")), np.int64))
             cuts = ((np.searchsorted(np.cumsum(self.bytes[ids]), ends) + 1) * step).tolist()
             data = ids.tobytes()
-            yield from [data[a:b] for a, b in zip([0, *cuts], cuts)]
+            out.update(zip(some, [data[a:b] for a, b in zip([0, *cuts], cuts)]))
+        return out
 
-    def _learn(self, pieces: set[str]) -> dict[str, bytes]:
+    def _learn(self, plain: list[str], rest: list[str]) -> dict[str, bytes]:
         """Encoded forms of pieces, each with the blank before it; those that a safe cut surrounds are remembered."""
-        known, tails = self.pieces, self.tails
-        plain = list(filter(_PLAIN, pieces))
-        rest = list(pieces.difference(plain))
+        known, older, tails = self.pieces, self.older, self.tails
         out = dict(zip(rest, self._encode([" " + piece for piece in rest])))
         known.update([(piece, ids) for piece, ids in out.items() if len(piece) <= LONG and _clean(piece)])
         if not plain:
@@ -122,22 +123,24 @@ class Encoder:
         tokens = _SPLIT(" " + " ".join(plain))
         starts = [i for i, token in enumerate(tokens) if token[0] == " "]
         heads = [tokens[i][1:] for i in starts]
-        words = list({head for head in heads if head not in known})
-        found = dict(zip(words, self._encode_words(words)))
-        ends = list({token for token in tokens if token[0] != " " and token not in tails})
-        ended = dict(zip(ends, self._encode(ends)))
+        words = [head for head in set(heads) if head not in known and head not in older]
+        found = {word[1:]: ids for word, ids in self._encode_words([" " + word for word in words]).items()}
+        ends = {token for token in tokens if token[0] != " " and token not in tails}
+        ended = self._encode_words([end for end in ends if not end.isspace()])
+        blank = [end for end in ends if end.isspace()]
+        ended.update(zip(blank, self._encode(blank)))
+        made = {}
         for piece, head, a, b in zip(plain, heads, starts, [*starts[1:], len(tokens)]):
-            ids = found.get(head) or known[head]
+            ids = found.get(head) or known.get(head) or older[head]
             if b == a + 2:
                 ids += tails.get(tokens[a + 1]) or ended[tokens[a + 1]]
             elif b > a + 2:
                 ids += b"".join([tails.get(t) or ended[t] for t in tokens[a + 1:b]])
-            out[piece] = ids
-            if len(piece) <= LONG:
-                known[piece] = ids
-        known.update([(word, ids) for word, ids in found.items() if len(word) <= LONG])
-        tails.update([(end, ids) for end, ids in ended.items() if len(end) <= LONG])
-        return out
+            made[piece] = ids
+        for memory, new in ((known, found), (known, made), (tails, ended)):
+            long = [word for word in new if len(word) > LONG]
+            memory.update({word: ids for word, ids in new.items() if len(word) <= LONG} if long else new)
+        return out | made
 
     def _opening(self, unit: str) -> bytes:
         """A unit without a blank before it, as it begins a text."""
@@ -156,21 +159,32 @@ class Encoder:
 
     def encode_all(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as little-endian numbers of ``kind``; an empty text has none."""
-        for memory in (self.pieces, self.tails, self.openings):
+        if len(self.pieces) > REMEMBERED:
+            self.older, self.pieces = self.pieces, {}
+        for memory in (self.tails, self.openings):
             if len(memory) > REMEMBERED:
                 memory.clear()
-        split, forms, gaps, new = [], [], [], set()
+        split, forms, gaps, plain, rest = [], [], [], set(), set()
         for text in texts:
             pieces = text.split(" ")
             row, empty, unknown = self._look_up(pieces)
-            if not (_visible(pieces[0][-1:]) and all(_PLAIN(piece) or _clean(piece) for piece in unknown)):
-                pieces = _units(pieces)
-                row, empty, unknown = self._look_up(pieces)
-            new.update(unknown)
+            first = _visible(pieces[0][-1:])
+            if first and all(map(_PLAIN, unknown)):
+                plain.update(unknown)
+            else:
+                if not (first and all(map(_clean, unknown))):
+                    pieces = _units(pieces)
+                    row, empty, unknown = self._look_up(pieces)
+                rest.update(unknown)
             split.append(pieces)
             forms.append(row)
             gaps.append(empty)
-        found = self._learn(new)
+        plain.update(filter(_PLAIN, rest))
+        older = self.older
+        found = {piece: older[piece] for new in (plain, rest) for piece in new if piece in older}
+        self.pieces.update(found)
+        found |= self._learn([piece for piece in plain if piece not in found],
+                             [piece for piece in rest if piece not in found and piece not in plain])
         out = []
         for pieces, row, empty in zip(split, forms, gaps):
             for i in empty:
