@@ -42,9 +42,10 @@ def rounded(df, digits=6, columns=None):
 
 def predictions(t):
     dense = materialise(t.dense)
+    parts = baselines.segment_table(dense, "n", folds=FOLDS)
     out = None
     for name, fit in MODELS.items():
-        part = fit(dense, "n", folds=FOLDS).select(F.lit(name).alias("model"), "fold", "area", "hour_ts", "n", "predicted")
+        part = fit(dense, "n", folds=FOLDS, parts=parts).select(F.lit(name).alias("model"), "fold", "area", "hour_ts", "n", "predicted")
         out = part if out is None else out.unionByName(part)
     return out
 

@@ -29,6 +29,12 @@ def _segments(df: DataFrame, keys: Sequence[str], y: str, ts: str, folds: Folds)
         "segments")
 
 
+def segment_table(df: DataFrame, y: str, area: str = "area", ts: str = "hour_ts", folds: Folds = FOLDS) -> DataFrame:
+    """Training state per (area, hour of the week, segment), from one pass over the panel. Given as ``parts`` it serves
+    every baseline here with the same columns and folds; each rolls it up to its own keys."""
+    return _segments(df.withColumn("_how", hour_of_week(F.col(ts))), [area, "_how"], y, ts, folds)
+
+
 def _per_fold(parts: DataFrame, keys: Sequence[str], folds: Folds, out: Column) -> DataFrame:
     """An aggregate of the training segments per (fold, keys): a fold trains on the
     segments below the place of its own train end."""
@@ -48,9 +54,10 @@ def fold_test_rows(df: DataFrame, ts: str = "hour_ts", folds: Folds = FOLDS) ->
     return df.withColumn("fold", fold_number(ts, folds)).where("fold is not null")
 
 
-def _forecast(df: DataFrame, keys: Sequence[str], value: Column, y: str, ts: str, folds: Folds) -> DataFrame:
+def _forecast(df: DataFrame, keys: Sequence[str], value: Column, y: str, ts: str, folds: Folds,
+              parts: DataFrame | None) -> DataFrame:
     """``value`` of the training rows per (fold, keys), else their overall mean."""
-    parts = _segments(df, keys, y, ts, folds)
+    parts = _segments(df, keys, y, ts, folds) if parts is None else parts
     rows = lookup(fold_test_rows(df, ts, folds), _per_fold(parts, keys, folds, value), ["fold", *keys])
     return (
         rows.join(F.broadcast(_per_fold(parts, [], folds, _mean("_all"))), "fold", "left")  # one row per fold
@@ -58,28 +65,34 @@ def _forecast(df: DataFrame, keys: Sequence[str], value: Column, y: str, ts: str
     )
 
 
-def mean_forecast(df: DataFrame, y: str, ts: str = "hour_ts", folds: Folds = FOLDS) -> DataFrame:
+def mean_forecast(df: DataFrame, y: str, ts: str = "hour_ts", folds: Folds = FOLDS,
+                  parts: DataFrame | None = None) -> DataFrame:
     """Global training mean for every test row."""
-    parts = _segments(df, [], y, ts, folds)
+    parts = _segments(df, [], y, ts, folds) if parts is None else parts
     means = _per_fold(parts, [], folds, _mean("predicted"))
     return fold_test_rows(df, ts, folds).join(F.broadcast(means), "fold", "left")  # one row per fold
 
 
-def seasonal_weekly(df: DataFrame, y: str, area: str = "area", ts: str = "hour_ts", folds: Folds = FOLDS) -> DataFrame:
+def seasonal_weekly(df: DataFrame, y: str, area: str = "area", ts: str = "hour_ts", folds: Folds = FOLDS,
+                    parts: DataFrame | None = None) -> DataFrame:
     """Training mean of the area's hour of the week, else the overall mean."""
     keyed = df.withColumn("_how", hour_of_week(F.col(ts)))
-    return _forecast(keyed, [area, "_how"], _mean("_value"), y, ts, folds).drop("_how")
+    return _forecast(keyed, [area, "_how"], _mean("_value"), y, ts, folds, parts).drop("_how")
 
 
-def area_block_mean(df: DataFrame, y: str, area: str = "area", ts: str = "hour_ts", folds: Folds = FOLDS) -> DataFrame:
+def area_block_mean(df: DataFrame, y: str, area: str = "area", ts: str = "hour_ts", folds: Folds = FOLDS,
+                    parts: DataFrame | None = None) -> DataFrame:
     """Training mean of the area's hour block, else the overall mean."""
     keyed = df.withColumn("_block", hour_block(F.hour(ts)))
-    return _forecast(keyed, [area, "_block"], _mean("_value"), y, ts, folds).drop("_block")
+    if parts is not None:
+        parts = parts.withColumn("_block", hour_block(F.col("_how") % 24))
+    return _forecast(keyed, [area, "_block"], _mean("_value"), y, ts, folds, parts).drop("_block")
 
 
-def last_value(df: DataFrame, y: str, area: str = "area", ts: str = "hour_ts", folds: Folds = FOLDS) -> DataFrame:
+def last_value(df: DataFrame, y: str, area: str = "area", ts: str = "hour_ts", folds: Folds = FOLDS,
+               parts: DataFrame | None = None) -> DataFrame:
     """Last training value of the area, else the overall mean."""
-    return _forecast(df, [area], F.max("_last")["v"].alias("_value"), y, ts, folds)
+    return _forecast(df, [area], F.max("_last")["v"].alias("_value"), y, ts, folds, parts)
 
 
 def naive_lags(dense: DataFrame, y: str, lags: Sequence[int] = (24, 168), area: str = "area",

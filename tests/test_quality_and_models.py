@@ -70,6 +70,16 @@ def test_folds_expand(hours):
     assert sizes[1]["train_size"] == sizes[0]["train_size"] + sizes[0]["test_size"]
 
 
+def test_baselines_share_one_segment_table(hours):
+    df = daily(hours)
+    parts = baselines.segment_table(df, "n", folds=FOLDS)
+    for model in (baselines.mean_forecast, baselines.last_value, baselines.seasonal_weekly, baselines.area_block_mean):
+        own, shared = [model(df, "n", folds=FOLDS, parts=p).select("fold", "area", "hour_ts", F.round("predicted", 9)).collect()
+                       for p in (None, parts)]
+        assert own and sorted(own, key=str) == sorted(shared, key=str)
+        assert parts.columns == ["area", "_how", "_seg", "_s", "_n", "_last"]
+
+
 def test_baselines_against_pandas(hours):
     df = daily(hours)
     pdf = df.toPandas()
