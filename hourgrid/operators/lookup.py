@@ -26,9 +26,21 @@ def _width(df: DataFrame) -> Column:
 
 
 def fits(dim: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> bool:
-    """True when the frame has at most ``max_rows`` rows and ``max_bytes``; reads no further than that."""
-    rows, size = dim.limit(max_rows + 1).agg(F.count(F.lit(1)), F.sum(_width(dim).cast("long"))).first()
-    return rows <= max_rows and (size or 0) <= max_bytes
+    """True when the frame has at most ``max_rows`` rows and ``max_bytes``; reads no further than that.
+
+    Rows are counted first, so that only a frame with few of them is measured, and that in parallel.
+    """
+    if dim.limit(max_rows + 1).count() > max_rows:
+        return False
+    return (dim.agg(F.sum(_width(dim).cast("long"))).first()[0] or 0) <= max_bytes
+
+
+def _free(name: str, *frames: DataFrame) -> str:
+    """A column name that no frame has."""
+    taken = {c.lower() for frame in frames for c in frame.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
 
 
 def salt(columns: Sequence[str], salts: int) -> Column:
@@ -54,9 +66,10 @@ def lookup(facts: DataFrame, dim: DataFrame, on: Sequence[str], how: str = "left
         dim = materialise(dim)
     if fits(dim, max_rows):
         return facts.join(F.broadcast(dim), on, how)
-    salted = facts.withColumn("_salt", salt(on, salts))
-    copies = dim.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return salted.join(copies, [*on, "_salt"], how).drop("_salt")
+    dealt = _free("_salt", facts, dim)
+    salted = facts.withColumn(dealt, salt(on, salts))
+    copies = dim.withColumn(dealt, F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    return salted.join(copies, [*on, dealt], how).drop(dealt)
 
 
 def lookup_counted(facts: DataFrame, dim: DataFrame, on: Sequence[str], n: str,
@@ -71,21 +84,22 @@ def lookup_counted(facts: DataFrame, dim: DataFrame, on: Sequence[str], n: str,
     dim = materialise(dim)
     if fits(dim):
         return facts.join(F.broadcast(dim.drop(n)), on, "left")
+    dealt, parts = _free("_salt", facts, dim), _free("_parts", facts, dim)
     share = dim.agg((F.sum(n) / tasks).alias("share")).scalar()
-    hot = dim.where(F.col(n) > share).select(*on, F.ceil(F.col(n) / share).cast("int").alias("_parts"))
+    hot = dim.where(F.col(n) > share).select(*on, F.ceil(F.col(n) / share).cast("int").alias(parts))
     salted = (
         facts.join(F.broadcast(hot), on, "left")
-        .withColumn("_salt", F.coalesce(
-            F.pmod(F.xxhash64(*on) + F.spark_partition_id(), F.col("_parts")).cast("int"),
+        .withColumn(dealt, F.coalesce(
+            F.pmod(F.xxhash64(*on) + F.spark_partition_id(), F.col(parts)).cast("int"),
             F.lit(0)))
-        .drop("_parts")
+        .drop(parts)
     )
     copies = (
-        dim.withColumn("_parts", F.when(F.col(n) > share, F.ceil(F.col(n) / share)).otherwise(1).cast("int"))
-        .withColumn("_salt", F.explode(F.sequence(F.lit(0), F.col("_parts") - 1)))
-        .drop("_parts", n)
+        dim.withColumn(parts, F.when(F.col(n) > share, F.ceil(F.col(n) / share)).otherwise(1).cast("int"))
+        .withColumn(dealt, F.explode(F.sequence(F.lit(0), F.col(parts) - 1)))
+        .drop(parts, n)
     )
-    return salted.join(copies, [*on, "_salt"], "left").drop("_salt")
+    return salted.join(copies, [*on, dealt], "left").drop(dealt)
 
 
 def unique_by(dim: DataFrame, on: Sequence[str], order: Sequence[str] = ()) -> DataFrame:

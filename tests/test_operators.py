@@ -79,6 +79,16 @@ def test_counted_lookup_splits_hot_keys(spark, monkeypatch):
     assert out.count() == 400 and out.where("v = k * 2").count() == 400
 
 
+def test_lookup_columns_may_have_any_name(spark, monkeypatch):
+    """Columns of the tables named like the helper columns of a look-up by shuffle stay as they are."""
+    facts = spark.range(60).select((F.col("id") % 6).alias("k"), "id", F.lit(7).alias("_salt"))
+    dim = facts.groupBy("k").agg(F.count(F.lit(1)).alias("n")).withColumn("_parts", F.col("k") * 2)
+    monkeypatch.setattr(lookup, "fits", lambda *a, **k: False)
+    for out in (lookup.lookup_counted(facts, dim, ["k"], "n", tasks=4), lookup.lookup(facts, dim.drop("n"), ["k"])):
+        assert sorted(out.columns) == ["_parts", "_salt", "id", "k"]
+        assert out.count() == 60 and out.where("_parts = k * 2 AND _salt = 7").count() == 60
+
+
 def test_identical_copies_are_spread(spark):
     df = spark.range(0, 1000, 1, 8).select(F.lit(1).alias("k"), F.lit("same").alias("v"))
     assert df.select(lookup.salt(["k", "v"], 8).alias("s")).distinct().count() == 8
@@ -260,6 +270,18 @@ def test_radius_count_against_brute_force(spark, monkeypatch, crowded, asking):
     assert got == expected
 
 
+def test_radius_count_by_shuffle(spark, monkeypatch):
+    """Plans too large to broadcast are looked up by shuffle, in plain and in crowded cells."""
+    df = spark.createDataFrame(
+        [(i, datetime(2024, 1, 1 + i % 20), 33.7 + i * 79 % 97 * 0.0004, -84.4 + i * 47 % 91 * 0.0004) for i in range(300)],
+        "id int, report_date timestamp_ntz, latitude double, longitude double")
+    want = rows(radius.radius_count(df), "id", "density_7d_1mi")
+    monkeypatch.setattr(lookup, "fits", lambda *a, **k: False)
+    for crowded in (256, 1):
+        monkeypatch.setattr(radius, "CROWDED", crowded)
+        assert rows(radius.radius_count(df), "id", "density_7d_1mi") == want
+
+
 def test_radius_count_deals_a_hot_cell(spark, monkeypatch):
     """Half of all incidents in one cell: no pair of parts is larger than the limits, whatever the cell holds."""
     import math
