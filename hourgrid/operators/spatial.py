@@ -253,13 +253,14 @@ def _near_site_leaves(points: DataFrame, sites: DataFrame, lat: str, lon: str, m
     listed = leaves.groupBy(*CELL).agg(F.array_sort(F.collect_list(F.struct("name", "lat", "lon", *vector))).alias("_cands"))
     x, y, z = geo.unit_vector(F.col(lat), F.col(lon))
 
-    def ranked(at: Column, site: Column) -> Column:
+    def chord(at: Column, site: Column) -> Column:
         dx, dy, dz = at["x"] - site["x"], at["y"] - site["y"], at["z"] - site["z"]
-        return F.struct((dx * dx + dy * dy + dz * dz).alias("c"), site["name"].alias("name"),
-                        site["lat"].alias("lat"), site["lon"].alias("lon"))
+        return dx * dx + dy * dy + dz * dz
 
-    best = geo.bind(F.struct(x.alias("x"), y.alias("y"), z.alias("z")),
-                    lambda at: F.array_min(F.transform("_cands", lambda site: ranked(at, site))))
+    # The first of the least chords: the list is in the order of the names.
+    best = geo.bind(F.struct(x.alias("x"), y.alias("y"), z.alias("z")), lambda at: geo.bind(
+        F.transform("_cands", lambda site: chord(at, site)),
+        lambda chords: F.get("_cands", (F.array_position(chords, F.array_min(chords)) - 1).cast("int"))))
     known = F.col(lat).isNotNull() & F.col(lon).isNotNull()
     return (
         quadtree.locate(points, listed, root, F.col(lon), F.col(lat), "_cands", quadtree.levels(leaves))

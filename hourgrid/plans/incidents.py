@@ -97,12 +97,17 @@ def enrich(df: DataFrame, dims: Dimensions, log: quality.StepLog | None = None)
 def target_incidents(enriched: DataFrame, offense: str = "offense", key: str = "incident_number",
                      terms: Sequence[str] = text.TARGET_TERMS, codes: Sequence[str] | None = None,
                      code_column: str = "offense_code") -> DataFrame:
-    """Target offences by term (or by code pattern), first row per incident, final columns."""
+    """Target offences by term (or by code pattern), first row per incident, final columns.
+
+    Where no incident has a second row, which its key alone tells, the wide rows are neither sorted nor moved.
+    """
     if codes is None:
         hit = text.matches_any(F.col(offense), terms)
     else:
         hit = text.matches_code(F.col(code_column), codes)
-    return finalize(unique(enriched.where(hit), key))
+    found = enriched.where(hit)
+    repeats = found.groupBy(key).agg(F.count(F.lit(1)).alias("_rows")).where("_rows > 1")
+    return finalize(found if repeats.isEmpty() else unique(found, key))
 
 
 def panels(incidents: DataFrame, target: str = "incident_count", order: str = "sparse-first",
@@ -130,9 +135,13 @@ def panels(incidents: DataFrame, target: str = "incident_count", order: str = "s
 
 def run(raw: DataFrame, dims: Dimensions, key: str = "incident_number",
         terms: Sequence[str] = text.TARGET_TERMS, box: dict | None = None) -> dict[str, DataFrame]:
-    """Raw incidents to all tables, with the check tables after the enrichment (``box``: see ``check_table``)."""
+    """Raw incidents to all tables, with the check tables after the enrichment (``box``: see ``check_table``).
+
+    The first rows per incident are written once: the extent of the places and the spatial joins both read them.
+    """
     configure(raw.sparkSession)
-    enriched = materialise(enrich(unique(clean(raw), key), dims))
+    known = materialise(unique(clean(raw), key), "unique-incidents")
+    enriched = materialise(enrich(known, dims))
     target = materialise(target_incidents(enriched, key=key, terms=terms))
     return {
         "all_incidents": enriched,

@@ -13,6 +13,8 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    # The JVM never compiles a method of more bytecode: fused code of wide rows would be interpreted.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 

@@ -178,3 +178,15 @@ def test_counts_of_a_file_tree(spark, tmp_path):
     got = files.tree_counts(spark, str(tmp_path / "in")).collect()
     made = sorted((r["file"].rsplit("/", 1)[1] if r["file"].endswith("csv") else "parquet", r["rows"], r["columns"]) for r in got)
     assert made == [("empty.csv", 0, 0), ("none.csv", 0, 3), ("one.csv", 2, 2), ("parquet", 0, 2), ("parquet", 7, 1), ("two.csv", 1, 3)]
+
+
+def test_unique_targets_are_neither_sorted_nor_moved(spark):
+    """Only where an incident has a second row are the wide rows ordered; then the first one stays."""
+    df = spark.createDataFrame(
+        [(1, "theft", datetime(2024, 1, 2)), (2, "arson", datetime(2024, 1, 2)), (3, "Theft", datetime(2024, 1, 3))],
+        "incident_number int, offense string, report_date timestamp_ntz")
+    once = plans.target_incidents(df)
+    assert "Window" not in plan(once) and "Exchange" not in plan(once)
+    assert rows(once, "incident_number") == [(1,), (3,)]
+    twice = plans.target_incidents(df.unionByName(df.withColumn("report_date", F.lit(datetime(2024, 1, 1)).cast("timestamp_ntz"))))
+    assert rows(twice, "incident_number", "report_date") == [(1, datetime(2024, 1, 1)), (3, datetime(2024, 1, 1))]
