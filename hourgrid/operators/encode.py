@@ -30,9 +30,13 @@ def one_hot(df: DataFrame, column: str, prefix: str | None = None, drop_first: b
     return df.select(*[c for c in df.columns if c != column], *flags)
 
 
+def indicator_name(value, prefix: str = "near_") -> str:
+    return f"{prefix}{str(value).lower()}"
+
+
 def indicators(df: DataFrame, column: str, values: Sequence, prefix: str = "near_") -> DataFrame:
     return df.withColumns({
-        f"{prefix}{str(v).lower()}": F.coalesce(F.col(column) == v, F.lit(False)).cast("int") for v in values})
+        indicator_name(v, prefix): F.coalesce(F.col(column) == v, F.lit(False)).cast("int") for v in values})
 
 
 def count_encode(df: DataFrame, column: str, out: str | None = None) -> DataFrame:

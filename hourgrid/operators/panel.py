@@ -58,12 +58,15 @@ def aggregate(df: DataFrame, keys: Sequence[str], recipe: Mapping[str, str],
               order: Sequence[str] = ()) -> DataFrame:
     """Group by ``keys`` once, with mean, mode, first, max, min or sum per column.
 
-    ``first`` is the value of the first row by ``order``; mode ties go to the lowest value.
+    ``first`` is the value of the first row by ``order``; mode ties go to the lowest value. ``flag`` is the mode of a
+    column of 0 and 1, which two sums tell.
     """
     def one(name: str, how: str) -> Column:
         col = F.col(name)
         if how == "mode":
             return F.mode(col, True)
+        if how == "flag":
+            return F.when(2 * F.sum(col) > F.count(col), 1).when(F.count(col) > 0, 0)
         if how == "first":
             return F.min_by(col, F.struct(*order))
         if dict(df.dtypes)[name] == "boolean" and how in ("mean", "sum"):
@@ -77,9 +80,12 @@ def aggregate(df: DataFrame, keys: Sequence[str], recipe: Mapping[str, str],
 def target_panel(df: DataFrame, area: str = "area", ts: str = "report_date",
                  target: str = "incident_count", numeric: Sequence[str] = NUMERIC_COLUMNS,
                  categories: Sequence[str] = CATEGORY_COLUMNS, lags: Sequence[int] = windows.LAGS,
-                 drop_incomplete: bool = True) -> DataFrame:
-    """Counts, means and modes per observed (area, hour) with row lags of the count."""
-    recipe = {c: "mean" for c in numeric} | {c: "mode" for c in categories}
+                 drop_incomplete: bool = True, flags: Sequence[str] = ()) -> DataFrame:
+    """Counts, means and modes per observed (area, hour) with row lags of the count.
+
+    ``flags`` are those of the categories that hold only 0 and 1.
+    """
+    recipe = {c: "mean" for c in numeric} | {c: "flag" if c in flags else "mode" for c in categories}
     panel = (
         aggregate(df.withColumn("hour_ts", floor_hour(F.col(ts))), [area, "hour_ts"], recipe)
         .withColumnRenamed("n", target)

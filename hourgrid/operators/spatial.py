@@ -22,13 +22,14 @@ from hourgrid.session import materialise
 
 #: Edges or sites of a leaf above which it is split.
 LEAF_EDGES = 64
-LEAF_SITES = 16
+LEAF_SITES = 6
 #: Rows that a tree may grow to; then its leaves stay coarser.
 LEAVES = BROADCAST_ROWS // 2
 #: Layers with more edges than this per broadcast row are searched by growing cells at once.
 EDGES_PER_ROW = 50
 # About 64 MB of edges.
 BROADCAST_EDGES = 2_000_000
+BOX = ["west", "south", "east", "north"]
 
 
 def with_edges(layer: DataFrame, project: bool = False) -> DataFrame:
@@ -54,6 +55,12 @@ def _extent(layer: DataFrame) -> Row:
         F.coalesce(F.sum(F.size("edges")), F.lit(0)).alias("edges")).first()
 
 
+def _holds(p: Column, at: Column, predicate: str) -> Column:
+    """Whether the listed polygon ``p`` holds the place ``at``; edges are only looked at within its box."""
+    boxed = (at["x"] >= p["west"]) & (at["x"] <= p["east"]) & (at["y"] >= p["south"]) & (at["y"] <= p["north"])
+    return boxed & geo.covers(p["edges"], at["x"], at["y"], predicate, p["_base"])
+
+
 def _places(points: DataFrame, coords: dict[str, Column]) -> DataFrame:
     """Each distinct place once, with the number ``_n`` of its points; points without coordinates have no place."""
     found = points.select(*[c.alias(name) for name, c in coords.items()]).dropna()
@@ -81,16 +88,15 @@ def attach_polygon(points: DataFrame, layer: DataFrame, target: str, lon: str =
     if not extent["polygons"] or extent["west"] is None:
         return points.withColumn(target, F.lit(None).cast("string"))
     root = Root.around(extent["west"], extent["south"], extent["east"], extent["north"])
-    leaves = materialise(quadtree.containment(polygons, root, LEAF_EDGES, LEAVES).select(*CELL, "poly_id", "name", "_base", "edges"), "leaves")
+    leaves = materialise(quadtree.containment(polygons, root, LEAF_EDGES, LEAVES).select(*CELL, "poly_id", "name", "_base", "edges", *BOX), "leaves")
     used = quadtree.levels(leaves)
     if not used:
         return points.withColumn(target, F.lit(None).cast("string"))
     volume = leaves.agg(F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum(F.size("edges")), F.lit(0)).alias("edges")).first()
     if volume["rows"] <= max_rows and volume["edges"] <= BROADCAST_EDGES:
         listed = leaves.groupBy(*CELL).agg(
-            F.array_sort(F.collect_list(F.struct("poly_id", "name", "_base", "edges"))).alias("_cands"))
-        hit = geo.bind(geo.point(x, y), lambda at: F.filter(
-            "_cands", lambda p: geo.covers(p["edges"], at["x"], at["y"], predicate, p["_base"])))
+            F.array_sort(F.collect_list(F.struct("poly_id", "name", "_base", "edges", *BOX))).alias("_cands"))
+        hit = geo.bind(geo.point(x, y), lambda at: F.filter("_cands", lambda p: _holds(p, at, predicate)))
         return (
             quadtree.locate(points, listed, root, x, y, "_cands", used)
             .withColumn(target, F.get(hit, F.lit(0))["name"])
@@ -201,14 +207,14 @@ def attach_nearest_polygon(points: DataFrame, layer: DataFrame, target: str, lon
         return _at_places(points, coords, named.withColumnRenamed("_dist", distance).drop("_fid")).drop("_dist")
 
     used = quadtree.levels(leaves)
-    listed = leaves.groupBy(*CELL).agg(F.array_sort(F.collect_list(F.struct("poly_id", "name", "_base", "edges", "_near"))).alias("_cands"))
+    listed = leaves.groupBy(*CELL).agg(F.array_sort(F.collect_list(F.struct("poly_id", "name", "_base", "edges", "_near", *BOX))).alias("_cands"))
 
     def named(p: Column, d: Column) -> Column:
         return F.struct(d.alias("d"), p["poly_id"].alias("poly_id"), p["name"].alias("name"))
 
     def nearest(at: Column) -> Column:
         """The holder with the lowest poly_id, and only without one the distances to the edges."""
-        holders = F.filter("_cands", lambda p: geo.covers(p["edges"], at["x"], at["y"], "intersects", p["_base"]))
+        holders = F.filter("_cands", lambda p: _holds(p, at, "intersects"))
         open_ = F.filter("_cands", lambda p: F.size(p["_near"]) > 0)
         return F.coalesce(
             geo.bind(F.get(holders, F.lit(0)), lambda p: F.when(p.isNotNull(), named(p, F.lit(0.0)))),

@@ -99,7 +99,8 @@ def target_incidents(enriched: DataFrame, offense: str = "offense", key: str = "
                      code_column: str = "offense_code") -> DataFrame:
     """Target offences by term (or by code pattern), first row per incident, final columns.
 
-    Where no incident has a second row, which its key alone tells, the wide rows are neither sorted nor moved.
+    Where no incident has a second row, which its key alone tells, the wide rows are neither sorted nor moved, only
+    picked; else the first ones are written once.
     """
     if codes is None:
         hit = text.matches_any(F.col(offense), terms)
@@ -107,14 +108,16 @@ def target_incidents(enriched: DataFrame, offense: str = "offense", key: str = "
         hit = text.matches_code(F.col(code_column), codes)
     found = enriched.where(hit)
     repeats = found.groupBy(key).agg(F.count(F.lit(1)).alias("_rows")).where("_rows > 1")
-    return finalize(found if repeats.isEmpty() else unique(found, key))
+    return finalize(found if repeats.isEmpty() else materialise(unique(found, key), "target-incidents"))
 
 
 def panels(incidents: DataFrame, target: str = "incident_count", order: str = "sparse-first",
            numeric: Sequence[str] = panel.NUMERIC_COLUMNS,
-           categories: Sequence[str] | None = None) -> dict[str, DataFrame]:
+           categories: Sequence[str] | None = None, flags: Sequence[str] = ()) -> dict[str, DataFrame]:
     """Target, sparse and dense panel; by default flags of watches and near sites are among the categories.
 
+    ``flags`` are categories that are known to hold only 0 and 1.
+
     ``sparse-first`` derives sparse and dense panels from all observed rows; ``reference``
     from the rows that are left after those with missing lags are dropped.
     """
@@ -122,7 +125,7 @@ def panels(incidents: DataFrame, target: str = "incident_count", order: str = "s
         raise ValueError(order)
     full = materialise(panel.target_panel(
         incidents, target=target, numeric=numeric, categories=panel.category_columns(incidents) if categories is None else categories,
-        drop_incomplete=False))
+        drop_incomplete=False, flags=flags))
     lags = [c for c in full.columns if c.startswith("lag_")]
     complete = full.dropna(subset=lags)
     base = panel.sparse_panel(complete if order == "reference" else full, target)
@@ -133,19 +136,33 @@ def panels(incidents: DataFrame, target: str = "incident_count", order: str = "s
     }
 
 
+def stored(enriched: DataFrame, dims: Dimensions) -> DataFrame:
+    """``enriched`` as a table. The flags of near sites only repeat the site's label: they are read off it, not written."""
+    names = encode.categories(dims.sites, "name")
+    table = materialise(enriched.drop(*[encode.indicator_name(name) for name in names]), "enriched")
+    return encode.indicators(table, "site_label", names)
+
+
+def made_flags(enriched: DataFrame, known: DataFrame, dims: Dimensions) -> list[str]:
+    """Flags of watches and near sites that the enrichment has made, so that they hold only 0 and 1."""
+    given = {c for df in (known, dims.hourly, dims.daily) if df is not None for c in df.columns}
+    return [c for c in enriched.columns if c not in given and c.startswith((f"{dims.watch}_", "near_"))]
+
+
 def run(raw: DataFrame, dims: Dimensions, key: str = "incident_number",
         terms: Sequence[str] = text.TARGET_TERMS, box: dict | None = None) -> dict[str, DataFrame]:
     """Raw incidents to all tables, with the check tables after the enrichment (``box``: see ``check_table``).
 
-    The first rows per incident are written once: the extent of the places and the spatial joins both read them.
+    The first rows per incident are written once: the extent of the places and the spatial joins both read them. So are
+    the enriched ones; the target incidents are picked from that table.
     """
     configure(raw.sparkSession)
     known = materialise(unique(clean(raw), key), "unique-incidents")
-    enriched = materialise(enrich(known, dims))
-    target = materialise(target_incidents(enriched, key=key, terms=terms))
+    enriched = stored(enrich(known, dims), dims)
+    target = target_incidents(enriched, key=key, terms=terms)
     return {
         "all_incidents": enriched,
         "target_incidents": target,
         "checks": quality.check_table(target, "final", key=key, box=box),
-        **panels(target),
+        **panels(target, flags=made_flags(enriched, known, dims)),
     }

@@ -75,6 +75,28 @@ def test_watch_flags_reach_the_panel(raw, dims):
     assert out["sparse"].where("event_watch_day_watch = 1").count() > 0
 
 
+def test_wide_rows_are_written_once(raw, dims):
+    """Target incidents are picked from the table of the enriched ones; near flags are read off the label."""
+    out = plans.run(raw, dims)
+    target, everything = out["target_incidents"], out["all_incidents"]
+    files = everything.inputFiles()
+    assert files and set(target.inputFiles()) == set(files)
+    assert "near_s" not in everything.sparkSession.read.parquet(*files).columns
+    assert everything.where("near_s != int(site_label = 's')").count() == 0 and target.where("near_s = 1").count() > 0
+    twice = plans.target_incidents(everything.unionByName(everything), key="incident_number")
+    assert twice.count() == target.count() and rows(twice, "incident_number", "near_s") == rows(target, "incident_number", "near_s")
+
+
+def test_flags_by_sums_are_modes(raw, dims):
+    watched = raw.withColumn("event_watch", F.when(F.col("location_type") == "shop", "Day Watch").when(F.col("location_type") == "street", "Night"))
+    target = materialise(plans.target_incidents(plans.enrich(plans.clean(watched), dims)))
+    flags = ["event_watch_day_watch", "event_watch_night", "near_s"]
+    modes, sums = plans.panels(target)["sparse"], plans.panels(target, flags=flags)["sparse"]
+    assert sums.schema == modes.schema and rows(sums, "area", "hour_ts", *flags) == rows(modes, "area", "hour_ts", *flags)
+    given = target.sparkSession.createDataFrame([("a", 0), ("a", 1), ("b", 1), ("b", None), ("c", None), ("d", 0), ("d", 1), ("d", 1)], "k string, f int")
+    assert rows(panel.aggregate(given, ["k"], {"f": "flag"}), "k", "f") == rows(panel.aggregate(given, ["k"], {"f": "mode"}), "k", "f")
+
+
 def test_panel_orders_differ(raw, dims):
     target = materialise(plans.target_incidents(plans.enrich(plans.clean(raw), dims)))
     first = plans.panels(target)
