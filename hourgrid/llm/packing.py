@@ -45,17 +45,22 @@ def _tokenise(path: str, end: int | None):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = once_per_worker(("encoder", path), lambda: Encoder(path))
         kind, seen = encoder.kind, np.zeros(encoder.size, np.int64)
-        marks = np.zeros(encoder.size, np.bool_)
+        mixed = np.arange(encoder.size, dtype=np.uint32) * _MIX
+        place, line = np.zeros(encoder.size, np.int64), np.arange(0)
         last = b"" if end is None else np.array([end], kind).tobytes()
         for batch in batches:
-            ids, sketches = [], []
+            ids, sketches, terms = [], [], []
             for data in encoder.encode_all([text or "" for text in batch.column("text").to_pylist()]):
-                marks[np.frombuffer(data, kind)] = True
-                own = np.flatnonzero(marks)
-                marks[own] = False
-                seen[own] += 1
-                sketches.append(int(own[np.argmin(own.astype(np.uint32) * _MIX)]) if len(own) else -1)
+                own = np.frombuffer(data, kind).astype(np.int64)
+                if len(own) > len(line):
+                    line = np.arange(2 * len(own))
+                sketches.append(int(own[np.argmin(mixed[own])]) if len(own) else -1)
+                # of equal ids the one stays whose place was noted
+                place[own] = line[:len(own)]
+                terms.append(own[place[own] == line[:len(own)]])
                 ids.append(data + last)
+            if terms:
+                seen += np.bincount(np.concatenate(terms), minlength=len(seen))
             n = [len(i) // kind.itemsize for i in ids]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("key"), batch.column("row"), pa.array(ids, pa.binary()), pa.array(n, pa.int64()), pa.array(sketches, pa.int32()),

@@ -98,15 +98,16 @@ class Encoder:
         kind = self.kind
         return [np.array(e.ids, kind).tobytes() for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _encode_words(self, words: list[str]) -> dict[str, bytes]:
-        """Ids of words that are one pre-token each and have no line end: many go as lines of one text, whose ids are cut
-        again where the bytes of a word end."""
-        step, out = self.kind.itemsize, {}
+    def _encode_words(self, words: list[str], before: str = "") -> dict[str, bytes]:
+        """Ids of words that are one pre-token each, ``before`` included, and have no line end: many go as lines of one
+        text, whose ids are cut again where the bytes of a word end."""
+        step, out, between = self.kind.itemsize, {}, "\n" + before
         for at in range(0, len(words), JOINED):
             some = words[at:at + JOINED]
-            lines = codecs.charmap_decode("\n".join(some).encode(), "strict", _LINES)[0]
+            written = (before + between.join(some)).encode()
+            lines = codecs.charmap_decode(written, "strict", _LINES)[0]
             ids = np.array(self.by_line.encode_batch_fast([lines], add_special_tokens=False)[0].ids, self.kind)
-            ends = np.cumsum(np.fromiter(map(len, lines.split("\n")), np.int64))
+            ends = np.append(np.flatnonzero(np.frombuffer(written, np.uint8) == 10), len(written)) - np.arange(len(some))
             cuts = ((np.searchsorted(np.cumsum(self.bytes[ids]), ends) + 1) * step).tolist()
             data = ids.tobytes()
             out.update(zip(some, [data[a:b] for a, b in zip([0, *cuts], cuts)]))
@@ -119,12 +120,16 @@ class Encoder:
         known.update([(piece, ids) for piece, ids in out.items() if len(piece) <= LONG and _clean(piece)])
         if not plain:
             return out
+        # letters alone are one pre-token with the blank before them
+        letters = list(filter(str.isalpha, plain))
+        found = self._encode_words(letters, " ")
+        plain = [piece for piece in plain if piece not in found] if len(letters) < len(plain) else []
         # plain pieces have no blank inside, so a pre-token that begins with one begins a piece
-        tokens = _SPLIT(" " + " ".join(plain))
+        tokens = _SPLIT(" " + " ".join(plain)) if plain else []
         starts = [i for i, token in enumerate(tokens) if token[0] == " "]
         heads = [tokens[i][1:] for i in starts]
-        words = [head for head in set(heads) if head not in known and head not in older]
-        found = {word[1:]: ids for word, ids in self._encode_words([" " + word for word in words]).items()}
+        words = [head for head in set(heads) if head not in found and head not in known and head not in older]
+        found |= self._encode_words(words, " ")
         ends = {token for token in tokens if token[0] != " " and token not in tails}
         ended = self._encode_words([end for end in ends if not end.isspace()])
         blank = [end for end in ends if end.isspace()]
@@ -140,7 +145,9 @@ class Encoder:
         for memory, new in ((known, found), (known, made), (tails, ended)):
             long = [word for word in new if len(word) > LONG]
             memory.update({word: ids for word, ids in new.items() if len(word) <= LONG} if long else new)
-        return out | made
+        out |= found
+        out |= made
+        return out
 
     def _opening(self, unit: str) -> bytes:
         """A unit without a blank before it, as it begins a text."""
@@ -181,9 +188,9 @@ class Encoder:
             gaps.append(empty)
         plain.update(filter(_PLAIN, rest))
         older = self.older
-        found = {piece: older[piece] for new in (plain, rest) for piece in new if piece in older}
+        found = {piece: older[piece] for new in (plain, rest) for piece in new if piece in older} if older else {}
         self.pieces.update(found)
-        found |= self._learn([piece for piece in plain if piece not in found],
+        found |= self._learn([piece for piece in plain if piece not in found] if found else list(plain),
                              [piece for piece in rest if piece not in found and piece not in plain])
         out = []
         for pieces, row, empty in zip(split, forms, gaps):

@@ -9,7 +9,7 @@ import pytest
 from cases import ODD, odd_documents, prose
 from tokenizers import Tokenizer
 
-from hourgrid.llm import packing
+from hourgrid.llm import packing, pretokens
 from hourgrid.llm.pretokens import Encoder
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
@@ -142,3 +142,28 @@ def test_neighbours_share_words(spark):
         together.setdefault(p["sequence_id"], []).append(p["doc_id"] // 10)
     pairs = [(a, b) for ts in together.values() for a, b in zip(ts[:1] * len(ts), ts[1:])]
     assert sum(a == b for a, b in pairs) >= 0.6 * len(pairs)
+
+
+def test_letters_alone_are_not_split(monkeypatch):
+    """Pieces of letters go to the library as they are; only the others are cut into pre-tokens before."""
+    split, seen = pretokens._SPLIT, []
+    monkeypatch.setattr(pretokens, "_SPLIT", lambda text: seen.append(text) or split(text))
+    encoder = pretokens.Encoder(PATH)
+    texts = ["one two three, four's größe ñandú x9 ªº µ", "three four größe, two\nlines it's 'll", "", "two", f"a {'long' * 30} end."]
+    want = [encoder.library.encode(text, add_special_tokens=False).ids for text in texts]
+    for _ in range(2):
+        assert [np.frombuffer(ids, encoder.kind).tolist() for ids in encoder.encode_all(texts)] == want
+    pieces = " ".join(seen).split(" ")
+    assert "three," in pieces and not {"größe", "ñandú", "ªº", "µ", "long" * 30} & set(pieces)
+
+
+def test_terms_and_sketches_are_those_of_distinct_ids():
+    texts = ["the cat the cat the", "", None, "a b c a " * 300, "cat"]
+    batch = pa.RecordBatch.from_pydict({"key": list(range(5)), "row": list(range(5)), "text": texts})
+    made, counts = list(packing._tokenise(PATH, 1)(iter([batch, batch.slice(1, 2), batch.slice(0, 0)])))[::3]
+    kind = pretokens.Encoder(PATH).kind
+    own = [sorted(set(np.frombuffer(ids, kind)[:-1].tolist())) for ids in made.column("ids").to_pylist()]
+    mixed = [[i * 2654435761 % 2**32 for i in ids] for ids in own]
+    assert made.column("sketch").to_pylist() == [ids[m.index(min(m))] if ids else -1 for ids, m in zip(own, mixed)]
+    held = dict(zip(counts.column("terms")[0].as_py(), counts.column("counts")[0].as_py()))
+    assert held == {i: sum(i in ids for ids in own) for i in {i for ids in own for i in ids}}
