@@ -8,6 +8,7 @@ and the best neighbour that does not fit is cut to close the window; its rest st
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -23,6 +24,8 @@ from hourgrid.session import materialise
 
 #: Tokens of one shard, about; an index entry takes some 20 bytes.
 SHARD_TOKENS = 1 << 22
+#: Bytes of text that are encoded in one call, about.
+TOGETHER = 8 << 20
 #: Heaviest terms of a seed that make its query, and neighbours taken from the index at a time.
 QUERY_TERMS = 24
 NEIGHBOURS = 48
@@ -41,6 +44,21 @@ class Corpus:
     mean: float
 
 
+def _encoded(encoder: Encoder, batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
+    """Each batch with the ids of its texts; about ``TOGETHER`` bytes of batches are encoded in one call."""
+    held, size = [], 0
+    for batch in itertools.chain(batches, [None]):
+        if batch is not None:
+            held.append(batch)
+            size += batch.column("text").nbytes
+        if held and (batch is None or size >= TOGETHER):
+            texts = pa.chunked_array([b.column("text") for b in held]).fill_null("").combine_chunks()
+            ids = iter(encoder.encode_all(texts))
+            for b in held:
+                yield b, list(itertools.islice(ids, b.num_rows))
+            held, size = [], 0
+
+
 def _tokenise(path: str, end: int | None):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = once_per_worker(("encoder", path), lambda: Encoder(path))
@@ -48,9 +66,9 @@ def _tokenise(path: str, end: int | None):
         mixed = np.arange(encoder.size, dtype=np.uint32) * _MIX
         place, line = np.zeros(encoder.size, np.int64), np.arange(0)
         last = b"" if end is None else np.array([end], kind).tobytes()
-        for batch in batches:
+        for batch, encoded in _encoded(encoder, batches):
             ids, sketches, terms = [], [], []
-            for data in encoder.encode_all([text or "" for text in batch.column("text").to_pylist()]):
+            for data in encoded:
                 own = np.frombuffer(data, kind).astype(np.int64)
                 if len(own) > len(line):
                     line = np.arange(2 * len(own))

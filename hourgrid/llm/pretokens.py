@@ -2,37 +2,44 @@
 
 A text is cut at single blanks between two visible characters. The byte-level pattern never matches across such a
 cut, as the blank belongs to what follows, so the pieces are encoded apart and their ids are joined. Pieces seen
-before are looked up; of new ones only the new words go to the library, many of them as lines of one text.
+before are looked up; of new ones only the new words go to the library, many of them as lines of one text. Pieces stay
+Arrow arrays: one call numbers those of many texts, and only the different new ones are looked at by themselves.
 """
 
 from __future__ import annotations
 
 import codecs
+import itertools
 import os
-import re
 import sys
 from collections.abc import Callable
 from types import ModuleType
 from typing import Any
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from tokenizers import Tokenizer
 from tokenizers.pre_tokenizers import Split
 
-#: Encoded pieces of one generation. A worker remembers two of them: when the younger one is full, the older one goes
-#: and pieces that are met again move up. Results do not depend on it.
-REMEMBERED = 800_000
+#: Encoded pieces that a worker remembers, those met last. Results do not depend on it.
+REMEMBERED = 500_000
 #: Longer pieces are encoded but not remembered.
 LONG = 40
 #: New words that go to the library as one text.
-JOINED = 2_000
+JOINED = 250
+#: Characters that go to the library in one call, about: what it returns takes much more memory than the ids.
+BLOCK = 1 << 18
 _STATE = "hourgrid_worker_state"
 # Fixed value: the pattern of byte-level pre-tokens.
 _SPLIT = regex.compile(r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+""").findall
 #: Visible characters that are the same in all versions of Unicode that libraries carry.
 _LATIN = "!-~¡-¬®-ɏ"
-_PLAIN = re.compile(f"[{_LATIN}](?:[{_LATIN}\\n]*[{_LATIN}])?").fullmatch
+_PLAIN = rf"^[{_LATIN}](?:[{_LATIN}\n]*[{_LATIN}])?$"
+_LETTERS = f"^[{''.join(filter(str.isalpha, map(chr, range(0x250))))}]+$"
+#: A blank at an end of the text or beside a character that may be invisible to some library.
+_UNSAFE = r"(?:^|[^\pL\pM\pN\pP\pS]) | (?:$|[^\pL\pM\pN\pP\pS])"
 #: Byte-level vocabularies write a byte as the character of its number if that is visible, the others as those from 256 on.
 _SHOWN = {*range(33, 127), *range(161, 173), *range(174, 256)}
 _HIDDEN = [byte for byte in range(256) if byte not in _SHOWN]
@@ -53,11 +60,6 @@ def _visible(char: str) -> bool:
     return char.isalnum() or (char != "" and char.isprintable() and not char.isspace())
 
 
-def _clean(piece: str) -> bool:
-    """Whether a blank before and after ``piece`` is a safe cut: it begins and ends with a visible character."""
-    return _visible(piece[:1]) and _visible(piece[-1:])
-
-
 def _units(pieces: list[str]) -> list[str]:
     """The pieces of a text, joined again where the cut between two of them is not safe."""
     units, safe = [pieces[0]], _visible(pieces[0][-1:])
@@ -70,6 +72,22 @@ def _units(pieces: list[str]) -> list[str]:
     return units
 
 
+def _binary(data: np.ndarray, ends: np.ndarray) -> pa.BinaryArray:
+    """Consecutive parts of ``data``, given where they end in bytes."""
+    offsets = np.append(0, ends).astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(ends), [None, pa.py_buffer(offsets), pa.py_buffer(data)])
+
+
+def _parts(forms: pa.BinaryArray) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes of an array that was just made, and where each value begins and the last one ends."""
+    _, offsets, data = forms.buffers()
+    return np.frombuffer(data or b"", np.uint8), np.frombuffer(offsets, np.int32)[:len(forms) + 1]
+
+
+def _where(mask: pa.BooleanArray) -> np.ndarray:
+    return mask.to_numpy(zero_copy_only=False)
+
+
 class Encoder:
     """Encodes texts with the vocabulary file at ``path``, special strings as ordinary text."""
 
@@ -88,113 +106,119 @@ class Encoder:
         self.by_line = Tokenizer.from_file(path)
         self.by_line.encode_special_tokens = True
         self.by_line.pre_tokenizer = Split("\n", "removed")
-        #: ids of pieces with a blank before them, of pre-tokens without one, and of first pieces of texts
-        self.pieces: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}
-        self.tails: dict[str, bytes] = {}
-        self.openings: dict[str, bytes] = {}
-
-    def _encode(self, texts: list[str]) -> list[bytes]:
-        kind = self.kind
-        return [np.array(e.ids, kind).tobytes() for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
-
-    def _encode_words(self, words: list[str], before: str = "") -> dict[str, bytes]:
+        #: pieces, their ids with a blank before them, and the call that met them last
+        self.pieces = pa.array([], pa.string())
+        self.forms = pa.array([], pa.binary())
+        self.met = np.zeros(0, np.int64)
+        self.calls = 0
+
+    def _encode(self, texts: list[str]) -> pa.BinaryArray:
+        kind, out = self.kind, []
+        blocks = (np.cumsum([0, *map(len, texts)])[:-1] // BLOCK).tolist()
+        for _, some in itertools.groupby(zip(blocks, texts), lambda pair: pair[0]):
+            made = self.library.encode_batch_fast([text for _, text in some], add_special_tokens=False)
+            out += [np.array(e.ids, kind).tobytes() for e in made]
+        return pa.array(out, pa.binary())
+
+    def _encode_words(self, words: pa.StringArray, before: str = "") -> pa.BinaryArray:
         """Ids of words that are one pre-token each, ``before`` included, and have no line end: many go as lines of one
         text, whose ids are cut again where the bytes of a word end."""
-        step, out, between = self.kind.itemsize, {}, "\n" + before
-        for at in range(0, len(words), JOINED):
-            some = words[at:at + JOINED]
-            written = (before + between.join(some)).encode()
+        if not len(words):
+            return pa.array([], pa.binary())
+        at = np.append(np.arange(0, len(words), JOINED), len(words))
+        made, ends, past = [], [], 0
+        for line, n in zip(pc.binary_join(pa.ListArray.from_arrays(at.astype(np.int32), words), "\n" + before).to_pylist(), np.diff(at).tolist()):
+            written = (before + line).encode()
             lines = codecs.charmap_decode(written, "strict", _LINES)[0]
             ids = np.array(self.by_line.encode_batch_fast([lines], add_special_tokens=False)[0].ids, self.kind)
-            ends = np.append(np.flatnonzero(np.frombuffer(written, np.uint8) == 10), len(written)) - np.arange(len(some))
-            cuts = ((np.searchsorted(np.cumsum(self.bytes[ids]), ends) + 1) * step).tolist()
-            data = ids.tobytes()
-            out.update(zip(some, [data[a:b] for a, b in zip([0, *cuts], cuts)]))
-        return out
-
-    def _learn(self, plain: list[str], rest: list[str]) -> dict[str, bytes]:
-        """Encoded forms of pieces, each with the blank before it; those that a safe cut surrounds are remembered."""
-        known, older, tails = self.pieces, self.older, self.tails
-        out = dict(zip(rest, self._encode([" " + piece for piece in rest])))
-        known.update([(piece, ids) for piece, ids in out.items() if len(piece) <= LONG and _clean(piece)])
-        if not plain:
-            return out
-        # letters alone are one pre-token with the blank before them
-        letters = list(filter(str.isalpha, plain))
-        found = self._encode_words(letters, " ")
-        plain = [piece for piece in plain if piece not in found] if len(letters) < len(plain) else []
+            end = np.append(np.flatnonzero(np.frombuffer(written, np.uint8) == 10), len(written)) - np.arange(n)
+            ends.append(np.searchsorted(np.cumsum(self.bytes[ids]), end) + 1 + past)
+            made.append(ids)
+            past += len(ids)
+        return _binary(np.concatenate(made), np.concatenate(ends) * self.kind.itemsize)
+
+    def _encode_mixed(self, pieces: pa.StringArray, known: pa.StringArray, forms: pa.BinaryArray) -> pa.BinaryArray:
+        """Ids of plain pieces that may be several pre-tokens, the first one with a blank before it."""
+        if not len(pieces):
+            return pa.array([], pa.binary())
         # plain pieces have no blank inside, so a pre-token that begins with one begins a piece
-        tokens = _SPLIT(" " + " ".join(plain)) if plain else []
-        starts = [i for i, token in enumerate(tokens) if token[0] == " "]
-        heads = [tokens[i][1:] for i in starts]
-        words = [head for head in set(heads) if head not in found and head not in known and head not in older]
-        found |= self._encode_words(words, " ")
-        ends = {token for token in tokens if token[0] != " " and token not in tails}
-        ended = self._encode_words([end for end in ends if not end.isspace()])
-        blank = [end for end in ends if end.isspace()]
-        ended.update(zip(blank, self._encode(blank)))
-        made = {}
-        for piece, head, a, b in zip(plain, heads, starts, [*starts[1:], len(tokens)]):
-            ids = found.get(head) or known.get(head) or older[head]
-            if b == a + 2:
-                ids += tails.get(tokens[a + 1]) or ended[tokens[a + 1]]
-            elif b > a + 2:
-                ids += b"".join([tails.get(t) or ended[t] for t in tokens[a + 1:b]])
-            made[piece] = ids
-        for memory, new in ((known, found), (known, made), (tails, ended)):
-            long = [word for word in new if len(word) > LONG]
-            memory.update({word: ids for word, ids in new.items() if len(word) <= LONG} if long else new)
-        out |= found
-        out |= made
-        return out
-
-    def _opening(self, unit: str) -> bytes:
-        """A unit without a blank before it, as it begins a text."""
-        ids = self.openings.get(unit)
-        if ids is None:
-            ids = self._encode([unit])[0]
-            if len(unit) <= LONG:
-                self.openings[unit] = ids
-        return ids
-
-    def _look_up(self, pieces: list[str]) -> tuple[list[bytes | None], list[int], list[str]]:
-        """Ids of the pieces behind the first one where they are known, the places of the others, and these."""
-        row = list(map(self.pieces.get, pieces[1:]))
-        empty = [i for i, form in enumerate(row) if form is None] if None in row else []
-        return row, empty, [pieces[i + 1] for i in empty]
-
-    def encode_all(self, texts: list[str]) -> list[bytes]:
+        tokens = pa.array(_SPLIT(" " + " ".join(pieces.to_pylist())), pa.string()).dictionary_encode()
+        places, tokens = tokens.indices.to_numpy(), tokens.dictionary
+        opens = _where(pc.starts_with(tokens, " "))
+        heads, tails = pc.utf8_slice_codeunits(tokens.filter(opens), 1), tokens.filter(~opens)
+        at = pc.index_in(heads, known)
+        blank = _where(pc.utf8_is_space(tails))
+        made = pa.concat_arrays([forms, self._encode_words(heads.filter(at.is_null()), " "), self._encode_words(tails.filter(~blank)),
+                                 self._encode(tails.filter(blank).to_pylist())])
+        # new words stand behind the known ones, in the order in which they were encoded
+        numbers, new = np.empty(len(tokens), np.int64), _where(at.is_null())
+        row = at.fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
+        row[new] = len(forms) + np.arange(new.sum())
+        numbers[opens] = row
+        order = np.empty(len(tails), np.int64)
+        order[~blank] = np.arange((~blank).sum())
+        order[blank] = (~blank).sum() + np.arange(blank.sum())
+        numbers[~opens] = len(forms) + new.sum() + order
+        data, begin = _parts(made.take(pa.array(numbers[places])))
+        return _binary(data, np.append(begin[np.flatnonzero(opens[places])[1:]], begin[-1]))
+
+    def _learn(self, pieces: pa.StringArray) -> pa.BinaryArray:
+        """Ids of different new pieces, each with the blank before it."""
+        letters, plain = _where(pc.match_substring_regex(pieces, _LETTERS)), _where(pc.match_substring_regex(pieces, _PLAIN))
+        # letters alone are one pre-token with the blank before them
+        words = pieces.filter(letters)
+        forms = self._encode_words(words, " ")
+        mixed = self._encode_mixed(pieces.filter(plain & ~letters), pa.concat_arrays([self.pieces, words]), pa.concat_arrays([self.forms, forms]))
+        rest = self._encode([" " + piece for piece in pieces.filter(~plain).to_pylist()])
+        back = np.empty(len(pieces), np.int64)
+        back[np.concatenate([np.flatnonzero(x) for x in (letters, plain & ~letters, ~plain)])] = np.arange(len(pieces))
+        return pa.concat_arrays([forms, mixed, rest]).take(pa.array(back))
+
+    def encode_all(self, texts: list[str] | pa.StringArray) -> list[bytes]:
         """The ids of each text as little-endian numbers of ``kind``; an empty text has none."""
-        if len(self.pieces) > REMEMBERED:
-            self.older, self.pieces = self.pieces, {}
-        for memory in (self.tails, self.openings):
-            if len(memory) > REMEMBERED:
-                memory.clear()
-        split, forms, gaps, plain, rest = [], [], [], set(), set()
-        for text in texts:
-            pieces = text.split(" ")
-            row, empty, unknown = self._look_up(pieces)
-            first = _visible(pieces[0][-1:])
-            if first and all(map(_PLAIN, unknown)):
-                plain.update(unknown)
-            else:
-                if not (first and all(map(_clean, unknown))):
-                    pieces = _units(pieces)
-                    row, empty, unknown = self._look_up(pieces)
-                rest.update(unknown)
-            split.append(pieces)
-            forms.append(row)
-            gaps.append(empty)
-        plain.update(filter(_PLAIN, rest))
-        older = self.older
-        found = {piece: older[piece] for new in (plain, rest) for piece in new if piece in older} if older else {}
-        self.pieces.update(found)
-        found |= self._learn([piece for piece in plain if piece not in found] if found else list(plain),
-                             [piece for piece in rest if piece not in found and piece not in plain])
-        out = []
-        for pieces, row, empty in zip(split, forms, gaps):
-            for i in empty:
-                row[i] = found[pieces[i + 1]]
-            out.append(self._opening(pieces[0]) + b"".join(row))
-        return out
+        texts = texts.cast(pa.string()) if isinstance(texts, pa.Array) else pa.array(texts, pa.string())
+        if not len(texts):
+            return []
+        self.calls += 1
+        split, hard = pc.split_pattern(texts, " "), _where(pc.match_substring_regex(texts, _UNSAFE))
+        if hard.any():
+            units = [_units(text.split(" ")) for text in texts.filter(hard).to_pylist()]
+            split = pa.concat_arrays([split.filter(~hard), pa.array(units, split.type)])
+        bounds = split.offsets.to_numpy()
+        numbered = pa.concat_arrays([self.pieces, split.values]).dictionary_encode()
+        pieces, old = numbered.dictionary, len(self.pieces)
+        rows = numbered.indices.to_numpy()[old:].copy()
+        # the first piece of a text has no blank before it
+        first, at = np.unique(rows[bounds[:-1]], return_inverse=True)
+        rows[bounds[:-1]] = len(pieces) + at
+        used = np.zeros(len(pieces) + len(first), np.bool_)
+        used[rows] = True
+        used = used[:len(pieces)]
+        new = np.flatnonzero(used[old:]) + old
+        number = np.arange(len(pieces) + len(first))
+        number[new] = old + np.arange(len(new))
+        number[len(pieces):] = old + len(new) + np.arange(len(first))
+        learnt = pieces.take(pa.array(new))
+        forms = pa.concat_arrays([self.forms, self._learn(learnt)])
+        opening = self._encode(pieces.take(pa.array(first)).to_pylist())
+        data, begin = _parts(pa.concat_arrays([forms, opening]).take(pa.array(number[rows])))
+        self._remember(pa.concat_arrays([self.pieces, learnt]), forms, used[:old])
+        begin, data = begin[bounds].tolist(), data.tobytes()
+        out = [data[a:b] for a, b in zip(begin, begin[1:])]
+        if not hard.any():
+            return out
+        order = np.argsort(np.append(np.flatnonzero(~hard), np.flatnonzero(hard))).tolist()
+        return [out[i] for i in order]
+
+    def _remember(self, pieces: pa.StringArray, forms: pa.BinaryArray, again: np.ndarray) -> None:
+        """What the next call looks up: short pieces, and of too many the ones met last."""
+        old = len(again)
+        self.met[again] = self.calls
+        met = np.append(self.met, np.full(len(pieces) - old, self.calls))
+        keep = np.ones(len(pieces), np.bool_)
+        keep[old:] = _where(pc.less_equal(pc.utf8_length(pieces[old:]), LONG))
+        if keep.sum() > REMEMBERED:
+            keep[np.argpartition(np.where(keep, -met, 1), REMEMBERED)[REMEMBERED:]] = False
+        if not keep.all():
+            pieces, forms, met = pieces.filter(keep), forms.filter(keep), met[keep]
+        self.pieces, self.forms, self.met = pieces, forms, met

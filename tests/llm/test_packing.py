@@ -167,3 +167,38 @@ def test_terms_and_sketches_are_those_of_distinct_ids():
     assert made.column("sketch").to_pylist() == [ids[m.index(min(m))] if ids else -1 for ids, m in zip(own, mixed)]
     held = dict(zip(counts.column("terms")[0].as_py(), counts.column("counts")[0].as_py()))
     assert held == {i: sum(i in ids for ids in own) for i in {i for ids in own for i in ids}}
+
+
+def test_words_are_numbered_by_arrow_and_pieces_met_last_stay(library, monkeypatch):
+    """Texts of a call share one numbering; what is remembered stays bounded and never changes the ids."""
+    monkeypatch.setattr(pretokens, "REMEMBERED", 50)
+    monkeypatch.setattr(pretokens, "JOINED", 3)
+    monkeypatch.setattr(pretokens, "BLOCK", 30, raising=False)
+    encoder = Encoder(PATH)
+    draw, bits = np.random.default_rng(5), [
+        "a", "The", "größe", "it's", "x9", "9", "'ll", "don't", "(b)", "end.\n", "\nNew", "a\nb", "c\n\nd", "", "\t", " ", "e ", "​", "日本",
+        "é", "é", "́", "ªº", "ǀƻ", "½", "ß­ß", "\x1c", "\x85", "᠎", "\U0001f600", "٣", "word" * 20, "<|endoftext|>", "﻿", "_", "$5,0"]
+    for _ in range(6):
+        texts = [" ".join(draw.choice(bits, n)) for n in draw.integers(0, 12, 150)] + [f"w{k} new{chr(97 + k)}" for k in range(20)]
+        want = [np.array(library.encode(t, add_special_tokens=False).ids, "<u2").tobytes() for t in texts]
+        assert encoder.encode_all(texts) == want
+        assert 0 < len(encoder.pieces) <= 50
+        assert encoder.encode_all(pa.array(texts).cast(pa.large_string()).slice(7)) == want[7:]
+        assert max(map(len, encoder.pieces.to_pylist())) <= pretokens.LONG
+    assert encoder.encode_all([]) == [] and encoder.encode_all(["", " "]) == [b"", np.array(library.encode(" ").ids, "<u2").tobytes()]
+
+
+@pytest.mark.parametrize("together", [1, 40, 1 << 23])
+def test_batches_encoded_together_stay_apart(together, monkeypatch):
+    monkeypatch.setattr(packing, "TOGETHER", together, raising=False)
+    calls, encode_all = [], Encoder.encode_all
+    monkeypatch.setattr(Encoder, "encode_all", lambda self, texts: calls.append(len(texts)) or encode_all(self, texts))
+    texts = [prose(i, 5) if i % 4 else None for i in range(11)]
+    whole = pa.RecordBatch.from_pydict({"key": list(range(11)), "row": list(range(11)), "text": texts})
+    batches = [whole.slice(0, 4), whole.slice(4, 0), whole.slice(4, 1), whole.slice(5)]
+    made = list(packing._tokenise(PATH, 1)(iter(batches)))
+    alone = [packing._tokenise(PATH, 1)(iter([b])) for b in batches]
+    assert [b.num_rows for b in made] == [4, 0, 1, 6, 1]
+    assert [b.to_pylist() for b in made[:4]] == [next(m).to_pylist() for m in alone]
+    assert calls[0] == (11 if together > 40 else 4)
+    assert list(packing._tokenise(PATH, 1)(iter([]))) == []
