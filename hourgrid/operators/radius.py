@@ -4,190 +4,174 @@ from __future__ import annotations
 
 import math
 
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-from hourgrid.functions import geo
-from hourgrid.operators.lookup import lookup, lookup_counted
+import hourgrid
+from hourgrid.functions import discs, geo
+from hourgrid.operators.lookup import lookup_counted
 from hourgrid.session import materialise
 
 # One mile and a week.
 RADIUS_M = 1609.344
 DAYS = 7
+#: Cells are so many radii wide and a block has so many days at least; small cells divide a crowded cell.
+CELL_RADII = 4
+BLOCK_DAYS = 28
 CELLS_PER_RADIUS = 8
-SLACK_M = 1e-3
-#: A cell with more place-days in a block of days is split again, into so many small cells per side.
-CROWDED = 256
-SPLIT = 8
-#: Places that ask for one cell in one task.
-ASKING = 4096
-
-
-def _gap(steps: Column) -> Column:
-    """Least distance, in cells, between points of cells so many steps apart."""
-    return F.greatest(F.abs(steps) - 1, F.lit(0))
-
-
-def _bound(row: Column, up: Column, side: Column, lat_step: float, lon_step: float, least: bool) -> Column:
-    """Lower or upper bound of the distance between points of two cells."""
-    edge = F.lit(lat_step)
-    rows = _gap(up) if least else F.abs(up) + 1
-    columns = _gap(side) if least else F.abs(side) + 1
-
-    def cosine(r: Column) -> Column:
-        low, high = F.cos(F.radians(r * edge)), F.cos(F.radians((r + 1) * edge))
-        if least:
-            return F.least(low, high)
-        return F.when((r * edge <= 0) & ((r + 1) * edge >= 0), F.lit(1.0)).otherwise(F.greatest(low, high))
-
-    half_lat = F.radians(rows * edge) / 2
-    half_lon = F.radians(columns * F.lit(lon_step)) / 2
-    h = F.pow(F.sin(half_lat), 2) + cosine(row) * cosine(row + up) * F.pow(F.sin(half_lon), 2)
-    return F.lit(2 * geo.EARTH_RADIUS_M) * F.asin(F.sqrt(F.least(h, F.lit(1.0))))
-
-
-def _recent(parts: DataFrame, keys: list[str], days: int) -> DataFrame:
-    """Sum of ``_v`` over the last calendar days, for the days that are asked for."""
-    per_day = parts.groupBy(*keys, "_day").agg(F.sum("_v").alias("_v"), F.max("_asked").alias("_asked"))
-    w = W.partitionBy(*keys).orderBy(F.datediff("_day", F.lit("1970-01-01").cast("date"))).rangeBetween(1 - days, 0)
-    return per_day.withColumn("_sum", F.sum("_v").over(w)).where("_asked").drop("_v", "_asked")
-
-
-def _to_box(lat: Column, lon: Column, fine_y: Column, fine_x: Column, lat_step: float, lon_step: float, least: bool) -> Column:
-    """Lower or upper bound of the distance from a point to the points of a small cell."""
-    low, high = fine_y * F.lit(lat_step), (fine_y + 1) * F.lit(lat_step)
-    left, right = fine_x * F.lit(lon_step), (fine_x + 1) * F.lit(lon_step)
-    ends = F.cos(F.radians(low)), F.cos(F.radians(high))
-    if least:
-        up, side = F.greatest(low - lat, lat - high, F.lit(0.0)), F.greatest(left - lon, lon - right, F.lit(0.0))
-        cosine = F.least(*ends)
-    else:
-        up = F.greatest(F.abs(lat - low), F.abs(lat - high))
-        side = F.greatest(F.abs(lon - left), F.abs(lon - right))
-        cosine = F.when((low <= 0) & (high >= 0), F.lit(1.0)).otherwise(F.greatest(*ends))
-    h = F.pow(F.sin(F.radians(up) / 2), 2) + F.cos(F.radians(lat)) * cosine * F.pow(F.sin(F.radians(side) / 2), 2)
-    return F.lit(2 * geo.EARTH_RADIUS_M) * F.asin(F.sqrt(F.least(h, F.lit(1.0))))
-
-
-def _copies(times: str, name: str) -> Column:
-    return F.explode(F.sequence(F.lit(0), F.col(times) - 1)).alias(name)
-
-
-def _rim(cells: DataFrame, around, radius_m: float, lat_step: float, lon_step: float) -> DataFrame:
-    """``_lat, _lon, _day, _v, _asked``: daily counts within the radius that lie in cells on the rim of a place's disc.
-
-    ``cells`` has the daily counts of places with cell and block of days. What a place meets is planned by cell and block
-    from counts alone. A met cell with more than ``CROWDED`` place-days in the block is split into ``SPLIT`` x ``SPLIT`` small
-    cells: those wholly inside add their daily sums, only places of the others are compared. Where more than ``ASKING``
-    places ask for one cell, they are dealt over parts and the cell is copied once per part; a small cell's own places are
-    dealt over parts of ``CROWDED``, for which its few askers are copied.
+#: Place-days that are counted at once; a cell that meets more of them is crowded.
+CROWDED = 1 << 20
+#: Place-days that ask in one task, and about how many rows a task reads.
+ASKING = 1 << 18
+TASK_ROWS = 250_000
+#: Numbers beyond are no degrees; like missing ones they are no place.
+FAR = 1e6
+
+
+CELL = ["_cy", "_cx", "_block"]
+SMALL = [*CELL, "_fy", "_fx"]
+ROW = ["_lat", "_lon", "_d", "_n"]
+
+
+class _Cells:
+    """Rows of cells by latitude, each with its own number of columns around the globe."""
+
+    def __init__(self, radius_m: float):
+        angle = min((radius_m + discs.SLACK_M) / geo.EARTH_RADIUS_M, math.pi)
+        self.reach, self.sine = math.degrees(angle), math.sin(angle / 2)
+        self.height = CELL_RADII * self.reach
+
+    def span(self, row: Column) -> Column:
+        """Degrees of longitude within which all lies that is near a place of the row."""
+        edge = F.greatest(F.abs(row * self.height - self.reach), F.abs((row + 1) * self.height + self.reach))
+        cosine = F.greatest(F.cos(F.radians(F.least(edge, F.lit(90.0)))), F.lit(1e-9))
+        return F.degrees(2 * F.asin(F.least(F.lit(self.sine) / cosine, F.lit(1.0))))
+
+    def columns(self, span: Column) -> Column:
+        return F.greatest(F.floor(F.lit(360.0) / (CELL_RADII * span)), F.lit(1).cast("long"))
+
+    def of(self, daily: DataFrame) -> DataFrame:
+        """Place-days with the cell they lie in."""
+        rows = daily.select(*ROW, F.floor(F.col("_lat") / self.height).alias("_cy"))
+        columns = self.columns(self.span(F.col("_cy")))
+        return rows.withColumn("_cx", F.pmod(F.floor(F.col("_lon") / (F.lit(360.0) / columns)), columns))
+
+    def meeting(self, daily: DataFrame, days: int, block_days: int) -> DataFrame:
+        """Each place-day once per cell and block of days where something may ask for it; ``_asked`` in its own.
+
+        There are at most two rows of cells, columns and blocks: the least is two radii wide, or as long as two windows.
+        """
+        lat, lon, day, span, columns = (F.col(c) for c in ("_lat", "_lon", "_d", "_span", "_columns"))
+
+        def both(low: Column, high: Column) -> Column:
+            return F.explode(F.when(low == high, F.array(low)).otherwise(F.array(low, high)))
+
+        def column(at: Column) -> Column:
+            return F.pmod(F.floor(at / (F.lit(360.0) / columns)), columns)
+
+        rows = daily.select(*ROW, both(F.floor((lat - self.reach) / self.height), F.floor((lat + self.reach) / self.height)).alias("_cy"))
+        rows = rows.withColumn("_span", self.span(F.col("_cy"))).withColumn("_columns", self.columns(span))
+        rows = rows.withColumns({"_low": column(lon - span), "_high": column(lon + span), "_own": column(lon)})
+        rows = rows.select(*ROW, "_cy", "_own", both(F.col("_low"), F.col("_high")).alias("_cx"))
+        rows = rows.select("*", both(F.floor(day / block_days), F.floor((day + days - 1) / block_days)).alias("_block"))
+        own = ((F.col("_cy") == F.floor(lat / self.height)) & (F.col("_cx") == F.col("_own"))
+               & (F.col("_block") == F.floor(day / block_days)))
+        return rows.select(*ROW, *CELL, own.alias("_asked"))
+
+    def small(self, rows: DataFrame) -> DataFrame:
+        """With the small cell: its row, and its column east of the middle of the cell."""
+        span = self.span(F.col("_cy"))
+        middle = (F.col("_cx") + 0.5) * (F.lit(360.0) / self.columns(span))
+        east = F.pmod(F.col("_lon") - middle + 180.0, F.lit(360.0)) - 180.0
+        return rows.withColumns({"_fy": F.floor(F.col("_lat") * CELLS_PER_RADIUS / self.reach),
+                                 "_fx": F.floor(east * CELLS_PER_RADIUS / span)})
+
+
+def _order(group: Column, kind: Column | int, small: Column | int = 0, share: Column | int = 0) -> Column:
+    """One number by which rows are sorted: group, kind, small cell and share."""
+    number = group
+    for bits, value in ((discs.KIND_BITS, kind), (13, small), (10, share)):
+        number = F.shiftleft(number, bits) + (value if isinstance(value, Column) else F.lit(value))
+    return number.alias("_order")
+
+
+def _dealt(rows: DataFrame, asked: DataFrame, cells: _Cells, parts: int, most: int) -> DataFrame:
+    """Rows of crowded cells, or of those with many that ask, by part.
+
+    Place-days that ask are dealt over parts of about ``ASKING``, each of which covers a few neighbouring small cells. A part gets
+    what its small cells can reach, again by small cell, to be counted ``most`` at a time: a small cell with more
+    has its rows dealt over shares, which keep the days of a place together.
     """
-    fine_lat, fine_lon = lat_step / SPLIT, lon_step / SPLIT
-    at = ["_cy", "_cx", "_block"]
-    places = cells.select("_lat", "_lon", "_cy", "_cx", F.explode(F.array("_block", F.col("_block") - 1)).alias("_block")).distinct()
-    held = cells.groupBy(*at).agg(F.count(F.lit(1)).alias("_held"))
-    to = ["_ty", "_tx", "_block"]
-    steps = around(places.groupBy(*at).agg(F.count(F.lit(1)).alias("_places"))).select(
-        *at, "_places", (F.col("_cy") + F.col("_up")).alias("_ty"), (F.col("_cx") + F.col("_side")).alias("_tx"))
-    pairs = materialise(steps.join(held.withColumnsRenamed({"_cy": "_ty", "_cx": "_tx"}), to), "cell-pairs")
-    met = materialise(pairs.groupBy(*to).agg(
-        F.first("_held").alias("_held"), F.ceil(F.sum("_places") / ASKING).cast("int").alias("_parts"))
-        .withColumn("_crowded", F.col("_held") > CROWDED), "met-cells")
-
-    # The met cells of an asking cell: at most as many as the rim has cells.
-    plan = pairs.drop("_held").join(met.drop("_held"), to).groupBy(*at).agg(
-        F.first("_places").alias("_places"), F.collect_list(F.struct("_ty", "_tx", "_crowded", "_parts")).alias("_meets"))
-    met = met.withColumnsRenamed({"_ty": "_cy", "_tx": "_cx"})
-    asking = lookup_counted(places, plan, at, "_places").select(
-        F.col("_lat").alias("_alat"), F.col("_lon").alias("_alon"), "_block", F.inline("_meets"))
-    asking = asking.withColumnsRenamed({"_ty": "_cy", "_tx": "_cx"}).withColumn(
-        "_part", F.pmod(F.xxhash64("_alat", "_alon"), F.col("_parts")).cast("int"))
-
-    held_rows = lookup_counted(cells, met, at, "_held").where("_parts IS NOT NULL")
-    distance = geo.haversine_m(F.col("_alat"), F.col("_alon"), F.col("_lat"), F.col("_lon"))
-    result = [F.col("_alat").alias("_lat"), F.col("_alon").alias("_lon"), "_day"]
-    plain = asking.where("NOT _crowded").join(
-        held_rows.where("NOT _crowded").select("*", _copies("_parts", "_part")).drop("_parts", "_crowded"), [*at, "_part"])
-    plain = plain.where(distance <= radius_m).select(*result, F.col("_n").alias("_v"))
-    if met.where("_crowded").isEmpty():
-        return plain.withColumn("_asked", F.lit(False))
-
-    small = ["_fy", "_fx", "_block"]
-    crowd = held_rows.where("_crowded").withColumns({
-        "_fy": F.least(F.greatest(F.floor(F.col("_lat") / fine_lat), F.col("_cy") * SPLIT), F.col("_cy") * SPLIT + SPLIT - 1),
-        "_fx": F.least(F.greatest(F.floor(F.col("_lon") / fine_lon), F.col("_cx") * SPLIT), F.col("_cx") * SPLIT + SPLIT - 1)})
-    crowd_days = crowd.groupBy(*at, *small[:2], "_day").agg(
-        F.sum("_n").alias("_v"), F.count(F.lit(1)).alias("_rows"), F.first("_parts").alias("_parts"))
-    # a row per small cell; a block has few days
-    sums = materialise(crowd_days.groupBy(*at, *small[:2]).agg(
-        F.collect_list(F.struct("_day", "_v")).alias("_days"), F.sum("_rows").alias("_rows"),
-        F.ceil(F.sum("_rows") / CROWDED).cast("int").alias("_shares"), F.first("_parts").alias("_parts")), "small-cells")
-    near = asking.where("_crowded").drop("_parts").join(
-        sums.select(*at, *small[:2], "_days", "_shares", "_parts", _copies("_parts", "_part")), [*at, "_part"])
-    bounds = [F.col("_alat"), F.col("_alon"), F.col("_fy"), F.col("_fx"), fine_lat, fine_lon]
-    near = near.where(_to_box(*bounds, least=True) <= radius_m + SLACK_M).withColumn(
-        "_inner", _to_box(*bounds, least=False) <= radius_m - SLACK_M)
-    within = near.where("_inner").select("_alat", "_alon", F.inline("_days")).select(*result, "_v")
-    own = lookup_counted(crowd.drop("_parts"), sums.select(*small, "_rows", "_shares", "_parts"), small, "_rows").withColumn(
-        "_share", F.pmod(F.xxhash64("_lat", "_lon"), F.col("_shares")).cast("int"))
-    compared = near.where("NOT _inner").select("_alat", "_alon", *small, "_part", _copies("_shares", "_share")).join(
-        own.select("_lat", "_lon", "_day", "_n", *small, "_share", _copies("_parts", "_part")), [*small, "_part", "_share"])
-    compared = compared.where(distance <= radius_m).select(*result, F.col("_n").alias("_v"))
-    return plain.unionByName(within).unionByName(compared).withColumn("_asked", F.lit(False))
+    rows, asked = cells.small(rows), cells.small(asked)
+    small = rows.groupBy("_cell", *SMALL).agg(F.count(F.lit(1)).alias("_rows"), F.sum(F.col("_asked").cast("long")).alias("_asking"))
+    # neighbours follow each other: squares of the radius, and the small cells in them
+    squares = [F.floor(F.col(c) / CELLS_PER_RADIUS) for c in ("_fy", "_fx")]
+    along = W.partitionBy(*CELL).orderBy(*squares, "_fy", "_fx")
+    small = materialise(small.withColumns({
+        "_shares": F.ceil(F.col("_rows") / most).cast("int"), "_small": F.row_number().over(along).cast("long"),
+        "_before": F.coalesce(F.sum("_asking").over(along.rowsBetween(W.unboundedPreceding, -1)), F.lit(0).cast("long"))}),
+        "small-cells")
+
+    first, last = F.floor(F.col("_before") / ASKING), F.floor((F.col("_before") + F.col("_asking") - 1) / ASKING)
+    boxes = small.where("_asking > 0").withColumn("_part", F.explode(F.sequence(first, last))).groupBy(*CELL, "_part").agg(
+        *[f(c).alias(f"{c}_{n}") for c in ("_fy", "_fx") for f, n in ((F.min, "low"), (F.max, "high"))])
+
+    def apart(c: str) -> Column:
+        """Small cells between one and the nearest of the part."""
+        return F.greatest(F.col(f"{c}_low") - F.col(c), F.col(c) - F.col(f"{c}_high")) - 1
+
+    # a row of cells with one column meets itself around the pole
+    beside = (apart("_fx") <= CELLS_PER_RADIUS) | (cells.columns(cells.span(F.col("_cy"))) == 1)
+    reached = small.join(boxes, CELL).where((apart("_fy") <= CELLS_PER_RADIUS) & beside)
+    reached = reached.groupBy(*SMALL).agg(F.collect_list("_part").alias("_to"))
+
+    place, group = F.xxhash64("_lat", "_lon"), F.col("_cell") * parts
+    held = lookup_counted(rows, small.select(*SMALL, "_rows", "_shares", "_small").join(reached, SMALL), SMALL, "_rows")
+    held = held.select("*", F.explode("_to").alias("_part"), F.pmod(place, F.col("_shares")).alias("_share"))
+    asked = lookup_counted(asked, small.where("_asking > 0").select(*SMALL, "_asking", F.col("_asking").alias("_dealt"), "_before"), SMALL, "_asking")
+    part = F.floor((F.col("_before") + F.pmod(place, F.col("_dealt"))) / ASKING)
+    return asked.select(_order(group + part, 0), *ROW).unionByName(
+        held.select(_order(group + F.col("_part"), 1, F.col("_small"), F.pmod("_share", F.lit(1024))), *ROW))
 
 
 def radius_count(df: DataFrame, ts: str = "report_date", radius_m: float = RADIUS_M, days: int = DAYS,
                  lat: str = "latitude", lon: str = "longitude", out: str = "density_7d_1mi") -> DataFrame:
     """Other incidents within the radius on the last ``days`` calendar days, today included.
 
-    Incidents are counted per (place, day) first, so copies of one place weigh nothing.
-    Cells an eighth of the radius wide split the disc: cells wholly inside add their
-    daily sums, cell by cell; only places of cells on the rim are compared one by one (crowded
-    cells are split once more), and only within the two blocks of ``days`` days that a window can touch.
+    Incidents are counted per (place, day) first, so copies of one place weigh nothing. Place-days are copied to the
+    cells, four radii wide, and blocks of days from where they may be asked for, and counted there by
+    ``discs.counts``: each pair of near places is looked at once for all days of a block, and as a rule not
+    at all. A cell that meets too many place-days for one task is dealt over parts (``_dealt``).
     """
-    placed = df.withColumns({"_lat": F.col(lat), "_lon": F.col(lon), "_day": F.col(ts).cast("date")})
-    known = placed.where("_lat IS NOT NULL AND _lon IS NOT NULL AND _day IS NOT NULL")
+    cloudpickle.register_pickle_by_value(hourgrid)
+    placed = df.withColumns({"_lat": F.col(lat).cast("double"), "_lon": F.col(lon).cast("double"), "_day": F.col(ts).cast("date")})
+    known = placed.where((F.abs("_lat") <= FAR) & (F.abs("_lon") <= FAR) & F.col("_day").isNotNull())
     daily = materialise(known.groupBy("_lat", "_lon", "_day").agg(F.count(F.lit(1)).alias("_n")), "place-days")
 
-    top = daily.agg(F.max(F.abs("_lat"))).first()[0] or 0.0
-    lat_step = math.degrees(radius_m / CELLS_PER_RADIUS / geo.EARTH_RADIUS_M)
-    lon_step = lat_step / max(math.cos(math.radians(min(top + lat_step, 89.0))), 1e-3)
-    reach = CELLS_PER_RADIUS + 2
-    cell = {"_cy": F.floor(F.col("_lat") / lat_step), "_cx": F.floor(F.col("_lon") / lon_step)}
-    steps = F.sequence(F.lit(-reach), F.lit(reach))
-    row, up, side = F.col("_cy"), F.col("_up"), F.col("_side")
-    cells = daily.withColumns(cell)
-
-    # How far cells are apart depends on the row of cells only: one list of steps per row.
-    near = (
-        cells.select("_cy").distinct()
-        .withColumn("_up", F.explode(steps)).withColumn("_side", F.explode(steps))
-        .where(_bound(row, up, side, lat_step, lon_step, least=True) <= radius_m + SLACK_M)
-        .withColumn("_inner", _bound(row, up, side, lat_step, lon_step, least=False) <= radius_m - SLACK_M)
-        .groupBy("_cy").agg(F.collect_list(F.struct("_up", "_side", "_inner")).alias("_near"))
-    )
-    near = materialise(near, "near-cells")
+    daily = daily.withColumn("_d", F.unix_date("_day"))
+    cells, block_days = _Cells(radius_m), max(BLOCK_DAYS, 2 * days)
+    most = min(CROWDED, (32 << 20) // (days + BLOCK_DAYS) + 1)
+    meeting = cells.meeting(daily, days, block_days)
+    met = meeting.groupBy(*CELL).agg(F.count(F.lit(1)).alias("_held"), F.sum(F.col("_asked").cast("long")).alias("_asking"))
+    met = materialise(met.where("_asking > 0").repartition(1).select(
+        *CELL, "_held", "_asking", F.ceil(F.col("_asking") / ASKING).cast("int").alias("_parts"),
+        (F.col("_held") > most).alias("_crowded"), F.monotonically_increasing_id().alias("_cell")), "met-cells")
+    many = F.col("_crowded") | (F.col("_parts") > 1)
+    size, parts, some = met.agg(F.sum("_held"), F.max("_parts"), F.max(many)).first()
+    parts = parts or 1
+
+    plan = met.withColumn("_many", many)
+    rows = lookup_counted(meeting, plan.select(*CELL, "_held", "_cell", "_many"), CELL, "_held")
+    work = rows.where("NOT _many").select(_order(F.col("_cell") * parts, F.when(F.col("_asked"), 2).otherwise(3)), *ROW)
+    if some:
+        asked = cells.of(daily).withColumn("_block", F.floor(F.col("_d") / block_days))
+        asked = lookup_counted(asked, plan.select(*CELL, "_asking", "_cell", "_many"), CELL, "_asking")
+        work = work.unionByName(_dealt(rows.where("_many"), asked.where("_many"), cells, parts, most))
+
+    # a sort by one number needs no comparisons
     tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-
-    def around(rows: DataFrame, inner: bool) -> DataFrame:
-        """Each row once per near cell, spread over all tasks before it is multiplied."""
-        spread = lookup(rows.repartition(tasks, *rows.columns), near, ["_cy"])
-        step = F.filter("_near", lambda s: s["_inner"] if inner else ~s["_inner"])
-        return spread.select(*rows.columns, F.inline(step)).drop("_inner")
-
-    cell_days = cells.groupBy("_cy", "_cx", "_day").agg(F.sum("_n").alias("_n"))
-    inner = around(cell_days, True).select(
-        (row + up).alias("_cy"), (F.col("_cx") + side).alias("_cx"), "_day", F.col("_n").alias("_v"),
-        F.lit(False).alias("_asked"))
-    asked_cells = cell_days.select("_cy", "_cx", "_day", F.lit(0).cast("long").alias("_v"), F.lit(True).alias("_asked"))
-    by_cell = _recent(inner.unionByName(asked_cells), ["_cy", "_cx"], days).withColumnRenamed("_sum", "_in")
-
-    block = F.floor(F.datediff("_day", F.lit("1970-01-01").cast("date")) / days)
-    rim_days = _rim(cells.withColumn("_block", block), lambda rows: around(rows, False), radius_m, lat_step, lon_step)
-    asked = daily.select("_lat", "_lon", "_day", F.lit(0).cast("long").alias("_v"), F.lit(True).alias("_asked"))
-    by_place = _recent(rim_days.unionByName(asked), ["_lat", "_lon"], days).withColumnRenamed("_sum", "_rim")
-
-    total = (
-        cells.join(by_place, ["_lat", "_lon", "_day"]).join(by_cell, ["_cy", "_cx", "_day"])
-        .select("_lat", "_lon", "_day", "_n", (F.col("_in") + F.col("_rim") - 1).alias(out))
-    )
+    tasks = min(max(tasks, -(-(size or 0) // TASK_ROWS)), 10_000)
+    counted = work.repartition(tasks, F.shiftright("_order", discs.GROUP_FROM)).sortWithinPartitions("_order").mapInArrow(
+        discs.count_groups(most, radius_m, days), "_lat double, _lon double, _d int, _n long, _sum long")
+    total = counted.select("_lat", "_lon", F.date_from_unix_date("_d").alias("_day"), "_n", (F.col("_sum") - 1).alias(out))
     return lookup_counted(placed, total, ["_lat", "_lon", "_day"], "_n").drop("_lat", "_lon", "_day")

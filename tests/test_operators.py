@@ -311,6 +311,72 @@ def test_radius_count_deals_a_hot_cell(spark, monkeypatch):
     assert (small["_shares"] * 32 >= small["_rows"]).all() and len(small) > 50
 
 
+def test_radius_count_looks_at_few_pairs(monkeypatch):
+    """Distances are taken once per pair of places near the edge of a disc, not once per day or for the whole disc."""
+    import numpy as np
+
+    from hourgrid.functions import discs
+
+    side, days = 90, 20
+    lat = np.repeat(33.7 + np.arange(side) * 0.0005, side * days)
+    lon = np.tile(np.repeat(-84.4 + np.arange(side) * 0.0006, days), side)
+    day = np.tile(np.arange(days, dtype=np.int32), side * side)
+    number = 1 + (np.arange(len(day)) * 7919 % 3)
+    compared, near = [], discs._Strips.near
+
+    def watch(self, pair, *rest):
+        compared.append(len(pair))
+        return near(self, pair, *rest)
+    monkeypatch.setattr(discs._Strips, "near", watch)
+    got = discs.counts((lat, lon, day), (lat, lon, day, number), radius.RADIUS_M, radius.DAYS)
+    places = np.radians(lat[::days]), np.radians(lon[::days])
+    pairs = 0
+    for i in range(0, len(places[0]), 97):
+        h = (np.sin((places[0] - places[0][i]) / 2) ** 2
+             + np.cos(places[0]) * np.cos(places[0][i]) * np.sin((places[1] - places[1][i]) / 2) ** 2)
+        inside = 2 * 6371000 * np.arctan2(np.sqrt(h), np.sqrt(1 - h)) <= radius.RADIUS_M
+        pairs += inside.sum()
+        daily = number.reshape(-1, days)[inside].sum(axis=0)
+        assert got[i * days:(i + 1) * days].tolist() == [daily[max(0, d - 6):d + 1].sum() for d in range(days)]
+    assert sum(compared) < 0.2 * 97 * pairs
+
+
+@pytest.mark.parametrize("crowded, asking", [(1 << 20, 1 << 18), (60, 25)])
+def test_radius_count_around_the_globe(spark, monkeypatch, crowded, asking):
+    """Across the date line and near the poles; what is no number is no place and spoils nothing."""
+    import math
+    import random
+    from datetime import timedelta
+
+    monkeypatch.setattr(radius, "CROWDED", crowded)
+    monkeypatch.setattr(radius, "ASKING", asking)
+    random.seed(7)
+    data = []
+    for lat, lon, wide in ((10.0, 180.0, 0.02), (-70.0, -180.0, 0.06), (89.99, 0.0, 180.0), (-89.97, 0.0, 180.0), (0.0, 0.0, 0.02)):
+        for _ in range(60):
+            east = (lon + random.uniform(-wide, wide) + 180) % 360 - 180
+            data.append((len(data), min(90.0, lat + random.uniform(-0.02, 0.02)), east, datetime(2024, 1, 1) + timedelta(days=random.randrange(9))))
+
+    def metres(a, b):
+        p1, p2 = math.radians(a[1]), math.radians(b[1])
+        h = math.sin((p2 - p1) / 2) ** 2 + math.cos(p1) * math.cos(p2) * math.sin(math.radians(b[2] - a[2]) / 2) ** 2
+        return 2 * 6371000 * math.atan2(math.sqrt(h), math.sqrt(1 - h))
+    expected = {a[0]: sum(1 for b in data if b[0] != a[0] and 0 <= (a[3].date() - b[3].date()).days <= 6
+                          and metres(a, b) <= radius.RADIUS_M) for a in data}
+    assert sum(1 for v in expected.values() if v) > 200
+    odd = [(1000, float("nan"), 0.0, data[0][3]), (1001, 0.0, float("inf"), data[0][3]), (1002, 0.0, 0.0, None)]
+    df = spark.createDataFrame(data + odd, "id int, latitude double, longitude double, report_date timestamp_ntz")
+    got = dict(rows(radius.radius_count(df), "id", "density_7d_1mi"))
+    assert [got.pop(i) for i in (1000, 1001, 1002)] == [None, None, None]
+    assert got == expected
+
+
+def test_radius_count_without_places(spark):
+    df = spark.createDataFrame([(1, None, 0.0, datetime(2024, 1, 1))], "id int, latitude double, longitude double, report_date timestamp_ntz")
+    assert rows(radius.radius_count(df), "id", "density_7d_1mi") == [(1, None)]
+    assert rows(radius.radius_count(df.limit(0)), "id", "density_7d_1mi") == []
+
+
 def test_weather_never_multiplies_rows(spark, hours):
     df = incidents(spark, [("A", 1, "x"), ("A", 2, "y"), ("B", 9, "z")])
     doubled = hours([("x", 1, 50), ("x", 1, 51), ("x", 2, 60)], "temp_f").drop("area")
