@@ -15,8 +15,10 @@ import pyarrow as pa
 from hourgrid.functions.geo import EARTH_RADIUS_M
 
 SLACK_M = 1e-3
-#: Strips per radius: more of them where places are dense, within these bounds.
+#: Strips per radius: more of them where many places lie about a radius away, within these bounds.
 STRIPS = (4, 128)
+#: From how many asked and held places that is estimated.
+TRIED = (32, 1 << 13)
 #: The number by which rows are sorted has the group from this bit on, then the kind.
 GROUP_FROM, KIND_BITS = 25, 2
 #: Entries of the largest arrays that are made at once.
@@ -42,28 +44,18 @@ def _numbers(starts: np.ndarray, length: int) -> np.ndarray:
 class _Strips:
     """Places of one chunk by cell, with a row of values each."""
 
-    def __init__(self, lat: np.ndarray, lon: np.ndarray, centre: float, values: np.ndarray, radius_m: float):
-        self.radius_m, self.centre = radius_m, centre
+    def __init__(self, lat: np.ndarray, lon: np.ndarray, values: np.ndarray, asked: tuple[np.ndarray, np.ndarray], radius_m: float):
+        self.radius_m, self.centre = radius_m, asked[1][0]
         reach = min((radius_m + SLACK_M) / EARTH_RADIUS_M, np.pi)
         x = self.turned(lon)
         self.low, self.west = lat.min(), x.min()
-        cosine = max(np.cos(np.radians(np.abs(lat).min())), 1e-9)
+        self.strips = int(np.clip(round(np.sqrt(2 * self._about_a_radius_away(lat, lon, *asked))), *STRIPS))
         step = np.degrees(reach)
-
-        def grid(height: float, most: int) -> tuple[float, int]:
-            """Width and number of columns of cells about as wide as high."""
-            span = x.max() - self.west
-            width = max(height / cosine, span / most, 1e-12)
-            return width, int(span / width) + 1
-
-        # how many places a place has in a square of the radius, from cells of a quarter
-        width, columns = grid(step / 4, 1 << 12)
-        _, held = np.unique(np.floor((lat - self.low) / (step / 4)).astype(np.int64) * columns
-                            + np.floor((x - self.west) / width).astype(np.int64), return_counts=True)
-        dense = 16 * float((held * held).sum()) / held.sum()
-        self.strips = int(np.clip(round(np.sqrt(2 * dense)), *STRIPS))
         self.height = max(step, (lat.max() - self.low) / 16) / self.strips
-        self.width, self.columns = grid(self.height, 16 * self.strips)
+        # cells about as wide as high, and not too many
+        span = x.max() - self.west
+        self.width = max(self.height / max(np.cos(np.radians(np.abs(lat).min())), 1e-9), span / (16 * self.strips), 1e-12)
+        self.columns = int(span / self.width) + 1
 
         row = np.floor((lat - self.low) / self.height).astype(np.int64)
         self.rows = int(row.max()) + 1
@@ -82,6 +74,14 @@ class _Strips:
         self.least = np.minimum(at_edge[:-1], at_edge[1:])
         self.most = np.where((edges[:-1] <= 0) & (edges[1:] >= 0), 1.0, np.maximum(at_edge[:-1], at_edge[1:]))
 
+    def _about_a_radius_away(self, lat: np.ndarray, lon: np.ndarray, ask_lat: np.ndarray, ask_lon: np.ndarray) -> float:
+        """Places in a square of the radius, there where discs of the asked places end; an estimate that decides about speed only."""
+        some, held = (slice(None, None, -(-len(c) // most)) for c, most in zip((ask_lat, lat), TRIED))
+        phi, at = np.radians(lat[held]), np.radians(ask_lat[some])[:, None]
+        h = np.sin((phi - at) / 2) ** 2 + np.cos(at) * np.cos(phi) * np.sin(np.radians(lon[held] - ask_lon[some][:, None]) / 2) ** 2
+        near = np.count_nonzero((h >= self._square(0.9 * self.radius_m)) & (h <= self._square(1.1 * self.radius_m)))
+        return near / len(at) * len(lat) / len(phi) / (0.4 * np.pi)
+
     def turned(self, lon: np.ndarray) -> np.ndarray:
         """Degrees east of the centre, from -180 to 180."""
         return np.mod(lon - self.centre + 180.0, 360.0) - 180.0
@@ -203,11 +203,11 @@ def counts(asked: tuple[np.ndarray, ...], held: tuple[np.ndarray, ...], radius_m
         daily = np.zeros((len(starts), width + days), kind)
         daily[_numbers(starts, len(rows)), day[rows] - (begin - days)] = number[rows]
         np.cumsum(daily, axis=1, out=daily)
-        strips = _Strips(here_lat[starts], here_lon[starts], float(ask_lon[ask[0]]),
-                         daily[:, days:] - daily[:, :-days], radius_m)
+        held_lat, held_lon = here_lat[starts], here_lon[starts]
         at_lat, at_lon = ask_lat[ask], ask_lon[ask]
         starts = _runs(at_lat, at_lon)
-        sums = strips.sums(at_lat[starts], at_lon[starts])
+        places_asked = at_lat[starts], at_lon[starts]
+        sums = _Strips(held_lat, held_lon, daily[:, days:] - daily[:, :-days], places_asked, radius_m).sums(*places_asked)
         out[by_ask[ask]] = sums[_numbers(starts, len(ask)), ask_day[ask] - begin]
     return out
 

@@ -171,7 +171,10 @@ def radius_count(df: DataFrame, ts: str = "report_date", radius_m: float = RADIU
     # a sort by one number needs no comparisons
     tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     tasks = min(max(tasks, -(-(size or 0) // TASK_ROWS)), 10_000)
-    counted = work.repartition(tasks, F.shiftright("_order", discs.GROUP_FROM)).sortWithinPartitions("_order").mapInArrow(
+    # the parts of a cell go to different tasks
+    group = F.shiftright("_order", discs.GROUP_FROM)
+    task = F.pmod(F.floor(group / parts) + F.pmod(group, F.lit(parts)), F.lit(tasks)).cast("int")
+    counted = work.repartitionById(tasks, task).sortWithinPartitions("_order").mapInArrow(
         discs.count_groups(most, radius_m, days), "_lat double, _lon double, _d int, _n long, _sum long")
     total = counted.select("_lat", "_lon", F.date_from_unix_date("_d").alias("_day"), "_n", (F.col("_sum") - 1).alias(out))
     return lookup_counted(placed, total, ["_lat", "_lon", "_day"], "_n").drop("_lat", "_lon", "_day")

@@ -341,6 +341,22 @@ def test_radius_count_looks_at_few_pairs(monkeypatch):
     assert sum(compared) < 0.2 * 97 * pairs
 
 
+def test_radius_count_cuts_discs_by_what_lies_at_their_edge():
+    """Many places in one spot, far from the edges of the discs around them, need no fine strips."""
+    import numpy as np
+
+    from hourgrid.functions import discs
+
+    at = np.random.default_rng(1).uniform(0, 0.001, (2, 3000))
+    spot, one = (33.7 + at[0], -84.4 + at[1]), np.ones((3000, 1), np.int32)
+    assert discs._Strips(*spot, one, spot, radius.RADIUS_M).strips == discs.STRIPS[0]
+    edge = 33.7 + at[0] + np.degrees(radius.RADIUS_M / 6371000), spot[1]
+    both = np.concatenate([spot[0], edge[0]]), np.concatenate([spot[1], edge[1]])
+    strips = discs._Strips(*both, np.ones((6000, 1), np.int32), spot, radius.RADIUS_M)
+    assert strips.strips > 20
+    assert (strips.sums(*spot)[:, 0] >= 3000).all()
+
+
 @pytest.mark.parametrize("crowded, asking", [(1 << 20, 1 << 18), (60, 25)])
 def test_radius_count_around_the_globe(spark, monkeypatch, crowded, asking):
     """Across the date line and near the poles; what is no number is no place and spoils nothing."""
